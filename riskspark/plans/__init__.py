@@ -1,6 +1,6 @@
 """Query catalogue: role bindings + operators, with DuckDB oracles."""
 
-from . import features_plans  # noqa: F401
+from . import data_plans, features_plans  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
