@@ -1,6 +1,6 @@
 """Query catalogue: role bindings + operators, with DuckDB oracles."""
 
-from . import data_plans, features_plans, metrics_plans  # noqa: F401
+from . import data_plans, features_plans, metrics_plans, split_plans  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
