@@ -82,9 +82,9 @@ IV_BANDS = [(0.02, "not_useful"), (0.1, "weak"), (0.3, "medium"), (0.5, "strong"
 IV_TOP = "suspicious"
 
 # Fixed PSI verdict limits (must equal the reference's values):
-# < 0.10 stable, < 0.25 moderate, otherwise significant.
-PSI_BANDS = [(0.10, "stable"), (0.25, "moderate")]
-PSI_TOP = "significant"
+# < 0.10 stable, < 0.25 moderate_shift, otherwise significant_shift.
+PSI_BANDS = [(0.10, "stable"), (0.25, "moderate_shift")]
+PSI_TOP = "significant_shift"
 
 
 def band(x: Column | str, bands, top: str) -> Column:
@@ -101,3 +101,23 @@ def iv_strength(iv: Column | str) -> Column:
 
 def psi_verdict(psi: Column | str) -> Column:
     return band(psi, PSI_BANDS, PSI_TOP)
+
+
+# Fixed decision labels (must equal the reference's values).
+DECISION_APPROVE = "approve"
+DECISION_REVIEW = "review"
+DECISION_DECLINE = "decline"
+
+
+def probability_decision(p: Column | str, review: float, decline: float) -> Column:
+    """PF2: higher probability is riskier: >= decline -> decline,
+    >= review -> review, else approve."""
+    p = col_(p)
+    return F.when(p >= decline, DECISION_DECLINE).when(p >= review, DECISION_REVIEW).otherwise(DECISION_APPROVE)
+
+
+def points_decision(score: Column | str, approve: float, decline: float) -> Column:
+    """PF3: higher points are safer: >= approve -> approve, >= decline ->
+    review, else decline."""
+    s = col_(score)
+    return F.when(s >= approve, DECISION_APPROVE).when(s >= decline, DECISION_REVIEW).otherwise(DECISION_DECLINE)
