@@ -41,12 +41,14 @@ log AS (SELECT c.id, o.o_orderdate AS logged_at, 'credit' AS model_type, 'scorec
 
 @register(
     "audit_append_batch",
-    f"WITH {LOG_SQL} SELECT id, model_type, model_version, round(score, 9) AS score, decision FROM log",
+    f"""WITH {LOG_SQL} SELECT id, model_type, model_version,
+           CASE WHEN model_type = 'credit' THEN round(score, 6) ELSE round(score, 9) END AS score, decision FROM log""",
 )
 def audit_append_batch(spark, sf_dir):
     """IO7: the rows one scoring batch appends to the log (the sink itself
     is ``audit.append_decisions``)."""
-    return _log(spark, sf_dir).select("id", "model_type", "model_version", F.round("score", 9).alias("score"), "decision")
+    sc = F.when(F.col("model_type") == "credit", F.round("score", 6)).otherwise(F.round("score", 9))
+    return _log(spark, sf_dir).select("id", "model_type", "model_version", sc.alias("score"), "decision")
 
 
 @register(
