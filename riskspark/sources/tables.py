@@ -112,8 +112,11 @@ FROM lineitem"""
 
 def bind_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders join customer -> credit applications role."""
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
+    return applications_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+
+
+def applications_from(o: DataFrame, c: DataFrame) -> DataFrame:
+    """The applications projection over given orders (batch or stream)."""
     return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
         F.col("o_orderkey").alias("id"),
         (F.col("o_orderstatus") == "F").cast("int").alias("target"),
