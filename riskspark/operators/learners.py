@@ -56,3 +56,97 @@ def standardize(df: DataFrame, scaler: dict[str, tuple[float, float]], columns:
         m, s = scaler[c]
         out = out.withColumn(c, (F.col(c) - F.lit(m)) / F.lit(s))
     return out
+
+
+# ---------------------------------------------------------------------------
+# MLlib learners (distributed fits); checked by ranges, not by an oracle
+# ---------------------------------------------------------------------------
+
+def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
+
+
+def make_classifier(kind: str, label: str = "label", seed: int = 42, **params):
+    """ML3/ML5: 'logistic', 'tree', 'forest' (100 trees), 'gbt'."""
+    from pyspark.ml import classification as C
+
+    if kind == "logistic":
+        return C.LogisticRegression(featuresCol="features", labelCol=label, maxIter=params.get("maxIter", 100), regParam=params.get("regParam", 0.0))
+    if kind == "tree":
+        return C.DecisionTreeClassifier(featuresCol="features", labelCol=label, seed=seed, maxDepth=params.get("maxDepth", 5))
+    if kind == "forest":
+        return C.RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=params.get("numTrees", 100), seed=seed)
+    if kind == "gbt":
+        return C.GBTClassifier(
+            featuresCol="features", labelCol=label, seed=seed, maxIter=params.get("maxIter", 20),
+            maxDepth=params.get("maxDepth", 3), stepSize=params.get("stepSize", 0.1),
+        )
+    raise ValueError(f"unknown classifier {kind!r}")
+
+
+def positive_probability(pred: DataFrame, out: str = "score") -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    return pred.withColumn(out, vector_to_array("probability")[1])
+
+
+def fit_and_score(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, kind: str, **params):
+    """Impute (train medians) -> assemble -> fit -> P(label = 1) on test."""
+    from ..session import cut_lineage
+
+    med = fit_medians(train, features)
+    fill = {c: v for c, v in med.items() if v is not None}
+    med_train = train.fillna(fill)
+    med_test = test.fillna(fill)
+    fit_in = cut_lineage(assemble(med_train.withColumn(label, F.col(label).cast("double")), features))
+    model = make_classifier(kind, label, **params).fit(fit_in)
+    pred = cut_lineage(positive_probability(model.transform(assemble(med_test, features))).drop("features", "rawPrediction", "probability"))
+    return model, pred
+
+
+def evaluate(pred: DataFrame, label: str, id_col: str) -> DataFrame:
+    """MT7 record for a prediction frame."""
+    from .metrics import metric_record
+
+    return metric_record(pred.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"), "score"))
+
+
+def fit_scorecard_lr(train_woe: DataFrame, woe_cols: Sequence[str], target: str):
+    """L2 logistic regression on WoE columns; C = 1 in the reference's
+    library equals regParam = 1/n without standardisation here."""
+    from pyspark.ml.classification import LogisticRegression
+
+    n = train_woe.count()
+    lr = LogisticRegression(featuresCol="features", labelCol=target, regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=200)
+    m = lr.fit(assemble(train_woe.withColumn(target, F.col(target).cast("double")), woe_cols))
+    return {c: float(v) for c, v in zip(woe_cols, m.coefficients.toArray())}, float(m.intercept)
+
+
+def residual_boost(df: DataFrame, features: Sequence[str], label: str, margin: str, rounds: int = 10, step: float = 0.1, depth: int = 3) -> list:
+    """TL3: continue a model on new data with boosting rounds on the
+    residual y - sigmoid(margin) (MLlib's GBT cannot resume a fit).  Returns
+    the fitted trees; lineage is cut through the shared checkpoint folder
+    every few rounds."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from ..session import cut_lineage
+
+    trees = []
+    cur = assemble(df, features).withColumn("__m", F.col(margin))
+    for r in range(rounds):
+        cur = cur.withColumn("__res", F.col(label).cast("double") - 1.0 / (1.0 + F.exp(-F.col("__m"))))
+        t = DecisionTreeRegressor(featuresCol="features", labelCol="__res", maxDepth=depth, seed=42).fit(cur)
+        trees.append(t)
+        cur = t.transform(cur).withColumn("__m", F.col("__m") + step * F.col("prediction")).drop("prediction")
+        if (r + 1) % 5 == 0:
+            cur = cut_lineage(cur)
+    return trees
+
+
+def apply_boost(df: DataFrame, features: Sequence[str], margin: str, trees: list, step: float = 0.1, out: str = "score") -> DataFrame:
+    cur = assemble(df, features).withColumn("__m", F.col(margin))
+    for t in trees:
+        cur = t.transform(cur).withColumn("__m", F.col("__m") + step * F.col("prediction")).drop("prediction")
+    return cur.withColumn(out, 1.0 / (1.0 + F.exp(-F.col("__m")))).drop("__m", "features")
