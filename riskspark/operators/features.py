@@ -43,7 +43,8 @@ def require_columns(df: DataFrame, cols: Sequence[str], what: str = "df") -> Non
 
 
 def maybe_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check (row count of a fitted table)."""
+    """Broadcast hint only behind a size check (row count of the table;
+    runs a job, so use it on materialised tables)."""
     return F.broadcast(small) if small.count() <= max_rows else small
 
 
@@ -118,25 +119,26 @@ def _bounded_velocity(df, card, t, amount, id_col, windows, chunk_seconds):
     for c in payload:
         x = x.withColumn(c, F.when(F.col("__own"), F.col(c)))
 
+    # The tie window runs first: its sort (card, chunk, t, id) also
+    # satisfies the range windows' (card, chunk, t) order - one sort total.
     w_tie = Window.partitionBy(card, "__part", t).orderBy(id_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     a = F.col(amount)
-    cnt_tie = F.count(a).over(w_tie)
-    sum_tie = F.sum(a).over(w_tie)
+    x = x.withColumn("__ct", F.count(a).over(w_tie)).withColumn("__st", F.sum(a).over(w_tie))
     for label, d in windows.items():
         if d > 1:
             w_rng = Window.partitionBy(card, "__part").orderBy(t).rangeBetween(-(d - 1), -1)
-            cnt = F.count(a).over(w_rng) + cnt_tie
-            s = F.coalesce(F.sum(a).over(w_rng), F.lit(0.0)) + F.coalesce(sum_tie, F.lit(0.0))
+            cnt = F.count(a).over(w_rng) + F.col("__ct")
+            s = F.coalesce(F.sum(a).over(w_rng), F.lit(0.0)) + F.coalesce(F.col("__st"), F.lit(0.0))
         else:
-            cnt = cnt_tie
-            s = F.coalesce(sum_tie, F.lit(0.0))
+            cnt = F.col("__ct")
+            s = F.coalesce(F.col("__st"), F.lit(0.0))
         cname, sname = f"{card}_txn_count_{label}", f"{card}_amt_sum_{label}"
         x = x.withColumn(cname, cnt.cast("long")).withColumn(sname, F.when(F.col(cname) > 0, s))
     x = x.where(F.col("__own"))
     for label in windows:
         for c in (f"{card}_txn_count_{label}", f"{card}_amt_sum_{label}"):
             x = x.withColumn(c, F.when(F.col(card).isNotNull(), F.col(c)))
-    return x.drop("__own_chunk", "__part", "__own")
+    return x.drop("__own_chunk", "__part", "__own", "__ct", "__st")
 
 
 # ---------------------------------------------------------------------------
@@ -252,13 +254,16 @@ def fit_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def transform_frequencies(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<col>_freq`` per column; NULL looks up the NULL share; values
-    never seen in the fit side map to 0.0."""
+    never seen in the fit side map to 0.0.  The fitted table is frozen once;
+    it is broadcast only when its row count is proven bounded."""
+    from .modeltables import freeze, join_small
+
+    table, bounded = freeze(table)
     out = df
     for c in columns:
         require_columns(out, [c])
         t = table.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("freq").alias(f"{c}_freq"))
-        t = maybe_broadcast(t)
-        out = out.join(t, out[c].cast("string").eqNullSafe(t["__v"]), "left").drop("__v")
+        out = join_small(out, t, bounded, out[c].cast("string").eqNullSafe(t["__v"])).drop("__v")
         out = out.withColumn(f"{c}_freq", F.coalesce(F.col(f"{c}_freq"), F.lit(0.0)))
     return out
 

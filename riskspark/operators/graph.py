@@ -3,9 +3,10 @@
 Nodes are rows of a DataFrame, edges a DataFrame (txn, entity_type,
 entity) from unpivoting entity columns; NULL entities give no edge.  Message
 passing is joins + grouped means.  Grouped means are partially aggregated
-(a hub entity never sits whole in one task); the entity table is broadcast
-only when its row count is under the broadcast limit, else AQE's skew-join
-split handles hub keys.  No degree cap: every edge is kept.
+(a hub entity never sits whole in one task); joins back to the edges are
+left to AQE, which broadcasts the entity table at runtime only when its
+materialised size is under the threshold and splits skewed hub partitions
+otherwise.  No degree cap: every edge is kept.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .features import maybe_broadcast
 from .learners import fit_standardizer, impute_median, standardize
 
 
@@ -61,7 +61,9 @@ def khop_mean(nodes: DataFrame, edges: DataFrame, id_col: str, features: Sequenc
     cur = nodes.select(F.col(id_col).alias("txn"), *features)
     for _ in range(hops):
         ent = edges.join(cur, "txn").groupBy("entity_type", "entity").agg(*[F.avg(f).alias(f) for f in features])
-        ent = maybe_broadcast(ent)
+        # Entity table size is data-dependent: AQE broadcasts it at runtime
+        # only when the materialised side is small; hub keys are split by
+        # AQE's skew-join handling otherwise.
         per_type = edges.join(ent, ["entity_type", "entity"]).groupBy("txn", "entity_type").agg(*[F.avg(f).alias(f) for f in features])
         summed = per_type.groupBy("txn").agg(*[F.sum(f).alias(f) for f in features])
         cur = cur.select("txn").join(summed, "txn", "left").fillna(0.0, list(features))
@@ -73,7 +75,7 @@ def shared_entity_reach(edges: DataFrame, id_col: str = "txn") -> DataFrame:
     share one of its entities (sum of degree - 1, with multiplicity) and the
     largest entity degree; built from a degree table, never from pairs."""
     deg = edges.groupBy("entity_type", "entity").agg(F.count(F.lit(1)).alias("degree"))
-    j = edges.join(maybe_broadcast(deg), ["entity_type", "entity"])
+    j = edges.join(deg, ["entity_type", "entity"])
     return j.groupBy(F.col("txn").alias(id_col), "entity_type").agg(
         F.sum(F.col("degree") - 1).cast("long").alias("n_shared"), F.max("degree").cast("long").alias("max_degree")
     )

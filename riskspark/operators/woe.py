@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import iv_strength, right_closed_bin
-from .features import maybe_broadcast, require_columns
+from .features import require_columns
+from .modeltables import freeze, join_small
 from .quantiles import exact_quantiles
 
 # Fixed values (must equal the reference's): bin labels for missing and
@@ -147,8 +148,8 @@ def fit_woe_bins(
         raise ValueError("Both classes (target 0 and 1) must be present to compute WoE/IV.")
     edges = fit_edges(train, numeric, n_bins, specials, edge_decimals)
     labelled = train.select(F.col(target), *_labelled(train, numeric, categorical, edges, specials))
-    table = woe_table(labelled, [*numeric, *categorical], target)
-    return WoeModel(list(numeric), list(categorical), edges, specials, table, target)
+    table, bounded = freeze(woe_table(labelled, [*numeric, *categorical], target))
+    return WoeModel(list(numeric), list(categorical), edges, specials, table, target, {"bounded": bounded})
 
 
 def _lookup(df: DataFrame, model: WoeModel, feature: str, label: Column, value_col: str, out: str, default) -> DataFrame:
@@ -160,10 +161,9 @@ def _lookup(df: DataFrame, model: WoeModel, feature: str, label: Column, value_c
             return df.withColumn(out, F.lit(default))
         m = F.create_map(*[x for p in pairs for x in (F.lit(p["bin"]), F.lit(p[out]))])
         return df.withColumn(out, F.coalesce(F.try_element_at(m, label), F.lit(default)))
-    t = maybe_broadcast(t.withColumnRenamed("bin", "__bin"))
-    return df.withColumn("__lbl", label).join(t, F.col("__lbl") == F.col("__bin"), "left").drop("__lbl", "__bin").withColumn(
-        out, F.coalesce(F.col(out), F.lit(default))
-    )
+    t = t.withColumnRenamed("bin", "__bin")
+    j = join_small(df.withColumn("__lbl", label), t, model.extra.get("bounded", False), F.col("__lbl") == F.col("__bin"))
+    return j.drop("__lbl", "__bin").withColumn(out, F.coalesce(F.col(out), F.lit(default)))
 
 
 def assign_bins(df: DataFrame, model: WoeModel, suffix: str = "_bin") -> DataFrame:
@@ -232,8 +232,8 @@ def points_table(
 
 def score(df: DataFrame, model: WoeModel, base_points: float, points: DataFrame, features: Sequence[str], out: str = "score") -> DataFrame:
     """Base points + each feature's bin points (unknown bin -> 0)."""
-    pm = WoeModel(model.numeric, model.categorical, model.edges, model.specials,
-                  points.select("feature", "bin", F.col("points").alias("woe")), model.target)
+    pts, bounded = freeze(points.select("feature", "bin", F.col("points").alias("woe")))
+    pm = WoeModel(model.numeric, model.categorical, model.edges, model.specials, pts, model.target, {"bounded": bounded})
     res = df
     total = F.lit(float(base_points))
     for f in features:
