@@ -7,10 +7,9 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import points_decision
 from ..operators import drift as dr
+from ..operators import policy as po
 from ..operators import woe as wo
-from ..operators.quantiles import quantile_columns
 from ..sources.tables import APPLICATIONS_SQL, DRIFT_FEATURES, bind_applications, bind_drift_pair, table
 from .registry import register
 
@@ -152,7 +151,7 @@ class WoeModelView(wo.WoeModel):
     """A model restricted to some features (shares the fitted state)."""
 
     def __init__(self, m, numeric, categorical):
-        super().__init__(numeric, categorical, m.edges, m.specials, m.table, m.target)
+        super().__init__(numeric, categorical, m.edges, m.specials, m.table, m.target, m.extra)
 
 
 @register(
@@ -279,7 +278,7 @@ SELECT round(quantile_cont(score, 0.6), 6) AS approve_cutoff, round(quantile_con
 
 
 def _cutoffs(scored_train):
-    return quantile_columns(scored_train, "score", [0.6, 0.2], ["approve_cutoff", "decline_cutoff"])
+    return po.cutoffs_from_scores(scored_train)
 
 
 @register("policy_points_cutoffs", CUTOFF_SQL)
@@ -310,7 +309,7 @@ def credit_scoring(spark, sf_dir):
     for f in m.features():
         margin = margin + F.lit(coefs[f]) * F.col(f + "_woe")
     s = s.withColumn("probability", 1.0 / (1.0 + F.exp(-margin)))
-    return s.withColumn("decision", points_decision("score", c["approve_cutoff"], c["decline_cutoff"]))
+    return po.decide_points(s, c["approve_cutoff"], c["decline_cutoff"])
 
 
 @register("credit_scoring_batch", BATCH_SQL)

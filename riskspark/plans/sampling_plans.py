@@ -5,8 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import probability_decision
-from ..operators import metrics as mt
+from ..operators import policy as po
 from ..operators import sampling as sa
 from ..operators import split as sp
 from ..sources.tables import CLASS_PROB_SQL, EVENT_TRANSACTIONS_SQL, SCORED_ROWS_SQL, bind_class_probabilities, bind_scored_rows, table
@@ -112,9 +111,8 @@ best AS (SELECT threshold AS review_threshold FROM f ORDER BY f1 DESC, threshold
 
 
 def policy_thresholds(spark, sf_dir):
-    """PF5: review = F1-optimal threshold, decline = review + (1 - review)/2."""
-    f = mt.f1_threshold(bind_scored_rows(spark, sf_dir))
-    return f.select(F.col("threshold").alias("review_threshold"), (F.col("threshold") + (1 - F.col("threshold")) / 2).alias("decline_threshold"))
+    """PF5 on the scored orders."""
+    return po.thresholds_from_f1(bind_scored_rows(spark, sf_dir))
 
 
 @register(
@@ -125,24 +123,8 @@ def policy_thresholds_f1(spark, sf_dir):
     return policy_thresholds(spark, sf_dir).select(r9("review_threshold"), r9("decline_threshold"))
 
 
-def validate_thresholds(review: float, decline: float) -> None:
-    """PF4: both in [0, 1] and strictly ordered."""
-    if not 0.0 <= review <= 1.0:
-        raise ValueError("review_threshold must be between 0 and 1.")
-    if not 0.0 <= decline <= 1.0:
-        raise ValueError("decline_threshold must be between 0 and 1.")
-    if review >= decline:
-        raise ValueError("review_threshold must be strictly below decline_threshold.")
-
-
-def decide_probability(df, review: float, decline: float, p: str = "score"):
-    """PF2 over a table: out-of-range probabilities are counted and raised
-    once."""
-    validate_thresholds(review, decline)
-    bad = df.agg(F.count_if((F.col(p) < 0) | (F.col(p) > 1)).alias("b")).first()["b"]
-    if bad:
-        raise ValueError(f"{bad} probabilities are not between 0 and 1.")
-    return df.withColumn("decision", probability_decision(p, review, decline))
+validate_thresholds = po.validate_thresholds
+decide_probability = po.decide_probability
 
 
 @register(
