@@ -242,14 +242,16 @@ def fit_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Model table (column, value, freq): share of rows per value, NULL
     counted as its own value.  One job for all columns (unpivot)."""
     require_columns(df, columns)
-    total = F.sum("__n").over(Window.partitionBy("column"))
     long = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
         ).alias("__kv")
     ).select("__kv.column", "__kv.value")
     counts = long.groupBy("column", "value").agg(F.count("*").alias("__n"))
-    return counts.select("column", "value", (F.col("__n") / total).alias("freq"))
+    # Totals per column: one row per column (bounded), broadcast; a window
+    # over "column" would put a high-cardinality column in one task.
+    totals = counts.groupBy("column").agg(F.sum("__n").alias("__tot"))
+    return counts.join(F.broadcast(totals), "column").select("column", "value", (F.col("__n") / F.col("__tot")).alias("freq"))
 
 
 def transform_frequencies(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:

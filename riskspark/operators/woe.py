@@ -123,12 +123,15 @@ def woe_table(labelled: DataFrame, features: Sequence[str], target: str) -> Data
     ).select("kv.feature", "kv.bin", "__y")
     g = long.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("bad"))
     g = g.withColumn("good", F.col("n") - F.col("bad"))
-    w = Window.partitionBy("feature")
-    tg, tb, nb = F.sum("good").over(w), F.sum("bad").over(w), F.count(F.lit(1)).over(w)
+    # Per-feature totals: one row per feature (bounded), broadcast; a window
+    # over "feature" would put a high-cardinality categorical in one task.
+    tot = g.groupBy("feature").agg(F.sum("good").alias("__tg"), F.sum("bad").alias("__tb"), F.count(F.lit(1)).alias("__nb"))
+    g = g.join(F.broadcast(tot), "feature")
+    tg, tb, nb = F.col("__tg"), F.col("__tb"), F.col("__nb")
     g = g.withColumn("distr_good", (F.col("good") + WOE_EPSILON) / (tg + WOE_EPSILON * nb))
     g = g.withColumn("distr_bad", (F.col("bad") + WOE_EPSILON) / (tb + WOE_EPSILON * nb))
     g = g.withColumn("woe", F.ln(F.col("distr_good") / F.col("distr_bad")))
-    return g.withColumn("iv", (F.col("distr_good") - F.col("distr_bad")) * F.col("woe"))
+    return g.withColumn("iv", (F.col("distr_good") - F.col("distr_bad")) * F.col("woe")).drop("__tg", "__tb", "__nb")
 
 
 def fit_woe_bins(
