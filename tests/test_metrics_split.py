@@ -85,3 +85,9 @@ def test_merge_left_flag(spark):
     dup = spark.createDataFrame([(1, "a"), (1, "b")], "TransactionID long, DeviceType string")
     with pytest.raises(ValueError, match="duplicate"):
         mg.merge_left_flag(tx, dup, "TransactionID")
+
+
+def test_chronological_split_ties_at_cut(spark):
+    df = spark.createDataFrame([(5, 200), (4, 100), (1, 0), (3, 100), (2, 100)], "id long, t long")
+    s = {r["id"]: r["split"] for r in sp.chronological_split(df, test_size=0.4).collect()}
+    assert [i for i in sorted(s) if s[i] == "train"] == [1, 2, 3]
