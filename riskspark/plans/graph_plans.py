@@ -73,7 +73,7 @@ def graph_nodes(spark, sf_dir):
     return n.select("id", "mask", r9("totalprice"), r9("acctbal"), "label")
 
 
-@register("graph_entities", f"{NODES_SQL} SELECT DISTINCT entity_type, entity, 1.0 AS feature FROM edges")
+@register("graph_entities", f"{NODES_SQL} SELECT DISTINCT entity_type, entity, CAST(1.0 AS DOUBLE) AS feature FROM edges")
 def graph_entities(spark, sf_dir):
     _, e = _graph_inputs(spark, sf_dir)
     return gr.entity_nodes(e)

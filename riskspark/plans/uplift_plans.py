@@ -48,7 +48,7 @@ top AS (SELECT * FROM r WHERE rn <= greatest(1, round_even({k!r} * n, 0)))"""
 @register(
     "uplift_at_k",
     f"""WITH src AS ({CAMPAIGN_SQL}), {_at_k_sql(0.3).strip()}
-        SELECT 0.3 AS k, CAST(count(*) AS BIGINT) AS n_top,
+        SELECT CAST(0.3 AS DOUBLE) AS k, CAST(count(*) AS BIGINT) AS n_top,
                round(avg(outcome) FILTER (WHERE treatment = 1) - avg(outcome) FILTER (WHERE treatment = 0), 9) AS uplift FROM top""",
 )
 def uplift_at_k(spark, sf_dir):
