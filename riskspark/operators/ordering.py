@@ -5,7 +5,7 @@ a single task.  ``prefix_sum`` instead range-buckets the rows on the full
 order key (optionally prefixed by segment columns):
 
 1. bucket edges are taken from a bounded sample of the composite key
-   (sorted by Spark, collected: at most ``64 * buckets`` rows);
+   (sorted by Spark, collected: at most 256k small tuples);
 2. each row gets its bucket from a balanced comparison tree on literals;
 3. per (bucket, segment) totals -> exclusive running offsets over buckets
    (a table with at most #segments + #buckets rows);
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import OrderSpec, bucket_index
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 4096
 SAMPLE_PER_BUCKET = 64
+SAMPLE_MAX_ROWS = 262_144  # driver receives at most this many key tuples
 
 
 def _norm_order(order) -> list[tuple[str, bool]]:
@@ -57,12 +58,12 @@ def sample_edges(df: DataFrame, order: OrderSpec, buckets: int, n: int | None =
     keys = [c for c, _ in order]
     if n is None:
         n = df.count()
-    want = SAMPLE_PER_BUCKET * buckets
+    want = min(SAMPLE_PER_BUCKET * buckets, SAMPLE_MAX_ROWS)
     frac = min(1.0, want / max(n, 1))
     sample = df.select(*keys)
     if frac < 1.0:
         sample = sample.sample(False, frac, seed)
-    rows = sample.orderBy(*_sort_cols(order)).limit(2 * want).collect()
+    rows = sample.orderBy(*_sort_cols(order)).limit(min(2 * want, SAMPLE_MAX_ROWS)).collect()
     if not rows:
         return []
     step = len(rows) / buckets
@@ -119,7 +120,7 @@ def prefix_sum(
         *seg, *[F.coalesce(F.sum(f"__t_{i}").over(wo), F.lit(0)).alias(f"__o_{i}") for i in range(len(values))]
     )
     if not partition_by:
-        # At most MAX_BUCKETS rows: bounded, safe to broadcast.
+        # At most MAX_BUCKETS (4096) rows: bounded, safe to broadcast.
         offsets = F.broadcast(offsets)
     joined = keyed.join(offsets, seg, "inner")
     w = Window.partitionBy(*seg).orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, frame_end)
