@@ -24,9 +24,12 @@ def r9(c, name=None):
     return F.round(F.col(c).cast("double"), 9).alias(name or c)
 
 
+CREDIT_TRAIN_BEFORE = "1999-01-01"  # the same instant as CREDIT_TRAIN_T
+
+
 def _apps(spark, sf_dir):
     a = bind_applications(spark, sf_dir)
-    return a, a.where(F.col("t") < CREDIT_TRAIN_T)
+    return a, bind_applications(spark, sf_dir, orders_before=CREDIT_TRAIN_BEFORE)
 
 
 def _fit(spark, sf_dir):

@@ -110,9 +110,14 @@ SELECT l_orderkey * 8 + l_linenumber AS id, CAST(l_returnflag = 'R' AS INTEGER)
 FROM lineitem"""
 
 
-def bind_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders join customer -> credit applications role."""
-    return applications_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+def bind_applications(spark: SparkSession, sf_dir: str, orders_before: str | None = None) -> DataFrame:
+    """orders join customer -> credit applications role.  ``orders_before``
+    ('YYYY-MM-DD') keeps applications dated before it, as a predicate on the
+    raw column so that it reaches the Parquet scan."""
+    o = table(spark, sf_dir, "orders")
+    if orders_before is not None:
+        o = o.where(F.col("o_orderdate") < F.lit(f"{orders_before} 00:00:00").cast(o.schema["o_orderdate"].dataType))
+    return applications_from(o, table(spark, sf_dir, "customer"))
 
 
 def applications_from(o: DataFrame, c: DataFrame) -> DataFrame:
@@ -160,9 +165,10 @@ DRIFT_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def bind_drift_pair(spark: SparkSession, sf_dir: str, split_year: int = 1999):
     """lineitem split by ship year: expected (earlier) and actual (later)."""
     li = table(spark, sf_dir, "lineitem")
-    yr = F.year("l_shipdate")
+    # A range on the raw column (not year(...)) so the filter reaches the scan.
+    cut = F.lit(f"{split_year}-01-01 00:00:00").cast(li.schema["l_shipdate"].dataType)
     cols = DRIFT_FEATURES
-    return li.where(yr < split_year).select(*cols), li.where(yr >= split_year).select(*cols)
+    return li.where(F.col("l_shipdate") < cut).select(*cols), li.where(F.col("l_shipdate") >= cut).select(*cols)
 
 
 def bind_class_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
