@@ -13,6 +13,7 @@ from ..sources.tables import applications_from, table
 from ..streaming import jobs as sj
 from . import credit_plans as cp
 from .audit_plans import SCORES_SQL
+from .features_plans import VELOCITY_SQL
 from .registry import register
 
 
@@ -92,3 +93,22 @@ def stream_psi(spark, sf_dir):
     runs = sj.stream_psi(spark, scored, train_scores.select("score"), "score", os.path.join(root, "runs"), os.path.join(root, "chk"),
                          decimals=cp.EDGE_DECIMALS)
     return runs.select("batch_id", "n_rows", F.round("psi", 9).alias("psi"), "verdict", "status")
+
+
+@register("stream_velocity_exact", VELOCITY_SQL)
+def stream_velocity_exact(spark, sf_dir):
+    """ST2 (exact): the events file stream through a per-card stateful
+    processor; each row's 1h / 1d count and sum over (t - d, t]."""
+    from ..sources.tables import epoch_seconds
+
+    root = sj.run_dir(spark, "velocity-exact")
+    ev = sj.file_stream(spark, sf_dir, "events.parquet").select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("card"), epoch_seconds("ts").alias("t"), F.col("value").alias("amount")
+    )
+    out = os.path.join(root, "out")
+    sj.stream_velocity_exact(ev, "card", "t", "id", "amount", {"1h": 3600, "1d": 86400}, out, os.path.join(root, "chk"))
+    r = spark.read.parquet(out)
+    return r.select(
+        "id", "card", "t", "card_txn_count_1h", F.round("card_amt_sum_1h", 6).alias("card_amt_sum_1h"),
+        "card_txn_count_1d", F.round("card_amt_sum_1d", 6).alias("card_amt_sum_1d"),
+    )
