@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit as au
 from ..operators import registry as rg
-from ..sources.tables import bind_scored_rows, epoch_seconds, table
+from ..sources.tables import bind_scored_rows, table
 from . import credit_plans as cp
 from .registry import register
 from .sampling_plans import F1_SQL, decide_probability, policy_thresholds

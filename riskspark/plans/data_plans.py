@@ -34,8 +34,6 @@ CONTRACTS = [
 
 
 def _contract_sql():
-    import duckdb  # noqa: F401  (documentation only; SQL text below)
-
     parts = []
     present = {
         "events": {"event_id", "ts", "user_id", "event_type", "value", "props"},

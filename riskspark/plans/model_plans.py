@@ -16,7 +16,7 @@ from ..operators import metrics as mt
 from ..operators import split as sp
 from ..operators import uplift as up
 from ..operators import woe as wo
-from ..sources.tables import bind_applications, bind_campaign, bind_event_transactions, epoch_seconds, table
+from ..sources.tables import bind_applications, bind_campaign, bind_event_transactions
 from ..session import cut_lineage
 from ..streaming.jobs import run_dir
 from . import credit_plans as cp
