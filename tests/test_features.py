@@ -100,3 +100,11 @@ def test_leakage_guard(spark):
     df = spark.createDataFrame(rows, "id long, card long, t long, amount double")
     r = fe.leakage_guard(df, 20000, lambda d: fe.add_velocity_features(d)).first()
     assert r["n_mismatch"] == 0 and r["n_checked"] > 0
+
+
+def test_velocity_unbounded_window(spark):
+    rows = [(1, "A", 0, 1.0), (2, "A", 50, None), (3, "A", 50, 2.0), (4, "B", 10, 4.0), (5, None, 20, 8.0)]
+    df = spark.createDataFrame(rows, "id long, card string, t long, amount double")
+    out = rows_by_id(fe.add_velocity_features(df, windows_seconds={"any": None}), ["card_txn_count_any", "card_amt_sum_any"])
+    assert out[1] == (1, 1.0) and out[2] == (1, 1.0) and out[3] == (2, 3.0) and out[4] == (1, 4.0)
+    assert out[5] == (None, None)

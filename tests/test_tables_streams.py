@@ -145,3 +145,16 @@ def test_streaming_exact_velocity_across_batches(spark, tmp_path):
     want = {r["id"]: (r["card_txn_count_w"], r["card_amt_sum_w"])
             for r in fe.add_velocity_features(spark.createDataFrame(rows, cols), windows_seconds={"w": 3000}).collect()}
     assert got == want
+
+
+def test_sinks(spark, tmp_path):
+    from riskspark.sources import sinks
+
+    df = spark.createDataFrame([("a", "k", "m", 1.0), ("b", "k", "m", float("nan"))], "section string, key string, metric string, value double")
+    sinks.write_table(df, str(tmp_path / "t"), partition_by=["section"])
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    sinks.write_table(df, str(tmp_path / "c"), fmt="csv")
+    assert spark.read.option("header", "true").csv(str(tmp_path / "c")).count() == 2
+    sinks.write_report(df, str(tmp_path / "r"))
+    vals = {r["section"]: r["value"] for r in spark.read.json(str(tmp_path / "r")).collect()}
+    assert vals == {"a": 1.0, "b": None}
