@@ -24,14 +24,52 @@ def score_histogram(df: DataFrame, y: str = "y", score: str = "score") -> DataFr
     )
 
 
+def score_curve(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
+    """One running sum over distinct scores, highest first: per score the
+    positives/negatives at it (pos, neg), at or above it (tp, pp, cn) and
+    the totals (P, N).  Every histogram metric derives from this table."""
+    h = score_histogram(df, y, score)
+    c = prefix_sum(h, [("score", False)], {"tp": F.col("pos"), "pp": F.col("pos") + F.col("neg"), "cn": F.col("neg")})
+    tot = h.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))  # one row, broadcast
+    return c.crossJoin(F.broadcast(tot))
+
+
+def auc_from_curve(c: DataFrame) -> DataFrame:
+    """Ties count one half: sum pos * (negatives below + neg / 2) / (P N),
+    with negatives below = N - cn."""
+    nb = F.col("N") - F.col("cn")
+    return c.agg((F.sum(F.col("pos") * (nb + 0.5 * F.col("neg"))) / (F.max("P") * F.max("N"))).alias("auc_roc"))
+
+
+def pr_from_curve(c: DataFrame) -> DataFrame:
+    return c.select(
+        F.col("score").alias("threshold"),
+        "pos",
+        "tp",
+        "pp",
+        F.when(F.col("pp") > 0, F.col("tp") / F.col("pp")).otherwise(0.0).alias("precision"),
+        F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(1.0).alias("recall"),
+        F.col("P").alias("__P"),
+    )
+
+
+def ap_from_curve(c: DataFrame) -> DataFrame:
+    pr = pr_from_curve(c)
+    return pr.agg((F.sum(F.col("pos") * F.col("precision")) / F.max("__P")).alias("average_precision"))
+
+
+def f1_from_curve(c: DataFrame) -> DataFrame:
+    pr = pr_from_curve(c)
+    p, r = F.col("precision"), F.col("recall")
+    pr = pr.withColumn("f1", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0))
+    return pr.orderBy(F.col("f1").desc(), F.col("threshold").asc()).limit(1).select("threshold", "precision", "recall", "f1")
+
+
 def auc_roc(df: DataFrame, y: str = "y", score: str = "score", validate: bool = True) -> DataFrame:
     """MT1: one row (auc_roc); ties count one half."""
     if validate:
         validate_binary(df, y)
-    h = prefix_sum(score_histogram(df, y, score), [("score", True)], {"neg_below": F.col("neg")}, inclusive=False)
-    return h.agg(
-        (F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc_roc")
-    )
+    return auc_from_curve(score_curve(df, y, score))
 
 
 def gini(df: DataFrame, y: str = "y", score: str = "score", validate: bool = True) -> DataFrame:
@@ -44,39 +82,23 @@ def pr_curve(df: DataFrame, y: str = "y", score: str = "score", validate: bool =
     predicted positive means score >= threshold."""
     if validate:
         validate_binary(df, y)
-    h = score_histogram(df, y, score)
-    c = prefix_sum(h, [("score", False)], {"tp": F.col("pos"), "pp": F.col("pos") + F.col("neg")})
-    return _with_total_pos(c)
-
-
-def _with_total_pos(c: DataFrame) -> DataFrame:
-    tot = c.agg(F.sum("pos").alias("__P"))  # one row, broadcast
-    c = c.crossJoin(F.broadcast(tot))
-    return c.select(
-        F.col("score").alias("threshold"),
-        "pos",
-        "tp",
-        "pp",
-        F.when(F.col("pp") > 0, F.col("tp") / F.col("pp")).otherwise(0.0).alias("precision"),
-        F.when(F.col("__P") > 0, F.col("tp") / F.col("__P")).otherwise(1.0).alias("recall"),
-        "__P",
-    )
+    return pr_from_curve(score_curve(df, y, score))
 
 
 def average_precision(df: DataFrame, y: str = "y", score: str = "score", validate: bool = True) -> DataFrame:
     """MT3: sum over distinct thresholds (descending) of delta-recall x
     precision (step rule, not trapezoid)."""
-    c = pr_curve(df, y, score, validate)
-    return c.agg((F.sum(F.col("pos") * F.col("precision")) / F.max("__P")).alias("average_precision"))
+    if validate:
+        validate_binary(df, y)
+    return ap_from_curve(score_curve(df, y, score))
 
 
 def f1_threshold(df: DataFrame, y: str = "y", score: str = "score", validate: bool = True) -> DataFrame:
     """MT6: threshold with the highest F1 (lowest threshold on ties; F1 = 0
     where precision + recall = 0)."""
-    c = pr_curve(df, y, score, validate)
-    p, r = F.col("precision"), F.col("recall")
-    c = c.withColumn("f1", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0))
-    return c.orderBy(F.col("f1").desc(), F.col("threshold").asc()).limit(1).select("threshold", "precision", "recall", "f1")
+    if validate:
+        validate_binary(df, y)
+    return f1_from_curve(score_curve(df, y, score))
 
 
 def ks_statistic(
@@ -107,16 +129,22 @@ def ks_statistic(
 
 
 def metric_record(df: DataFrame, y: str = "y", score: str = "score", id_col: str = "id") -> DataFrame:
-    """MT7: one row with n, positives and every metric."""
+    """MT7: one row with n, positives and every metric.  The score curve is
+    built once and checkpointed (at most one row per distinct score), so
+    AUC, Gini, AP and F1 share one histogram shuffle."""
+    from ..session import cut_lineage
+
     counts = validate_binary(df, y)
     n = counts["positives"] + counts["negatives"]
     base = df.sparkSession.createDataFrame([(n, counts["positives"])], "n long, positives long")
+    curve = cut_lineage(score_curve(df, y, score))
+    auc = auc_from_curve(curve)
     parts = [
-        auc_roc(df, y, score, False),
-        gini(df, y, score, False),
-        average_precision(df, y, score, False),
+        auc,
+        auc.select((2.0 * F.col("auc_roc") - 1.0).alias("gini")),
+        ap_from_curve(curve),
         ks_statistic(df, y, score, id_col, "row", False),
-        f1_threshold(df, y, score, False).select(
+        f1_from_curve(curve).select(
             F.col("threshold").alias("f1_threshold"), F.col("precision").alias("f1_precision"),
             F.col("recall").alias("f1_recall"), "f1",
         ),
