@@ -153,9 +153,12 @@ def add_card_usage_features(
     id_col: str = "id",
     diversity_col: str | None = "diversity",
     buckets: int | None = None,
+    n_hint: int | None = None,
 ) -> DataFrame:
     """Prior count, running average of earlier amounts, ratio to it, and
-    the number of distinct non-NULL ``diversity_col`` values seen before."""
+    the number of distinct non-NULL ``diversity_col`` values seen before.
+    ``n_hint`` (an upper bound of rows + markers) spares the row count that
+    sizes the buckets when the input is expensive to recompute."""
     require_columns(df, [card_col, time_col, amount_col, id_col])
     has_div = diversity_col is not None and diversity_col in df.columns
     keyed = df.where(F.col(card_col).isNotNull()).withColumn("__kind", F.lit(0))
@@ -186,6 +189,7 @@ def add_card_usage_features(
         },
         partition_by=[card_col],
         buckets=buckets,
+        n=n_hint,
     ).where(is_row)
     prior_count = (F.col("__n") - 1).cast("long")
     prior_sum = F.when(a.isNotNull(), F.col("__s") - a)
@@ -288,12 +292,15 @@ def engineer_features(
     category_cols: Sequence[str] = ("category",),
     windows_seconds: Mapping[str, int | None] | None = None,
 ) -> DataFrame:
+    n = df.count()  # a plain scan; bounds the rows + markers of the next step
     out = add_velocity_features(df, card_col, time_col, amount_col, id_col, windows_seconds)
-    out = add_card_usage_features(out, card_col, time_col, amount_col, id_col, diversity_col)
-    out = add_hour_of_day_aggregates(out, time_col, amount_col)
+    out = add_card_usage_features(out, card_col, time_col, amount_col, id_col, diversity_col, n_hint=2 * n)
+    # The feature steps keep every row, so the encoders are fitted on the
+    # input itself: their fit jobs never re-run the windows above.
+    out = add_hour_of_day_aggregates(out, time_col, amount_col, fit_df=df)
     cats = [c for c in category_cols if c in out.columns]
     if cats:
-        out = frequency_encode(out, cats)
+        out = frequency_encode(out, cats, fit_df=df)
     return out
 
 

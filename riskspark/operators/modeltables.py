@@ -7,18 +7,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FROZEN_ROWS_MAX = 100_000
+FROZEN_ROWS_MAX = 10_000
+
+
+def constant_table(spark, rows, schema) -> DataFrame:
+    """A small table as one JVM-side constant (``inline`` of a literal
+    array of structs): no Python worker is started when it is read."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def freeze(table: DataFrame, max_rows: int = FROZEN_ROWS_MAX) -> tuple[DataFrame, bool]:
     """(table, is_bounded): a table with at most ``max_rows`` rows becomes a
-    local relation (one job; bounded rows to the driver); a larger one is
+    constant (one job; bounded rows to the driver); a larger one is
     checkpointed into the shared checkpoint folder."""
     from ..session import cut_lineage
 
     rows = table.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return table.sparkSession.createDataFrame(rows, table.schema), True
+        return constant_table(table.sparkSession, rows, table.schema), True
     return cut_lineage(table), False
 
 
