@@ -119,8 +119,9 @@ def _bounded_velocity(df, card, t, amount, id_col, windows, chunk_seconds):
     for c in payload:
         x = x.withColumn(c, F.when(F.col("__own"), F.col(c)))
 
-    # The tie window runs first: its sort (card, chunk, t, id) also
-    # satisfies the range windows' (card, chunk, t) order - one sort total.
+    # Spark places the (card, chunk) range windows below this tie window
+    # (TransposeWindow), so one shuffle on (card, chunk) serves both; the
+    # tie window only adds a local sort by id within each second.
     w_tie = Window.partitionBy(card, "__part", t).orderBy(id_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     a = F.col(amount)
     x = x.withColumn("__ct", F.count(a).over(w_tie)).withColumn("__st", F.sum(a).over(w_tie))
