@@ -17,8 +17,9 @@ Scale notes
   marker per (card, value); the markers come from a partially aggregated
   ``groupBy`` so a hot (card, value) pair never sits in one task.
 * Fitted encoders (F7, F8) are small model tables; the hour table has at
-  most 24 rows and is broadcast; the frequency table is broadcast only when
-  its row count is under ``BROADCAST_ROWS``.
+  most 24 rows and is broadcast; the frequency table is frozen once and
+  broadcast only when its row count is proven bounded
+  (``modeltables.freeze``), otherwise joined normally.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from .ordering import prefix_sum
 
 SECONDS_PER_DAY = 86400
-BROADCAST_ROWS = 2_000_000
 # Default velocity windows (label -> seconds), as in the reference: 1 hour, 1 day.
 DEFAULT_WINDOWS = {"1h": 3600, "1d": 86400}
 
@@ -42,12 +42,6 @@ def require_columns(df: DataFrame, cols: Sequence[str], what: str = "df") -> Non
         raise ValueError(f"{what} is missing required column(s): {missing}")
 
 
-def maybe_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check (row count of the table;
-    runs a job, so use it on materialised tables)."""
-    return F.broadcast(small) if small.count() <= max_rows else small
-
-
 # ---------------------------------------------------------------------------
 # F1/F2 velocity
 # ---------------------------------------------------------------------------
