@@ -158,3 +158,11 @@ def test_sinks(spark, tmp_path):
     sinks.write_report(df, str(tmp_path / "r"))
     vals = {r["section"]: r["value"] for r in spark.read.json(str(tmp_path / "r")).collect()}
     assert vals == {"a": 1.0, "b": None}
+
+
+def test_feature_catalog_selects_numeric_and_bool(spark):
+    from riskspark.plans.graph_plans import feature_catalog_df
+
+    df = spark.createDataFrame([(1, 0, 2.5, "x", True, 7)], "id long, target int, amt double, cat string, flag boolean, n int")
+    got = [(r["position"], r["column"]) for r in feature_catalog_df(df).collect()]
+    assert got == [(2, "amt"), (4, "flag"), (5, "n")]
