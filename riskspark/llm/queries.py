@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import sharding, substrings  # noqa: F401
+from . import sharding, simhash, substrings  # noqa: F401
 from .catalog import ORACLES, QUERIES
 
 
