@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, sharding, simhash, substrings  # noqa: F401
+from . import bpe, fingerprints, sharding, simhash, substrings  # noqa: F401
 from .catalog import ORACLES, QUERIES
 
 
