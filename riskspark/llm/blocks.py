@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from riskspark.session import cut_lineage
@@ -58,18 +59,17 @@ def _packer(most: int):
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        base, made = TaskContext.get().partitionId() << 32, 0
+        place, made = TaskContext.get().partitionId(), 0
         held: list[pa.RecordBatch] = []
         size = 0
 
         def emit() -> pa.RecordBatch:
             nonlocal held, size, made
-            whole = pa.Table.from_batches(held).combine_chunks().to_batches()
-            row = pa.RecordBatch.from_arrays(
-                [pa.array([base + made], pa.int64()), pa.array([dump(whole[0])], pa.binary())], ["block", "docs"]
-            )
+            blob = dump(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            # place and content: a block that is made again has its name only if it is the same
+            name = xxhash.xxh64_intdigest(blob, seed=place << 20 | made) >> 1
             held, size, made = [], 0, made + 1
-            return row
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([blob], pa.binary())], ["block", "docs"])
 
         for batch in batches:
             for part in _cut(batch, most // 4):
@@ -85,9 +85,14 @@ def _packer(most: int):
     return pack
 
 
-def pack(df: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows of ``df`` as checkpointed blocks (block, docs); whole rows, any columns."""
-    return cut_lineage(df.mapInArrow(_packer(block_bytes), _BLOCKS))
+def pack(df: DataFrame, block_bytes: int = BLOCK_BYTES, keep: bool = True) -> DataFrame:
+    """Rows of ``df`` as blocks (block, docs); whole rows, any columns.
+
+    ``keep`` checkpoints the blocks.  Without it they are made again for each
+    use; a block's name holds a digest of its content, so a block that comes out
+    otherwise finds no replies and ``use`` fails instead of mixing them up."""
+    blocks = df.mapInArrow(_packer(block_bytes), _BLOCKS)
+    return cut_lineage(blocks) if keep else blocks
 
 
 def bucket_count(blocks: DataFrame) -> int:
@@ -128,11 +133,24 @@ def answer(asked: DataFrame, reply_to: Callable[[int, list[bytes]], list[bytes]]
     return asked.groupBy("bucket").applyInArrow(run, _REPLIES)
 
 
+def answer_from(asked: DataFrame, known: DataFrame, reply_to: Callable[[pa.Table, list[bytes]], list[bytes]]) -> DataFrame:
+    """Like ``answer``; ``reply_to`` also sees the rows of ``known`` that have
+    the same ``bucket``."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        replies = reply_to(right, left.column("payload").to_pylist())
+        return pa.table({"block": left.column("block"), "bucket": left.column("bucket"), "payload": pa.array(replies, pa.binary())})
+
+    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, _REPLIES)
+
+
 def use(blocks: DataFrame, replies: DataFrame, finish: Callable[[pa.Table, dict[int, bytes]], pa.Table], schema) -> DataFrame:
     """``finish(documents, {bucket: reply})`` for each block with its replies."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         got = dict(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist(), strict=True))
+        if not left.num_rows:
+            raise ValueError("replies to a block that was made otherwise the second time")
         return finish(load(left.column("docs")[0].as_buffer()), got)
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
@@ -158,6 +176,11 @@ def unpack_sorted(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64), at + 5 + n * width
 
 
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key, in agreement with ``bucket_edges``."""
+    return np.minimum(keys // np.uint64((1 << 64) // buckets), np.uint64(buckets - 1)).astype(np.int32) if buckets > 1 else np.zeros(len(keys), np.int32)
+
+
 def bucket_edges(sorted_keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket's slice begins and ends in ascending keys: the hash
     space is cut into ``buckets`` equal ranges."""
