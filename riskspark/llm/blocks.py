@@ -144,14 +144,28 @@ def answer_from(asked: DataFrame, known: DataFrame, reply_to: Callable[[pa.Table
     return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, _REPLIES)
 
 
+def ask_again(blocks: DataFrame, replies: DataFrame, keys_of: Callable[[pa.Table, dict[int, bytes]], pa.Table]) -> DataFrame:
+    """A second round: ``keys_of(documents, replies)`` returns the rows
+    (bucket, block, payload) to ask; the block's name is reply -1."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        got = _by_bucket(left, right) | {-1: left.column("block")[0].as_py()}
+        return keys_of(load(left.column("docs")[0].as_buffer()), got)
+
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _ASKED)
+
+
+def _by_bucket(left: pa.Table, right: pa.Table) -> dict[int, bytes]:
+    if not left.num_rows:
+        raise ValueError("replies to a block that was made otherwise the second time")
+    return dict(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist(), strict=True))
+
+
 def use(blocks: DataFrame, replies: DataFrame, finish: Callable[[pa.Table, dict[int, bytes]], pa.Table], schema) -> DataFrame:
     """``finish(documents, {bucket: reply})`` for each block with its replies."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        got = dict(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist(), strict=True))
-        if not left.num_rows:
-            raise ValueError("replies to a block that was made otherwise the second time")
-        return finish(load(left.column("docs")[0].as_buffer()), got)
+        return finish(load(left.column("docs")[0].as_buffer()), _by_bucket(left, right))
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
 
