@@ -11,10 +11,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskspark.llm import stages
 from riskspark.session import checkpoint_dir
 from riskspark.sources.tables import table
 
-STAGES: list = []
+STAGES = [
+    ("quality_classifier", stages.keep_quality),
+    ("simhash_near_dedup", stages.drop_near_copies),
+    ("substring_dedup", stages.drop_repeated_passages),
+    ("benchmark_decontamination", stages.drop_leaks),
+    ("bpe_encoding", stages.add_tokens),
+]
 
 #: The stages are a language model, fingerprints, hashes and a tokenizer, which
 #: SQL cannot express; tests/llm checks each stage against brute force.

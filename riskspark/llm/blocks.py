@@ -170,6 +170,15 @@ def use(blocks: DataFrame, replies: DataFrame, finish: Callable[[pa.Table, dict[
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
 
 
+def make_room(df: DataFrame, made: list[str], *needed: str) -> DataFrame:
+    """``df`` without the columns that the operator makes itself: an extra
+    column of that name is replaced.  The operator's own inputs may not be."""
+    taken = {m.lower() for m in made}
+    if bad := [c for c in needed if c.lower() in taken]:
+        raise ValueError(f"input columns {bad} have names of output columns")
+    return df.drop(*[c for c in df.columns if c.lower() in taken])
+
+
 # -- sorted 64-bit keys in a payload ------------------------------------------
 
 

@@ -16,8 +16,8 @@ token strings with one space, as that library does for a file without decoder.
 Defined cases: NULL and empty texts have no ids and decode to ''; very long
 texts and words are encoded whole (a fragment's merges use a heap, so time is
 n log n); repeated rows are encoded alike; an empty table gives an empty
-result.  Extra columns are carried along; a clash with an output column raises
-a ValueError.
+result.  Extra columns are carried along, but one named like an output column
+(ids, decoded) is replaced.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from riskspark.sources.tables import table
 
+from .blocks import make_room
 from .catalog import query
 
 #: Entries in each memo of a task; a full memo is emptied.
@@ -217,11 +218,6 @@ def _spec(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast((hashlib.sha256(text.encode()).hexdigest(), text))
 
 
-def _free(df: DataFrame, *names: str) -> None:
-    if clash := set(df.columns) & set(names):
-        raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
-
-
 def _map(df: DataFrame, fields: list[T.StructField], make):
     def run(batches):
         for batch in batches:
@@ -240,21 +236,21 @@ DECODED = T.StructField("decoded", T.StringType())
 
 def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``df`` with ids array<int> of the vocabulary file at ``path``."""
-    _free(df, "ids")
+    df = make_room(df, ["ids"], text_col)
     spec = _spec(df.sparkSession, path)
     return _map(df, [IDS], lambda b: [pa.array([_codec(spec).encode(t.as_py()) for t in b.column(text_col)], pa.list_(pa.int32()))])
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """``df`` with decoded, the text of ``ids_col``; NULL ids decode to ''."""
-    _free(df, "decoded")
+    df = make_room(df, ["decoded"], ids_col)
     spec = _spec(df.sparkSession, path)
     return _map(df, [DECODED], lambda b: [pa.array([_codec(spec).decode(i.as_py() or []) for i in b.column(ids_col)], pa.string())])
 
 
 def encode_decode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``df`` with ids and decoded in one pass."""
-    _free(df, "ids", "decoded")
+    df = make_room(df, ["ids", "decoded"], text_col)
     spec = _spec(df.sparkSession, path)
 
     def make(batch):

@@ -20,8 +20,8 @@ broadcast (16 MB).
 Defined cases: a NULL text or one without a letter is ``und`` with score 0 and
 no languages, and so is every text when nothing could be learned; very long
 texts are counted whole; repeated rows are predicted alike; an empty table
-gives an empty result.  Extra columns are carried along; a clash with an
-output column raises a ValueError.
+gives an empty result.  Extra columns are carried along, but one named like
+an output column (lang_pred, score, languages) is replaced.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from riskspark.sources.tables import table
 
+from .blocks import make_room
 from .catalog import query
 
 ORDER = 3
@@ -234,8 +235,7 @@ def infer(model: LanguageModel, texts: list[str]) -> list[tuple[str, float, list
 
 def identify(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """``df`` with lang_pred, score and languages; only ``text_col`` is looked at."""
-    if clash := set(df.columns) & {f.name for f in OUTPUT}:
-        raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
+    df = make_room(df, [f.name for f in OUTPUT], text_col)
     shared = df.sparkSession.sparkContext.broadcast((model.languages, model.probabilities))
 
     def run(batches):

@@ -30,7 +30,7 @@ grows with the corpus.  Words are told apart by 64-bit hashes.
 Defined cases: NULL and empty texts are one end token; texts are scored whole;
 repeated rows count and score each; without training rows N = V = 0 and every
 probability is 1; an empty table gives an empty result.  Extra columns are
-carried along; a clash with an output column raises a ValueError.
+carried along, but one named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -301,8 +301,7 @@ def _search(_: int, payloads: list[bytes]) -> list[bytes]:
 def score_texts(df: DataFrame, train_col: str, text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """``df`` with n_tokens, n_known, train_tokens, base_score and score; the
     model learns from the rows whose ``train_col`` is true."""
-    if clash := set(df.columns) & {f.name for f in OUTPUT}:
-        raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
+    df = B.make_room(df, [f.name for f in OUTPUT], text_col, train_col)
     buckets = buckets or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = B.pack(df, keep=False)
     ranked = cut_lineage(B.answer(B.ask(packed, _ask_words(text_col, train_col, buckets)), _rank_words))

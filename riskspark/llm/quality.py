@@ -24,8 +24,8 @@ Thresholds cover every trusted document, scores every document.
 Defined cases: NULL or blank texts have no perplexity and are not kept; very
 long texts are scored whole; repeated rows are scored alike; without any
 trusted document there is no threshold and everything with a text is kept; an
-empty table gives an empty result.  Extra columns are carried along; a clash
-with an output column raises a ValueError.
+empty table gives an empty result.  Extra columns are carried along, but one
+named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -225,8 +225,7 @@ def _backed_off(found: _Spelled, keys: np.ndarray, values: np.ndarray, floor: fl
 
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` with n_predicted, log_prob and perplexity."""
-    if clash := set(df.columns) & {f.name for f in SCORED}:
-        raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
+    df = B.make_room(df, [f.name for f in SCORED], text_col)
     buckets, floor, floor_bow = model.buckets, model.floor, model.floor_bow
     packed = B.pack(df, keep=False)
 

@@ -201,15 +201,16 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None =
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
-    """``df`` (an id, a fingerprint, more) with component_id: the smallest id
-    that can be reached over links of at most ``max_bits`` differing bits."""
+    """``df`` (an id, a fingerprint, more) with component_id, the smallest id
+    that can be reached over links of at most ``max_bits`` differing bits, and
+    component_root, the component's smallest fingerprint."""
     own = df.groupBy("fingerprint").agg(F.min(id_col).alias("_least"))
     roots = components(near_links(own.select("fingerprint"), max_bits))
     rooted = own.join(roots, own["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("_root")
     )
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    by_print = rooted.join(named, "_root").select("fingerprint", "component_id")
+    by_print = rooted.join(named, "_root").select("fingerprint", "component_id", F.col("_root").alias("component_root"))
     return df.join(by_print, "fingerprint")
 
 
@@ -219,6 +220,20 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return near_groups(prints, id_col, max_bits)
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each near-duplicate group, all columns: the row with the
+    smallest id (NULL ids last), then the smallest text hash.  Rows are found
+    again by id and text hash, so nothing depends on how the table is read."""
+    own = F.xxhash64(text_col)
+    keyed = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), own.alias("_hash"))
+    prints = cut_lineage(add_fingerprint(keyed, "_text", shingle).select("_id", "_hash", "fingerprint"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash")).alias("first")
+    chosen = near_groups(prints, "_id", max_bits).groupBy("component_root").agg(first).select("first._id", "first._hash")
+    tagged = df.withColumn("_own_hash", own)
+    same = (tagged["_own_hash"] == chosen["_hash"]) & tagged[id_col].eqNullSafe(chosen["_id"])
+    return tagged.join(chosen, same, "left_semi").dropDuplicates([id_col, "_own_hash"]).drop("_own_hash")
+
+
 @query("op9_simhash_near_dedup")
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, 3 bits."""

@@ -16,8 +16,8 @@ the corpus that is n^2 / 2^81 expected errors, 3e-5 for 8 billion windows.
 Defined cases: NULL and empty texts have no words, kept text '' and no spans;
 documents shorter than a window lose nothing; equal rows are separate
 documents and remove each other's windows; an empty table gives an empty
-result.  Extra columns are carried along; a clash with an output column
-(kept_text, n_words, n_removed, removed_spans) raises a ValueError.
+result.  Extra columns are carried along, but one named like an output column
+(kept_text, n_words, n_removed, removed_spans) is replaced.
 """
 
 from __future__ import annotations
@@ -143,8 +143,7 @@ def _finisher(text_col: str, length: int, buckets: int):
 def remove_repeated_windows(df: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``df`` with kept_text (kept words joined by one space), n_words,
     n_removed and removed_spans (word positions [start, end), maximal)."""
-    if clash := set(df.columns) & set(OUTPUT.names):
-        raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
+    df = B.make_room(df, OUTPUT.names, text_col)
     packed = B.pack(df)
     buckets = B.bucket_count(packed)
     replies = B.answer(B.ask(packed, _asker(text_col, window, buckets)), _elsewhere)
