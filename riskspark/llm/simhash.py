@@ -6,7 +6,7 @@ agree on at least ``k - d`` of ``k`` bit blocks; for d = 3 and k = 6 each
 fingerprint is filed under its 20 choices of three blocks (about 32 bits), and
 close pairs share a file.  Fingerprints in one file are compared in numpy
 inside a task, and only a spanning star of each linked group leaves the task,
-never its pairs.  A file with more than ``DENSE`` fingerprints is filed again
+never its pairs.  A file with more than ``dense`` fingerprints is filed again
 by three of the six halves of its free blocks: then at most 16 bits are free,
 which bounds a file by 65,536 distinct fingerprints, and links are found by
 flipping up to ``d`` free bits.
@@ -96,11 +96,11 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _linked(prints: np.ndarray, free: int, most: int) -> np.ndarray:
+def _linked(prints: np.ndarray, free: int, most: int, dense: int = DENSE) -> np.ndarray:
     """Component label of each distinct fingerprint of one file."""
     n = len(prints)
     a_all, b_all = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    if n <= DENSE:
+    if n <= dense:
         for at in range(0, n, _PAIR_ROWS):
             rows = prints[at : at + _PAIR_ROWS, None] ^ prints[None, at:]
             a, b = np.nonzero(popcount(rows) <= most)
@@ -124,7 +124,7 @@ def _linked(prints: np.ndarray, free: int, most: int) -> np.ndarray:
     return star_edges(n, np.concatenate(a_all), np.concatenate(b_all))
 
 
-def _stars(most: int):
+def _stars(most: int, dense: int):
     """Rows sorted by (mask, filed, fingerprint) -> spanning links of each file."""
 
     def links(mask, filed, prints):
@@ -140,7 +140,7 @@ def _stars(most: int):
         out_b.append(prints[pairs[close] + 1])
         for i, j in zip(begins[sizes > 2].tolist(), ends[sizes > 2].tolist(), strict=True):
             own = prints[i:j]
-            label = _linked(own, ~int(mask[i]) & ((1 << 64) - 1), most)
+            label = _linked(own, ~int(mask[i]) & ((1 << 64) - 1), most, dense)
             moved = np.flatnonzero(label != np.arange(len(own)))
             out_a.append(own[moved])
             out_b.append(own[label[moved]])
@@ -167,7 +167,7 @@ def _stars(most: int):
     return run
 
 
-def near_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None) -> DataFrame:
+def near_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None, dense: int = DENSE) -> DataFrame:
     """Spanning links (a, b) of all pairs of distinct ``fingerprint`` values
     that differ in at most ``max_bits`` bits."""
     blocks = blocks or 2 * max_bits
@@ -176,7 +176,7 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None =
     files = prints.select("fingerprint", F.explode(F.array(*[F.lit(_signed(m)) for m in first])).alias("mask")).withColumn(
         "filed", F.col("fingerprint").bitwiseAND(F.col("mask"))
     )
-    hot = files.groupBy("mask", "filed").agg(F.count("*").alias("n")).filter(F.col("n") > DENSE).drop("n").withColumn("hot", F.lit(True))
+    hot = files.groupBy("mask", "filed").agg(F.count("*").alias("n")).filter(F.col("n") > dense).drop("n").withColumn("hot", F.lit(True))
     marked = files.join(hot, ["mask", "filed"], "left")
     finer = F.create_map(
         *[
@@ -197,7 +197,7 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None =
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     filed = marked.filter("hot is null").select("mask", "filed", "fingerprint").unionByName(again.select("mask", "filed", "fingerprint"))
     dealt = filed.repartition(parts, "mask", "filed").sortWithinPartitions("mask", "filed", "fingerprint")
-    return dealt.mapInArrow(_stars(max_bits), "a long, b long")
+    return dealt.mapInArrow(_stars(max_bits, dense), "a long, b long")
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
