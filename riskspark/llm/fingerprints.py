@@ -116,7 +116,7 @@ def _dealt_in_order(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("double"), F.lit(float("-inf"))).alias("place")
     )
     edges = rows.filter("id is not null").approxQuantile("place", [i / slices for i in range(1, slices)], max(0.1 / slices, 1e-4))
-    splits = [float("-inf"), *sorted(set(edges)), float("inf")]
+    splits = [float("-inf"), *sorted({0.0, *edges}), float("inf")]  # at least one edge
     cut = Bucketizer(splits=splits, inputCol="place", outputCol="slice").transform(rows).drop("place")
     cut = cut.select(F.col("slice").cast("int").alias("slice"), "id", "text", F.xxhash64("text").alias("tie"))
     # one row per slice: bounded by the shuffle partitions, so are the window and the broadcast

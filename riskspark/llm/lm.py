@@ -168,9 +168,10 @@ class _Bigrams:
         pieces = np.minimum(shards, 1 + (v.count * 4 * shards) // max(total, 1))
         shard = _shard_of(context, mix(successor.astype(np.uint64)) % pieces[first].astype(np.uint64), shards)
         self.order = np.argsort(shard, kind="stable")
-        split = np.unique(first[pieces[first] > 1])
-        extra = np.repeat(split, pieces[split])
-        piece = np.arange(len(extra)) - np.repeat(np.cumsum(pieces[split]) - pieces[split], pieces[split])
+        # the mass of every known context is needed, also before unknown words, from all its pieces
+        own = np.unique(t.before[v.id[t.before] >= 0])
+        extra = np.repeat(own, pieces[own])
+        piece = np.arange(len(extra)) - np.repeat(np.cumsum(pieces[own]) - pieces[own], pieces[own])
         extra_shard = _shard_of(v.id[extra], piece.astype(np.uint64), shards)
         entries = np.unique(np.concatenate([shard * size + first, extra_shard * size + extra])) if size else np.empty(0, np.int64)
         self.entry_shard, self.entry = np.divmod(entries, max(size, 1))
