@@ -39,7 +39,7 @@ DEFAULT_WINDOWS = {"1h": 3600, "1d": 86400}
 def require_columns(df: DataFrame, cols: Sequence[str], what: str = "df") -> None:
     missing = sorted(set(cols) - set(df.columns))
     if missing:
-        raise ValueError(f"{what} is missing required column(s): {missing}")
+        raise ValueError(f"{what} lacks columns {missing}")
 
 
 # ---------------------------------------------------------------------------

@@ -30,7 +30,7 @@ def merge_left_flag(
     for side, name in ((left, "left"), (right, "right")):
         missing = sorted(set(keys) - set(side.columns))
         if missing:
-            raise ValueError(f"{name} is missing the key column(s) {missing}.")
+            raise ValueError(f"no join: the {name} side lacks {missing}")
     if validate:
         enforce(contract_report(left, "left", keys, keys))
         enforce(contract_report(right, "right", keys, keys))
@@ -42,7 +42,7 @@ def merge_left_flag(
 def match_rate(merged: DataFrame, flag: str = "has_match") -> DataFrame:
     """Coverage with the counts behind it."""
     if flag not in merged.columns:
-        raise ValueError(f"merged has no {flag} column.")
+        raise ValueError(f"no match rate without the flag {flag!r}")
     return merged.agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"),
         F.count_if(F.col(flag)).cast("long").alias("n_matched"),
@@ -71,4 +71,4 @@ def split_overlap(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
 def assert_no_overlap(train: DataFrame, test: DataFrame, key: str) -> None:
     r = split_overlap(train, test, key).first()
     if r["n_shared"]:
-        raise ValueError(f"{r['n_shared']} {key} value(s) appear in both train and test.")
+        raise ValueError(f"the sides of the split share {r['n_shared']} of {r['n_test']} test keys ({key})")

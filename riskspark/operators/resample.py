@@ -112,7 +112,7 @@ def smote(
     spark = minority.sparkSession
     m = minority.count()
     if m < 2:
-        raise ValueError("SMOTE needs at least two minority rows.")
+        raise ValueError("no neighbour to interpolate with: fewer than two minority rows")
     k_eff = min(k, m - 1)
     if knn is None:
         knn = exact_knn(minority, k_eff, id_col, vec)

@@ -148,7 +148,7 @@ def fit_woe_bins(
     specials = {k: list(v) for k, v in (special_values or {}).items()}
     r = train.agg(F.count_if(F.col(target) == 1).alias("b"), F.count_if(F.col(target) == 0).alias("g")).first()
     if not r["b"] or not r["g"]:
-        raise ValueError("Both classes (target 0 and 1) must be present to compute WoE/IV.")
+        raise ValueError("weights of evidence compare target 1 with target 0; one of them has no rows")
     edges = fit_edges(train, numeric, n_bins, specials, edge_decimals)
     labelled = train.select(F.col(target), *_labelled(train, numeric, categorical, edges, specials))
     table, bounded = freeze(woe_table(labelled, [*numeric, *categorical], target))
@@ -220,9 +220,9 @@ def points_table(
     offset = base - factor ln(odds), points = -factor coef woe,
     base_points = offset - factor intercept."""
     if pdo <= 0:
-        raise ValueError("pdo must be positive.")
+        raise ValueError(f"points to double the odds: {pdo} is not above 0")
     if base_odds <= 0:
-        raise ValueError("base_odds must be positive.")
+        raise ValueError(f"base odds: {base_odds} is not above 0")
     factor = pdo / math.log(2)
     offset = base_score - factor * math.log(base_odds)
     base_points = offset - factor * float(intercept)

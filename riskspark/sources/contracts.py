@@ -46,11 +46,9 @@ def enforce(report: DataFrame) -> None:
     """Raise on the (single-row, driver-side) report."""
     r = report.first()
     if r["n_missing_columns"]:
-        raise ValueError(f"{r['table_name']} is missing required column(s): {r['missing_columns'].split(',')}")
+        raise ValueError(f"table {r['table_name']} lacks columns {r['missing_columns']}")
     if r["n_duplicate_rows"]:
-        raise ValueError(
-            f"{r['table_name']} has {r['n_duplicate_rows']} duplicate key value(s); the key is expected to be unique."
-        )
+        raise ValueError(f"table {r['table_name']}: {r['n_duplicate_rows']} duplicate rows under its key")
 
 
 def load_checked(
@@ -73,5 +71,5 @@ def ordered_projection(df: DataFrame, ordered: Sequence[str], key: str | None =
     scan."""
     missing = sorted(set(ordered) - set(df.columns))
     if missing:
-        raise ValueError(f"missing required column(s): {missing}")
+        raise ValueError(f"the projection lacks columns {missing}")
     return df.select(*ordered)

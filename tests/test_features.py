@@ -11,25 +11,30 @@ def rows_by_id(df, cols):
     return {r["id"]: tuple(r[c] for c in cols) for r in df.collect()}
 
 
-def test_velocity_hand_worked(spark):
-    df = spark.createDataFrame(
-        [(1, "A", 0, 10.0), (2, "A", 1800, 20.0), (3, "A", 7200, 30.0), (4, "B", 100, 5.0)], "id long, card string, t long, amount double"
-    )
-    out = rows_by_id(fe.add_velocity_features(df), ["card_txn_count_1h", "card_amt_sum_1h", "card_txn_count_1d", "card_amt_sum_1d"])
-    assert out[1] == (1, 10.0, 1, 10.0)
-    assert out[2] == (2, 30.0, 2, 30.0)
-    assert out[3] == (1, 30.0, 3, 60.0)
-    assert out[4] == (1, 5.0, 1, 5.0)
-
-
-def test_velocity_ties_and_nulls(spark):
-    df = spark.createDataFrame(
-        [(1, "A", 0, 1.0), (2, "A", 3600, 2.0), (3, "A", 3600, 4.0), (4, "A", 3601, 8.0), (5, "A", 7200, None), (6, None, 5, 3.0)],
-        "id long, card string, t long, amount double",
-    )
-    out = rows_by_id(fe.add_velocity_features(df, windows_seconds={"1h": 3600}, chunk_seconds=3600), ["card_txn_count_1h", "card_amt_sum_1h"])
-    assert [out[i] for i in range(1, 6)] == [(1, 1.0), (1, 2.0), (2, 6.0), (3, 14.0), (1, 8.0)]
-    assert out[6] == (None, None)  # NULL card -> NULL features
+def plain_velocity(rows, window):
+    """(count, sum) of the card's rows in (t - window, t], in (t, id) order."""
+    out = {}
+    for i, card, t, _ in rows:
+        seen = [r for r in rows if r[1] == card and t - window < r[2] and (r[2], r[0]) <= (t, i)]
+        out[i] = (len(seen), sum(r[3] for r in seen if r[3] is not None)) if card is not None else (None, None)
+    return out
+
+
+def test_velocity_equals_brute_force(spark):
+    rows = [(i, "pqr"[i * i % 3], (i * 1709) % 90_000 // 300 * 300, float(i % 11)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, card string, t long, amount double")
+    out = fe.add_velocity_features(df)
+    for label, seconds in fe.DEFAULT_WINDOWS.items():
+        assert rows_by_id(out, [f"card_txn_count_{label}", f"card_amt_sum_{label}"]) == plain_velocity(rows, seconds)
+
+
+def test_velocity_window_edge_ties_and_nulls(spark):
+    rows = [(1, "k", 50, 3.0), (2, "k", 650, 5.0), (3, "k", 650, 7.0), (4, "k", 651, 11.0), (5, "k", 1250, None), (6, None, 9, 2.0)]
+    df = spark.createDataFrame(rows, "id long, card string, t long, amount double")
+    got = rows_by_id(fe.add_velocity_features(df, windows_seconds={"w": 600}, chunk_seconds=600), ["card_txn_count_w", "card_amt_sum_w"])
+    # a transaction with a NULL amount is not counted
+    want = plain_velocity([r for r in rows if r[3] is not None], 600)
+    assert all(got[i] == want[i] for i in (1, 2, 3, 4)) and got[5] == (1, 11.0) and got[6] == (None, None)
 
 
 def test_velocity_chunks_do_not_change_results(spark):
@@ -44,30 +49,34 @@ def test_velocity_chunks_do_not_change_results(spark):
         assert a[i][0] == len(exp)
 
 
-def test_card_usage_hand_worked(spark):
-    df = spark.createDataFrame(
-        [(1, "A", 0, 10.0, 100), (2, "A", 1800, 20.0, 100), (3, "A", 7200, 30.0, 200), (4, "B", 100, 5.0, 300)],
-        "id long, card string, t long, amount double, diversity int",
-    )
-    out = rows_by_id(
-        fe.add_card_usage_features(df, buckets=3),
-        ["card_prior_txn_count", "card_running_avg_amt", "card_amt_ratio_to_own_avg", "card_prior_distinct_diversity_count"],
-    )
-    assert out[1] == (0, None, None, 0)
-    assert out[2] == (1, 10.0, 2.0, 1)
-    assert out[3] == (2, 15.0, 2.0, 1)
-    assert out[4] == (0, None, None, 0)
+def test_card_usage_equals_brute_force(spark):
+    rows = [(i, "uv"[i % 5 // 3], (i * 37) % 60 * 10, 1.0 + i % 4, i * 7 % 6) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, card string, t long, amount double, diversity int")
+    cols = ["card_prior_txn_count", "card_running_avg_amt", "card_amt_ratio_to_own_avg", "card_prior_distinct_diversity_count"]
+    out = rows_by_id(fe.add_card_usage_features(df, buckets=3), cols)
+    for i, card, t, amount, _ in rows:
+        before = [r for r in rows if r[1] == card and (r[2], r[0]) < (t, i)]
+        n, avg, ratio, kinds = out[i]
+        assert (n, kinds) == (len(before), len({r[4] for r in before}))
+        if before:
+            mean = sum(r[3] for r in before) / len(before)
+            assert math.isclose(avg, mean) and math.isclose(ratio, amount / mean)
+        else:
+            assert avg is None and ratio is None
 
 
 def test_hour_of_day_and_frequency(spark):
-    df = spark.createDataFrame([(1, 0, 10.0), (2, 7200, 20.0), (3, 7210, 30.0), (4, 18000, 40.0)], "id long, t long, amount double")
+    rows = [(i, (i * 5077) % 200_000, float(i % 9)) for i in range(70)]
+    df = spark.createDataFrame(rows, "id long, t long, amount double")
     out = rows_by_id(fe.add_hour_of_day_aggregates(df), ["hour_of_day_avg_amt", "hour_of_day_txn_count"])
-    assert [out[i] for i in range(1, 5)] == [(10.0, 1), (25.0, 2), (25.0, 2), (40.0, 1)]
-    f = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "id long, c string")
+    for i, t, _ in rows:
+        same = [a for _, u, a in rows if u // 3600 % 24 == t // 3600 % 24]
+        assert math.isclose(out[i][0], sum(same) / len(same)) and out[i][1] == len(same)
+    f = spark.createDataFrame([(i, [None, "m", "m", "n", "m"][i % 5]) for i in range(10)], "id long, c string")
     enc = rows_by_id(fe.frequency_encode(f, ["c"]), ["c_freq"])
-    assert math.isclose(enc[1][0], 2 / 3) and math.isclose(enc[2][0], 1 / 3)
-    unseen = spark.createDataFrame([(9, "zzz")], "id long, c string")
-    assert rows_by_id(fe.frequency_encode(unseen, ["c"], fit_df=f), ["c_freq"])[9] == (0.0,)
+    assert all(math.isclose(enc[i][0], [0.2, 0.6, 0.6, 0.2, 0.6][i % 5]) for i in range(10))
+    other = spark.createDataFrame([(99, "never seen")], "id long, c string")
+    assert rows_by_id(fe.frequency_encode(other, ["c"], fit_df=f), ["c_freq"])[99] == (0.0,)
 
 
 def test_prefix_sum_buckets_equal_plain_window(spark):

@@ -14,22 +14,35 @@ def scored(spark, ys, ps):
     return spark.createDataFrame([(i, y, p) for i, (y, p) in enumerate(zip(ys, ps))], "id long, y int, score double")
 
 
-def test_ks_auc_gini(spark):
-    df = scored(spark, [1, 0, 1, 0], [0.9, 0.8, 0.6, 0.2])
+LABELS = [int((i * 7 + 3) % 11 < 4) for i in range(33)]
+SCORES = [((i * 13) % 17) / 17 for i in range(33)]  # with ties
+
+
+def test_ks_auc_gini_equal_their_definitions(spark):
+    df = scored(spark, LABELS, SCORES)
+    ones, zeros = ([s for s, y in zip(SCORES, LABELS) if y == v] for v in (1, 0))
+    pairs = [(a > b) + (a == b) / 2 for a in ones for b in zeros]
+    auc = sum(pairs) / len(pairs)
+    assert math.isclose(mt.auc_roc(df).first()[0], auc) and math.isclose(mt.gini(df).first()[0], 2 * auc - 1)
+    gap = {c: abs(sum(s >= c for s in ones) / len(ones) - sum(s >= c for s in zeros) / len(zeros)) for c in SCORES}
     k = mt.ks_statistic(df).first()
-    assert math.isclose(k["ks_statistic"], 0.5) and k["ks_threshold"] == 0.9
-    assert math.isclose(mt.auc_roc(df).first()[0], 0.75)
-    assert math.isclose(mt.gini(df).first()[0], 0.5)
-    tied = scored(spark, [1, 0, 1, 0], [0.5] * 4)
-    assert math.isclose(mt.gini(tied).first()[0], 0.0)
+    assert math.isclose(k["ks_statistic"], max(gap.values())) and math.isclose(gap[k["ks_threshold"]], max(gap.values()))
+    flat = scored(spark, LABELS, [0.3] * len(LABELS))
+    assert math.isclose(mt.gini(flat).first()[0], 0.0, abs_tol=1e-12)
 
 
-def test_f1_threshold_and_ap(spark):
-    df = scored(spark, [0, 0, 1, 1], [0.1, 0.4, 0.35, 0.8])
-    r = mt.f1_threshold(df).first()
-    assert r["threshold"] == 0.35 and math.isclose(r["precision"], 2 / 3) and r["recall"] == 1.0 and math.isclose(r["f1"], 0.8)
-    ap = mt.average_precision(df).first()[0]
-    assert math.isclose(ap, 0.5 * 1.0 + 0.5 * (2 / 3))  # sklearn step rule
+def test_f1_threshold_and_average_precision(spark):
+    df = scored(spark, LABELS, SCORES)
+    points = {}
+    for c in sorted(set(SCORES)):
+        hit, taken = sum(y for s, y in zip(SCORES, LABELS) if s >= c), sum(s >= c for s in SCORES)
+        points[c] = (hit / taken, hit / sum(LABELS))
+    f1 = {c: 2 * p * r / (p + r) if p + r else 0.0 for c, (p, r) in points.items()}
+    got = mt.f1_threshold(df).first()
+    assert math.isclose(got["f1"], max(f1.values())) and math.isclose(f1[got["threshold"]], max(f1.values()))
+    steps = [(r, p) for c, (p, r) in sorted(points.items(), reverse=True)]
+    ap = sum((r - r0) * p for (r0, _), (r, p) in zip([(0, 0), *steps], steps))
+    assert math.isclose(mt.average_precision(df).first()[0], ap)
 
 
 def test_metrics_validate_binary(spark):
@@ -38,22 +51,26 @@ def test_metrics_validate_binary(spark):
 
 
 def test_label_rate_missing_time_patterns(spark):
-    df = spark.createDataFrame([(1, 0, 0, "x"), (2, 86400, 1, None), (3, 97200, 0, None), (4, 97200, 1, None)], "id long, t long, label int, b string")
+    rows = [(i, 500 + i * 9_000, int(i % 4 == 1), "v" if i % 3 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, t long, label int, b string")
     r = pr.label_rate(df).first()
-    assert (r["n_total"], r["n_positive"], r["n_negative"], r["rate"]) == (4, 2, 2, 0.5)
+    assert (r["n_total"], r["n_positive"], r["n_negative"], r["rate"]) == (40, 10, 30, 0.25)
     miss = {x["column"]: x["missing_rate"] for x in pr.missing_rates(df).collect()}
-    assert miss["b"] == 0.75 and miss["id"] == 0.0
-    days = {x["day"]: (x["n_transactions"], x["rate"]) for x in pr.rate_by_elapsed_day(df).collect()}
-    assert days[0] == (1, 0.0) and days[1][0] == 3 and math.isclose(days[1][1], 2 / 3)
-    hours = {x["hour"]: x["n_transactions"] for x in pr.rate_by_hour(df).collect()}
-    assert hours == {0: 2, 3: 2}
+    assert math.isclose(miss["b"], 14 / 40) and miss["id"] == 0.0
+    days, hours = {}, {}
+    for _, t, y, _ in rows:
+        days.setdefault((t - 500) // 86_400, []).append(y)
+        hours[t // 3600 % 24] = hours.get(t // 3600 % 24, 0) + 1
+    got = {x["day"]: (x["n_transactions"], x["rate"]) for x in pr.rate_by_elapsed_day(df).collect()}
+    assert {d: (len(ys), sum(ys) / len(ys)) for d, ys in days.items()} == got
+    assert {x["hour"]: x["n_transactions"] for x in pr.rate_by_hour(df).collect()} == hours
 
 
 def test_chronological_split(spark):
-    df = spark.createDataFrame([(i, i * 100) for i in range(5)], "id long, t long")
-    s = {r["t"]: r["split"] for r in sp.chronological_split(df, test_size=0.4).collect()}
-    assert [t for t, v in sorted(s.items()) if v == "train"] == [0, 100, 200]
-    assert round(0.8 * 10) == 8 and round(2.5) == 2  # half to even, as the split index
+    rows = [(i, (i * 59) % 83) for i in range(83)]
+    df = spark.createDataFrame(rows, "id long, t long")
+    train = {r["id"] for r in sp.chronological_split(df, test_size=0.3).collect() if r["split"] == "train"}
+    assert train == {i for i, t in rows if t < round(83 * 0.7)}
 
 
 def test_stratified_split_exact_share(spark):
@@ -63,8 +80,8 @@ def test_stratified_split_exact_share(spark):
 
 
 def test_right_closed_bins(spark):
-    df = spark.createDataFrame([(3.25,), (3.2500001,), (99.0,), (-5.0,)], "x double")
-    got = [r[0] for r in df.select(right_closed_bin("x", [3.25, 5.5])).collect()]
+    df = spark.createDataFrame([(1.5,), (1.5000001,), (40.0,), (-2.0,)], "x double")
+    got = [r[0] for r in df.select(right_closed_bin("x", [1.5, 8.0])).collect()]
     assert got == [0, 1, 2, 0]
 
 
@@ -76,15 +93,13 @@ def test_bands(spark):
 
 
 def test_merge_left_flag(spark):
-    tx = spark.createDataFrame([(i, float(i)) for i in range(1, 5)], "TransactionID long, amt double")
-    ident = spark.createDataFrame([(1, None), (3, "d")], "TransactionID long, DeviceType string")
-    m = mg.merge_left_flag(tx, ident, "TransactionID", "has_identity_match")
-    flags = {r["TransactionID"]: r["has_identity_match"] for r in m.collect()}
-    assert flags == {1: True, 2: False, 3: True, 4: False}
-    assert mg.match_rate(m, "has_identity_match").first()["match_rate"] == 0.5
-    dup = spark.createDataFrame([(1, "a"), (1, "b")], "TransactionID long, DeviceType string")
+    orders = spark.createDataFrame([(i, i * 0.5) for i in range(9)], "key long, amt double")
+    side = spark.createDataFrame([(i, "x") for i in (2, 3, 5, 7, 30)], "key long, extra string")
+    m = mg.merge_left_flag(orders, side, "key", "found")
+    assert {r["key"] for r in m.collect() if r["found"]} == {2, 3, 5, 7} and m.count() == 9
+    assert math.isclose(mg.match_rate(m, "found").first()["match_rate"], 4 / 9)
     with pytest.raises(ValueError, match="duplicate"):
-        mg.merge_left_flag(tx, dup, "TransactionID")
+        mg.merge_left_flag(orders, side.unionByName(side), "key")
 
 
 def test_chronological_split_ties_at_cut(spark):
