@@ -2,79 +2,20 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
 
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def before(order: OrderSpec, edge: Sequence) -> Column:
-    """True when the row's order key sorts strictly before ``edge``.
-
-    Lexicographic over the order columns, honouring each column's direction.
-    Order keys are assumed non-NULL (callers filter or coalesce them).
-    """
-    expr = None
-    for (name, asc), value in reversed(list(zip(order, edge))):
-        c, v = F.col(name), F.lit(value)
-        strict = (c < v) if asc else (c > v)
-        expr = strict if expr is None else (strict | ((c == v) & expr))
-    return expr
-
-
-FLAT_TREE_MAX = 63  # larger comparison trees exceed what codegen compiles
-
-
-def _tree(order: OrderSpec, edges: Sequence[Sequence]) -> Column:
-    def build(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(before(order, edges[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return build(0, len(edges))
-
-
-def _signed(order: OrderSpec, values: Sequence | None = None):
-    """Key as a struct that sorts ascending in the requested order: columns
-    ordered descending are negated (numeric order keys only)."""
-    fields = []
-    for i, (name, asc) in enumerate(order):
-        v = F.col(name) if values is None else F.lit(values[i])
-        fields.append((v if asc else -v).alias(f"k{i}"))
-    return F.struct(*fields)
-
-
-def bucket_index(order: OrderSpec, edges: Sequence[Sequence]) -> Column:
-    """Number of ``edges`` at or before the row's key.
-
-    Up to 63 edges: a balanced comparison tree (O(log B) comparisons inside
-    codegen).  Beyond that, two levels keep the generated code small: a tree
-    over every F-th edge picks a coarse bucket, then the at most F-1 fine
-    edges of that bucket (a constant array of structs) are counted with one
-    struct comparison each."""
-    n = len(edges)
-    if n <= FLAT_TREE_MAX:
-        return _tree(order, edges)
-    step = math.ceil(math.sqrt(n + 1))
-    coarse_pos = list(range(step - 1, n, step))
-    coarse = _tree(order, [edges[p] for p in coarse_pos])
-    fine = []
-    for j in range(len(coarse_pos) + 1):
-        start = 0 if j == 0 else coarse_pos[j - 1] + 1
-        stop = coarse_pos[j] if j < len(coarse_pos) else n
-        fine.append(F.array(*[_signed(order, edges[p]) for p in range(start, stop)]) if stop > start else None)
-    key = _signed(order)
-    fine_all = F.array(*[f if f is not None else F.array_remove(F.array(_signed(order, edges[0])), _signed(order, edges[0])) for f in fine])
-    within = F.size(F.filter(F.element_at(fine_all, coarse + 1), lambda e: e <= key))
-    return coarse * F.lit(step) + within
+def number(c: str | Column) -> Column:
+    """A numeric column with NaN as NULL."""
+    return F.when(~F.isnan(col_(c)), col_(c))
 
 
 def right_closed_bin(x: Column | str, edges: Sequence[float]) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import psi_verdict
+from ..functions.columns import number, psi_verdict
 from .quantiles import exact_quantiles
 from .woe import MISSING_LABEL, quantile_edges
 
@@ -28,10 +28,12 @@ STATUS_SIGNIFICANT_SHIFT = 1
 STATUS_COULD_NOT_RUN = 2
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _long(df: DataFrame, columns: Sequence[str], beside: Sequence[str] = ()) -> DataFrame:
+    """(beside..., feature, value): NaN is missing."""
     return df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])).alias("kv")
-    ).select("kv.feature", F.when(~F.isnan("kv.value"), F.col("kv.value")).alias("value"))
+        *beside,
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])).alias("kv"),
+    ).select(*beside, "kv.feature", number("kv.value").alias("value"))
 
 
 def psi_edges(expected: DataFrame, columns: Sequence[str], bins: int = DEFAULT_PSI_BINS, decimals: int | None = None) -> dict[str, list[float]]:
@@ -68,6 +70,8 @@ def psi_by_feature_report(
 ) -> DataFrame:
     """PS1 for many features: (feature, bin, n_expected, n_actual,
     pct_expected, pct_actual, psi_contribution)."""
+    if actual.isEmpty():
+        raise ValueError("no actual rows to compare with the reference side")
     edges = psi_edges(expected, columns, bins, decimals)
     b = _bin_expr(edges)
     ce = _long(expected, columns).groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n_expected"))

@@ -29,6 +29,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import number
+from .modeltables import keep
 from .ordering import prefix_sum
 
 SECONDS_PER_DAY = 86400
@@ -36,6 +38,11 @@ SECONDS_PER_DAY = 86400
 DEFAULT_WINDOWS = {"1h": 3600, "1d": 86400}
 
 
+def require_rows(df: DataFrame) -> None:
+    if df.isEmpty():
+        raise ValueError("no rows to make features from")
+
+
 def require_columns(df: DataFrame, cols: Sequence[str], what: str = "df") -> None:
     missing = sorted(set(cols) - set(df.columns))
     if missing:
@@ -55,7 +62,8 @@ def add_velocity_features(
     windows_seconds: Mapping[str, int | None] | None = None,
     chunk_seconds: int | None = None,
 ) -> DataFrame:
-    """Count and sum of the card's amounts in (t - d, t] per window.
+    """Count and sum of the card's amounts in (t - d, t] per window.  An empty
+    frame is an error.
 
     Of rows in the same second only those at or before the current row in
     (t, id) order count.  ``count`` ignores NULL amounts; the sum over a
@@ -64,6 +72,7 @@ def add_velocity_features(
     """
     windows = dict(DEFAULT_WINDOWS if windows_seconds is None else windows_seconds)
     require_columns(df, [card_col, time_col, amount_col, id_col])
+    require_rows(df)
     bounded = {k: int(v) for k, v in windows.items() if v is not None}
     unbounded = [k for k, v in windows.items() if v is None]
     for k, v in bounded.items():
@@ -77,7 +86,7 @@ def add_velocity_features(
         cum = prefix_sum(
             out.where(F.col(card_col).isNotNull()),
             [time_col, id_col],
-            {"__c": F.col(amount_col).isNotNull().cast("long"), "__s": F.col(amount_col)},
+            {"__c": number(amount_col).isNotNull().cast("long"), "__s": number(amount_col)},
             partition_by=[card_col],
         )
         nulls = out.where(F.col(card_col).isNull()).withColumn("__c", F.lit(None).cast("long")).withColumn(
@@ -100,40 +109,29 @@ def _bounded_velocity(df, card, t, amount, id_col, windows, chunk_seconds):
     tc = F.col(t)
     own_chunk = F.floor(tc / F.lit(chunk)).cast("long")
     near_end = tc > (own_chunk + 1) * F.lit(chunk) - F.lit(max_d)
-    # NULL cards: salt over 4096 negative groups; their features are NULLed.
-    null_salt = -(F.lit(1) + F.pmod(F.xxhash64(F.col(id_col)), F.lit(4096))).cast("long")
-    parts = F.when(F.col(card).isNull(), F.array(null_salt)).when(
-        near_end, F.array(own_chunk, own_chunk + 1)
-    ).otherwise(F.array(own_chunk))
-    x = df.withColumn("__own_chunk", F.when(F.col(card).isNull(), null_salt).otherwise(own_chunk)).withColumn(
-        "__part", F.explode(parts)
-    )
-    x = x.withColumn("__own", F.col("__part") == F.col("__own_chunk"))
+    parts = F.when(near_end, F.array(own_chunk, own_chunk + 1)).otherwise(F.array(own_chunk))
+    x = df.where(F.col(card).isNotNull()).withColumn("__part", F.explode(parts))
+    x = x.withColumn("__own", F.col("__part") == own_chunk)
     # Context copies carry only the keys and the amount.
     for c in payload:
         x = x.withColumn(c, F.when(F.col("__own"), F.col(c)))
 
-    # Spark places the (card, chunk) range windows below this tie window
-    # (TransposeWindow), so one shuffle on (card, chunk) serves both; the
-    # tie window only adds a local sort by id within each second.
-    w_tie = Window.partitionBy(card, "__part", t).orderBy(id_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    a = F.col(amount)
-    x = x.withColumn("__ct", F.count(a).over(w_tie)).withColumn("__st", F.sum(a).over(w_tie))
+    # Both frames only grow, so a card's chunk is walked once however many rows
+    # its window holds: everything up to the row, less everything a window ago.
+    upto = Window.partitionBy(card, "__part").orderBy(t, id_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    a = F.col("__amount")
+    x = x.withColumn("__amount", number(amount)).withColumn("__n", F.count(a).over(upto)).withColumn("__s", F.coalesce(F.sum(a).over(upto), F.lit(0.0)))
+    made = []
     for label, d in windows.items():
-        if d > 1:
-            w_rng = Window.partitionBy(card, "__part").orderBy(t).rangeBetween(-(d - 1), -1)
-            cnt = F.count(a).over(w_rng) + F.col("__ct")
-            s = F.coalesce(F.sum(a).over(w_rng), F.lit(0.0)) + F.coalesce(F.col("__st"), F.lit(0.0))
-        else:
-            cnt = F.col("__ct")
-            s = F.coalesce(F.col("__st"), F.lit(0.0))
+        ago = Window.partitionBy(card, "__part").orderBy(t).rangeBetween(Window.unboundedPreceding, -d)
         cname, sname = f"{card}_txn_count_{label}", f"{card}_amt_sum_{label}"
-        x = x.withColumn(cname, cnt.cast("long")).withColumn(sname, F.when(F.col(cname) > 0, s))
-    x = x.where(F.col("__own"))
-    for label in windows:
-        for c in (f"{card}_txn_count_{label}", f"{card}_amt_sum_{label}"):
-            x = x.withColumn(c, F.when(F.col(card).isNotNull(), F.col(c)))
-    return x.drop("__own_chunk", "__part", "__own", "__ct", "__st")
+        x = x.withColumn(cname, (F.col("__n") - F.count(a).over(ago)).cast("long"))
+        x = x.withColumn(sname, F.when(F.col(cname) > 0, F.col("__s") - F.coalesce(F.sum(a).over(ago), F.lit(0.0))))
+        made += [(cname, "long"), (sname, "double")]
+    x = x.where(F.col("__own")).drop("__part", "__own", "__amount", "__n", "__s")
+    # rows without a card have no history: they stay out of the windows
+    none = df.where(F.col(card).isNull()).select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in made])
+    return x.unionByName(none)
 
 
 # ---------------------------------------------------------------------------
@@ -155,6 +153,8 @@ def add_card_usage_features(
     ``n_hint`` (an upper bound of rows + markers) spares the row count that
     sizes the buckets when the input is expensive to recompute."""
     require_columns(df, [card_col, time_col, amount_col, id_col])
+    if n_hint is None:
+        require_rows(df)
     has_div = diversity_col is not None and diversity_col in df.columns
     keyed = df.where(F.col(card_col).isNotNull()).withColumn("__kind", F.lit(0))
     if has_div:
@@ -171,7 +171,7 @@ def add_card_usage_features(
     else:
         stream = keyed
     is_row = F.col("__kind") == 0
-    a = F.col(amount_col)
+    a = number(amount_col)
     # Markers sort after their own row (kind 1 > 0): inclusive sums at a
     # row count exactly the markers strictly before it.
     cum = prefix_sum(
@@ -220,7 +220,7 @@ def fit_hour_of_day(fit_df: DataFrame, time_col: str = "t", amount_col: str = "a
     """Model table: hour -> mean amount, count (at most 24 rows)."""
     require_columns(fit_df, [time_col, amount_col], "fit_df")
     return fit_df.groupBy(hour_of_day(time_col).alias("__hour")).agg(
-        F.avg(amount_col).alias("hour_of_day_avg_amt"), F.count(amount_col).alias("hour_of_day_txn_count")
+        F.avg(number(amount_col)).alias("hour_of_day_avg_amt"), F.count(number(amount_col)).alias("hour_of_day_txn_count")
     )
 
 
@@ -255,16 +255,14 @@ def fit_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def transform_frequencies(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<col>_freq`` per column; NULL looks up the NULL share; values
-    never seen in the fit side map to 0.0.  The fitted table is frozen once;
-    it is broadcast only when its row count is proven bounded."""
-    from .modeltables import freeze, join_small
-
-    table, bounded = freeze(table)
+    never seen in the fit side map to 0.0.  The fitted table is written once;
+    the planner sees its size."""
+    table = keep(table)
     out = df
     for c in columns:
         require_columns(out, [c])
         t = table.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("freq").alias(f"{c}_freq"))
-        out = join_small(out, t, bounded, out[c].cast("string").eqNullSafe(t["__v"])).drop("__v")
+        out = out.join(t, out[c].cast("string").eqNullSafe(t["__v"]), "left").drop("__v")
         out = out.withColumn(f"{c}_freq", F.coalesce(F.col(f"{c}_freq"), F.lit(0.0)))
     return out
 
@@ -287,6 +285,7 @@ def engineer_features(
     category_cols: Sequence[str] = ("category",),
     windows_seconds: Mapping[str, int | None] | None = None,
 ) -> DataFrame:
+    require_rows(df)
     n = df.count()  # a plain scan; bounds the rows + markers of the next step
     out = add_velocity_features(df, card_col, time_col, amount_col, id_col, windows_seconds)
     out = add_card_usage_features(out, card_col, time_col, amount_col, id_col, diversity_col, n_hint=2 * n)

@@ -14,15 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import number
+from .profile import unpivot_numeric
 from .quantiles import quantile_columns
 
 
 def fit_medians(fit_df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Train medians of all columns in one job (driver gets one number per
     column)."""
-    long = fit_df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])).alias("kv")
-    ).select("kv.feature", "kv.value")
+    long = unpivot_numeric(fit_df, columns)
     rows = quantile_columns(long, "value", [0.5], ["median"], groups=["feature"]).collect()
     got = {r["feature"]: r["median"] for r in rows}
     return {c: got.get(c) for c in columns}
@@ -31,17 +31,17 @@ def fit_medians(fit_df: DataFrame, columns: Sequence[str]) -> dict[str, float |
 def impute_median(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None = None) -> DataFrame:
     """ML1: NULL/NaN -> train median (a column with no train values is left
     as is)."""
-    med = fit_medians(fit_df if fit_df is not None else df, columns)
-    out = df
-    for c in columns:
-        v = F.col(c).cast("double")
-        clean = F.when(~F.isnan(v), v)
-        out = out.withColumn(c, F.coalesce(clean, F.lit(med[c])) if med[c] is not None else clean)
-    return out
+    return fill_medians(df, fit_medians(fit_df if fit_df is not None else df, columns))
+
+
+def fill_medians(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
+    """Columns of ``medians`` as double, missing values replaced."""
+    clean = {c: number(F.col(c).cast("double")) for c in medians}
+    return df.withColumns({c: F.coalesce(v, F.lit(medians[c])) if medians[c] is not None else v for c, v in clean.items()})
 
 
 def fit_standardizer(fit_df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    r = fit_df.agg(*[x for c in columns for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
+    r = fit_df.agg(*[x for c in columns for x in (F.avg(number(c)).alias(f"m_{c}"), F.stddev_pop(number(c)).alias(f"s_{c}"))]).first()
     out = {}
     for c in columns:
         s = r[f"s_{c}"]
@@ -97,9 +97,7 @@ def fit_and_score(train: DataFrame, test: DataFrame, features: Sequence[str], la
     from ..session import cut_lineage
 
     med = fit_medians(train, features)
-    fill = {c: v for c, v in med.items() if v is not None}
-    med_train = train.fillna(fill)
-    med_test = test.fillna(fill)
+    med_train, med_test = fill_medians(train, med), fill_medians(test, med)
     fit_in = cut_lineage(assemble(med_train.withColumn(label, F.col(label).cast("double")), features))
     model = make_classifier(kind, label, **params).fit(fit_in)
     pred = cut_lineage(positive_probability(model.transform(assemble(med_test, features))).drop("features", "rawPrediction", "probability"))

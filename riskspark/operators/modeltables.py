@@ -1,38 +1,19 @@
-"""Fitted model tables (encoders, bins, WoE maps) are small by nature but
-derived from whole tables.  ``freeze`` materialises one once, so applying a
-model never re-runs its fit, and records whether its size is proven."""
+"""Fitted model tables (encoders, bins, WoE maps): derived from whole tables,
+usually small.  ``keep`` writes one to the shared folder and reads it back, so
+applying a model never re-runs its fit, and the file sizes tell the planner
+whether a lookup may be a broadcast join."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-FROZEN_ROWS_MAX = 10_000
-
+import uuid
 
-def constant_table(spark, rows, schema) -> DataFrame:
-    """A small table as one JVM-side constant (``inline`` of a literal
-    array of structs): no Python worker is started when it is read."""
-    if not rows:
-        return spark.createDataFrame([], schema)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def freeze(table: DataFrame, max_rows: int = FROZEN_ROWS_MAX) -> tuple[DataFrame, bool]:
-    """(table, is_bounded): a table with at most ``max_rows`` rows becomes a
-    constant (one job; bounded rows to the driver); a larger one is
-    checkpointed into the shared checkpoint folder."""
-    from ..session import cut_lineage
+from pyspark.sql import DataFrame
 
-    rows = table.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return constant_table(table.sparkSession, rows, table.schema), True
-    return cut_lineage(table), False
+from ..session import checkpoint_dir
 
 
-def join_small(big: DataFrame, small: DataFrame, bounded: bool, on, how: str = "left") -> DataFrame:
-    """Broadcast only a table whose row count is proven bounded; otherwise
-    leave the strategy to AQE, which switches to a broadcast at runtime
-    only when the materialised side is under its size threshold."""
-    return big.join(F.broadcast(small) if bounded else small, on, how)
+def keep(table: DataFrame) -> DataFrame:
+    spark = table.sparkSession
+    path = f"{checkpoint_dir(spark)}/model-table-{uuid.uuid4().hex}"
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)

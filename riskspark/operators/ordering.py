@@ -1,83 +1,45 @@
 """Distributed running sums and ranks over a total order.
 
 A window without ``partitionBy`` (or one whose partition key is hot) runs in
-a single task.  ``prefix_sum`` instead range-buckets the rows on the full
-order key (optionally prefixed by segment columns):
-
-1. bucket edges are taken from a bounded sample of the composite key
-   (sorted by Spark, collected: at most 256k small tuples);
-2. each row gets its bucket from a balanced comparison tree on literals;
-3. per (bucket, segment) totals -> exclusive running offsets over buckets
-   (a table with at most #segments + #buckets rows);
-4. a window partitioned by (bucket, segment) adds its local running sum
-   to the offset.
-
-Because the edges are composite keys, a segment (card, score value, ...)
-holding a third of all rows is spread across many buckets, while many
-small segments share one bucket.  The edges are computed once and frozen
-as literals, so re-running the plan (retries, executor loss) gives the
-same buckets.
+a single task.  ``prefix_sum`` instead deals the rows into ranges of the full
+order key, segment columns first:
+
+1. Spark's range exchange samples the composite key and picks the edges; the
+   range number of every row is fixed by one reliable checkpoint, so a retried
+   task or a lost executor sees the same ranges;
+2. per (range, segment) totals give exclusive offsets.  Ranges are ordered by
+   segment first, so a range holds whole segments except at its two ends, and
+   the offsets are a table of at most #segments + #ranges rows;
+3. a window partitioned by (range, segment) adds its local running sum.
+
+A segment (card, score value, ...) that holds a third of all rows spreads over
+many ranges, and many small segments share one.  There is one path for all
+sizes; the number of ranges is the session's shuffle partitions, or more when
+the caller knows the row count and it asks for more.
 """
 
 from __future__ import annotations
 
 import math
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import OrderSpec, bucket_index
+from ..session import cut_lineage
 
-# Rows per bucket task; the environment override lets tests push small
-# inputs through the multi-bucket path.
-ROWS_PER_BUCKET = int(os.environ.get("RISKSPARK_ROWS_PER_BUCKET", "2000000"))
-MAX_BUCKETS = 4096
-SAMPLE_PER_BUCKET = 64
-SAMPLE_MAX_ROWS = 262_144  # driver receives at most this many key tuples
+#: Rows that one range should not exceed when the row count is known.
+ROWS_PER_RANGE = 2_000_000
 
 
 def _norm_order(order) -> list[tuple[str, bool]]:
-    out = []
-    for o in order:
-        out.append((o, True) if isinstance(o, str) else (o[0], bool(o[1])))
-    return out
+    return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
 
 
-def _sort_cols(order: OrderSpec) -> list[Column]:
+def _sort_cols(order: Sequence[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).asc() if a else F.col(c).desc() for c, a in order]
 
 
-def choose_buckets(n: int) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(n / ROWS_PER_BUCKET)))
-
-
-def sample_edges(df: DataFrame, order: OrderSpec, buckets: int, n: int | None = None, seed: int = 17) -> list[tuple]:
-    """Composite bucket edges from a bounded sample (driver receives at most
-    about ``SAMPLE_PER_BUCKET * buckets`` small tuples)."""
-    if buckets <= 1:
-        return []
-    keys = [c for c, _ in order]
-    if n is None:
-        n = df.count()
-    want = min(SAMPLE_PER_BUCKET * buckets, SAMPLE_MAX_ROWS)
-    frac = min(1.0, want / max(n, 1))
-    sample = df.select(*keys)
-    if frac < 1.0:
-        sample = sample.sample(False, frac, seed)
-    rows = sample.orderBy(*_sort_cols(order)).limit(min(2 * want, SAMPLE_MAX_ROWS)).collect()
-    if not rows:
-        return []
-    step = len(rows) / buckets
-    edges: list[tuple] = []
-    for i in range(1, buckets):
-        e = tuple(rows[min(len(rows) - 1, int(i * step))])
-        if not edges or e != edges[-1]:
-            edges.append(e)
-    return edges
-
-
 def prefix_sum(
     df: DataFrame,
     order,
@@ -90,47 +52,34 @@ def prefix_sum(
     """Add running sums ``values`` (name -> expression) over ``order``.
 
     ``inclusive`` counts the current row; otherwise strictly earlier rows.
-    Sums over no rows are 0.  Order keys must be non-NULL and should be
-    unique within a segment for a deterministic result (add an id).
+    Sums over no rows are 0; NULL segments are segments of their own.  The
+    order should be unique within a segment for a deterministic result (add an
+    id).  ``buckets`` sets the number of ranges.
     """
     order = _norm_order(order)
     partition_by = list(partition_by)
     tmp = {name: f"__v_{i}" for i, name in enumerate(values)}
     base = df
     for name, expr in values.items():
-        e = F.col(expr) if isinstance(expr, str) else expr
-        base = base.withColumn(tmp[name], F.coalesce(e, F.lit(0)))
-
-    if buckets is None:
-        n = base.count() if n is None else n
-        buckets = choose_buckets(n)
-    frame_end = Window.currentRow if inclusive else -1
-    edges = sample_edges(base, order, buckets, n) if buckets > 1 else []
-
-    if not edges:
-        # One bucket: a plain window.  Only chosen when the input is small.
-        w = Window.partitionBy(*partition_by).orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, frame_end)
-        out = base
-        for name in values:
-            out = out.withColumn(name, F.coalesce(F.sum(tmp[name]).over(w), F.lit(0)))
-        return out.drop(*tmp.values())
-
-    keyed = base.withColumn("__bkt", bucket_index(order, edges))
-    seg = ["__bkt", *partition_by]
-    totals = keyed.groupBy(*seg).agg(*[F.sum(tmp[nm]).alias(f"__t_{i}") for i, nm in enumerate(values)])
-    wo = Window.partitionBy(*partition_by).orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *seg, *[F.coalesce(F.sum(f"__t_{i}").over(wo), F.lit(0)).alias(f"__o_{i}") for i in range(len(values))]
-    )
+        base = base.withColumn(tmp[name], F.coalesce(F.col(expr) if isinstance(expr, str) else expr, F.lit(0)))
+
+    ranges = buckets or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil((n or 0) / ROWS_PER_RANGE))
+    dealt = base.repartitionByRange(ranges, *[F.col(c) for c in partition_by], *_sort_cols(order))
+    # a struct of the segment columns compares NULLs as equal
+    segment = F.struct(*partition_by) if partition_by else F.lit(0)
+    placed = cut_lineage(dealt.withColumn("__rng", F.spark_partition_id()).withColumn("__seg", segment))
+
+    totals = placed.groupBy("__rng", "__seg").agg(*[F.sum(t).alias(f"__t_{i}") for i, t in enumerate(tmp.values())])
+    before = Window.partitionBy("__seg").orderBy("__rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__rng", "__seg", *[F.coalesce(F.sum(f"__t_{i}").over(before), F.lit(0)).alias(f"__o_{i}") for i in range(len(tmp))])
     if not partition_by:
-        # At most MAX_BUCKETS (4096) rows: bounded, safe to broadcast.
-        offsets = F.broadcast(offsets)
-    joined = keyed.join(offsets, seg, "inner")
-    w = Window.partitionBy(*seg).orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, frame_end)
-    out = joined
-    for i, name in enumerate(values):
-        out = out.withColumn(name, F.coalesce(F.sum(tmp[name]).over(w), F.lit(0)) + F.col(f"__o_{i}"))
-    return out.drop(*tmp.values(), *[f"__o_{i}" for i in range(len(values))], "__bkt")
+        offsets = F.broadcast(offsets)  # one row per range
+    end = Window.currentRow if inclusive else -1
+    local = Window.partitionBy("__rng", "__seg").orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, end)
+    out = placed.join(offsets, ["__rng", "__seg"])
+    for i, (name, t) in enumerate(tmp.items()):
+        out = out.withColumn(name, F.coalesce(F.sum(t).over(local), F.lit(0)) + F.col(f"__o_{i}"))
+    return out.drop(*tmp.values(), *[f"__o_{i}" for i in range(len(tmp))], "__rng", "__seg")
 
 
 def global_rank(df: DataFrame, order, name: str = "rank", partition_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import number
 from .features import hour_of_day, require_columns
 from .quantiles import exact_quantiles
 
@@ -61,10 +62,11 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def unpivot_numeric(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., feature, value double) - one row per input row and column."""
+    """(keep..., feature, value double) - one row per input row and column;
+    NaN is NULL, as missing values are in pandas."""
     return df.select(
         *keep,
-        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])).alias("__kv"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), number(F.col(c).cast("double")).alias("value")) for c in columns])).alias("__kv"),
     ).select(*keep, "__kv.feature", "__kv.value")
 
 

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import number
 from .ordering import prefix_sum
 
 
@@ -31,13 +32,13 @@ def exact_quantiles(
     groups: Sequence[str] = (),
     buckets: int | None = None,
 ) -> DataFrame:
-    """Rows (groups..., q, quantile) for each q; NULL values are ignored.
+    """Rows (groups..., q, quantile) for each q; NULL and NaN are ignored.
     Groups without values produce no rows."""
     groups = list(groups)
     for q in qs:
         if not 0.0 <= float(q) <= 1.0:
             raise ValueError("quantiles must be within [0, 1]")
-    v = F.col(value).cast("double")
+    v = number(F.col(value).cast("double"))
     hist = df.where(v.isNotNull()).groupBy(*groups, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     cum = prefix_sum(hist, ["__v"], {"__hi": F.col("__c")}, partition_by=groups, buckets=buckets)
     cum = cum.withColumn("__lo", F.col("__hi") - F.col("__c"))

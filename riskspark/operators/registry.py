@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.columns import psi_verdict
-from .drift import PSI_EPSILON, STATUS_OK, STATUS_SIGNIFICANT_SHIFT, psi_edges, _bin_expr
+from .drift import PSI_EPSILON, STATUS_OK, STATUS_SIGNIFICANT_SHIFT, _bin_expr, _long, psi_edges
 
 
 def union_runs(frames: Sequence[DataFrame]) -> DataFrame:
@@ -55,8 +55,8 @@ def psi_by_batch(expected: DataFrame, actual: DataFrame, value: str, batch: str,
     batch is smoothed over the bins seen in expected or in that batch."""
     edges = psi_edges(expected.select(value), [value], bins, decimals)
     b = _bin_expr(edges)
-    el = expected.select(F.lit(value).alias("feature"), F.col(value).cast("double").alias("value"))
-    al = actual.select(F.col(batch).alias("__batch"), F.lit(value).alias("feature"), F.col(value).cast("double").alias("value"))
+    el = _long(expected, [value])
+    al = _long(actual.withColumn("__batch", F.col(batch)), [value], ["__batch"])
     ce = el.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n_expected"))
     ca = al.groupBy("__batch", b.alias("bin")).agg(F.count(F.lit(1)).alias("n_actual"))
     batches = ca.select("__batch").distinct()

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import iv_strength, right_closed_bin
 from .features import require_columns
-from .modeltables import freeze, join_small
+from .modeltables import keep
 from .quantiles import exact_quantiles
 
 # Fixed values (must equal the reference's): bin labels for missing and
@@ -36,7 +36,6 @@ DEFAULT_PDO = 20.0
 DEFAULT_BASE_SCORE = 600.0
 DEFAULT_BASE_ODDS = 50.0
 
-LITERAL_MAP_MAX = 10_000
 
 
 def special_label(v: float) -> str:
@@ -151,22 +150,15 @@ def fit_woe_bins(
         raise ValueError("weights of evidence compare target 1 with target 0; one of them has no rows")
     edges = fit_edges(train, numeric, n_bins, specials, edge_decimals)
     labelled = train.select(F.col(target), *_labelled(train, numeric, categorical, edges, specials))
-    table, bounded = freeze(woe_table(labelled, [*numeric, *categorical], target))
-    return WoeModel(list(numeric), list(categorical), edges, specials, table, target, {"bounded": bounded})
+    table = keep(woe_table(labelled, [*numeric, *categorical], target))
+    return WoeModel(list(numeric), list(categorical), edges, specials, table, target)
 
 
-def _lookup(df: DataFrame, model: WoeModel, feature: str, label: Column, value_col: str, out: str, default) -> DataFrame:
-    t = model.table.where(F.col("feature") == feature).select("bin", F.col(value_col).alias(out))
-    n = t.count()
-    if n <= LITERAL_MAP_MAX:
-        pairs = t.collect()
-        if not pairs:
-            return df.withColumn(out, F.lit(default))
-        m = F.create_map(*[x for p in pairs for x in (F.lit(p["bin"]), F.lit(p[out]))])
-        return df.withColumn(out, F.coalesce(F.try_element_at(m, label), F.lit(default)))
-    t = t.withColumnRenamed("bin", "__bin")
-    j = join_small(df.withColumn("__lbl", label), t, model.extra.get("bounded", False), F.col("__lbl") == F.col("__bin"))
-    return j.drop("__lbl", "__bin").withColumn(out, F.coalesce(F.col(out), F.lit(default)))
+def _lookup(df: DataFrame, table: DataFrame, feature: str, label: Column, value_col: str, out: str, default) -> DataFrame:
+    """``out``: the table's value for the row's bin; one join at every size."""
+    t = table.where(F.col("feature") == feature).select(F.col("bin").alias("__bin"), F.col(value_col).alias(out))
+    joined = df.withColumn("__lbl", label).join(t, F.col("__lbl") == F.col("__bin"), "left")
+    return joined.drop("__lbl", "__bin").withColumn(out, F.coalesce(F.col(out), F.lit(default)))
 
 
 def assign_bins(df: DataFrame, model: WoeModel, suffix: str = "_bin") -> DataFrame:
@@ -176,7 +168,7 @@ def assign_bins(df: DataFrame, model: WoeModel, suffix: str = "_bin") -> DataFra
     for f in model.numeric:
         out = out.withColumn(f + suffix, model.bin_label(out, f))
     for f in model.categorical:
-        out = _lookup(out, model, f, F.col(f).cast("string"), "bin", "__known", None)
+        out = _lookup(out, model.table, f, F.col(f).cast("string"), "bin", "__known", None)
         out = out.withColumn(
             f + suffix,
             F.when(F.col(f).isNull(), F.lit(MISSING_LABEL)).when(F.col("__known").isNotNull(), F.col(f).cast("string")).otherwise(F.lit(UNSEEN_LABEL)),
@@ -190,7 +182,7 @@ def transform_woe(df: DataFrame, model: WoeModel, suffix: str = "_woe") -> DataF
     out = df
     for f in model.features():
         label = model.bin_label(out, f) if f in model.numeric else F.coalesce(F.col(f).cast("string"), F.lit(MISSING_LABEL))
-        out = _lookup(out, model, f, label, "woe", f + suffix, 0.0)
+        out = _lookup(out, model.table, f, label, "woe", f + suffix, 0.0)
     return out
 
 
@@ -235,13 +227,12 @@ def points_table(
 
 def score(df: DataFrame, model: WoeModel, base_points: float, points: DataFrame, features: Sequence[str], out: str = "score") -> DataFrame:
     """Base points + each feature's bin points (unknown bin -> 0)."""
-    pts, bounded = freeze(points.select("feature", "bin", F.col("points").alias("woe")))
-    pm = WoeModel(model.numeric, model.categorical, model.edges, model.specials, pts, model.target, {"bounded": bounded})
+    kept = keep(points.select("feature", "bin", "points"))
     res = df
     total = F.lit(float(base_points))
     for f in features:
         label = model.bin_label(res, f) if f in model.numeric else F.coalesce(F.col(f).cast("string"), F.lit(MISSING_LABEL))
-        res = _lookup(res, pm, f, label, "woe", f"__pts_{f}", 0.0)
+        res = _lookup(res, kept, f, label, "points", f"__pts_{f}", 0.0)
         total = total + F.col(f"__pts_{f}")
     return res.withColumn(out, total).drop(*[f"__pts_{f}" for f in features])
 

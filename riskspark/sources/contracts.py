@@ -12,6 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.columns import number
 
 
 def contract_report(df: DataFrame, name: str, required: Sequence[str], key: Sequence[str]) -> DataFrame:
@@ -55,7 +58,8 @@ def load_checked(
     spark: SparkSession, path: str, required: Sequence[str], key: Sequence[str], fmt: str = "parquet", **options
 ) -> DataFrame:
     """Scan + contract.  Missing path -> FileNotFoundError (from Spark's
-    AnalysisException), missing columns or duplicate keys -> ValueError."""
+    AnalysisException), missing columns or duplicate keys -> ValueError.
+    NaN is loaded as NULL."""
     try:
         df = spark.read.format(fmt).options(**options).load(path)
     except Exception as e:  # PATH_NOT_FOUND
@@ -63,7 +67,8 @@ def load_checked(
             raise FileNotFoundError(f"file not found: {path}") from e
         raise
     enforce(contract_report(df, path, required, key))
-    return df
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({c: number(f"`{c}`") for c in floats})
 
 
 def ordered_projection(df: DataFrame, ordered: Sequence[str], key: str | None = None) -> DataFrame:

@@ -47,11 +47,10 @@ SCORED = st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6).map(lambda v: v
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=SCORED, buckets=st.integers(1, 4))
-def test_metrics_equal_brute_force(spark, rows, buckets, monkeypatch):
+def test_metrics_equal_brute_force(spark, rows, buckets):
     from riskspark.operators import metrics as mt
-    from riskspark.operators import ordering
 
-    monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", max(1, len(rows) // buckets))
+    spark.conf.set("spark.sql.shuffle.partitions", buckets)
     df = spark.createDataFrame([(i, y, s) for i, (y, s) in enumerate(rows)], "id long, y int, score double")
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y == 0]
