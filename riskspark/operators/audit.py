@@ -38,17 +38,11 @@ def decision_rows(
 
 
 def append_decisions(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append to the log (created on first write).  With ``batch_id`` the
-    write is idempotent per micro-batch: rows already logged for that batch
-    are skipped, so a retried batch does not duplicate entries."""
-    out = rows if batch_id is None else rows.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-    if batch_id is not None:
-        try:
-            seen = rows.sparkSession.read.parquet(path).where(F.col("batch_id") == batch_id).select("id", "model_type")
-            out = out.join(seen, ["id", "model_type"], "left_anti")
-        except Exception:  # the log does not exist yet
-            pass
-    out.write.mode("append").parquet(path)
+    """Append to the log, one folder per batch.  A batch that is written
+    again replaces its own folder, so a retry adds nothing; rows without a batch
+    id are appended to batch -1."""
+    mode = "append" if batch_id is None else "overwrite"
+    rows.write.mode(mode).parquet(f"{path}/batch_id={-1 if batch_id is None else int(batch_id)}")
 
 
 def recent_decisions(log: DataFrame, limit: int = 20, model_type: str | None = None) -> DataFrame:

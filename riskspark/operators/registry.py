@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.columns import psi_verdict
+from .modeltables import keep
 from .drift import PSI_EPSILON, STATUS_OK, STATUS_SIGNIFICANT_SHIFT, _bin_expr, _long, psi_edges
 
 
@@ -49,24 +50,35 @@ def champion(promotions: DataFrame, name: str, alias: str = "champion") -> DataF
     )
 
 
+class PsiReference:
+    """Edges and expected counts of one value, fitted once and kept."""
+
+    def __init__(self, expected: DataFrame, value: str, bins: int = 10, decimals: int | None = None):
+        self.value = value
+        self.edges = psi_edges(expected.select(value), [value], bins, decimals)
+        bin_ = _bin_expr(self.edges).alias("bin")
+        self.counts = keep(_long(expected, [value]).groupBy(bin_).agg(F.count(F.lit(1)).alias("n_expected")))
+
+    def batches(self, actual: DataFrame, batch: str) -> DataFrame:
+        """(batch, psi, verdict) in one job for all batches.  Each batch is
+        smoothed over the bins seen in expected or in that batch."""
+        al = _long(actual.withColumn("__batch", F.col(batch)), [self.value], ["__batch"])
+        ca = al.groupBy("__batch", _bin_expr(self.edges).alias("bin")).agg(F.count(F.lit(1)).alias("n_actual"))
+        # every batch is compared with the same few bins (at most bins + 1 rows)
+        expected = F.broadcast(self.counts.agg(F.collect_list(F.struct("bin", "n_expected")).alias("expected")))
+        pairs = ca.select("__batch").distinct().crossJoin(expected).select("__batch", F.inline("expected"))
+        t = pairs.join(ca, ["__batch", "bin"], "full_outer").fillna(0, ["n_expected", "n_actual"])
+        w = Window.partitionBy("__batch")
+        nb, ne, na = F.count(F.lit(1)).over(w), F.sum("n_expected").over(w), F.sum("n_actual").over(w)
+        pe = (F.col("n_expected") + PSI_EPSILON) / (ne + PSI_EPSILON * nb)
+        pa = (F.col("n_actual") + PSI_EPSILON) / (na + PSI_EPSILON * nb)
+        t = t.withColumn("c", (pa - pe) * F.ln(pa / pe))
+        return t.groupBy(F.col("__batch").alias(batch)).agg(F.sum("c").alias("psi")).withColumn("verdict", psi_verdict("psi"))
+
+
 def psi_by_batch(expected: DataFrame, actual: DataFrame, value: str, batch: str, bins: int = 10, decimals: int | None = None) -> DataFrame:
-    """PSI of each actual batch against one expected sample, one job for
-    all batches: (batch, psi, verdict).  Bins: edges from expected; each
-    batch is smoothed over the bins seen in expected or in that batch."""
-    edges = psi_edges(expected.select(value), [value], bins, decimals)
-    b = _bin_expr(edges)
-    el = _long(expected, [value])
-    al = _long(actual.withColumn("__batch", F.col(batch)), [value], ["__batch"])
-    ce = el.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n_expected"))
-    ca = al.groupBy("__batch", b.alias("bin")).agg(F.count(F.lit(1)).alias("n_actual"))
-    batches = ca.select("__batch").distinct()
-    t = ce.crossJoin(batches).join(ca, ["__batch", "bin"], "full_outer").fillna(0, ["n_expected", "n_actual"])
-    w = Window.partitionBy("__batch")
-    nb, ne, na = F.count(F.lit(1)).over(w), F.sum("n_expected").over(w), F.sum("n_actual").over(w)
-    pe = (F.col("n_expected") + PSI_EPSILON) / (ne + PSI_EPSILON * nb)
-    pa = (F.col("n_actual") + PSI_EPSILON) / (na + PSI_EPSILON * nb)
-    t = t.withColumn("c", (pa - pe) * F.ln(pa / pe))
-    return t.groupBy(F.col("__batch").alias(batch)).agg(F.sum("c").alias("psi")).withColumn("verdict", psi_verdict("psi"))
+    """PSI of each actual batch against one expected sample: (batch, psi, verdict)."""
+    return PsiReference(expected, value, bins, decimals).batches(actual, batch)
 
 
 def monitor_status(psi_df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import audit as au
 from ..operators import registry as rg
 from ..sources.tables import bind_scored_rows, table
+from ..streaming.jobs import run_dir
 from . import credit_plans as cp
 from .registry import register
 from .sampling_plans import F1_SQL, decide_probability, policy_thresholds
@@ -41,14 +42,18 @@ log AS (SELECT c.id, o.o_orderdate AS logged_at, 'credit' AS model_type, 'scorec
 
 @register(
     "audit_append_batch",
-    f"""WITH {LOG_SQL} SELECT id, model_type, model_version,
-           CASE WHEN model_type = 'credit' THEN round(score, 6) ELSE round(score, 9) END AS score, decision FROM log""",
+    f"""WITH {LOG_SQL} SELECT id, CAST(epoch(logged_at) AS BIGINT) AS logged_at, model_type, model_version,
+           CASE WHEN model_type = 'credit' THEN round(score, 6) ELSE round(score, 9) END AS score, decision, CAST(0 AS INTEGER) AS batch_id FROM log""",
 )
 def audit_append_batch(spark, sf_dir):
-    """IO7: the rows one scoring batch appends to the log (the sink itself
-    is ``audit.append_decisions``)."""
+    """IO7: one batch of decisions is appended to a fresh log, twice as after a
+    lost commit, and read back."""
+    path = f"{run_dir(spark, 'decision-log')}/log"
+    for _ in range(2):
+        au.append_decisions(_log(spark, sf_dir), path, batch_id=0)
     sc = F.when(F.col("model_type") == "credit", F.round("score", 6)).otherwise(F.round("score", 9))
-    return _log(spark, sf_dir).select("id", "model_type", "model_version", sc.alias("score"), "decision")
+    log = spark.read.parquet(path)
+    return log.select("id", F.unix_timestamp("logged_at").alias("logged_at"), "model_type", "model_version", sc.alias("score"), "decision", "batch_id")
 
 
 @register(

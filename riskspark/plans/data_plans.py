@@ -72,14 +72,14 @@ def application_projection(spark, sf_dir):
 
 
 def _merged(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
     return mg.merge_left_flag(docs, labels, "doc_id", flag="has_label_match")
 
 
 @register(
     "merge_left_flag",
-    """SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic, l.doc_id IS NOT NULL AS has_label_match
+    """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic, l.doc_id IS NOT NULL AS has_label_match
        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def merge_left_flag(spark, sf_dir):
@@ -135,17 +135,19 @@ def label_rate(spark, sf_dir):
 
 
 def _merged_wide(spark, sf_dir):
-    return _merged(spark, sf_dir).select("doc_id", "lang", "source", "quality", "toxic")
+    return _merged(spark, sf_dir).drop("has_label_match")
 
 
 @register(
     "missing_rates",
-    """WITH m AS (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic
+    """WITH m AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
                  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
        SELECT "column", CAST(n_missing AS BIGINT) AS n_missing, round(n_missing / n, 9) AS missing_rate FROM (
          SELECT 'doc_id' AS "column", count(*) - count(doc_id) AS n_missing, count(*) AS n FROM m
          UNION ALL SELECT 'lang', count(*) - count(lang), count(*) FROM m
          UNION ALL SELECT 'source', count(*) - count(source), count(*) FROM m
+         UNION ALL SELECT 'text', count(*) - count(text), count(*) FROM m
+         UNION ALL SELECT 'n_chars', count(*) - count(n_chars), count(*) FROM m
          UNION ALL SELECT 'quality', count(*) - count(quality), count(*) FROM m
          UNION ALL SELECT 'toxic', count(*) - count(toxic), count(*) FROM m)""",
 )

@@ -5,8 +5,6 @@ comparable with an SQL oracle, so these keys have no ``oracle_sql`` entry
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_order_key
@@ -107,8 +105,7 @@ def fraud_job(spark, sf_dir):
 
     tr, te = _fraud_frames(spark, sf_dir)
     med = le.fit_medians(tr, FRAUD_FEATURES)
-    fill = {c: v for c, v in med.items() if v is not None}
-    trv = tr.fillna(fill).withColumn("vec", F.array(*[F.col(c).cast("double") for c in FRAUD_FEATURES]))
+    trv = le.fill_medians(tr, med).withColumn("vec", F.array(*[F.col(c).cast("double") for c in FRAUD_FEATURES]))
     syn, n_new = rs.oversample_to_parity(trv.select("id", "vec", "label"), "label", 1, "id", "vec", seed=42)
     syn_rows = syn.select(
         (-1 - F.col("syn_id")).alias("id"), F.lit(1).alias("label"),
@@ -119,7 +116,7 @@ def fraud_job(spark, sf_dir):
     scored = pred.select("id", F.col("label").alias("y"), "score")
     f1 = mt.f1_threshold(scored, validate=False).first()
     review = f1["threshold"]
-    path = os.path.join(run_dir(spark, "registry"), "fraud_model", "1")
+    path = f"{run_dir(spark, 'registry')}/fraud_model/1"
     model.write().overwrite().save(path)
     rec = mt.metric_record(scored)
     return rec.select(
@@ -234,6 +231,7 @@ def uplift_tlearner(spark, sf_dir):
 
 TRANSFER_FEATURES = ["totalprice", "acctbal"]
 BUDGETS = [200, 1000]
+TRANSFER_CUT = 883612800  # 1998-01-01: earlier applications are the source domain
 
 
 @register("transfer_compare")
@@ -245,8 +243,8 @@ def transfer_compare(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     a = bind_applications(spark, sf_dir)
-    src = a.where(F.col("t") < 852076800)
-    tgt = a.where(F.col("t") >= 915148800).withColumn("__h", hash_order_key("id", 5))
+    src = a.where(F.col("t") < TRANSFER_CUT)
+    tgt = a.where(F.col("t") >= TRANSFER_CUT).withColumn("__h", hash_order_key("id", 5))
     pool, test = tgt.where(F.col("__h") < "c").drop("__h"), tgt.where(F.col("__h") >= "c").drop("__h")
     missing = set(TRANSFER_FEATURES) - set(tgt.columns)
     if missing:

@@ -52,16 +52,15 @@ def smote_knn(spark, sf_dir):
                        CAST(('0x' || substr(h, 1, 8)) AS BIGINT) % least({K}, (SELECT m FROM cnt) - 1) + 1 AS nn,
                        CAST(('0x' || substr(h, 9, 8)) AS BIGINT) / 4294967296.0 AS gap FROM h)
         SELECT syn.j AS syn_id, rr.vec_id AS base_id, knn.nid AS neighbor_id, round(syn.gap, 9) AS gap,
-               round(rr.v[1] + syn.gap * (nb.v[1] - rr.v[1]), 6) AS v1, round(rr.v[2] + syn.gap * (nb.v[2] - rr.v[2]), 6) AS v2
-        FROM syn JOIN rr ON syn.r = rr.r JOIN knn ON knn.id = rr.vec_id AND knn.rk = syn.nn JOIN mn nb ON nb.vec_id = knn.nid""",
+               CAST(a.axis AS BIGINT) AS axis, round(rr.v[a.axis] + syn.gap * (nb.v[a.axis] - rr.v[a.axis]), 6) AS value
+        FROM syn JOIN rr ON syn.r = rr.r JOIN knn ON knn.id = rr.vec_id AND knn.rk = syn.nn JOIN mn nb ON nb.vec_id = knn.nid
+             JOIN (SELECT unnest(range(1, 65)) AS axis) a ON a.axis <= len(rr.v)""",
 )
 def smote_oversample(spark, sf_dir):
     """Synthetic minority rows up to parity with the rest (train-side
-    SMOTE): base, neighbour, gap and the first two coordinates."""
+    SMOTE): base, neighbour, gap and every coordinate, one row each."""
     e, lab = _minority(spark, sf_dir)
     df = e.select("vec_id", F.col("embedding").alias("vec"), (F.col("label") == lab).cast("int").alias("is_min"))
     syn, _ = rs.oversample_to_parity(df, "is_min", 1, "vec_id", "vec", K, SEED)
-    return syn.select(
-        "syn_id", "base_id", "neighbor_id", F.round("gap", 9).alias("gap"),
-        F.round(F.element_at("vec", 1), 6).alias("v1"), F.round(F.element_at("vec", 2), 6).alias("v2"),
-    )
+    rows = syn.select("syn_id", "base_id", "neighbor_id", F.round("gap", 9).alias("gap"), F.posexplode("vec").alias("axis", "value"))
+    return rows.withColumns({"axis": (F.col("axis") + 1).cast("long"), "value": F.round("value", 6)})

@@ -4,12 +4,10 @@ the sinks hold (ST1-ST3)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ..operators import woe as wo
-from ..sources.tables import applications_from, table
+from ..sources.tables import EVENT_TRANSACTIONS_SQL, applications_from, table
 from ..streaming import jobs as sj
 from . import credit_plans as cp
 from .audit_plans import SCORES_SQL
@@ -43,7 +41,7 @@ def stream_score_audit(spark, sf_dir):
     root = sj.run_dir(spark, "score-audit")
     log = sj.stream_score_audit(
         spark, _app_stream(spark, sf_dir), m, base, pts, cut, "id", "t", ["totalprice", "acctbal", "priority", "segment"],
-        os.path.join(root, "log"), os.path.join(root, "chk"),
+        f"{root}/log", f"{root}/chk",
     )
     return log.select("id", F.round("score", 6).alias("score"), "decision")
 
@@ -63,8 +61,8 @@ def stream_velocity_tumbling(spark, sf_dir):
     the watermark has closed are emitted (append mode)."""
     root = sj.run_dir(spark, "velocity")
     ev = sj.file_stream(spark, sf_dir, "events.parquet")
-    out = os.path.join(root, "out")
-    sj.stream_velocity_tumbling(ev, "ts", "user_id", "value", WINDOW, DELAY, out, os.path.join(root, "chk"))
+    out = f"{root}/out"
+    sj.stream_velocity_tumbling(ev, "ts", "user_id", "value", WINDOW, DELAY, out, f"{root}/chk")
     r = spark.read.parquet(out)
     return r.select(F.unix_timestamp("window_start").alias("window_start"), "user_id", "n_events", F.round("amount_sum", 6).alias("amount_sum"))
 
@@ -90,23 +88,27 @@ def stream_psi(spark, sf_dir):
     m, base, pts, _, train_scores = _frozen(spark, sf_dir)
     root = sj.run_dir(spark, "psi")
     scored = wo.score(_app_stream(spark, sf_dir), m, base, pts, m.features()).select("score")
-    runs = sj.stream_psi(spark, scored, train_scores.select("score"), "score", os.path.join(root, "runs"), os.path.join(root, "chk"),
+    runs = sj.stream_psi(spark, scored, train_scores.select("score"), "score", f"{root}/runs", f"{root}/chk",
                          decimals=cp.EDGE_DECIMALS)
     return runs.select("batch_id", "n_rows", F.round("psi", 9).alias("psi"), "verdict", "status")
 
 
-@register("stream_velocity_exact", VELOCITY_SQL)
+@register(
+    "stream_velocity_exact",
+    f"SELECT * FROM ({VELOCITY_SQL}) WHERE t <= (SELECT max(t) FROM ({EVENT_TRANSACTIONS_SQL})) - 3600",
+)
 def stream_velocity_exact(spark, sf_dir):
     """ST2 (exact): the events file stream through a per-card stateful
-    processor; each row's 1h / 1d count and sum over (t - d, t]."""
+    processor; each row's 1h / 1d count and sum over (t - d, t].  Rows of the
+    last hour wait for the watermark and are not out yet."""
     from ..sources.tables import epoch_seconds
 
     root = sj.run_dir(spark, "velocity-exact")
     ev = sj.file_stream(spark, sf_dir, "events.parquet").select(
         F.col("event_id").alias("id"), F.col("user_id").alias("card"), epoch_seconds("ts").alias("t"), F.col("value").alias("amount")
     )
-    out = os.path.join(root, "out")
-    sj.stream_velocity_exact(ev, "card", "t", "id", "amount", {"1h": 3600, "1d": 86400}, out, os.path.join(root, "chk"))
+    out = f"{root}/out"
+    sj.stream_velocity_exact(ev, "card", "t", "id", "amount", {"1h": 3600, "1d": 86400}, out, f"{root}/chk")
     r = spark.read.parquet(out)
     return r.select(
         "id", "card", "t", "card_txn_count_1h", F.round("card_amt_sum_1h", 6).alias("card_amt_sum_1h"),

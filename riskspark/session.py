@@ -4,7 +4,8 @@ The library never creates a cluster session on its own: jobs receive the
 ``SparkSession`` they run in.  ``local_session`` is for tests and the bench
 only.  ``checkpoint_dir`` reads the shared folder the cluster names in
 ``spark.checkpoint.dir`` and only falls back to a per-run scratch folder when
-the setting is absent (local tests).
+the setting is absent in a local[...] session (tests); on a cluster that is
+an error.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="riskspark-ckpt-", dir=os.environ.get("RISKSPARK_SCRATCH", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch

@@ -8,7 +8,6 @@ folder, so a restarted job resumes where it stopped.  Sinks go through
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,17 +15,14 @@ from pyspark.sql import functions as F
 
 from ..operators import audit as au
 from ..operators import woe as wo
-from ..operators.registry import monitor_status, psi_by_batch
+from ..operators.registry import PsiReference, monitor_status
 from ..session import checkpoint_dir
 from ..functions.columns import points_decision
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one job run under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[5:]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def file_stream(spark: SparkSession, folder: str, file_glob: str, max_files: int = 1) -> DataFrame:
@@ -52,8 +48,7 @@ def stream_score_audit(
     """ST1: score each micro-batch with the frozen scorecard, decide, and
     append to the decision log (idempotent per batch id)."""
     approve, decline = cutoffs
-    # Frozen model tables become literal maps inside the plan: no refit and
-    # no lookup of mutable state per batch.
+    # The model tables were written once: no refit and no mutable state per batch.
     scored = wo.score(requests, model, base_points, points, model.features())
     decided = scored.withColumn("decision", points_decision("score", approve, decline))
     rows = au.decision_rows(decided, "credit", "scorecard-frozen", id_col, F.col(time_col), "score", "decision", input_cols)
@@ -88,80 +83,92 @@ def stream_velocity_tumbling(
 def stream_psi(
     spark: SparkSession, batches: DataFrame, reference: DataFrame, value: str, runs_path: str, checkpoint: str, decimals: int | None = None
 ):
-    """ST3: PSI of every micro-batch against frozen reference values,
-    appended to the runs table as one row per batch."""
+    """ST3: PSI of every micro-batch against a reference fitted once, one
+    folder of the runs table per batch, which a retry replaces."""
+    fitted = PsiReference(reference, value, decimals=decimals)
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
         b = batch_df.withColumn("__b", F.lit(int(batch_id)).cast("long"))
-        p = monitor_status(psi_by_batch(reference, b, value, "__b", decimals=decimals))
+        p = monitor_status(fitted.batches(b, "__b"))
         n = b.agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
-        row = p.crossJoin(n).select(F.col("__b").alias("batch_id"), "n_rows", "psi", "verdict", "status")
-        row.write.mode("append").parquet(runs_path)
+        p.crossJoin(n).select("n_rows", "psi", "verdict", "status").write.mode("overwrite").parquet(f"{runs_path}/batch_id={int(batch_id)}")
 
     q = batches.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(runs_path)
+    return spark.read.schema("n_rows long, psi double, verdict string, status int, batch_id long").parquet(runs_path)
 
 
 def _velocity_state_fn(windows: dict, max_window: int):
-    """Per-card stateful velocity: the state keeps the card's events of the
-    last ``max_window`` seconds (t, id, amount); each new row gets count and
-    sum over (t - d, t] in (t, id) order, same-second rows counted up to the
-    row itself."""
+    """Per-card state: rows that wait for the watermark, and the emitted rows
+    of the last ``max_window`` seconds.  When the watermark has passed a row,
+    no earlier row can come any more, so it gets its count and sum over
+    (t - d, t] in (t, id) order.  State without waiting rows expires once its
+    last row is out of every window."""
     import numpy as np
     import pandas as pd
 
-    labels = list(windows)
+    def rows(t, ids, amounts) -> pd.DataFrame:
+        return pd.DataFrame({"t": np.array(t, np.int64), "id": np.array(ids, np.int64), "amount": np.array(amounts, np.float64)})
 
     def fn(key, pdfs, state):
-        new = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            st = state.get
-            old = pd.DataFrame({"t": list(st[0]), "id": list(st[1]), "amount": list(st[2]), "__new": False})
-        else:
-            old = pd.DataFrame({"t": [], "id": [], "amount": [], "__new": []})
-        new = new.assign(__new=True)
-        allr = pd.concat([old.astype({"t": "int64", "id": "int64", "amount": "float64"}),
-                          new[["t", "id", "amount", "__new"]]], ignore_index=True)
-        allr = allr.sort_values(["t", "id"], kind="mergesort").reset_index(drop=True)
-        t = allr["t"].to_numpy(dtype=np.int64)
-        amt = allr["amount"].to_numpy(dtype=np.float64)
-        has = ~np.isnan(amt)
-        ccount = np.concatenate([[0], np.cumsum(has)])
-        csum = np.concatenate([[0.0], np.cumsum(np.where(has, amt, 0.0))])
-        pos = np.arange(len(allr))
-        out = pd.DataFrame({"id": allr["id"].to_numpy(), "card": key[0], "t": t})
-        for lb in labels:
-            start = np.searchsorted(t, t - windows[lb], side="right")
-            c = ccount[pos + 1] - ccount[start]
-            s = csum[pos + 1] - csum[start]
-            out[f"card_txn_count_{lb}"] = c
-            out[f"card_amt_sum_{lb}"] = np.where(c > 0, s, np.nan)
-        out = out[allr["__new"].to_numpy(dtype=bool)]
-        keep = allr[t > t.max() - max_window]
-        state.update((keep["t"].astype("int64").tolist(), keep["id"].astype("int64").tolist(), keep["amount"].astype("float64").tolist()))
-        yield out
+        old = state.get if state.exists else ([],) * 6
+        past, waiting = rows(*old[:3]), [rows(*old[3:])]
+        if not state.hasTimedOut:
+            waiting += [p[["t", "id", "amount"]] for p in pdfs]
+        waiting = pd.concat([w for w in waiting if len(w)] or [rows([], [], [])], ignore_index=True).sort_values(["t", "id"], kind="mergesort")
+        passed = state.getCurrentWatermarkMs() // 1000
+        final = waiting[waiting["t"] <= passed]
+        waiting = waiting[waiting["t"] > passed]
+        if len(final):
+            every = pd.concat([past, final], ignore_index=True) if len(past) else final.reset_index(drop=True)
+            t, amount = every["t"].to_numpy(np.int64), every["amount"].to_numpy(np.float64)
+            has = ~np.isnan(amount)
+            count = np.concatenate([[0], np.cumsum(has)])
+            total = np.concatenate([[0.0], np.cumsum(np.where(has, amount, 0.0))])
+            here = np.arange(len(past), len(every))
+            out = {"id": every["id"].to_numpy()[here], "card": key[0], "t": t[here]}
+            for label, d in windows.items():
+                start = np.searchsorted(t, t[here] - d, side="right")
+                n = count[here + 1] - count[start]
+                out[f"card_txn_count_{label}"] = n
+                out[f"card_amt_sum_{label}"] = np.where(n > 0, total[here + 1] - total[start], np.nan)
+            yield pd.DataFrame(out)
+            past = every
+        past = past[past["t"] > passed - max_window]
+        if not len(past) and not len(waiting):
+            state.remove()
+            return
+        state.update(tuple(frame[c].tolist() for frame in (past, waiting) for c in ("t", "id", "amount")))
+        due = int(waiting["t"].min()) if len(waiting) else int(past["t"].max()) + max_window
+        state.setTimeoutTimestamp(max(due * 1000 - 1, state.getCurrentWatermarkMs() + 1))
 
     return fn
 
 
 def stream_velocity_exact(
-    events: DataFrame, card: str, t: str, id_col: str, amount: str, windows: dict, out_table: str, checkpoint: str
+    events: DataFrame, card: str, t: str, id_col: str, amount: str, windows: dict, out_table: str, checkpoint: str, delay: str = "1 hour"
 ) -> None:
-    """ST2 (exact): per-row velocity for live traffic with
-    ``applyInPandasWithState`` keyed by card; results equal the batch
-    operator when rows arrive in time order."""
+    """ST2 (exact): per-row velocity of live traffic, equal to the batch
+    operator whatever the arrival order within ``delay``.  A row is emitted when
+    the watermark (latest event time less ``delay``) has reached it; rows newer
+    than that wait for later events, and rows that come after the watermark has
+    passed them are dropped as late (counted in the query's progress).  NULL
+    cards have no history and are left out, as they have no features."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    max_w = max(windows.values())
     fields = ", ".join(f"card_txn_count_{lb} long, card_amt_sum_{lb} double" for lb in windows)
     out_schema = f"id long, card long, t long, {fields}"
-    state_schema = "ts array<long>, ids array<long>, amounts array<double>"
-    src = events.select(F.col(id_col).alias("id"), F.col(card).alias("card"), F.col(t).alias("t"), F.col(amount).cast("double").alias("amount"))
-    res = src.groupBy("card").applyInPandasWithState(
-        _velocity_state_fn(dict(windows), max_w), out_schema, state_schema, "append", GroupStateTimeout.NoTimeout
+    state_schema = ", ".join(f"{w}_{c} array<{k}>" for w in ("past", "waiting") for c, k in (("t", "long"), ("id", "long"), ("amount", "double")))
+    src = events.select(
+        F.col(id_col).alias("id"), F.col(card).alias("card"), F.col(t).alias("t"), F.col(amount).cast("double").alias("amount"), F.timestamp_seconds(F.col(t)).alias("__at")
+    )
+    res = (
+        src.where("card is not null")
+        .withWatermark("__at", delay)
+        .groupBy("card")
+        .applyInPandasWithState(_velocity_state_fn(dict(windows), max(windows.values())), out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
     )
     q = res.writeStream.outputMode("append").format("parquet").option("path", out_table).option("checkpointLocation", checkpoint).trigger(
         availableNow=True

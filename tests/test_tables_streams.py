@@ -20,7 +20,7 @@ def test_contract_report_and_load_checked(spark, tmp_path):
     assert (r["n_rows"], r["n_missing_columns"], r["missing_columns"], r["n_duplicate_rows"], r["n_duplicate_keys"]) == (5, 1, "w", 2, 2)
     path = str(tmp_path / "t.parquet")
     df.write.parquet(path)
-    with pytest.raises(ValueError, match="missing required"):
+    with pytest.raises(ValueError, match="lacks columns"):
         ct.load_checked(spark, path, ["k", "w"], ["k"])
     with pytest.raises(ValueError, match="2 duplicate"):
         ct.load_checked(spark, path, ["k"], ["k"])
@@ -121,32 +121,55 @@ def test_streaming_tumbling_window(spark, tmp_path):
     assert got.agg(F.sum("n_events")).first()[0] == 48
 
 
-def test_streaming_exact_velocity_across_batches(spark, tmp_path):
-    from riskspark.operators import features as fe
-
-    rows = [(i, i % 3, i * 700 + (i % 5) * 11, float(i % 7)) for i in range(120)]
-    cols = "id long, card long, t long, amount double"
-    src = tmp_path / "src"
-    early = [r for r in rows if r[2] < 40000]
-    late = [r for r in rows if r[2] >= 40000]
-    spark.createDataFrame(early, cols).coalesce(1).write.parquet(str(src / "a"))
-    spark.createDataFrame(late, cols).coalesce(1).write.parquet(str(src / "b"))
+def _event_files(spark, folder, batches):
+    """One Parquet file per batch, read in this order (by modification time)."""
     import glob
+    import os
     import shutil
 
-    flat = tmp_path / "flat"
-    flat.mkdir()
-    for n, part in enumerate(sorted(glob.glob(str(src / "a" / "*.parquet")) + glob.glob(str(src / "b" / "*.parquet")))):
-        shutil.copy(part, flat / f"part-{n}.parquet")
-    ev = sj.file_stream(spark, str(flat), "*.parquet", max_files=1)
+    (folder / "flat").mkdir()
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, "id long, card long, t long, amount double").coalesce(1).write.parquet(str(folder / f"b{n}"))
+        (part,) = glob.glob(str(folder / f"b{n}" / "*.parquet"))
+        to = str(folder / "flat" / f"part-{n}.parquet")
+        shutil.copy(part, to)
+        os.utime(to, (1_700_000_000 + n, 1_700_000_000 + n))
+    return sj.file_stream(spark, str(folder / "flat"), "*.parquet", max_files=1)
+
+
+@pytest.mark.parametrize("later_first", [False, True])
+def test_streaming_exact_velocity_across_batches(spark, tmp_path, later_first):
+    from riskspark.operators import features as fe
+
+    rows = [(i, i % 3, 1 + i * 700 + (i % 5) * 11, float(i % 7)) for i in range(120)]
+    early, late = [r for r in rows if r[2] < 40_000], [r for r in rows if r[2] >= 40_000]
+    batches = [late, early] if later_first else [early, late]
+    delay = 50_000 if later_first else 600
+    # one last event moves the watermark over all others
+    batches.append([(999, 7, 400_000, 1.0)])
+    ev = _event_files(spark, tmp_path, batches)
     out = str(tmp_path / "out")
-    sj.stream_velocity_exact(ev, "card", "t", "id", "amount", {"w": 3000}, out, str(tmp_path / "chk"))
+    sj.stream_velocity_exact(ev, "card", "t", "id", "amount", {"w": 3000}, out, str(tmp_path / "chk"), delay=f"{delay} seconds")
     got = {r["id"]: (r["card_txn_count_w"], r["card_amt_sum_w"]) for r in spark.read.parquet(out).collect()}
     want = {r["id"]: (r["card_txn_count_w"], r["card_amt_sum_w"])
-            for r in fe.add_velocity_features(spark.createDataFrame(rows, cols), windows_seconds={"w": 3000}).collect()}
+            for r in fe.add_velocity_features(spark.createDataFrame(rows, "id long, card long, t long, amount double"), windows_seconds={"w": 3000}).collect()}
     assert got == want
 
 
+def test_stream_psi_retry_replaces_its_batch(spark, tmp_path):
+    from riskspark.operators.registry import PsiReference, monitor_status
+
+    old = spark.createDataFrame([(float(i % 23),) for i in range(300)], "x double")
+    src = tmp_path / "src"
+    spark.createDataFrame([(float(i % 9),) for i in range(80)], "x double").coalesce(1).write.parquet(str(src))
+    for attempt in range(2):  # the second run is a retry that has lost its checkpoint
+        runs = sj.stream_psi(spark, sj.file_stream(spark, str(src), "*.parquet"), old, "x", str(tmp_path / "runs"), str(tmp_path / f"chk{attempt}"))
+        (row,) = runs.collect()
+    b = spark.createDataFrame([(0, float(i % 9)) for i in range(80)], "b long, x double")
+    want = monitor_status(PsiReference(old, "x").batches(b, "b")).first()
+    assert (row["batch_id"], row["n_rows"]) == (0, 80) and abs(row["psi"] - want["psi"]) < 1e-12 and row["status"] == want["status"]
+
+
 def test_sinks(spark, tmp_path):
     from riskspark.sources import sinks
 
