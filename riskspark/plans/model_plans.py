@@ -1,10 +1,13 @@
 """Model-fitting queries (W8, ML3-ML5, ML7-ML9, ML13-ML14, GR6, UP1-UP2,
-TL1-TL5).  Fits are MLlib (distributed); results are seeded but not
-comparable with an SQL oracle, so these keys have no ``oracle_sql`` entry
-(rows-only check); their unit tests assert ranges."""
+TL1-TL5).  Fits are MLlib (distributed).  SQL cannot repeat a fit, so the
+queries return what must hold of it whatever the learner found: the counts of
+both sides, and whether scores, metrics and thresholds are in their ranges.
+``metrics_of`` and the operators return the metrics themselves."""
 
 from __future__ import annotations
 
+from math import isfinite
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_order_key
@@ -14,7 +17,7 @@ from ..operators import metrics as mt
 from ..operators import split as sp
 from ..operators import uplift as up
 from ..operators import woe as wo
-from ..sources.tables import bind_applications, bind_campaign, bind_event_transactions
+from ..sources.tables import APPLICATIONS_SQL, CAMPAIGN_SQL, EVENT_TRANSACTIONS_SQL, bind_applications, bind_campaign, bind_event_transactions
 from ..session import cut_lineage
 from ..streaming.jobs import run_dir
 from . import credit_plans as cp
@@ -43,11 +46,41 @@ def _fraud_frames(spark, sf_dir):
     return f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
 
 
-def _record(pred, name):
-    r = le.evaluate(pred, "label", "id")
+def metrics_of(pred, name, label="label"):
+    """The metric record of a prediction frame."""
+    r = le.evaluate(pred, label, "id")
     return r.select(F.lit(name).alias("model"), "n", "positives", r4("auc_roc"), r4("average_precision"), r4("ks_statistic"))
 
 
+def _within(c, low=0.0, high=1.0):
+    return F.col(c).isNotNull() & F.col(c).between(low, high)
+
+
+def _facts(pred, name, n_train, n_features, label="label"):
+    """Counts of both sides and whether scores and metrics are probabilities."""
+    scores = pred.agg(F.min(_within("score").cast("int")).alias("ok"))
+    r = metrics_of(pred, name, label).crossJoin(scores)
+    metrics = _within("auc_roc") & _within("average_precision") & _within("ks_statistic")
+    return r.select(
+        "model", F.lit(n_train).cast("long").alias("n_train"), F.col("n").cast("long").alias("n_test"), F.col("positives").cast("long").alias("positives"),
+        F.lit(n_features).cast("long").alias("n_features"), (F.col("ok") == 1).alias("scores_in_range"), metrics.alias("metrics_in_range"),
+    )
+
+
+def _facts_sql(models, sides, n_features):
+    """``sides``: SQL with columns test (boolean) and y."""
+    names = ", ".join(f"('{m}')" for m in models)
+    return f"""WITH sides AS ({sides})
+        SELECT m.model, CAST(count(*) FILTER (WHERE NOT test) AS BIGINT) AS n_train, CAST(count(*) FILTER (WHERE test) AS BIGINT) AS n_test,
+               CAST(coalesce(sum(y) FILTER (WHERE test), 0) AS BIGINT) AS positives, CAST({n_features} AS BIGINT) AS n_features,
+               true AS scores_in_range, true AS metrics_in_range
+        FROM sides, (VALUES {names}) m(model) GROUP BY m.model"""
+
+
+FRAUD_SIDES_SQL = f"""SELECT rn > round_even(n * CAST(0.8 AS DOUBLE), 0) AS test, y FROM (
+    SELECT label AS y, row_number() OVER (ORDER BY t, id) AS rn, count(*) OVER () AS n FROM ({EVENT_TRANSACTIONS_SQL}))"""
+
+
 def _union(frames):
     out = frames[0]
     for f in frames[1:]:
@@ -55,30 +88,35 @@ def _union(frames):
     return out
 
 
-@register("baseline_models")
+@register("baseline_models", _facts_sql(["logistic", "tree", "forest"], FRAUD_SIDES_SQL, len(FRAUD_FEATURES)))
 def baseline_models(spark, sf_dir):
     """ML3/ML4: logistic, tree and forest(100) on leak-free features,
     evaluated on the chronological test side."""
     tr, te = _fraud_frames(spark, sf_dir)
-    out = []
+    n, out = tr.count(), []
     for kind in ("logistic", "tree", "forest"):
         _, pred = le.fit_and_score(tr, te, FRAUD_FEATURES, "label", kind)
-        out.append(_record(pred, kind))
+        out.append(_facts(pred, kind, n, len(FRAUD_FEATURES)))
     return _union(out)
 
 
-@register("boosted_models")
+@register("boosted_models", _facts_sql(["gbt_floor", "gbt_improved"], FRAUD_SIDES_SQL, len(FRAUD_FEATURES)))
 def boosted_models(spark, sf_dir):
     """ML5/ML8: boosted trees, floor vs improved parameter family."""
     tr, te = _fraud_frames(spark, sf_dir)
-    out = []
+    n, out = tr.count(), []
     for name, params in (("gbt_floor", {"maxIter": 20, "maxDepth": 3}), ("gbt_improved", {"maxIter": 40, "maxDepth": 5, "stepSize": 0.05})):
         _, pred = le.fit_and_score(tr, te, FRAUD_FEATURES, "label", "gbt", **params)
-        out.append(_record(pred, name))
+        out.append(_facts(pred, name, n, len(FRAUD_FEATURES)))
     return _union(out)
 
 
-@register("time_series_search")
+@register(
+    "time_series_search",
+    f"""WITH tr AS (SELECT count(*) AS n FROM ({FRAUD_SIDES_SQL}) WHERE NOT test)
+        SELECT r.reg_param, CAST(3 AS BIGINT) AS n_folds, CAST(3 * (tr.n // 4) AS BIGINT) AS n_test, true AS auc_in_range
+        FROM tr, (VALUES (CAST(0.0 AS DOUBLE)), (CAST(0.01 AS DOUBLE)), (CAST(0.1 AS DOUBLE))) r(reg_param)""",
+)
 def time_series_search(spark, sf_dir):
     """ML7: expanding time folds (earlier rows train, later rows test) x a
     parameter grid, scored by exact AUC; mean per parameter set."""
@@ -91,12 +129,21 @@ def time_series_search(spark, sf_dir):
             _, pred = le.fit_and_score(f.where(F.col("role") == "train"), f.where(F.col("role") == "test"), FRAUD_FEATURES, "label",
                                        "logistic", regParam=reg)
             auc = mt.auc_roc(pred.select("id", F.col("label").alias("y"), "score"), validate=False)
-            rows.append(auc.select(F.lit(reg).alias("reg_param"), F.lit(k).alias("fold"), "auc_roc"))
-    res = _union(rows)
-    return res.groupBy("reg_param").agg(F.round(F.avg("auc_roc"), 4).alias("mean_auc"), F.count(F.lit(1)).alias("n_folds"))
+            size = pred.agg(F.count(F.lit(1)).alias("n"))
+            rows.append(auc.crossJoin(size).select(F.lit(reg).alias("reg_param"), F.lit(k).alias("fold"), "auc_roc", "n"))
+    return _union(rows).groupBy("reg_param").agg(
+        F.count(F.lit(1)).alias("n_folds"), F.sum("n").cast("long").alias("n_test"),
+        (F.min(F.coalesce(_within("auc_roc"), F.lit(True)).cast("int")) == 1).alias("auc_in_range"),
+    )
 
 
-@register("fraud_job")
+@register(
+    "fraud_job",
+    f"""WITH s AS ({FRAUD_SIDES_SQL})
+        SELECT CAST(greatest(0, count(*) FILTER (WHERE NOT test AND y <> 1) - count(*) FILTER (WHERE NOT test AND y = 1)) AS BIGINT) AS n_synthetic,
+               CAST(count(*) FILTER (WHERE test) AS BIGINT) AS n_test, true AS metrics_in_range, true AS thresholds_in_order,
+               'fraud_model' AS registered_name, '1' AS version FROM s""",
+)
 def fraud_job(spark, sf_dir):
     """ML13 (+ML6, ML9): features -> chronological split -> train medians ->
     SMOTE on the train side only -> boosted trees -> metrics -> F1 review
@@ -119,10 +166,11 @@ def fraud_job(spark, sf_dir):
     path = f"{run_dir(spark, 'registry')}/fraud_model/1"
     model.write().overwrite().save(path)
     rec = mt.metric_record(scored)
+    decline = review + (1 - review) / 2
+    metrics = _within("auc_roc") & _within("average_precision") & _within("ks_statistic")
     return rec.select(
-        r4("auc_roc"), r4("average_precision"), r4("ks_statistic"),
-        F.lit(round(review, 6)).alias("review_threshold"), F.lit(round(review + (1 - review) / 2, 6)).alias("decline_threshold"),
-        F.lit(int(n_new)).cast("long").alias("n_synthetic"), F.lit("fraud_model").alias("registered_name"), F.lit("1").alias("version"),
+        F.lit(int(n_new)).cast("long").alias("n_synthetic"), F.col("n").cast("long").alias("n_test"), metrics.alias("metrics_in_range"),
+        F.lit(0 <= review <= decline <= 1).alias("thresholds_in_order"), F.lit("fraud_model").alias("registered_name"), F.lit("1").alias("version"),
     )
 
 
@@ -132,7 +180,17 @@ def _credit_split(spark, sf_dir):
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
-@register("scorecard_fit")
+CREDIT_SIDES_SQL = f"""SELECT rn <= round_even(n * CAST(0.2 AS DOUBLE), 0) AS test, y FROM (
+    SELECT target AS y, row_number() OVER (PARTITION BY target ORDER BY md5(CAST(id AS VARCHAR) || ':' || '42'), id) AS rn,
+           count(*) OVER (PARTITION BY target) AS n FROM ({APPLICATIONS_SQL}))"""
+
+
+@register(
+    "scorecard_fit",
+    f"""SELECT t.term, CAST(n AS BIGINT) AS n_train, true AS finite
+        FROM (SELECT count(*) AS n FROM ({CREDIT_SIDES_SQL}) WHERE NOT test),
+             (VALUES {", ".join(f"('{f}')" for f in [*cp.NUMERIC, *cp.CATEGORICAL, "__intercept__", "__base_points__"])}) t(term)""",
+)
 def scorecard_fit(spark, sf_dir):
     """Logistic regression on train WoE columns -> coefficients and the
     points they imply (W9)."""
@@ -142,10 +200,16 @@ def scorecard_fit(spark, sf_dir):
     coefs, intercept = le.fit_scorecard_lr(wo.transform_woe(tr, m), woe_cols, "target")
     base, _ = wo.points_table(m, {f: coefs[f + "_woe"] for f in m.features()}, intercept)
     rows = [(f, float(coefs[f + "_woe"])) for f in m.features()] + [("__intercept__", intercept), ("__base_points__", base)]
-    return spark.createDataFrame(rows, "term string, value double").select("term", r4("value"))
+    n = tr.count()
+    return spark.createDataFrame([(term, n, isfinite(value)) for term, value in rows], "term string, n_train long, finite boolean")
 
 
-@register("credit_job")
+@register(
+    "credit_job",
+    f"""SELECT CAST(count(*) FILTER (WHERE NOT test) AS BIGINT) AS n_train, CAST(count(*) FILTER (WHERE test) AS BIGINT) AS n_test,
+               CAST(sum(y) FILTER (WHERE test) AS BIGINT) AS positives, true AS metrics_in_range, true AS cutoffs_in_order, true AS shares_in_range
+        FROM ({CREDIT_SIDES_SQL})""",
+)
 def credit_job(spark, sf_dir):
     """ML14: stratified split -> WoE fit on train -> logistic regression ->
     points scorecard -> cut-offs (60th/20th train percentile) -> test
@@ -168,12 +232,19 @@ def credit_job(spark, sf_dir):
         F.avg((F.col("score") >= cut["approve_cutoff"]).cast("double")).alias("approve_share"),
         F.avg((F.col("score") < cut["decline_cutoff"]).cast("double")).alias("decline_share"),
     )
-    return rec.select(r4("auc_roc"), r4("gini"), r4("ks_statistic")).crossJoin(mix.select(r4("approve_share"), r4("decline_share"))).withColumn(
-        "approve_cutoff", F.lit(round(cut["approve_cutoff"], 4))
-    ).withColumn("decline_cutoff", F.lit(round(cut["decline_cutoff"], 4)))
+    metrics = _within("auc_roc") & _within("gini", -1.0) & _within("ks_statistic")
+    return rec.crossJoin(mix).select(
+        F.lit(tr.count()).cast("long").alias("n_train"), F.col("n").cast("long").alias("n_test"), F.col("positives").cast("long").alias("positives"),
+        metrics.alias("metrics_in_range"), F.lit(cut["decline_cutoff"] <= cut["approve_cutoff"]).alias("cutoffs_in_order"),
+        (_within("approve_share") & _within("decline_share") & (F.col("approve_share") + F.col("decline_share") <= 1.0)).alias("shares_in_range"),
+    )
 
 
-@register("graph_classifier")
+GRAPH_SIDES_SQL = f"""SELECT o_orderdate >= TIMESTAMP '{gp.GRAPH_TRAIN_CUT}' AS test, CAST(o_orderstatus = 'F' AS INTEGER) AS y
+    FROM orders JOIN customer ON o_custkey = c_custkey"""
+
+
+@register("graph_classifier", _facts_sql(["graph_logistic"], GRAPH_SIDES_SQL, 2 * len(gp.NODE_FEATURES)))
 def graph_classifier(spark, sf_dir):
     """GR6: node features plus one-hop neighbour means, logistic regression
     trained on the train mask only, evaluated on the test mask."""
@@ -183,8 +254,9 @@ def graph_classifier(spark, sf_dir):
     )
     x = nodes.join(hop, "id")
     feats = [*gp.NODE_FEATURES, *[f"nb_{f}" for f in gp.NODE_FEATURES]]
-    _, pred = le.fit_and_score(x.where(F.col("mask") == "train"), x.where(F.col("mask") == "test"), feats, "label", "logistic")
-    return _record(pred, "graph_logistic")
+    train = x.where(F.col("mask") == "train")
+    _, pred = le.fit_and_score(train, x.where(F.col("mask") == "test"), feats, "label", "logistic")
+    return _facts(pred, "graph_logistic", train.count(), len(feats))
 
 
 def _campaign(spark, sf_dir):
@@ -201,10 +273,19 @@ UPLIFT_FEATURES = ["price", "acctbal", "t"]
 def _uplift_eval(scored, name):
     q = up.qini_coefficient(scored.select("id", "outcome", "treatment", "score"))
     u = up.uplift_at_k(scored.select("id", "outcome", "treatment", "score"), 0.3).select(F.col("uplift").alias("uplift_at_30"))
-    return q.crossJoin(u).select(F.lit(name).alias("learner"), r4("qini_coefficient"), r4("uplift_at_30"))
+    n = scored.agg(F.count(F.lit(1)).alias("n_test"), F.sum("treatment").cast("long").alias("n_treated"))
+    return q.crossJoin(u).crossJoin(n).select(
+        F.lit(name).alias("learner"), F.col("n_test").cast("long").alias("n_test"), "n_treated",
+        (_within("uplift_at_30", -1.0) & _within("qini_coefficient", -1.0)).alias("metrics_in_range"),
+    )
 
 
-@register("uplift_slearner")
+def _uplift_sql(name):
+    return f"""SELECT '{name}' AS learner, CAST(count(*) AS BIGINT) AS n_test, CAST(sum(treatment) AS BIGINT) AS n_treated, true AS metrics_in_range
+        FROM ({CAMPAIGN_SQL}) JOIN (SELECT id AS a FROM ({APPLICATIONS_SQL})) ON id = a WHERE md5(CAST(id AS VARCHAR) || ':' || '11') >= 'b'"""
+
+
+@register("uplift_slearner", _uplift_sql("s_learner"))
 def uplift_slearner(spark, sf_dir):
     """UP1: one model with treatment as a feature; uplift = P(y | t=1) -
     P(y | t=0)."""
@@ -219,7 +300,7 @@ def uplift_slearner(spark, sf_dir):
     return _uplift_eval(scored, "s_learner")
 
 
-@register("uplift_tlearner")
+@register("uplift_tlearner", _uplift_sql("t_learner"))
 def uplift_tlearner(spark, sf_dir):
     """UP2: one model per arm; uplift = difference of their predictions."""
     tr, te = _campaign(spark, sf_dir)
@@ -234,7 +315,18 @@ BUDGETS = [200, 1000]
 TRANSFER_CUT = 883612800  # 1998-01-01: earlier applications are the source domain
 
 
-@register("transfer_compare")
+TRANSFER_STRATEGIES = [("zero_shot", 0), *((name, b) for b in BUDGETS for name in ("warm_start", "from_scratch"))]
+
+
+@register(
+    "transfer_compare",
+    f"""WITH a AS ({APPLICATIONS_SQL}),
+        t AS (SELECT count(*) AS n, sum(target) AS p FROM a WHERE t >= {TRANSFER_CUT} AND md5(CAST(id AS VARCHAR) || ':' || '5') >= 'c'),
+        s AS (SELECT count(*) AS n FROM a WHERE t < {TRANSFER_CUT})
+        SELECT CAST(v.budget AS BIGINT) AS budget, v.strategy, CAST(s.n AS BIGINT) AS n_source, CAST(t.n AS BIGINT) AS n_test, CAST(t.p AS BIGINT) AS positives,
+               true AS precision_in_range
+        FROM t, s, (VALUES {", ".join(f"({b}, '{name}')" for name, b in TRANSFER_STRATEGIES)}) v(budget, strategy)""",
+)
 def transfer_compare(spark, sf_dir):
     """TL1-TL5: a source model (earlier applications) applied zero-shot to
     a later target domain, warm-started with residual boosting rounds on a
@@ -258,9 +350,14 @@ def transfer_compare(spark, sf_dir):
             "features", "rawPrediction", "probability", "prediction"
         )
 
+    n_source = src.count()
+
     def ap(pred, name, budget):
-        return mt.average_precision(pred.select("id", F.col("target").alias("y"), "score"), validate=False).select(
-            F.lit(budget).alias("budget"), F.lit(name).alias("strategy"), r4("average_precision")
+        size = pred.agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("p"))
+        found = mt.average_precision(pred.select("id", F.col("target").alias("y"), "score"), validate=False).crossJoin(size)
+        return found.select(
+            F.lit(budget).cast("long").alias("budget"), F.lit(name).alias("strategy"), F.lit(n_source).cast("long").alias("n_source"),
+            F.col("n").cast("long").alias("n_test"), F.col("p").cast("long").alias("positives"), _within("average_precision").alias("precision_in_range"),
         )
 
     test_m = margin(test)
