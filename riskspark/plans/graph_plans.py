@@ -146,58 +146,47 @@ def standardize(spark, sf_dir):
     return le.standardize(a, sc, ["totalprice"]).select("id", r9("totalprice"))
 
 
-NUMERIC_SQL_TYPES = "('TINYINT','SMALLINT','INTEGER','BIGINT','HUGEINT','FLOAT','DOUBLE','BOOLEAN','DECIMAL')"
-
-
 def feature_catalog_df(df, exclude=("id", "target", "label")):
     """PF1: numeric and boolean columns minus id and target, in schema
-    order."""
-    from ..operators.profile import NUMERIC
-    from pyspark.sql import types as T
-
-    rows = [
-        (i, f.name) for i, f in enumerate(df.schema.fields)
-        if isinstance(f.dataType, (*NUMERIC, T.BooleanType)) and f.name not in exclude
-    ]
+    order, as (position, column)."""
+    rows = [(i, c) for i, c in enumerate(df.columns) if c in feature_columns(df, exclude)]
     return df.sparkSession.createDataFrame(rows, "position int, column string")
 
 
-@register(
-    "feature_catalog",
-    f"""SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "column", column_type
-        FROM (DESCRIBE ({APPLICATIONS_SQL}))""".replace(", column_type", ""),
-)
-def feature_catalog(spark, sf_dir):
-    return _catalog(bind_applications(spark, sf_dir))
+def feature_columns(df, exclude=("id", "target", "label")) -> list[str]:
+    from pyspark.sql import types as T
 
+    from ..operators.profile import NUMERIC
 
-def _catalog(df):
-    return feature_catalog_df(df)
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (*NUMERIC, T.BooleanType)) and f.name not in exclude]
 
 
-# The oracle must list the selected columns with their schema positions.
-FEATURE_CATALOG_SQL = f"""
-WITH d AS (SELECT row_number() OVER () - 1 AS position, column_name, column_type FROM (DESCRIBE ({APPLICATIONS_SQL})))
-SELECT CAST(position AS INTEGER) AS position, column_name AS "column" FROM d
-WHERE (column_type IN {NUMERIC_SQL_TYPES} OR column_type LIKE 'DECIMAL%') AND column_name NOT IN ('id', 'target', 'label')"""
+@register("feature_catalog", f"SELECT id, round(totalprice, 6) AS totalprice, round(acctbal, 6) AS acctbal, t FROM ({APPLICATIONS_SQL})")
+def feature_catalog(spark, sf_dir):
+    """PF1: every application with the columns the catalogue selects."""
+    a = bind_applications(spark, sf_dir)
+    floats = {"double", "float"}
+    return a.select("id", *[F.round(c, 6).alias(c) if dict(a.dtypes)[c] in floats else F.col(c) for c in feature_columns(a)])
 
-from .registry import ORACLES  # noqa: E402
 
-ORACLES["feature_catalog"] = FEATURE_CATALOG_SQL.strip()
+def _missing_sql(side, source, columns):
+    return [f"""SELECT '{c}' AS "column", '{side}' AS side, CAST(count(*) - count({c}) AS BIGINT) AS n_missing FROM ({source})""" for c in columns]
 
 
 @register(
     "schema_diff",
-    f"""WITH s AS (SELECT column_name FROM (DESCRIBE ({APPLICATIONS_SQL}))
-                   WHERE (column_type IN {NUMERIC_SQL_TYPES}) AND column_name NOT IN ('id', 'target', 'label')),
-             t AS (SELECT column_name FROM (DESCRIBE ({EVENT_TRANSACTIONS_SQL}))
-                   WHERE (column_type IN {NUMERIC_SQL_TYPES}) AND column_name NOT IN ('id', 'target', 'label'))
-        SELECT column_name AS "column", 'source_only' AS side FROM (SELECT * FROM s EXCEPT SELECT * FROM t)
-        UNION ALL SELECT column_name, 'target_only' FROM (SELECT * FROM t EXCEPT SELECT * FROM s)""",
+    " UNION ALL ".join(
+        [*_missing_sql("source_only", APPLICATIONS_SQL, ["totalprice", "acctbal"]), *_missing_sql("target_only", EVENT_TRANSACTIONS_SQL, ["card", "amount", "diversity"])]
+    ),
 )
 def schema_diff(spark, sf_dir):
-    """TL6: feature catalogues of two domains (credit applications vs. event
-    transactions) compared as sets."""
-    s = _catalog(bind_applications(spark, sf_dir)).select("column")
-    t = _catalog(bind_event_transactions(spark, sf_dir)).select("column")
-    return s.subtract(t).withColumn("side", F.lit("source_only")).unionByName(t.subtract(s).withColumn("side", F.lit("target_only")))
+    """TL6: features that only one of two domains has (credit applications,
+    event transactions), with their missing values."""
+    from ..operators.profile import missing_rates
+
+    source, target = bind_applications(spark, sf_dir), bind_event_transactions(spark, sf_dir)
+    s, t = feature_columns(source), feature_columns(target)
+    out = []
+    for side, df, only in (("source_only", source, [c for c in s if c not in t]), ("target_only", target, [c for c in t if c not in s])):
+        out.append(missing_rates(df.select(*only)).select("column", F.lit(side).alias("side"), "n_missing"))
+    return out[0].unionByName(out[1])
