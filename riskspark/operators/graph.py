@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .learners import fit_standardizer, impute_median, standardize
 
 
@@ -58,7 +59,9 @@ def khop_mean(nodes: DataFrame, edges: DataFrame, id_col: str, features: Sequenc
     """GR4: per hop, entity value = mean of its transactions' features,
     then each transaction sums over entity types the mean of its entities'
     values.  Transactions without edges get 0.0."""
-    cur = nodes.select(F.col(id_col).alias("txn"), *features)
+    # both are read twice per hop: made once, not once per use
+    edges = cut_lineage(edges)
+    cur = cut_lineage(nodes.select(F.col(id_col).alias("txn"), *features))
     for _ in range(hops):
         ent = edges.join(cur, "txn").groupBy("entity_type", "entity").agg(*[F.avg(f).alias(f) for f in features])
         # Entity table size is data-dependent: AQE broadcasts it at runtime

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..functions.columns import psi_verdict
+from ..functions.columns import number, psi_verdict
 from .modeltables import keep
-from .drift import PSI_EPSILON, STATUS_OK, STATUS_SIGNIFICANT_SHIFT, _bin_expr, _long, psi_edges
+from .drift import PSI_EPSILON, STATUS_COULD_NOT_RUN, STATUS_OK, STATUS_SIGNIFICANT_SHIFT, _bin_expr, _long, psi_edges
 
 
 def union_runs(frames: Sequence[DataFrame]) -> DataFrame:
@@ -76,6 +76,64 @@ class PsiReference:
         return t.groupBy(F.col("__batch").alias(batch)).agg(F.sum("c").alias("psi")).withColumn("verdict", psi_verdict("psi"))
 
 
+RUN_SCHEMA = "n_rows long, psi double, verdict string, status int, run_id string"
+
+
+def monitor_run(reference: DataFrame, actual: DataFrame, value: str, runs_path: str, run_id: str, bins: int = 10, decimals: int | None = None) -> DataFrame:
+    """PS5: one monitoring run, written to its own folder of the runs table (a
+    repeated run replaces it); returns the table.  Status 0 or 1 by the verdict,
+    2 when there is nothing to compare: no actual rows, or a reference with
+    fewer than two values."""
+    n = actual.count()
+    values = reference.select(number(F.col(value).cast("double")).alias("v")).where("v is not null").distinct().limit(2).count()
+    if n and values == 2:
+        found = monitor_status(psi_by_batch(reference, actual.withColumn("__run", F.lit(run_id)), value, "__run", bins, decimals))
+        row = found.select("psi", "verdict", F.col("status").cast("int").alias("status"))
+    else:
+        row = reference.sparkSession.range(1).select(
+            F.lit(None).cast("double").alias("psi"), F.lit("could_not_run").alias("verdict"), F.lit(STATUS_COULD_NOT_RUN).alias("status")
+        )
+    row.select(F.lit(n).cast("long").alias("n_rows"), "psi", "verdict", "status").write.mode("overwrite").parquet(f"{runs_path}/run_id={run_id}")
+    return reference.sparkSession.read.schema(RUN_SCHEMA).parquet(runs_path)
+
+
+VERSION_SCHEMA = "metrics map<string,double>, model_path string, name string, version string"
+PROMOTION_SCHEMA = "version string, promoted_at timestamp, name string, alias string, event long"
+
+
+def _read(spark, path: str, schema: str) -> DataFrame:
+    """A registry table; empty before its first write."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def versions(spark, root: str) -> DataFrame:
+    return _read(spark, f"{root}/versions", VERSION_SCHEMA)
+
+
+def promotions(spark, root: str) -> DataFrame:
+    return _read(spark, f"{root}/promotions", PROMOTION_SCHEMA)
+
+
+def register_version(spark, root: str, name: str, metrics: dict[str, float], model_path: str) -> str:
+    """ML9: adds the next version of a model with its metrics and the place of
+    the fitted model, one folder per version; returns the version."""
+    last = versions(spark, root).where(F.col("name") == name).agg(F.max(F.col("version").cast("long"))).first()[0] or 0
+    row = spark.createDataFrame([({k: float(v) for k, v in metrics.items()}, model_path)], "metrics map<string,double>, model_path string")
+    row.write.mode("overwrite").parquet(f"{root}/versions/name={name}/version={last + 1}")
+    return str(last + 1)
+
+
+def promote(spark, root: str, name: str, version: str, alias: str = "champion") -> None:
+    """ML10: appends a promotion event for a registered version."""
+    if versions(spark, root).where((F.col("name") == name) & (F.col("version") == version)).isEmpty():
+        raise ValueError(f"no version {version} of {name!r} to promote")
+    event = promotions(spark, root).where((F.col("name") == name) & (F.col("alias") == alias)).count()
+    row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("promoted_at"))
+    row.write.mode("overwrite").parquet(f"{root}/promotions/name={name}/alias={alias}/event={event}")
+
+
 def psi_by_batch(expected: DataFrame, actual: DataFrame, value: str, batch: str, bins: int = 10, decimals: int | None = None) -> DataFrame:
     """PSI of each actual batch against one expected sample: (batch, psi, verdict)."""
     return PsiReference(expected, value, bins, decimals).batches(actual, batch)

@@ -188,14 +188,13 @@ def runs_comparison(spark, sf_dir):
                CASE WHEN psi >= 0.25 THEN 1 ELSE 0 END AS status FROM v""",
 )
 def psi_monitor(spark, sf_dir):
-    """PS5: score the later applications with the frozen scorecard and
-    compare with the train scores; status 1 = significant shift."""
+    """PS5: a monitoring run: score the later applications with the frozen
+    scorecard, compare with the train scores, append the run, read it back."""
     s = _scores(spark, sf_dir)
     ref = s.where(F.col("t") < cp.CREDIT_TRAIN_T)
-    batch = s.where(F.col("t") >= cp.CREDIT_TRAIN_T).withColumn("__b", F.lit("monitor"))
-    p = rg.monitor_status(rg.psi_by_batch(ref, batch, "score", "__b", decimals=cp.EDGE_DECIMALS))
-    n = batch.agg(F.count(F.lit(1)).cast("long").alias("n_monitoring"))
-    return n.crossJoin(p.select(F.round("psi", 9).alias("psi"), "verdict", "status"))
+    batch = s.where(F.col("t") >= cp.CREDIT_TRAIN_T)
+    runs = rg.monitor_run(ref, batch, "score", f"{run_dir(spark, 'monitor')}/runs", "monitor", decimals=cp.EDGE_DECIMALS)
+    return runs.select(F.col("n_rows").alias("n_monitoring"), F.round("psi", 9).alias("psi"), "verdict", "status")
 
 
 def _versions(spark, sf_dir):

@@ -14,6 +14,7 @@ from ..functions.columns import hash_order_key
 from ..operators import graph as gr
 from ..operators import learners as le
 from ..operators import metrics as mt
+from ..operators import registry as rg
 from ..operators import split as sp
 from ..operators import uplift as up
 from ..operators import woe as wo
@@ -147,7 +148,8 @@ def time_series_search(spark, sf_dir):
 def fraud_job(spark, sf_dir):
     """ML13 (+ML6, ML9): features -> chronological split -> train medians ->
     SMOTE on the train side only -> boosted trees -> metrics -> F1 review
-    threshold and decline threshold -> the fitted model is saved."""
+    threshold and decline threshold -> the fitted model is saved, registered
+    with its metrics and promoted; name and version are read back."""
     from ..operators import resample as rs
 
     tr, te = _fraud_frames(spark, sf_dir)
@@ -163,14 +165,17 @@ def fraud_job(spark, sf_dir):
     scored = pred.select("id", F.col("label").alias("y"), "score")
     f1 = mt.f1_threshold(scored, validate=False).first()
     review = f1["threshold"]
-    path = f"{run_dir(spark, 'registry')}/fraud_model/1"
-    model.write().overwrite().save(path)
-    rec = mt.metric_record(scored)
+    root = run_dir(spark, "registry")
+    model.write().overwrite().save(f"{root}/models/fraud")
+    rec = cut_lineage(mt.metric_record(scored))
+    found = rec.select("auc_roc", "average_precision", "ks_statistic").first().asDict()
+    rg.promote(spark, root, "fraud_model", rg.register_version(spark, root, "fraud_model", found, f"{root}/models/fraud"))
+    champion = rg.champion(rg.promotions(spark, root), "fraud_model").first()
     decline = review + (1 - review) / 2
     metrics = _within("auc_roc") & _within("average_precision") & _within("ks_statistic")
     return rec.select(
         F.lit(int(n_new)).cast("long").alias("n_synthetic"), F.col("n").cast("long").alias("n_test"), metrics.alias("metrics_in_range"),
-        F.lit(0 <= review <= decline <= 1).alias("thresholds_in_order"), F.lit("fraud_model").alias("registered_name"), F.lit("1").alias("version"),
+        F.lit(0 <= review <= decline <= 1).alias("thresholds_in_order"), F.lit(champion["name"]).alias("registered_name"), F.lit(champion["version"]).alias("version"),
     )
 
 

@@ -95,6 +95,28 @@ def test_registry(spark):
     assert [r["run_id"] for r in rg.metric_history(runs, "score_psi").collect()] == ["r1"]
 
 
+def test_registered_versions_and_promotions(spark, tmp_path):
+    root = str(tmp_path / "registry")
+    assert rg.versions(spark, root).count() == 0 and rg.champion(rg.promotions(spark, root), "m").count() == 0
+    made = [rg.register_version(spark, root, "m", {"auc": 0.5 + k / 10}, f"/models/{k}") for k in range(11)]
+    assert made == [str(k + 1) for k in range(11)] and rg.register_version(spark, root, "other", {}, "/x") == "1"
+    assert [r["version"] for r in rg.list_versions(rg.versions(spark, root), "m").collect()][:2] == ["11", "10"]
+    for v in ("3", "11", "2"):
+        rg.promote(spark, root, "m", v)
+    assert rg.champion(rg.promotions(spark, root), "m").first()["version"] == "2"
+    with pytest.raises(ValueError):
+        rg.promote(spark, root, "m", "99")
+
+
+def test_monitor_run_statuses(spark, tmp_path):
+    old = spark.createDataFrame([(float(i % 40),) for i in range(400)], "x double")
+    same, moved, none = old, old.selectExpr("x + 25 x"), old.where("x < 0")
+    path = str(tmp_path / "runs")
+    for run_id, ref, new in (("a", old, same), ("b", old, moved), ("c", old, none), ("d", none, old), ("b", old, moved)):
+        runs = rg.monitor_run(ref, new, "x", path, run_id)
+    assert {r["run_id"]: (r["status"], r["n_rows"]) for r in runs.collect()} == {"a": (0, 400), "b": (1, 400), "c": (2, 0), "d": (2, 400)}
+
+
 def test_time_series_folds_and_permutation(spark):
     df = spark.createDataFrame([(i, i * 10) for i in range(12)], "id long, t long")
     f = sp.time_series_folds(df, 3)
