@@ -41,18 +41,25 @@ def dump(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def tidy() -> None:
+    """Hands freed Arrow buffers back: idle Python workers stay alive, and
+    several of them share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+
+
 def load(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(blob)).read_all().combine_chunks()
 
 
-def _cut(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
-    """Halves of a batch until each has at most ``most`` bytes or one row."""
+def cut(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Halves of a batch until each has at most ``most`` bytes or one row, so
+    that a task's memory does not follow the rows of an Arrow batch."""
     if batch.num_rows <= 1 or batch.nbytes <= most:
         yield batch
     else:
         half = batch.num_rows // 2
-        yield from _cut(batch.slice(0, half), most)
-        yield from _cut(batch.slice(half), most)
+        yield from cut(batch.slice(0, half), most)
+        yield from cut(batch.slice(half), most)
 
 
 def _packer(most: int):
@@ -72,7 +79,7 @@ def _packer(most: int):
             return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([blob], pa.binary())], ["block", "docs"])
 
         for batch in batches:
-            for part in _cut(batch, most // 4):
+            for part in cut(batch, most // 4):
                 if not part.num_rows:
                     continue
                 if held and size + part.nbytes > most:
@@ -104,11 +111,22 @@ def bucket_count(blocks: DataFrame) -> int:
 def ask(blocks: DataFrame, keys_of: Callable[[pa.Table], list[tuple[int, bytes]]]) -> DataFrame:
     """Runs ``keys_of`` on each block's documents; it returns (bucket, payload)
     pairs for the buckets that have keys."""
+    return blocks.mapInArrow(_asker(keys_of), _ASKED)
+
+
+def ask_rows(df: DataFrame, keys_of: Callable[[pa.Table], list[tuple[int, bytes]]], block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``ask(pack(df, keep=False), keys_of)`` in one Python worker per task
+    instead of two, which halves the workers' memory."""
+    packer, asker = _packer(block_bytes), _asker(keys_of)
+    return df.mapInArrow(lambda batches: asker(packer(batches)), _ASKED)
+
 
+def _asker(keys_of: Callable[[pa.Table], list[tuple[int, bytes]]]):
     def run(batches):
         for batch in batches:
             for block, blob in zip(batch.column("block").to_pylist(), batch.column("docs"), strict=True):
                 asked = keys_of(load(blob.as_buffer()))
+                tidy()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([b for b, _ in asked], pa.int32()),
@@ -118,7 +136,7 @@ def ask(blocks: DataFrame, keys_of: Callable[[pa.Table], list[tuple[int, bytes]]
                     ["bucket", "block", "payload"],
                 )
 
-    return blocks.mapInArrow(run, _ASKED)
+    return run
 
 
 def answer(asked: DataFrame, reply_to: Callable[[int, list[bytes]], list[bytes]]) -> DataFrame:
@@ -128,6 +146,7 @@ def answer(asked: DataFrame, reply_to: Callable[[int, list[bytes]], list[bytes]]
     def run(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
         replies = reply_to(bucket, group.column("payload").to_pylist())
+        tidy()
         return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "payload": pa.array(replies, pa.binary())})
 
     return asked.groupBy("bucket").applyInArrow(run, _REPLIES)
@@ -165,6 +184,7 @@ def use(blocks: DataFrame, replies: DataFrame, finish: Callable[[pa.Table, dict[
     """``finish(documents, {bucket: reply})`` for each block with its replies."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        tidy()
         return finish(load(left.column("docs")[0].as_buffer()), _by_bucket(left, right))
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)

@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,8 @@ from .words import Words, mix
 
 ORDER = 5
 TRAIN_DOCS = 20_000
+#: Raw bytes of a block; spelling out its words takes some twenty times as much.
+BLOCK_BYTES = 8 << 20
 QUANTILE = 0.99
 TOLERANCE = 1.75
 _BEGIN, _END = "\x02", "\x03"
@@ -104,10 +107,10 @@ def gram_keys(codes: np.ndarray) -> np.ndarray:
 
 
 def gram_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """(gram, n): counts of all highest-order grams, pre-summed per Arrow batch."""
+    """(gram, n): counts of all highest-order grams, pre-summed per few megabytes of text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in B.cut(whole, BLOCK_BYTES // 2)):
             found = _Spelled(batch.column(text_col))
             text = np.ascontiguousarray(found.grams).tobytes().decode("utf-32-le", "surrogatepass")
             grams = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
@@ -116,9 +119,8 @@ def gram_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.select(text_col).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _discounts(counts: DataFrame) -> list[float]:
+def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more."""
-    n1, n2, n3, n4 = (x or 0 for x in counts.agg(*[F.count(F.when(F.col("n") == k, 1)) for k in (1, 2, 3, 4)]).first())
     y = n1 / (n1 + 2 * n2) if n1 else 0.0
     raw = [k - (k + 1) * y * more / of if of else k * 0.5 for k, of, more in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
     return [min(max(d, 0.05 * k), 0.95 * k) for k, d in enumerate(raw, 1)]
@@ -129,30 +131,34 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
     log_p is the interpolated probability of the gram's last character after
     the others; log_bow is the weight of the lower order after the whole gram.
-    The empty context is the gram ''; its log_p is the uniform floor."""
-    levels = {order: cut_lineage(counts)}
-    for k in range(order - 1, 0, -1):
-        # continuation counts: distinct characters seen before the gram
-        levels[k] = cut_lineage(levels[k + 1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n")))
-    symbols = levels[1].count()
-    lower = counts.sparkSession.range(1).select(F.lit("").alias("gram"), F.lit(1.0 / (symbols + 1)).alias("p"))
-    lower_p, weights, out = lower, None, None
-    for k in range(1, order + 1):
-        d1, d2, d3 = _discounts(levels[k])
-        cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        rows = levels[k].select("gram", "n", F.substring("gram", 1, k - 1).alias("context"), F.substring("gram", 2, k - 1).alias("shorter"), cut.alias("cut"))
-        of_context = rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("mass"))
-        p = (
-            rows.join(of_context, "context")
-            .join(lower_p.select(F.col("gram").alias("shorter"), F.col("p").alias("less")), "shorter")
-            .select("gram", ((F.col("n") - F.col("cut")) / F.col("total") + F.col("mass") / F.col("total") * F.col("less")).alias("p"))
-        )
-        p = cut_lineage(p)
-        bow = of_context.select(F.col("context").alias("gram"), F.log(F.col("mass") / F.col("total")).alias("log_bow"))
-        here = lower_p.select("gram", F.log("p").alias("log_p")).join(bow, "gram", "full_outer")
-        out = here if out is None else out.unionByName(here)
-        lower_p = p
-    return out.unionByName(lower_p.select("gram", F.log("p").alias("log_p"), F.lit(None).cast("double").alias("log_bow")))
+    The empty context is the gram ''; its log_p is the uniform floor.
+
+    All orders are handled at once: the grams of all orders are the distinct
+    suffixes of the highest-order grams, continuation counts and context totals
+    are one grouping each, and a gram's probability is put together from the
+    discounted shares of its suffixes and the masses of their contexts, which it
+    looks up in one join each."""
+    tails = F.transform(F.sequence(F.lit(1), F.lit(order - 1)), lambda k: F.expr("gram").substr(F.lit(order + 1) - k, k))
+    lower = counts.select(F.explode(tails).alias("gram")).distinct()
+    kept = cut_lineage(counts.unionByName(lower.withColumn("n", F.lit(None).cast("long"))))
+    # distinct characters seen before a gram of a lower order
+    before = kept.filter(F.length("gram") > 1).groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("seen"))
+    level = cut_lineage(kept.join(before, "gram", "left").select("gram", F.coalesce("n", "seen").alias("n"), F.length("gram").alias("k")))
+    found = level.groupBy("k").agg(F.count("*").alias("all"), *[F.count_if(F.col("n") == c).alias(f"n{c}") for c in (1, 2, 3, 4)]).collect()
+    cuts = {r["k"]: _discounts(r["n1"], r["n2"], r["n3"], r["n4"]) for r in found}  # one row per order
+    symbols = next((r["all"] for r in found if r["k"] == 1), 0)
+    table_ = F.array(*[F.array(*[F.lit(float(d)) for d in cuts.get(k, [0.0] * 3)]) for k in range(1, order + 1)])
+    cut = F.element_at(F.element_at(table_, F.col("k")), F.least(F.col("n"), F.lit(3)).cast("int"))
+    parts = level.select("gram", "n", "k", cut.alias("cut"), F.expr("substring(gram, 1, k - 1)").alias("context"))
+    contexts = cut_lineage(parts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("cut")).select("context", "total", (F.col("cut") / F.col("total")).alias("mass")))
+    shares = parts.join(contexts, "context").select(F.col("gram").alias("tail"), ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"), "mass")
+    chain = level.select("gram", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("j")).withColumn("tail", F.expr("substring(gram, length(gram) - j + 1)"))
+    steps = chain.join(shares, "tail").groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("j", "share", "mass"))).alias("steps"))  # at most `order` per gram
+    floor = F.lit(1.0 / (symbols + 1))
+    p = steps.select("gram", F.aggregate("steps", floor, lambda acc, x: x["share"] + x["mass"] * acc).alias("p"))
+    p = p.unionByName(counts.sparkSession.range(1).select(F.lit("").alias("gram"), floor.alias("p")))
+    bow = contexts.select(F.col("context").alias("gram"), F.log("mass").alias("log_bow"))
+    return p.join(bow, "gram", "full_outer").select("gram", F.log("p").alias("log_p"), "log_bow")
 
 
 class Model:
@@ -205,7 +211,7 @@ def _reply(model: pa.Table, payloads: list[bytes]) -> list[bytes]:
             at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
             hit = keys[at] == asked
             got[hit] = values[at[hit]]
-        out.append(got.tobytes())
+        out.append(zstandard.compress(got.tobytes(), 1))
     return out
 
 
@@ -227,7 +233,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` with n_predicted, log_prob and perplexity."""
     df = B.make_room(df, [f.name for f in SCORED], text_col)
     buckets, floor, floor_bow = model.buckets, model.floor, model.floor_bow
-    packed = B.pack(df, keep=False)
+    packed = B.pack(df, BLOCK_BYTES, keep=False)
 
     def keys_of(docs: pa.Table):
         keys = np.unique(np.concatenate(_asked(_Spelled(docs.column(text_col)))))
@@ -238,7 +244,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         found = _Spelled(docs.column(text_col))
         keys = np.unique(np.concatenate(_asked(found)))
         edges = B.bucket_edges(keys, buckets)
-        got = [np.frombuffer(replies[b], np.float32).reshape(-1, 2) for b in np.flatnonzero(np.diff(edges)).tolist()]
+        got = [np.frombuffer(zstandard.decompress(replies[b]), np.float32).reshape(-1, 2) for b in np.flatnonzero(np.diff(edges)).tolist()]
         values = np.concatenate([np.empty((0, 2), np.float32), *got]).astype(np.float64)
         n = found.lengths()
         log_prob = found.total(_backed_off(found, keys, values, floor, floor_bow)) if len(keys) else np.zeros(len(n))
@@ -247,7 +253,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             docs = docs.append_column(field.name, made)
         return docs
 
-    replies = B.answer_from(B.ask(packed, keys_of), model.rows, _reply)
+    replies = B.answer_from(B.ask_rows(df, keys_of, BLOCK_BYTES), model.rows, _reply)
     return B.use(packed, replies, finish, T.StructType(df.schema.fields + SCORED))
 
 
