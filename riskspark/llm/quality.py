@@ -50,6 +50,8 @@ TRAIN_DOCS = 20_000
 BLOCK_BYTES = 8 << 20
 QUANTILE = 0.99
 TOLERANCE = 1.75
+#: Keys over which one language's rows are spread.
+SALTS = 64
 _BEGIN, _END = "\x02", "\x03"
 
 SCORED = [T.StructField("n_predicted", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("perplexity", T.DoubleType())]
@@ -276,14 +278,17 @@ def thresholds(scored: DataFrame, trusted: DataFrame, id_col: str = "doc_id", qu
     return by_lang.unionByName(known.agg(level).select(F.lit(None).cast("string").alias("lang"), "threshold"))
 
 
-def decide(scored: DataFrame, levels: DataFrame) -> DataFrame:
-    """``scored`` with threshold and keep."""
-    own = levels.filter("lang is not null").select(F.col("lang").alias("_own"), F.col("threshold").alias("_level"))
+def decide(scored: DataFrame, levels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``scored`` with threshold and keep.  A language may hold most rows, so
+    its rows spread over ``SALTS`` keys and its threshold is copied to each."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_of_salt")
+    own = levels.filter("lang is not null").select(F.col("lang").alias("_own"), F.col("threshold").alias("_level"), salts)
     rest = levels.filter("lang is null").select(F.col("threshold").alias("_rest"))  # one row
-    joined = scored.join(own, scored["lang"] == own["_own"], "left").crossJoin(F.broadcast(rest))
+    salted = scored.withColumn("_salt", F.pmod(F.xxhash64(id_col, "log_prob"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(own, (salted["lang"] == own["_own"]) & (salted["_salt"] == own["_of_salt"]), "left").crossJoin(F.broadcast(rest))
     level = F.coalesce("_level", "_rest")
     keep = F.col("perplexity").isNotNull() & (level.isNull() | (F.col("perplexity") <= level))
-    return joined.withColumn("threshold", level).withColumn("keep", keep).drop("_own", "_level", "_rest")
+    return joined.withColumn("threshold", level).withColumn("keep", keep).drop("_own", "_level", "_rest", "_salt", "_of_salt")
 
 
 @query("op2_quality_classifier")
