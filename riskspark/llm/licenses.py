@@ -30,7 +30,6 @@ from math import ceil, log
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskspark.sources.tables import table
 

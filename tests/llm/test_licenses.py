@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from riskspark.llm import licenses
 
-from .conftest import prose, rows
+from .conftest import prose
 
 
 def normal(text):
