@@ -1,6 +1,4 @@
-import math
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
