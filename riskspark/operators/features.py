@@ -10,16 +10,15 @@ Scale notes
   chunk spans ``chunk_seconds`` (default 4x the largest window); rows in the
   last window-length of a chunk are copied, payload-less, into the next
   chunk as context.  A hot card is therefore spread across its chunks
-  (1.25x rows shuffled) instead of landing in one task.  NULL-card rows are
-  salted over many groups.
+  (1.25x rows shuffled) instead of landing in one task, and a chunk is walked
+  once by frames that only grow.  NULL-card rows stay out of the windows.
 * Prior stats and prior distinct counts (F3-F6) are one segmented prefix
   sum (``ordering.prefix_sum``) over the rows plus one "first occurrence"
   marker per (card, value); the markers come from a partially aggregated
   ``groupBy`` so a hot (card, value) pair never sits in one task.
 * Fitted encoders (F7, F8) are small model tables; the hour table has at
-  most 24 rows and is broadcast; the frequency table is frozen once and
-  broadcast only when its row count is proven bounded
-  (``modeltables.freeze``), otherwise joined normally.
+  most 24 rows and is broadcast; the frequency table is written once
+  (``modeltables.keep``) and joined, and the planner sees its size.
 """
 
 from __future__ import annotations
