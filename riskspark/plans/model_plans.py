@@ -17,6 +17,7 @@ from ..operators import metrics as mt
 from ..operators import registry as rg
 from ..operators import split as sp
 from ..operators import uplift as up
+from ..operators import uplift_learners as ul
 from ..operators import woe as wo
 from ..sources.tables import APPLICATIONS_SQL, CAMPAIGN_SQL, EVENT_TRANSACTIONS_SQL, bind_applications, bind_campaign, bind_event_transactions
 from ..session import cut_lineage
@@ -295,24 +296,16 @@ def uplift_slearner(spark, sf_dir):
     """UP1: one model with treatment as a feature; uplift = P(y | t=1) -
     P(y | t=0)."""
     tr, te = _campaign(spark, sf_dir)
-    feats = [*UPLIFT_FEATURES, "treatment"]
-    med = le.impute_median(tr, UPLIFT_FEATURES, fit_df=tr)
-    model = le.make_classifier("logistic", "outcome").fit(le.assemble(med.withColumn("outcome", F.col("outcome").cast("double")), feats))
-    base = le.impute_median(te, UPLIFT_FEATURES, fit_df=tr)
-    p1 = le.positive_probability(model.transform(le.assemble(base.withColumn("treatment", F.lit(1)), feats)), "p1").select("id", "p1")
-    p0 = le.positive_probability(model.transform(le.assemble(base.withColumn("treatment", F.lit(0)), feats)), "p0").select("id", "p0")
-    scored = te.join(p1, "id").join(p0, "id").withColumn("score", F.col("p1") - F.col("p0"))
-    return _uplift_eval(scored, "s_learner")
+    found = ul.s_learner(tr, te, UPLIFT_FEATURES, le.make_classifier("logistic", "outcome"))
+    return _uplift_eval(cut_lineage(found.withColumn("score", F.col("uplift"))), "s_learner")
 
 
 @register("uplift_tlearner", _uplift_sql("t_learner"))
 def uplift_tlearner(spark, sf_dir):
     """UP2: one model per arm; uplift = difference of their predictions."""
     tr, te = _campaign(spark, sf_dir)
-    _, p1 = le.fit_and_score(tr.where(F.col("treatment") == 1), te, UPLIFT_FEATURES, "outcome", "logistic")
-    _, p0 = le.fit_and_score(tr.where(F.col("treatment") == 0), te, UPLIFT_FEATURES, "outcome", "logistic")
-    scored = te.join(p1.select("id", F.col("score").alias("p1")), "id").join(p0.select("id", F.col("score").alias("p0")), "id")
-    return _uplift_eval(scored.withColumn("score", F.col("p1") - F.col("p0")), "t_learner")
+    found = ul.t_learner(tr, te, UPLIFT_FEATURES, le.make_classifier("logistic", "outcome"))
+    return _uplift_eval(cut_lineage(found.withColumn("score", F.col("uplift"))), "t_learner")
 
 
 TRANSFER_FEATURES = ["totalprice", "acctbal"]
