@@ -10,12 +10,13 @@ their results are checked by ranges, not by an oracle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import number
-from .profile import unpivot_numeric
+from .profile import numeric_columns, unpivot_numeric
 from .quantiles import quantile_columns
 
 
@@ -122,6 +123,38 @@ def fit_scorecard_lr(train_woe: DataFrame, woe_cols: Sequence[str], target: str)
     return {c: float(v) for c, v in zip(woe_cols, m.coefficients.toArray())}, float(m.intercept)
 
 
+@dataclass(frozen=True)
+class SourceBundle:
+    """TL1: what a source domain hands to a target domain: its feature list,
+    its medians and its fitted model."""
+
+    features: tuple[str, ...]
+    medians: dict[str, float | None]
+    model: object
+
+    def require(self, df: DataFrame) -> None:
+        """TL5: the target must have every feature, and as a number."""
+        numeric = set(numeric_columns(df))
+        absent = [c for c in self.features if c not in df.columns]
+        other = [c for c in self.features if c in df.columns and c not in numeric]
+        if absent or other:
+            raise ValueError(f"the target domain lacks features {absent} and has no numbers in {other}")
+
+    def margin(self, df: DataFrame, out: str = "__margin") -> DataFrame:
+        """``df`` with the source model's log-odds; the source medians fill gaps."""
+        from pyspark.ml.functions import vector_to_array
+
+        self.require(df)
+        scored = self.model.transform(assemble(fill_medians(df, self.medians), self.features))
+        return scored.withColumn(out, vector_to_array("rawPrediction")[1]).drop("features", "rawPrediction", "probability", "prediction")
+
+
+def fit_source(df: DataFrame, features: Sequence[str], label: str, kind: str = "logistic", **params) -> SourceBundle:
+    medians = fit_medians(df, features)
+    rows = fill_medians(df, medians).withColumn(label, F.col(label).cast("double"))
+    return SourceBundle(tuple(features), medians, make_classifier(kind, label, **params).fit(assemble(rows, features)))
+
+
 def residual_boost(df: DataFrame, features: Sequence[str], label: str, margin: str, rounds: int = 10, step: float = 0.1, depth: int = 3) -> list:
     """TL3: continue a model on new data with boosting rounds on the
     residual y - sigmoid(margin) (MLlib's GBT cannot resume a fit).  Returns

@@ -330,24 +330,12 @@ def transfer_compare(spark, sf_dir):
     a later target domain, warm-started with residual boosting rounds on a
     labelled target budget (source imputer kept), and a from-scratch model
     on the same budget; AUC-PR on the target test side per budget."""
-    from pyspark.ml.functions import vector_to_array
-
     a = bind_applications(spark, sf_dir)
     src = a.where(F.col("t") < TRANSFER_CUT)
     tgt = a.where(F.col("t") >= TRANSFER_CUT).withColumn("__h", hash_order_key("id", 5))
     pool, test = tgt.where(F.col("__h") < "c").drop("__h"), tgt.where(F.col("__h") >= "c").drop("__h")
-    missing = set(TRANSFER_FEATURES) - set(tgt.columns)
-    if missing:
-        raise ValueError(f"target domain lacks source features {sorted(missing)}")
-    src_imp = le.impute_median(src, TRANSFER_FEATURES, fit_df=src)
-    src_model = le.make_classifier("logistic", "target").fit(le.assemble(src_imp.withColumn("target", F.col("target").cast("double")), TRANSFER_FEATURES))
-
-    def margin(df):
-        d = le.impute_median(df, TRANSFER_FEATURES, fit_df=src)  # the source imputer is kept
-        return src_model.transform(le.assemble(d, TRANSFER_FEATURES)).withColumn("__margin", vector_to_array("rawPrediction")[1]).drop(
-            "features", "rawPrediction", "probability", "prediction"
-        )
-
+    source = le.fit_source(src, TRANSFER_FEATURES, "target")
+    margin = source.margin
     n_source = src.count()
 
     def ap(pred, name, budget):
