@@ -46,8 +46,10 @@ from .words import Words, mix
 
 ORDER = 5
 TRAIN_DOCS = 20_000
-#: Raw bytes of a block; spelling out its words takes some twenty times as much.
+#: Raw bytes of a block, and of the part of it whose words are spelled out at
+#: once, which takes some twenty times as much memory.
 BLOCK_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 QUANTILE = 0.99
 TOLERANCE = 1.75
 #: Keys over which one language's rows are spread.
@@ -75,7 +77,7 @@ class _Spelled:
         firsts = np.cumsum(sizes + ORDER) - (sizes + ORDER)
         self.predicted = sizes + 1
         place = np.repeat(firsts + ORDER - 1, self.predicted) + np.arange(self.predicted.sum()) - np.repeat(np.cumsum(self.predicted) - self.predicted, self.predicted)
-        self.words, self.doc, self.texts = words, words.doc(), len(words.count)
+        self.doc, self.texts = words.doc(), len(words.count)
         if not len(place):
             self.grams, self.gram_of, self.begins = np.empty((0, ORDER), np.uint32), place, place
             return
@@ -112,7 +114,7 @@ def gram_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """(gram, n): counts of all highest-order grams, pre-summed per few megabytes of text."""
 
     def run(batches):
-        for batch in (part for whole in batches for part in B.cut(whole, BLOCK_BYTES // 2)):
+        for batch in (part for whole in batches for part in B.cut(whole, PART_BYTES)):
             found = _Spelled(batch.column(text_col))
             text = np.ascontiguousarray(found.grams).tobytes().decode("utf-32-le", "surrogatepass")
             grams = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
@@ -140,6 +142,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     are one grouping each, and a gram's probability is put together from the
     discounted shares of its suffixes and the masses of their contexts, which it
     looks up in one join each."""
+    counts = cut_lineage(counts)  # read twice below; without this all training texts would be counted twice
     tails = F.transform(F.sequence(F.lit(1), F.lit(order - 1)), lambda k: F.expr("gram").substr(F.lit(order + 1) - k, k))
     lower = counts.select(F.explode(tails).alias("gram")).distinct()
     kept = cut_lineage(counts.unionByName(lower.withColumn("n", F.lit(None).cast("long"))))
@@ -200,6 +203,16 @@ def _asked(found: _Spelled) -> list[np.ndarray]:
     return [gram_keys(g[:, k:]) for k in range(ORDER)] + [gram_keys(g[:, k:-1]) for k in range(ORDER - 1)]
 
 
+def _spelled_parts(docs: pa.Table, text_col: str) -> list[_Spelled]:
+    """A block in parts; what is kept of a part is far smaller than what its making takes."""
+    return [_Spelled(part.column(text_col)) for whole in docs.combine_chunks().to_batches() for part in B.cut(whole, PART_BYTES)]
+
+
+def _block_keys(parts: list[_Spelled]) -> np.ndarray:
+    """Distinct keys that a block asks for."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *(k for p in parts for k in _asked(p))]))
+
+
 def _reply(model: pa.Table, payloads: list[bytes]) -> list[bytes]:
     """Two float32 per key: log_p and log_bow, NaN where the model has none."""
     keys = model.column("key").to_numpy().view(np.uint64)
@@ -238,18 +251,20 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     packed = B.pack(df, BLOCK_BYTES, keep=False)
 
     def keys_of(docs: pa.Table):
-        keys = np.unique(np.concatenate(_asked(_Spelled(docs.column(text_col)))))
+        keys = _block_keys(_spelled_parts(docs, text_col))
         edges = B.bucket_edges(keys, buckets)
         return [(b, B.pack_sorted(keys[edges[b] : edges[b + 1]])) for b in np.flatnonzero(np.diff(edges)).tolist()]
 
     def finish(docs: pa.Table, replies: dict[int, bytes]) -> pa.Table:
-        found = _Spelled(docs.column(text_col))
-        keys = np.unique(np.concatenate(_asked(found)))
+        parts = _spelled_parts(docs, text_col)
+        keys = _block_keys(parts)
         edges = B.bucket_edges(keys, buckets)
         got = [np.frombuffer(zstandard.decompress(replies[b]), np.float32).reshape(-1, 2) for b in np.flatnonzero(np.diff(edges)).tolist()]
         values = np.concatenate([np.empty((0, 2), np.float32), *got]).astype(np.float64)
-        n = found.lengths()
-        log_prob = found.total(_backed_off(found, keys, values, floor, floor_bow)) if len(keys) else np.zeros(len(n))
+        n, log_prob = np.empty(0, np.int64), np.empty(0)
+        for found in parts:
+            sums = found.total(_backed_off(found, keys, values, floor, floor_bow)) if len(found.grams) else np.zeros(found.texts)
+            n, log_prob = np.append(n, found.lengths()), np.append(log_prob, sums)
         perplexity = pa.array(np.exp(-log_prob / np.maximum(n, 1)), mask=n == 0)
         for field, made in zip(SCORED, (pa.array(n), pa.array(log_prob), perplexity), strict=True):
             docs = docs.append_column(field.name, made)
