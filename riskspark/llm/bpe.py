@@ -40,7 +40,7 @@ from .blocks import make_room
 from .catalog import query
 
 #: Entries in each memo of a task; a full memo is emptied.
-MEMO = 1 << 19
+MEMO = 1 << 18
 #: Longer words are encoded anew each time, so that the memo's memory is bounded.
 MEMO_CHARS = 64
 

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from riskspark.session import cut_lineage
 from riskspark.sources.tables import table
 
+from .blocks import cut
 from .catalog import query
 from .words import NOT_ALNUM, Words, windows
 
@@ -40,6 +41,8 @@ SEED = 5
 COVERAGE = 0.8
 #: Bits of the seed bitmap: 4 MB to broadcast, for any benchmark.
 BITMAP = 1 << 25
+#: Bytes of text worked on at once.
+BATCH_BYTES = 4 << 20
 
 
 def normal_words(texts) -> Words:
@@ -123,7 +126,7 @@ def _item_seeds(items: DataFrame, seed: int) -> DataFrame:
 
 def _suspects(docs: DataFrame, id_col: str, text_col: str, bitmap, lengths: list[int], least: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in cut(whole, BATCH_BYTES)):
             w = normal_words(batch.column(1))
             seeds: list[list[int]] = [[] for _ in range(batch.num_rows)]
             for k in lengths:
@@ -173,7 +176,7 @@ def leaks(
     pairs = placed.withColumn("under", under).join(items, "words").filter(F.col("under") >= F.ceil(F.lit(coverage) * F.col("n") - 1e-9))
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in cut(whole, BATCH_BYTES)):
             a, b = normal_words(batch.column("text")), normal_words(batch.column("words"))
             found = [tiles(a.hash[a.first[i] : a.first[i + 1]], b.hash[b.first[i] : b.first[i + 1]], seed) for i in range(batch.num_rows)]
             kind = pa.list_(pa.struct([("doc_start", pa.int64()), ("item_start", pa.int64()), ("length", pa.int64())]))
