@@ -97,7 +97,8 @@ def _signed(x: int) -> int:
 
 
 def _linked(prints: np.ndarray, free: int, most: int, dense: int = DENSE) -> np.ndarray:
-    """Component label of each distinct fingerprint of one file."""
+    """Component label of each distinct fingerprint of one file, given in
+    ascending (unsigned) order: a dense file is searched by bisection."""
     n = len(prints)
     a_all, b_all = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     if n <= dense:
@@ -139,7 +140,7 @@ def _stars(most: int, dense: int):
         out_a.append(prints[pairs[close]])
         out_b.append(prints[pairs[close] + 1])
         for i, j in zip(begins[sizes > 2].tolist(), ends[sizes > 2].tolist(), strict=True):
-            own = prints[i:j]
+            own = np.sort(prints[i:j])  # Spark sorts them as signed longs: those with bit 63 come first
             label = _linked(own, ~int(mask[i]) & ((1 << 64) - 1), most, dense)
             moved = np.flatnonzero(label != np.arange(len(own)))
             out_a.append(own[moved])

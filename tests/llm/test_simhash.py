@@ -3,6 +3,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -85,6 +86,31 @@ def test_flipping_equals_comparing():
     assert (simhash._linked(prints, free, 2, dense=10**6) == simhash._linked(prints, free, 2, dense=1)).all()
 
 
+def test_dense_file_with_the_sign_bit_free():
+    """Rows as Spark delivers them, by signed fingerprint."""
+    rng = np.random.default_rng(7)
+    free = ((1 << 15) - 1) << 3 | 1 << 63
+    places = [i for i in range(64) if free >> i & 1]
+    picked = rng.choice(1 << 16, 900, replace=False).tolist()
+    prints = np.sort(np.array([signed(sum((x >> k & 1) << p for k, p in enumerate(places))) for x in picked], np.int64))
+    assert prints[0] < 0 < prints[-1]
+    mask = signed(~free & ((1 << 64) - 1))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.full(900, mask)), pa.array(np.zeros(900, np.int64)), pa.array(prints)], ["mask", "filed", "fingerprint"])
+    unsigned = prints.view(np.uint64).tolist()
+    at = {x: i for i, x in enumerate(unsigned)}
+    for most in (1, 2, 3):
+        parent = list(range(900))
+        for out in simhash._stars(most, 16)([batch]):
+            for a, b in zip(*(np.asarray(out.column(k)).view(np.uint64).tolist() for k in ("a", "b")), strict=True):
+                while parent[at[a]] != at[a]:
+                    a = unsigned[parent[at[a]]]
+                while parent[at[b]] != at[b]:
+                    b = unsigned[parent[at[b]]]
+                parent[at[a]] = at[b]
+        plain = groups(unsigned, most)
+        assert sum(parent[i] == i for i in range(900)) == len(set(plain))
+
+
 def test_long_chains_are_one_component(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
