@@ -1,8 +1,9 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of characters.
 
-The model is trained on trusted text and predicts each character of a word
-(and its end) from up to four characters before it inside the word.  Orders
-below the highest use continuation counts; each order has its own three
+The model is trained on trusted text and predicts each character of a text's
+words, joined by single spaces, and the text's end from up to four characters
+before it, across word ends (``across``; without it, of each word and its end
+from the characters before it inside the word).  Orders below the highest use continuation counts; each order has its own three
 discounts from its counts of counts.  All of this is grouping and joining of
 gram tables in Spark.  The model is kept in back-off form: (log p, log weight
 as a context) per gram, dealt into buckets by the gram's hash.
@@ -12,10 +13,14 @@ its distinct grams and contexts of all orders, and gets the model's numbers for
 them; a gram the model does not have is backed off along its contexts.  A
 document's perplexity is exp(-mean log p) over its predicted characters.
 
-A document is kept if its perplexity is at most the threshold of its language,
-a high quantile of the perplexities of all trusted documents in that language
-times a tolerance.  Languages without trusted documents use the quantile over
-all of them.
+Words that come again and again cost a model of so few characters little, so
+``repeated`` is counted beside it: the share of a text's words that equal one of
+the ``NEAR`` words before them.
+
+A document is kept if its perplexity and its repeated share are each at most the
+threshold of its language, a high quantile over all trusted documents in that
+language times a tolerance.  Languages without trusted documents use the
+quantile over all of them.
 
 The model is fitted on at most ``TRAIN_DOCS`` trusted documents (those with the
 smallest id hashes); that bound also bounds the broadcast of their ids.
@@ -48,44 +53,65 @@ ORDER = 5
 TRAIN_DOCS = 20_000
 #: Raw bytes of a block, and of the part of it whose words are spelled out at
 #: once, which takes some twenty times as much memory.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 PART_BYTES = 2 << 20
+#: Words before a word among which it counts as repeated.
+NEAR = 4
 QUANTILE = 0.99
 TOLERANCE = 1.75
 #: Keys over which one language's rows are spread.
 SALTS = 64
 _BEGIN, _END = "\x02", "\x03"
 
-SCORED = [T.StructField("n_predicted", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("perplexity", T.DoubleType())]
+SCORED = [T.StructField("n_predicted", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("perplexity", T.DoubleType()), T.StructField("repeated", T.DoubleType())]
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct 64-bit keys in order of appearance, and each key's index there."""
+    found = pa.array(keys.view(np.int64)).dictionary_encode()
+    return found.dictionary.to_numpy().view(np.uint64), found.indices.to_numpy()
 
 
 class _Spelled:
-    """Distinct words of a batch of texts, spelled with begin and end marks.
+    """A batch of texts, spelled with begin and end marks: whole texts with
+    ``across``, their distinct words without.
 
     ``grams``: distinct highest-order grams as code points (n, ORDER);
     ``total(values)``: sum of one value per gram over each text."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, across: bool):
         words = Words(texts)
-        data = words.data.tobytes()
-        _, at, self.word_of = np.unique(words.hash, return_index=True, return_inverse=True)
-        own = [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)]
+        if across:
+            raw = texts.cast(pa.large_binary()).to_pylist()
+            own = [b" ".join(t.split()).decode("utf-8", "surrogatepass") for t, n in zip(raw, words.count.tolist(), strict=True) if n]
+            self.doc = np.flatnonzero(words.count)
+            self.word_of = np.arange(len(own))
+        else:
+            data = words.data.tobytes()
+            _, at, self.word_of = np.unique(words.hash, return_index=True, return_inverse=True)
+            own = [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)]
+            self.doc = words.doc()
         pad = _BEGIN * (ORDER - 1)
         spelled = "".join([f"{pad}{w}{_END}" for w in own])
         codes = np.frombuffer(spelled.encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, own), np.int64, len(own))
         firsts = np.cumsum(sizes + ORDER) - (sizes + ORDER)
         self.predicted = sizes + 1
-        place = np.repeat(firsts + ORDER - 1, self.predicted) + np.arange(self.predicted.sum()) - np.repeat(np.cumsum(self.predicted) - self.predicted, self.predicted)
-        self.doc, self.texts = words.doc(), len(words.count)
+        self.begins = np.cumsum(self.predicted) - self.predicted
+        place = np.repeat(firsts + ORDER - 1 - self.begins, self.predicted) + np.arange(self.predicted.sum())
+        self.texts, self.repeated = len(words.count), _repeated(words)
         if not len(place):
             self.grams, self.gram_of, self.begins = np.empty((0, ORDER), np.uint32), place, place
             return
         seen = np.lib.stride_tricks.sliding_window_view(codes, ORDER)
-        keys = gram_keys(seen[place - ORDER + 1])
-        _, first, self.gram_of = np.unique(keys, return_index=True, return_inverse=True)
-        self.grams = seen[place[first] - ORDER + 1]
-        self.begins = np.cumsum(self.predicted) - self.predicted
+        wide, n = codes.astype(np.uint64), len(codes) - ORDER + 1
+        # three code points have 63 bits; the hash only tells this batch's grams apart
+        key = mix(wide[:n] << np.uint64(42) | wide[1 : n + 1] << np.uint64(21) | wide[2 : n + 2])
+        key ^= (wide[3 : n + 3] << np.uint64(21) | wide[4 : n + 4]) * np.uint64(0x9E3779B97F4A7C15)
+        keys, self.gram_of = _distinct(key[place - ORDER + 1])
+        first = np.empty(len(keys), np.int64)
+        first[self.gram_of[::-1]] = place[::-1]
+        self.grams = seen[first - ORDER + 1]
 
     def counts(self) -> np.ndarray:
         """How often each gram stands in the texts."""
@@ -102,6 +128,14 @@ class _Spelled:
         return np.bincount(self.doc, weights=self.predicted[self.word_of], minlength=self.texts).astype(np.int64)
 
 
+def _repeated(words: Words) -> np.ndarray:
+    """Share of each text's words that equal one of the ``NEAR`` words before; 0 without words."""
+    doc, again = words.doc(), np.zeros(len(words.hash), bool)
+    for k in range(1, NEAR + 1):
+        again[k:] |= (words.hash[k:] == words.hash[:-k]) & (doc[k:] == doc[:-k])
+    return np.bincount(doc, weights=again, minlength=len(words.count)) / np.maximum(words.count, 1)
+
+
 def gram_keys(codes: np.ndarray) -> np.ndarray:
     """64-bit hash of each row of code points; the order is part of it."""
     key = np.full(len(codes), codes.shape[1], np.uint64)
@@ -110,12 +144,12 @@ def gram_keys(codes: np.ndarray) -> np.ndarray:
     return key
 
 
-def gram_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
+def gram_counts(df: DataFrame, text_col: str = "text", across: bool = False) -> DataFrame:
     """(gram, n): counts of all highest-order grams, pre-summed per few megabytes of text."""
 
     def run(batches):
         for batch in (part for whole in batches for part in B.cut(whole, PART_BYTES)):
-            found = _Spelled(batch.column(text_col))
+            found = _Spelled(batch.column(text_col), across)
             text = np.ascontiguousarray(found.grams).tobytes().decode("utf-32-le", "surrogatepass")
             grams = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
             yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(found.counts(), pa.int64())], ["gram", "n"])
@@ -167,13 +201,14 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 class Model:
-    """A trained model: rows (bucket, key, log_p, log_bow) and the floor."""
+    """A trained model: rows (bucket, key, log_p, log_bow), the floor, and
+    whether contexts run across word ends."""
 
-    def __init__(self, rows: DataFrame, buckets: int, floor: float, floor_bow: float):
-        self.rows, self.buckets, self.floor, self.floor_bow = rows, buckets, floor, floor_bow
+    def __init__(self, rows: DataFrame, buckets: int, floor: float, floor_bow: float, across: bool):
+        self.rows, self.buckets, self.floor, self.floor_bow, self.across = rows, buckets, floor, floor_bow, across
 
 
-def train(df: DataFrame, text_col: str = "text", buckets: int | None = None) -> Model:
+def train(df: DataFrame, text_col: str = "text", buckets: int | None = None, across: bool = False) -> Model:
     """Fits the model on all rows of ``df``."""
     buckets = buckets or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -191,82 +226,96 @@ def train(df: DataFrame, text_col: str = "text", buckets: int | None = None) ->
                 ["bucket", "key", "log_p", "log_bow"],
             )
 
-    grams = cut_lineage(kneser_ney(gram_counts(df, text_col)))
+    grams = cut_lineage(kneser_ney(gram_counts(df, text_col, across)))
     empty = grams.filter("gram = ''").first()
     rows = cut_lineage(grams.filter("gram <> ''").mapInArrow(key, "bucket int, key long, log_p double, log_bow double"))
-    return Model(rows, buckets, empty["log_p"], empty["log_bow"] or 0.0)
+    return Model(rows, buckets, empty["log_p"], empty["log_bow"] or 0.0, across)
 
 
-def _asked(found: _Spelled) -> list[np.ndarray]:
-    """Keys of the grams of orders ORDER..1 and of the contexts of orders ORDER-1..1."""
+def _asked(found: _Spelled) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of the grams of orders ORDER..1 and the contexts of orders ORDER-1..1:
+    distinct keys, and their index for each highest-order gram."""
     g = found.grams
-    return [gram_keys(g[:, k:]) for k in range(ORDER)] + [gram_keys(g[:, k:-1]) for k in range(ORDER - 1)]
+    return [_distinct(gram_keys(g[:, k:])) for k in range(ORDER)] + [_distinct(gram_keys(g[:, k:-1])) for k in range(ORDER - 1)]
 
 
-def _spelled_parts(docs: pa.Table, text_col: str) -> list[_Spelled]:
+def _spelled_parts(docs: pa.Table, text_col: str, across: bool) -> list[_Spelled]:
     """A block in parts; what is kept of a part is far smaller than what its making takes."""
-    return [_Spelled(part.column(text_col)) for whole in docs.combine_chunks().to_batches() for part in B.cut(whole, PART_BYTES)]
+    return [_Spelled(part.column(text_col), across) for whole in docs.combine_chunks().to_batches() for part in B.cut(whole, PART_BYTES)]
 
 
 def _block_keys(parts: list[_Spelled]) -> np.ndarray:
     """Distinct keys that a block asks for."""
-    return np.unique(np.concatenate([np.empty(0, np.uint64), *(k for p in parts for k in _asked(p))]))
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *(k for p in parts for k, _ in _asked(p))]))
 
 
 def _reply(model: pa.Table, payloads: list[bytes]) -> list[bytes]:
-    """Two float32 per key: log_p and log_bow, NaN where the model has none."""
+    """Per key log_p and log_bow, NaN where the model has none (``_values``)."""
     keys = model.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    values = np.stack([model.column(c).to_numpy(zero_copy_only=False).astype(np.float32)[order] for c in ("log_p", "log_bow")], axis=1)
+    values = np.stack([model.column(c).to_numpy(zero_copy_only=False).astype(np.float32)[order] for c in ("log_p", "log_bow")])
     keys, out = keys[order], []
     for p in payloads:
         asked, _ = B.unpack_sorted(p)
-        got = np.full((len(asked), 2), np.nan, np.float32)
+        got = np.full((2, len(asked)), np.nan, np.float32)
         if len(keys):
             at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
             hit = keys[at] == asked
-            got[hit] = values[at[hit]]
-        out.append(zstandard.compress(got.tobytes(), 1))
+            got[:, hit] = values[:, at[hit]]
+        there = ~np.isnan(got)
+        # flags, then the values there are, byte by byte of all of them, which compresses better
+        raw = len(asked).to_bytes(4, "little") + np.packbits(there).tobytes() + got[there].view(np.uint8).reshape(-1, 4).T.tobytes()
+        out.append(zstandard.compress(raw, 1))
     return out
 
 
+def _values(reply: bytes) -> np.ndarray:
+    """(keys, 2) float32 of a reply."""
+    raw = zstandard.decompress(reply)
+    n = int.from_bytes(raw[:4], "little")
+    out, end = np.full((2, n), np.nan, np.float32), 4 + (2 * n + 7) // 8
+    there = np.unpackbits(np.frombuffer(raw, np.uint8, end - 4, 4), count=2 * n).astype(bool).reshape(2, n)
+    out[there] = np.ascontiguousarray(np.frombuffer(raw, np.uint8, -1, end).reshape(4, -1).T).view(np.float32).ravel()
+    return out.T
+
+
 def _backed_off(found: _Spelled, keys: np.ndarray, values: np.ndarray, floor: float, floor_bow: float) -> np.ndarray:
     """log p of each gram, along the back-off chain."""
     asked = _asked(found)
-    get = lambda k: values[np.searchsorted(keys, k)]
+    get = lambda a, column: values[np.searchsorted(keys, a[0]), column][a[1]]
     out = np.full(len(found.grams), floor + floor_bow)  # a character never seen in training
     for k in range(ORDER - 1, -1, -1):  # from the unigram up to the whole gram
         if k < ORDER - 1:
-            bow = get(asked[ORDER + k])[:, 1]
+            bow = get(asked[ORDER + k], 1)
             out = out + np.where(np.isnan(bow), 0.0, bow)
-        own = get(asked[k])[:, 0]
+        own = get(asked[k], 0)
         out = np.where(np.isnan(own), out, own)
     return out
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``df`` with n_predicted, log_prob and perplexity."""
+    """``df`` with n_predicted, log_prob, perplexity and repeated."""
     df = B.make_room(df, [f.name for f in SCORED], text_col)
-    buckets, floor, floor_bow = model.buckets, model.floor, model.floor_bow
+    buckets, floor, floor_bow, across = model.buckets, model.floor, model.floor_bow, model.across
     packed = B.pack(df, BLOCK_BYTES, keep=False)
 
     def keys_of(docs: pa.Table):
-        keys = _block_keys(_spelled_parts(docs, text_col))
+        keys = _block_keys(_spelled_parts(docs, text_col, across))
         edges = B.bucket_edges(keys, buckets)
         return [(b, B.pack_sorted(keys[edges[b] : edges[b + 1]])) for b in np.flatnonzero(np.diff(edges)).tolist()]
 
     def finish(docs: pa.Table, replies: dict[int, bytes]) -> pa.Table:
-        parts = _spelled_parts(docs, text_col)
+        parts = _spelled_parts(docs, text_col, across)
         keys = _block_keys(parts)
         edges = B.bucket_edges(keys, buckets)
-        got = [np.frombuffer(zstandard.decompress(replies[b]), np.float32).reshape(-1, 2) for b in np.flatnonzero(np.diff(edges)).tolist()]
+        got = [_values(replies[b]) for b in np.flatnonzero(np.diff(edges)).tolist()]
         values = np.concatenate([np.empty((0, 2), np.float32), *got]).astype(np.float64)
-        n, log_prob = np.empty(0, np.int64), np.empty(0)
+        n, log_prob, repeated = np.empty(0, np.int64), np.empty(0), np.empty(0)
         for found in parts:
             sums = found.total(_backed_off(found, keys, values, floor, floor_bow)) if len(found.grams) else np.zeros(found.texts)
-            n, log_prob = np.append(n, found.lengths()), np.append(log_prob, sums)
+            n, log_prob, repeated = np.append(n, found.lengths()), np.append(log_prob, sums), np.append(repeated, found.repeated)
         perplexity = pa.array(np.exp(-log_prob / np.maximum(n, 1)), mask=n == 0)
-        for field, made in zip(SCORED, (pa.array(n), pa.array(log_prob), perplexity), strict=True):
+        for field, made in zip(SCORED, (pa.array(n), pa.array(log_prob), perplexity, pa.array(repeated)), strict=True):
             docs = docs.append_column(field.name, made)
         return docs
 
@@ -285,31 +334,36 @@ def training_sample(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
 
 
 def thresholds(scored: DataFrame, trusted: DataFrame, id_col: str = "doc_id", quantile: float = QUANTILE, tolerance: float = TOLERANCE) -> DataFrame:
-    """(lang, threshold) over all trusted documents; the NULL language has the
-    quantile over all languages."""
-    known = scored.filter("perplexity is not null").join(trusted, id_col).select("lang", "perplexity")
-    level = (F.percentile_approx("perplexity", quantile, 10_000) * tolerance).alias("threshold")
-    by_lang = known.filter("lang is not null").groupBy("lang").agg(level)
-    return by_lang.unionByName(known.agg(level).select(F.lit(None).cast("string").alias("lang"), "threshold"))
+    """(lang, threshold, repeat_threshold) over all trusted documents; the NULL
+    language has the quantiles over all languages."""
+    known = scored.filter("perplexity is not null").join(trusted, id_col).select("lang", "perplexity", "repeated")
+    levels = [
+        (F.percentile_approx(c, quantile, 10_000) * tolerance).alias(name) for c, name in (("perplexity", "threshold"), ("repeated", "repeat_threshold"))
+    ]
+    by_lang = known.filter("lang is not null").groupBy("lang").agg(*levels)
+    return by_lang.unionByName(known.agg(*levels).withColumn("lang", F.lit(None).cast("string")))
 
 
 def decide(scored: DataFrame, levels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``scored`` with threshold and keep.  A language may hold most rows, so
-    its rows spread over ``SALTS`` keys and its threshold is copied to each."""
+    """``scored`` with threshold, repeat_threshold and keep.  A language may hold
+    most rows, so its rows spread over ``SALTS`` keys and its thresholds are
+    copied to each."""
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_of_salt")
-    own = levels.filter("lang is not null").select(F.col("lang").alias("_own"), F.col("threshold").alias("_level"), salts)
-    rest = levels.filter("lang is null").select(F.col("threshold").alias("_rest"))  # one row
+    own = levels.filter("lang is not null").select(F.col("lang").alias("_own"), F.struct("threshold", "repeat_threshold").alias("_level"), salts)
+    rest = levels.filter("lang is null").select(F.struct("threshold", "repeat_threshold").alias("_rest"))  # one row
     salted = scored.withColumn("_salt", F.pmod(F.xxhash64(id_col, "log_prob"), F.lit(SALTS)).cast("int"))
     joined = salted.join(own, (salted["lang"] == own["_own"]) & (salted["_salt"] == own["_of_salt"]), "left").crossJoin(F.broadcast(rest))
-    level = F.coalesce("_level", "_rest")
-    keep = F.col("perplexity").isNotNull() & (level.isNull() | (F.col("perplexity") <= level))
-    return joined.withColumn("threshold", level).withColumn("keep", keep).drop("_own", "_level", "_rest", "_salt", "_of_salt")
+    level, repeat_level = (F.coalesce("_level", "_rest")[c] for c in ("threshold", "repeat_threshold"))
+    within = (F.col("perplexity") <= level) & (F.col("repeated") <= repeat_level)
+    keep = F.col("perplexity").isNotNull() & (level.isNull() | within)
+    made = joined.withColumns({"threshold": level, "repeat_threshold": repeat_level, "keep": keep})
+    return made.drop("_own", "_level", "_rest", "_salt", "_of_salt")
 
 
 @query("op2_quality_classifier")
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity and decision of every document."""
     docs, trusted = table(spark, sf_dir, "documents"), cut_lineage(trusted_ids(table(spark, sf_dir, "labels")))
-    model = train(training_sample(docs.select("doc_id", "text"), trusted))
+    model = train(training_sample(docs.select("doc_id", "text"), trusted), across=True)
     scored = cut_lineage(score(docs.select("doc_id", "lang", "text"), model).drop("text"))
     return decide(scored, thresholds(scored, trusted))

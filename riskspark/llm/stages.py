@@ -43,8 +43,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     twice, once for the thresholds and once to filter whole rows, which costs
     less than storing all texts in between."""
     trusted = cut_lineage(quality.trusted_ids(table(spark, sf_dir, "labels")))
-    model = quality.train(quality.training_sample(docs.select("doc_id", "text"), trusted))
-    narrow = quality.score(docs.select("doc_id", "lang", "text"), model).select("doc_id", "lang", "perplexity")
+    model = quality.train(quality.training_sample(docs.select("doc_id", "text"), trusted), across=True)
+    narrow = quality.score(docs.select("doc_id", "lang", "text"), model).select("doc_id", "lang", "perplexity", "repeated")
     levels = cut_lineage(quality.thresholds(narrow, trusted))
     return quality.decide(quality.score(docs, model), levels).filter("keep").select(docs.columns)
 

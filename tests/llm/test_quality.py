@@ -77,6 +77,34 @@ def test_perplexities_equal_the_plain_model(awkward, model, trusted_texts):
             assert r.perplexity == pytest.approx(expected, rel=1e-4)
 
 
+def test_perplexities_across_word_ends_equal_the_plain_model(spark, awkward, trusted_texts, monkeypatch):
+    apart = words
+    monkeypatch.setitem(globals(), "words", lambda t: [" ".join(apart(t))] if apart(t) else [])
+    plain = Plain(trusted_texts)
+    model = quality.train(spark.createDataFrame([(t,) for t in trusted_texts], "text string").repartition(3), buckets=5, across=True)
+    for r in quality.score(awkward, model).collect():
+        expected, w = plain.perplexity(r.text), apart(r.text)
+        assert (r.perplexity is None) == (expected is None)
+        assert r.repeated == pytest.approx(sum(x in w[max(0, i - quality.NEAR) : i] for i, x in enumerate(w)) / max(1, len(w)))
+        if expected:
+            assert r.perplexity == pytest.approx(expected, rel=1e-4)
+
+
+def test_order_raises_perplexity_and_repeats_are_rejected(spark):
+    def text(seed, n):  # each word has one that follows it
+        return " ".join(f"{a} {b}" for a, b in zip(prose(seed, n).replace(".", "").split(), prose(seed + 1000, n).upper().replace(".", "").split()))
+
+    sound = [(i, text(i, 60)) for i in range(40)]
+    scrambled = sorted(sound[39][1].split())
+    junk = [(50, " ".join(scrambled)), (51, " ".join(["the"] * 80)), (52, " ".join(["an THE"] * 40)), (53, " ".join(["the THE"] * 9 + ["an ST"] * 30))]
+    df = spark.createDataFrame(rows(*sound, *junk), SCHEMA)
+    model = quality.train(df.filter("doc_id < 30"), buckets=3, across=True)
+    scored = quality.score(df, model)
+    got = {r.doc_id: r for r in quality.decide(scored, quality.thresholds(scored, spark.range(30).withColumnRenamed("id", "doc_id"))).collect()}
+    assert all(got[i].keep for i in range(40)) and not any(got[i].keep for i in (51, 52, 53))
+    assert got[50].perplexity > 1.1 * got[39].perplexity
+
+
 def test_probabilities_sum_to_one(spark, trusted_texts):
     counts = quality.gram_counts(spark.createDataFrame([(t,) for t in trusted_texts], "text string"))
     table = {r.gram: (r.log_p, r.log_bow) for r in quality.kneser_ney(counts).collect()}
