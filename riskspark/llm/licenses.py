@@ -56,13 +56,23 @@ TEMPLATES = {
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
     "You may obtain a copy of the License at",
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
-    "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
-    "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "GPL-3.0-notice": "GNU General Public License, version 3",
+    "GPL-2.0-notice": "GNU General Public License, version 2",
+    "LGPL-3.0-notice": "GNU Lesser General Public License, version 3",
+    "LGPL-2.1-notice": "GNU Lesser General Public License, version 2.1",
+    "AGPL-3.0-notice": "GNU Affero General Public License, version 3",
+    # short enough that another version or kind leaves less than CONTAINMENT
+    "GPL-3.0-or-later": "terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+    "GPL-2.0-or-later": "terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+    "LGPL-3.0-or-later": "terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License",
+    "LGPL-2.1-or-later": "terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+    "AGPL-3.0-or-later": "terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+    # all BSD licences open alike; then 2-Clause goes from its second clause to the disclaimer, 3-Clause has the names in between
+    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
     "conditions are met",
+    "BSD-2-Clause": "materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT",
+    "BSD-3-Clause": "names of its contributors may be used to endorse or promote products derived from this software without specific prior written "
+    "permission",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
     "above copyright notice and this permission notice appear in all copies.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -73,6 +83,7 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "All-rights-reserved": "All rights reserved.",
 }
 
 

@@ -51,6 +51,42 @@ def test_planted_notices_are_found_and_clean_texts_left(spark):
     assert found == expected
 
 
+GNU = "you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+NAMES = "3. Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+
+
+def test_licences_are_told_apart_and_every_notice_of_the_documents_has_a_row(spark):
+    cases = {
+        "Released under the MIT License.": {"MIT-notice"},
+        "Licensed under the Apache License, Version 2.0.": {"Apache-2.0-notice"},
+        "This work is licensed under the GNU General Public License, version 3.": {"GPL-3.0-notice"},
+        "Licensed under CC BY-NC 4.0.": {"CC-BY-NC-4.0-notice"},
+        "All rights reserved.": {"All-rights-reserved"},
+        "This work is licensed under the GNU General Public License, version 2.": {"GPL-2.0-notice"},
+        "This work is licensed under the GNU Lesser General Public License, version 3.": {"LGPL-3.0-notice"},
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": {"LGPL-2.1-notice"},
+        "This work is licensed under the GNU Affero General Public License, version 3.": {"AGPL-3.0-notice"},
+        GNU.format("", 2): {"GPL-2.0-or-later"},
+        GNU.format("", 3): {"GPL-3.0-or-later"},
+        GNU.format("Lesser ", "2.1"): {"LGPL-2.1-or-later"},
+        GNU.format("Lesser ", 3): {"LGPL-3.0-or-later"},
+        GNU.format("Affero ", 3): {"AGPL-3.0-or-later"},
+        BSD.format(""): {"BSD", "BSD-2-Clause"},
+        BSD.format(NAMES.format("the copyright holder")): {"BSD", "BSD-3-Clause"},
+        BSD.format(NAMES.format("Acme Corp")): {"BSD", "BSD-3-Clause"},
+    }
+    docs = [(i, f"{prose(i, 40)}\n{text}\n{prose(99 + i, 30)}") for i, text in enumerate(cases)]
+    found = {i: set() for i, _ in docs}
+    for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        found[r.doc_id].add(r.license)
+    assert list(found.values()) == list(cases.values())
+
+
 def test_two_places_are_two_matches(spark):
     text = f"{prose(1, 50)} Released under the MIT License. {prose(2, 50)} Released under the MIT License."
     got = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
