@@ -92,13 +92,15 @@ def _packer(most: int):
     return pack
 
 
-def pack(df: DataFrame, block_bytes: int = BLOCK_BYTES, keep: bool = True) -> DataFrame:
+def pack(df: DataFrame, block_bytes: int = BLOCK_BYTES, keep: bool = True, first: Callable | None = None) -> DataFrame:
     """Rows of ``df`` as blocks (block, docs); whole rows, any columns.
+    ``first`` changes the record batches before, in the same Python worker.
 
     ``keep`` checkpoints the blocks.  Without it they are made again for each
     use; a block's name holds a digest of its content, so a block that comes out
     otherwise finds no replies and ``use`` fails instead of mixing them up."""
-    blocks = df.mapInArrow(_packer(block_bytes), _BLOCKS)
+    packer = _packer(block_bytes)
+    blocks = df.mapInArrow((lambda batches: packer(first(batches))) if first else packer, _BLOCKS)
     return cut_lineage(blocks) if keep else blocks
 
 
@@ -114,11 +116,11 @@ def ask(blocks: DataFrame, keys_of: Callable[[pa.Table], list[tuple[int, bytes]]
     return blocks.mapInArrow(_asker(keys_of), _ASKED)
 
 
-def ask_rows(df: DataFrame, keys_of: Callable[[pa.Table], list[tuple[int, bytes]]], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``ask(pack(df, keep=False), keys_of)`` in one Python worker per task
-    instead of two, which halves the workers' memory."""
+def ask_rows(df: DataFrame, keys_of: Callable[[pa.Table], list[tuple[int, bytes]]], block_bytes: int = BLOCK_BYTES, first: Callable | None = None) -> DataFrame:
+    """``ask(pack(df, keep=False, first=first), keys_of)`` in one Python worker
+    per task instead of two, which halves the workers' memory."""
     packer, asker = _packer(block_bytes), _asker(keys_of)
-    return df.mapInArrow(lambda batches: asker(packer(batches)), _ASKED)
+    return df.mapInArrow(lambda batches: asker(packer(first(batches) if first else batches)), _ASKED)
 
 
 def _asker(keys_of: Callable[[pa.Table], list[tuple[int, bytes]]]):

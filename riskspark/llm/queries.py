@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, conversations, decontamination, exactdedup, fingerprints, language, licenses, lm, quality, sharding, simhash, substrings  # noqa: F401
+from . import bpe, conversations, decontamination, exactdedup, fingerprints, language, licenses, lm, phrases, quality, sharding, simhash, substrings  # noqa: F401
 from .catalog import ORACLES, QUERIES
 
 
