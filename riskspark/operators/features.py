@@ -6,12 +6,10 @@ group keys).
 
 Scale notes
 -----------
-* Velocity (F1) partitions by (card, time chunk), not by card alone.  A
-  chunk spans ``chunk_seconds`` (default 4x the largest window); rows in the
-  last window-length of a chunk are copied, payload-less, into the next
-  chunk as context.  A hot card is therefore spread across its chunks
-  (1.25x rows shuffled) instead of landing in one task, and a chunk is walked
-  once by frames that only grow.  NULL-card rows stay out of the windows.
+* Velocity (F1) deals rows by (card, t) into ranges, so a card with a third of
+  all rows, even within one window length, spreads over many tasks.  A window
+  is put together from two running sums over blocks of its own length, by
+  addition only.  Keys and amounts are moved; payload joins the result once.
 * Prior stats and prior distinct counts (F3-F6) are one segmented prefix
   sum (``ordering.prefix_sum``) over the rows plus one "first occurrence"
   marker per (card, value); the markers come from a partially aggregated
@@ -30,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import number
 from .modeltables import keep
-from .ordering import prefix_sum
+from .ordering import attach, deal, edge_offsets, prefix_sum, range_count
 
 SECONDS_PER_DAY = 86400
 # Default velocity windows (label -> seconds), as in the reference: 1 hour, 1 day.
@@ -59,7 +57,7 @@ def add_velocity_features(
     amount_col: str = "amount",
     id_col: str = "id",
     windows_seconds: Mapping[str, int | None] | None = None,
-    chunk_seconds: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Count and sum of the card's amounts in (t - d, t] per window.  An empty
     frame is an error.
@@ -67,70 +65,94 @@ def add_velocity_features(
     Of rows in the same second only those at or before the current row in
     (t, id) order count.  ``count`` ignores NULL amounts; the sum over a
     window without non-NULL amounts is NULL.  A window of ``None`` means the
-    whole history up to the row.
+    whole history up to the row.  Rows that agree in card, t and id get the
+    counts of the last of them.
     """
     windows = dict(DEFAULT_WINDOWS if windows_seconds is None else windows_seconds)
     require_columns(df, [card_col, time_col, amount_col, id_col])
     require_rows(df)
     bounded = {k: int(v) for k, v in windows.items() if v is not None}
-    unbounded = [k for k, v in windows.items() if v is None]
     for k, v in bounded.items():
         if v < 1:
             raise ValueError(f"window {k!r} must be at least 1 second")
 
-    out = df
+    keys = [card_col, time_col, id_col]
+    narrow = df.where(F.col(card_col).isNotNull()).select(*keys, number(amount_col).alias("__a"))
+    found, made = None, []
     if bounded:
-        out = _bounded_velocity(out, card_col, time_col, amount_col, id_col, bounded, chunk_seconds)
-    for label in unbounded:
-        cum = prefix_sum(
-            out.where(F.col(card_col).isNotNull()),
-            [time_col, id_col],
-            {"__c": number(amount_col).isNotNull().cast("long"), "__s": number(amount_col)},
-            partition_by=[card_col],
-        )
-        nulls = out.where(F.col(card_col).isNull()).withColumn("__c", F.lit(None).cast("long")).withColumn(
-            "__s", F.lit(None).cast("double")
-        )
-        out = cum.unionByName(nulls).withColumnRenamed("__c", f"{card_col}_txn_count_{label}")
-        out = out.withColumn(
-            f"{card_col}_amt_sum_{label}",
-            F.when(F.col(f"{card_col}_txn_count_{label}") > 0, F.col("__s")),
-        ).drop("__s")
-    return out
+        found = _bounded_velocity(narrow, *keys, bounded, ranges)
+        made += [c for label in bounded for c in (f"{card_col}_txn_count_{label}", f"{card_col}_amt_sum_{label}")]
+    for label in (k for k, v in windows.items() if v is None):
+        cname, sname = f"{card_col}_txn_count_{label}", f"{card_col}_amt_sum_{label}"
+        cum = prefix_sum(narrow, [time_col, id_col], {cname: F.col("__a").isNotNull().cast("long"), sname: F.col("__a")}, partition_by=[card_col], buckets=ranges)
+        cum = cum.withColumn(sname, F.when(F.col(cname) > 0, F.col(sname)))
+        found = cum if found is None else attach(found, cum, keys, [cname, sname])
+        made += [cname, sname]
+    if found is None:
+        return df
+    # rows without a card find nothing
+    return attach(df, found, keys, made)
+
+
+def _bounded_velocity(narrow: DataFrame, card: str, t: str, id_col: str, windows: Mapping[str, int], ranges: int | None) -> DataFrame:
+    """Rows (card, t, id) with count and sum of ``__a`` per window.
+
+    Time is cut into blocks as long as the window.  A window then is the
+    running sum within the row's own block plus the sum of what the block before
+    holds after t - d.  Both only add what lies inside, so nothing cancels and an
+    infinity counts where it stands.  "After t - d" is asked by a row of its own,
+    dealt with the others by (card, t), so the answer comes from the range where
+    the time lies, and running sums go on from range to range."""
+    rows = narrow.select(F.col(card).alias("__c"), F.col(t).alias("__t"), F.lit(-1).alias("__q"), F.col(id_col).alias("__i"), F.col("__a").alias("__a"), F.lit(None).cast(narrow.schema[t].dataType).alias("__home"))
+    # a second asks once, however many rows it has
+    seconds = narrow.select(F.col(card).alias("__c"), F.col(t).alias("__home")).distinct()
+    asks = F.explode(F.array(*[F.struct(F.lit(k).alias("q"), (F.col("__home") - F.lit(d)).alias("at")) for k, d in enumerate(windows.values())]))
+    none = F.lit(None)
+    asked = seconds.select("__c", "__home", asks.alias("x")).select(
+        "__c", F.col("x.at").cast(narrow.schema[t].dataType).alias("__t"), F.col("x.q").alias("__q"), none.cast(narrow.schema[id_col].dataType).alias("__i"), none.cast("double").alias("__a"), "__home"
+    )
+    # rows stand before questions of the same second, which ask for what is later
+    late = F.col("__q") >= 0
+    dealt = deal(rows.withColumn("__a", F.col("__a").cast("double")).unionByName(asked), range_count(narrow, ranges), F.col("__c"), F.col("__t"), late, F.col("__i"))
+    placed = dealt.repartition(range_count(narrow, ranges), "__rng", "__c")  # one exchange for all windows below
+    n, a = F.col("__a").isNotNull().cast("long"), F.col("__a")
+    cols, answers = {}, []
+    out = placed
+    for k, (label, d) in enumerate(windows.items()):
+        block = F.floor(F.col("__t") / F.lit(d)).cast("long")
+        segment = F.struct("__c", block.alias("b"))
+        out = out.withColumn(f"__b{k}", block)
+        part = Window.partitionBy("__rng", "__c", f"__b{k}")
+        upto = part.orderBy("__t", late, "__i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        since = part.orderBy(F.desc("__t"), late.desc(), F.desc("__i")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = out.withColumns({f"__pn{k}": F.sum(n).over(upto), f"__ps{k}": F.sum(a).over(upto), f"__sn{k}": F.sum(n).over(since), f"__ss{k}": F.sum(a).over(since)})
+        for way, later in (("p", False), ("s", True)):
+            offsets = edge_offsets(placed, segment, {f"__o{way}n{k}": n, f"__o{way}s{k}": a}, later)
+            offsets = offsets.select(F.col("__rng").alias("__r"), F.col("__seg.__c").alias("__oc"), F.col("__seg.b").alias("__ob"), f"__o{way}n{k}", f"__o{way}s{k}")
+            same = (F.col("__rng") == F.col("__r")) & (F.col("__c") == F.col("__oc")) & F.col(f"__b{k}").eqNullSafe(F.col("__ob"))
+            out = out.join(F.broadcast(offsets), same, "left").drop("__r", "__oc", "__ob")  # two rows per range at most
+
+    def total(way: str, what: str, k: int) -> Column:
+        return F.coalesce(F.col(f"__{way}{what}{k}"), F.lit(0)) + F.coalesce(F.col(f"__o{way}{what}{k}"), F.lit(0))
+
+    for k, label in enumerate(windows):
+        cols[f"{card}_txn_count_{label}"], cols[f"{card}_amt_sum_{label}"] = ("n", k), ("s", k)
+        mine = F.col("__q") == k
+        answers += [F.max(F.when(mine, total("s", what, k))).alias(f"__a{what}{k}") for what in "ns"]
+    # an answer is one value per (card, second)
+    answered = out.where(late).groupBy(F.col("__c").alias("__ac"), "__home").agg(*answers).withColumnRenamed("__home", "__at")
+    own = out.where(~late).select(
+        "__c", "__t", "__i", *[total("p", what, k).alias(f"__x{what}{k}") for k in range(len(windows)) for what in "ns"]
+    )
+    both = own.join(answered, (F.col("__c") == F.col("__ac")) & (F.col("__t") == F.col("__at")), "left")
 
+    def window(what: str, k: int) -> Column:
+        return F.col(f"__x{what}{k}") + F.coalesce(F.col(f"__a{what}{k}"), F.lit(0))
 
-def _bounded_velocity(df, card, t, amount, id_col, windows, chunk_seconds):
-    max_d = max(windows.values())
-    chunk = int(chunk_seconds or 4 * max_d)
-    if chunk < max_d:
-        raise ValueError("chunk_seconds must be at least the largest window")
-    payload = [c for c in df.columns if c not in (card, t, amount, id_col)]
-    tc = F.col(t)
-    own_chunk = F.floor(tc / F.lit(chunk)).cast("long")
-    near_end = tc > (own_chunk + 1) * F.lit(chunk) - F.lit(max_d)
-    parts = F.when(near_end, F.array(own_chunk, own_chunk + 1)).otherwise(F.array(own_chunk))
-    x = df.where(F.col(card).isNotNull()).withColumn("__part", F.explode(parts))
-    x = x.withColumn("__own", F.col("__part") == own_chunk)
-    # Context copies carry only the keys and the amount.
-    for c in payload:
-        x = x.withColumn(c, F.when(F.col("__own"), F.col(c)))
-
-    # Both frames only grow, so a card's chunk is walked once however many rows
-    # its window holds: everything up to the row, less everything a window ago.
-    upto = Window.partitionBy(card, "__part").orderBy(t, id_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    a = F.col("__amount")
-    x = x.withColumn("__amount", number(amount)).withColumn("__n", F.count(a).over(upto)).withColumn("__s", F.coalesce(F.sum(a).over(upto), F.lit(0.0)))
-    made = []
-    for label, d in windows.items():
-        ago = Window.partitionBy(card, "__part").orderBy(t).rangeBetween(Window.unboundedPreceding, -d)
-        cname, sname = f"{card}_txn_count_{label}", f"{card}_amt_sum_{label}"
-        x = x.withColumn(cname, (F.col("__n") - F.count(a).over(ago)).cast("long"))
-        x = x.withColumn(sname, F.when(F.col(cname) > 0, F.col("__s") - F.coalesce(F.sum(a).over(ago), F.lit(0.0))))
-        made += [(cname, "long"), (sname, "double")]
-    x = x.where(F.col("__own")).drop("__part", "__own", "__amount", "__n", "__s")
-    # rows without a card have no history: they stay out of the windows
-    none = df.where(F.col(card).isNull()).select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in made])
-    return x.unionByName(none)
+    made = [
+        (window("n", k).cast("long") if what == "n" else F.when(window("n", k) > 0, window("s", k))).alias(name) for name, (what, k) in cols.items()
+    ]
+    return both.select(F.col("__c").alias(card), F.col("__t").alias(t), F.col("__i").alias(id_col), *made)
 
 
 # ---------------------------------------------------------------------------
@@ -155,55 +177,43 @@ def add_card_usage_features(
     if n_hint is None:
         require_rows(df)
     has_div = diversity_col is not None and diversity_col in df.columns
-    keyed = df.where(F.col(card_col).isNotNull()).withColumn("__kind", F.lit(0))
+    keys = [card_col, time_col, id_col]
+    known = df.where(F.col(card_col).isNotNull())
+    a = number(amount_col).cast("double")
+    stream = known.select(*keys, a.alias("__a"), F.lit(0).alias("__kind"))
     if has_div:
         # One marker per (card, value) at its first occurrence (t, id).
         first = (
-            df.where(F.col(card_col).isNotNull() & F.col(diversity_col).isNotNull())
+            known.where(F.col(diversity_col).isNotNull())
             .groupBy(card_col, diversity_col)
             .agg(F.min(F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"))).alias("__f"))
         )
         markers = first.select(
-            F.col(card_col), F.col("__f.t").alias(time_col), F.col("__f.i").alias(id_col), F.lit(1).alias("__kind")
+            F.col(card_col), F.col("__f.t").alias(time_col), F.col("__f.i").alias(id_col), F.lit(None).cast("double").alias("__a"), F.lit(1).alias("__kind")
         )
-        stream = keyed.unionByName(markers, allowMissingColumns=True)
-    else:
-        stream = keyed
+        stream = stream.unionByName(markers)
     is_row = F.col("__kind") == 0
-    a = number(amount_col)
-    # Markers sort after their own row (kind 1 > 0): inclusive sums at a
-    # row count exactly the markers strictly before it.
+    # Markers sort after their own row (kind 1 > 0).  Every sum is of strictly
+    # earlier rows: nothing is taken away again, so a large or infinite amount
+    # does not reach the average of its own row.
     cum = prefix_sum(
         stream,
         [time_col, id_col, "__kind"],
-        {
-            "__n": is_row.cast("long"),
-            "__s": F.when(is_row, a),
-            "__d": (~is_row).cast("long"),
-        },
+        {"__n": is_row.cast("long"), "__s": F.when(is_row, F.col("__a")), "__d": (~is_row).cast("long")},
         partition_by=[card_col],
+        inclusive={"__n": False, "__s": False, "__d": False},
         buckets=buckets,
         n=n_hint,
     ).where(is_row)
-    prior_count = (F.col("__n") - 1).cast("long")
-    prior_sum = F.when(a.isNotNull(), F.col("__s") - a)
-    cum = cum.withColumn(f"{card_col}_prior_txn_count", prior_count)
-    cum = cum.withColumn(
-        f"{card_col}_running_avg_amt",
-        F.try_divide(prior_sum, F.when(prior_count != 0, prior_count.cast("double"))),
-    )
-    avg = F.col(f"{card_col}_running_avg_amt")
-    cum = cum.withColumn(f"{card_col}_amt_ratio_to_own_avg", F.try_divide(a, F.when(avg != 0, avg)))
-    new_cols = [f"{card_col}_prior_txn_count", f"{card_col}_running_avg_amt", f"{card_col}_amt_ratio_to_own_avg"]
+    count, avg, ratio = f"{card_col}_prior_txn_count", f"{card_col}_running_avg_amt", f"{card_col}_amt_ratio_to_own_avg"
+    cum = cum.withColumn(count, F.col("__n").cast("long"))
+    cum = cum.withColumn(avg, F.when(F.col("__a").isNotNull(), F.try_divide(F.col("__s"), F.when(F.col(count) != 0, F.col(count).cast("double")))))
+    cum = cum.withColumn(ratio, F.try_divide(F.col("__a"), F.when(F.col(avg) != 0, F.col(avg))))
+    made = [count, avg, ratio]
     if has_div:
-        dname = f"{card_col}_prior_distinct_{diversity_col}_count"
-        cum = cum.withColumn(dname, F.col("__d").cast("long"))
-        new_cols.append(dname)
-    cum = cum.drop("__n", "__s", "__d", "__kind")
-    nulls = df.where(F.col(card_col).isNull())
-    for c in new_cols:
-        nulls = nulls.withColumn(c, F.lit(None).cast("double" if "avg" in c or "ratio" in c else "long"))
-    return cum.unionByName(nulls)
+        made.append(f"{card_col}_prior_distinct_{diversity_col}_count")
+        cum = cum.withColumn(made[-1], F.col("__d").cast("long"))
+    return attach(df, cum.select(*keys, *made), keys, made)
 
 
 # ---------------------------------------------------------------------------

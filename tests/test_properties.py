@@ -16,11 +16,11 @@ ROWS = st.lists(
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS, window=st.integers(1, 120), chunk_factor=st.integers(1, 5))
-def test_velocity_equals_brute_force(spark, rows, window, chunk_factor):
+@given(rows=ROWS, window=st.integers(1, 120), ranges=st.integers(1, 5))
+def test_velocity_equals_brute_force(spark, rows, window, ranges):
     data = [(i, c, t, a) for i, (c, t, a) in enumerate(rows)]
     df = spark.createDataFrame(data, "id long, card long, t long, amount double")
-    out = fe.add_velocity_features(df, windows_seconds={"w": window}, chunk_seconds=window * chunk_factor)
+    out = fe.add_velocity_features(df, windows_seconds={"w": window}, ranges=ranges)
     got = {r["id"]: (r["card_txn_count_w"], r["card_amt_sum_w"]) for r in out.collect()}
     for i, c, t, _ in data:
         win = [a for j, cc, tt, a in data if cc == c and t - window < tt and (tt < t or (tt == t and j <= i))]
