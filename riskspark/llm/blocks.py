@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskspark.session import cut_lineage
 
@@ -110,6 +111,12 @@ def bucket_count(blocks: DataFrame) -> int:
     return max(1, -(-blocks.count() // 2))
 
 
+def bucket_count_of(df: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES) -> int:
+    """``bucket_count`` of the blocks of ``df``, from the texts' bytes."""
+    size = df.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0
+    return max(1, -(-size // (2 * block_bytes)))
+
+
 def ask(blocks: DataFrame, keys_of: Callable[[pa.Table], list[tuple[int, bytes]]]) -> DataFrame:
     """Runs ``keys_of`` on each block's documents; it returns (bucket, payload)
     pairs for the buckets that have keys."""

@@ -2,18 +2,20 @@
 
 A document is the multiset of its paragraphs: pieces that end at a line break
 or at a sentence mark followed by a space (long ones are cut further).  Each paragraph is hashed
-(XXH3, 128 bits) to a wide vector of 128 lanes of +1 or -1, and the
-fingerprint is the lane-wise sum modulo 2^16.  Hence
+(XXH3, 128 bits) to a wide vector: 8 full-width lanes of 64 hashed bits and 128
+sign lanes of +1 or -1.  The fingerprint is the lane-wise sum, modulo 2^64 and,
+for the sign lanes as they are written down, modulo 2^32.  Hence
 
-* order does not matter, equality is equality of the multisets (two given
-  different multisets collide with probability about 2^-128);
+* order does not matter, and equality is equality of the multisets: two given
+  different multisets collide with probability about 2^-128, and no number of
+  copies below 2^48 makes a paragraph vanish or take another's place;
 * inserting or deleting a paragraph adds or subtracts its vector (``insert``,
   ``delete``), and fingerprints of parts add up;
-* the squared length of the difference of two fingerprints estimates the
-  size of the multisets' difference, which gives ``likeness`` in 0..1 without
-  the texts: 1 for equal multisets, about 0 (with a standard deviation of
-  sqrt(2/128)) for disjoint ones.  Sums are read as signed, so the estimate
-  holds up to 2^15 net repeats per lane; equality holds always.
+* the squared length of the difference of two fingerprints' sign lanes
+  estimates the size of the multisets' difference, which gives ``likeness`` in
+  0..1 without the texts: 1 for equal multisets alone, about 0 (with a standard
+  deviation of sqrt(2/128)) for disjoint ones.  Sums are read as signed, which
+  is exact below 2^31 paragraphs.
 
 Defined cases: NULL and empty texts have no paragraph and the zero
 fingerprint, and two of them have likeness 1; very long texts are summed in
@@ -34,10 +36,12 @@ from pyspark.sql import functions as F
 from riskspark.sources.tables import table
 
 from .catalog import query
+from .words import mix
 
-LANES = 128
+WIDE, SIGNS = 8, 128
 LONGEST = 64
 _SLICE = 1 << 14
+_LANE = np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def paragraphs(text: str | None) -> list[str]:
@@ -50,14 +54,17 @@ def paragraphs(text: str | None) -> list[str]:
 
 
 def vector_sum(parts: list[str]) -> np.ndarray:
-    """Lane-wise sum of the paragraphs' +-1 vectors, modulo 2^16."""
-    total = np.zeros(LANES, np.int64)
+    """Lane-wise sum of the paragraphs' vectors, modulo 2^64: full-width lanes
+    first, then sign lanes."""
+    total = np.zeros(WIDE + SIGNS, np.uint64)
     digest = xxhash.xxh3_128_digest
     for at in range(0, len(parts), _SLICE):
-        raw = b"".join([digest(p.encode("utf-8", "surrogatepass")) for p in parts[at : at + _SLICE]])
-        bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, LANES // 8), axis=1)
-        total += 2 * bits.sum(axis=0, dtype=np.int64) - len(bits)
-    return total.astype(np.uint16)
+        raw = np.frombuffer(b"".join([digest(p.encode("utf-8", "surrogatepass")) for p in parts[at : at + _SLICE]]), np.uint8).reshape(-1, SIGNS // 8)
+        words = raw.view(">u8").astype(np.uint64)
+        total[:WIDE] += mix(words[:, :1] ^ mix(words[:, 1:] + _LANE)).sum(axis=0, dtype=np.uint64)
+        ones = np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+        total[WIDE:] += (2 * ones - len(raw)).astype(np.uint64)
+    return total
 
 
 def insert(print_: np.ndarray, paragraph: str) -> np.ndarray:
@@ -73,19 +80,22 @@ def fingerprint(text: str | None) -> np.ndarray:
 
 
 def as_hex(print_: np.ndarray) -> str:
-    return print_.astype(">u2").tobytes().hex()
+    return print_[:WIDE].astype(">u8").tobytes().hex() + print_[WIDE:].astype(np.uint32).astype(">u4").tobytes().hex()
 
 
 def from_hex(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), ">u2").astype(np.uint16)
+    raw = bytes.fromhex(text)
+    signs = np.frombuffer(raw, ">i4", SIGNS, 8 * WIDE).astype(np.int64).astype(np.uint64)
+    return np.concatenate([np.frombuffer(raw, ">u8", WIDE).astype(np.uint64), signs])
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """1 - |a-b|^2 / (|a|^2 + |b|^2), clipped to 0..1; 1 if both are zero."""
-    diff, sa, sb = ((x.astype(np.uint16).view(np.int16).astype(np.float64) ** 2).sum() for x in (a - b, a, b))
-    if not diff:
+    """1 if all lanes are equal; else 1 - |a-b|^2 / (|a|^2 + |b|^2) over the
+    sign lanes, clipped to 0 and the number below 1."""
+    if (a == b).all():
         return 1.0
-    return float(min(1.0, max(0.0, 1.0 - diff / (sa + sb))))
+    diff, sa, sb = ((x[WIDE:].view(np.int64).astype(np.float64) ** 2).sum() for x in (a - b, a, b))
+    return float(min(np.nextafter(1.0, 0.0), max(0.0, 1.0 - diff / (sa + sb)))) if sa + sb else 0.0
 
 
 def edited(text: str, other: str) -> str:

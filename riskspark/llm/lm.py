@@ -5,8 +5,9 @@ The model interpolates bigrams with the add-one unigram model:
     P(w | v) = (c(v, w) - D) / c(v) + mass(v) * (c(w) + 1) / (N + V + 1)
 
 with the three modified Kneser-Ney discounts D and mass(v) the discounts given
-up by v's successors.  The first token of a text follows the end token; an
-unknown context falls back to the unigrams.
+up by v's successors.  The discounts come from the corpus's counts of counts,
+so scores do not depend on how it is dealt.  The first token of a text follows
+the end token; an unknown context falls back to the unigrams.
 
 1. Words.  Blocks of documents send their distinct words' hashes with their
    training counts to buckets of the hash space.  A bucket sums them, ranks the
@@ -15,21 +16,27 @@ unknown context falls back to the unigrams.
 2. Bigrams.  Blocks send their distinct (context, successor) ids with training
    counts to shards.  A shard builds a trie of its part: contexts, pointers
    and successors are Elias-Fano sequences (successors made monotone by adding
-   the last value of the context before), smoothed probabilities are 8-bit
-   codes on a logarithmic scale, all in memory-mapped files of the task's
-   scratch folder.  Each block's bigrams are then looked up by a successor
-   search relative to their context, and the codes returned.
-3. Scores.  Blocks put counts and codes together and sum log10 P per text.
+   the last value of the context before), all in memory-mapped files of the
+   task's scratch folder.  A successor's level value is its discount class and
+   its relative frequency, quantised on a logarithmic scale to 16 bits (counts
+   below ``EXACT`` are kept as they are); a context has the number of its
+   successors in each class.  Each block's bigrams are then looked up by a
+   successor search relative to their context, and the codes returned.
+3. Scores.  Each shard's counts of counts (four numbers) give the discounts
+   once for all; blocks put counts, codes and discounts together and sum
+   log10 P per text.  A context's mass is exact and above 0, however frequent
+   the context is.
 
 Contexts are dealt to shards by hash.  A context with more than a quarter of a
 shard's share of all tokens is split into pieces by its successors; a block
-asks all pieces for their part of the mass.  Nothing passes through the driver
-but two numbers per bucket.  Counts cover every training text, so what moves
+asks all pieces for their part of the mass.  There is a bucket of words and a shard for
+every two blocks, so memory per task does not follow the corpus.  Nothing passes
+through the driver but two numbers per bucket and four per shard.  Counts cover every training text, so what moves
 grows with the corpus.  Words are told apart by 64-bit hashes.
 
 Defined cases: NULL and empty texts are one end token; texts are scored whole;
 repeated rows count and score each; without training rows N = V = 0 and every
-probability is 1; an empty table gives an empty result.  Extra columns are
+probability is 1, in all other cases it is above 0; an empty table gives an empty result.  Extra columns are
 carried along, but one named like an output column is replaced.
 """
 
@@ -55,7 +62,10 @@ from .words import Words, mix
 
 _END = np.uint64(0x5BD1E995A1B2C3D4)
 _UNKNOWN = np.uint32(0xFFFFFFFF)
-_CODES = 254  # code 0 is "not seen"
+
+#: Counts below are codes themselves (0: not seen); above, code EXACT + k is
+#: the count EXACT * STEP ** k.
+EXACT, STEP = 2048, 1.0005
 
 OUTPUT = [
     T.StructField(n, t)
@@ -161,7 +171,8 @@ class _Bigrams:
         size = len(t.hashes)
         self.valid = (v.id[t.before] >= 0) & (v.id[t.of] >= 0)
         keys, self.pair_of = np.unique(t.before[self.valid] * size + t.of[self.valid], return_inverse=True)
-        first, then = np.divmod(keys, max(size, 1))
+        self.first, then = np.divmod(keys, max(size, 1))
+        first = self.first
         self.counts = np.bincount(self.pair_of[t.trained[self.valid]], minlength=len(keys))
         context, successor = v.id[first], v.id[then]
         # pieces of frequent contexts, in proportion to their share of all tokens
@@ -182,18 +193,18 @@ class _Bigrams:
             a, b = np.searchsorted(self.entry_shard, [k, k + 1])
             i, j = np.searchsorted(s, [k, k + 1])
             pairs = self.order[i:j]
-            self.shards.append((k, slice(a, b), pairs, (v.id[self.entry[a:b]], v.count[self.entry[a:b]], n[a:b], successor[pairs], self.counts[pairs])))
+            self.shards.append((k, slice(a, b), pairs, (v.id[self.entry[a:b]], n[a:b], successor[pairs], self.counts[pairs])))
 
 
 def _shard_of(context: np.ndarray, piece: np.ndarray, shards: int) -> np.ndarray:
     return (mix(context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + piece) % np.uint64(shards)).astype(np.int64)
 
 
-def _pack_pairs(context, count, n, successor, counts) -> bytes:
+def _pack_pairs(context, n, successor, counts) -> bytes:
     head = B.pack_sorted(context.astype(np.uint64))
     width = max(1, (int(successor.max()).bit_length() + 7) // 8) if len(successor) else 1
     body = successor.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    rest = _squeeze(count.astype(np.uint64), n.astype(np.uint32), counts.astype(np.uint32))
+    rest = _squeeze(n.astype(np.uint32), counts.astype(np.uint32))
     return head + bytes([width]) + len(successor).to_bytes(4, "little") + body.tobytes() + rest
 
 
@@ -203,26 +214,39 @@ def _unpack_pairs(data: bytes):
     wide = np.zeros((m, 8), np.uint8)
     wide[:, :width] = np.frombuffer(data, np.uint8, m * width, at + 5).reshape(m, width)
     raw, k = _expand(data[at + 5 + m * width :]), len(context)
-    count, n = np.frombuffer(raw, np.uint64, k), np.frombuffer(raw, np.uint32, k, 8 * k)
-    counts = np.frombuffer(raw, np.uint32, m, 12 * k)
-    return context.astype(np.int64), count.astype(np.int64), n.astype(np.int64), wide.view("<u8").ravel().astype(np.int64), counts.astype(np.int64)
+    n, counts = np.frombuffer(raw, np.uint32, k), np.frombuffer(raw, np.uint32, m, 4 * k)
+    return context.astype(np.int64), n.astype(np.int64), wide.view("<u8").ravel().astype(np.int64), counts.astype(np.int64)
+
+
+def counts_of_counts(counts: np.ndarray) -> np.ndarray:
+    """How many are 1, 2, 3 and 4."""
+    return np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64)
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
+def discounts(n: np.ndarray) -> np.ndarray:
     """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more."""
-    n = [int((counts == k).sum()) for k in range(5)]
+    n = [0, *(int(x) for x in n)]
     y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
     return np.array([min(max(k - (k + 1) * y * n[k + 1] / n[k] if n[k] else k * 0.5, 0.05 * k), 0.95 * k) for k in (1, 2, 3)])
 
 
+def encode(count: np.ndarray) -> np.ndarray:
+    large = EXACT + np.rint(np.log(np.maximum(count, EXACT) / EXACT) / np.log(STEP))
+    return np.where(count < EXACT, count, large).astype(np.uint16)
+
+
+def decode(code: np.ndarray) -> np.ndarray:
+    code = code.astype(np.float64)
+    return np.where(code < EXACT, code, EXACT * STEP ** (code - EXACT))
+
+
 class Trie:
-    """Contexts -> successors with quantised smoothed probabilities.
+    """Contexts -> successors with quantised counts, and the number of
+    successors of each context with count 1, 2 and more.
 
-    ``context``, ``successor``, ``count``: distinct pairs in order, counts > 0;
-    ``of_context``: the context's count over the whole corpus, per pair."""
+    ``context``, ``successor``, ``count``: distinct pairs in order, counts > 0."""
 
-    def __init__(self, folder: str, context, successor, count, of_context):
-        d = discounts(count)[np.minimum(count, 3) - 1] if len(count) else np.empty(0)
+    def __init__(self, folder: str, context, successor, count):
         own, starts = np.unique(context, return_index=True)
         ends = np.append(starts[1:], len(context))
         last = np.cumsum(successor[ends - 1]) if len(own) else np.empty(0, np.int64)
@@ -231,29 +255,25 @@ class Trie:
         self.pointers = EliasFano.build(np.append(starts, len(context))).save(folder, "pointers")
         self.bases = EliasFano.build(base).save(folder, "bases")
         self.successors = EliasFano.build(successor + np.repeat(base, ends - starts)).save(folder, "successors")
-        logs = np.log10((count - d) / of_context) if len(count) else np.zeros(1)
-        self.low, self.high = float(np.float32(logs.min())), float(np.float32(logs.max()))
-        scale = (self.high - self.low) or 1.0
-        codes = (1 + np.rint((logs - self.low) / scale * (_CODES - 1))).clip(1, _CODES).astype(np.uint8)
-        mass = np.add.reduceat(d / of_context, starts) if len(own) else np.empty(0)
-        self.codes = self._mapped(folder, "codes", codes)
-        self.mass = self._mapped(folder, "mass", np.rint(mass.clip(0, 1) * 65535).astype(np.uint16))
+        self.codes = self._mapped(folder, "codes", encode(count))
+        kinds = np.stack([count == 1, count == 2, count > 2]).astype(np.uint32)
+        self.kinds = self._mapped(folder, "kinds", np.add.reduceat(kinds, starts, axis=1) if len(own) else kinds)
 
     @staticmethod
     def _mapped(folder: str, name: str, values: np.ndarray) -> np.ndarray:
         np.save(f"{folder}/{name}.npy", values)
-        return np.load(f"{folder}/{name}.npy", mmap_mode="r") if len(values) else values
+        return np.load(f"{folder}/{name}.npy", mmap_mode="r") if values.size else values
 
     def lookup(self, context: np.ndarray, n: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mass code of each context and probability code of each of its ``n``
-        successors; 0 where the trie has none."""
-        mass, codes = np.zeros(len(context), np.uint16), np.zeros(len(successor), np.uint8)
+        """Successors of each context by class (3 rows), and the code of each of
+        its ``n`` successors; 0 where the trie has none."""
+        kinds, codes = np.zeros((3, len(context)), np.uint32), np.zeros(len(successor), np.uint16)
         at = self.contexts.next_geq(context)
         there = np.flatnonzero(at < self.contexts.n)
         there = there[self.contexts.get(at[there]) == context[there]]
         if not len(there):
-            return mass, codes
-        mass[there] = self.mass[at[there]]
+            return kinds, codes
+        kinds[:, there] = self.kinds[:, at[there]]
         begin, end, base = (np.zeros(len(context), np.int64) for _ in range(3))
         begin[there], end[there], base[there] = self.pointers.get(at[there]), self.pointers.get(at[there] + 1), self.bases.get(at[there])
         of = np.repeat(np.arange(len(context)), n)
@@ -261,37 +281,27 @@ class Trie:
         inside = np.flatnonzero(place < end[of])
         found = inside[self.successors.get(place[inside]) == successor[inside] + base[of[inside]]]
         codes[found] = self.codes[place[found]]
-        return mass, codes
-
-    def probabilities(self) -> np.ndarray:
-        return code_table(self.low, self.high)
-
-
-def code_table(low: float, high: float) -> np.ndarray:
-    """Probability of each code; 0 for code 0."""
-    return np.concatenate([[0.0], 10 ** (low + (high - low) * np.arange(_CODES) / (_CODES - 1))])
+        return kinds, codes
 
 
 def _search(_: int, payloads: list[bytes]) -> list[bytes]:
-    """One shard: builds its trie from all blocks' pairs and answers each block."""
+    """One shard: builds its trie from all blocks' pairs and answers each block.
+    A reply begins with the shard's counts of counts."""
     asked = [_unpack_pairs(p) for p in payloads]
-    context = np.concatenate([np.repeat(c, n) for c, _, n, _, _ in asked])
-    of_context = np.concatenate([np.repeat(t, n) for _, t, n, _, _ in asked])
-    successor, count = (np.concatenate([a[k] for a in asked]) for k in (3, 4))
+    context = np.concatenate([np.repeat(c, n) for c, n, _, _ in asked])
+    successor, count = (np.concatenate([a[k] for a in asked]) for k in (2, 3))
     seen = count > 0
-    context, of_context, successor, count = context[seen], of_context[seen], successor[seen], count[seen]
+    context, successor, count = context[seen], successor[seen], count[seen]
     order = np.lexsort((successor, context))
-    context, of_context, successor, count = (x[order] for x in (context, of_context, successor, count))
+    context, successor, count = (x[order] for x in (context, successor, count))
     new = np.ones(len(context), bool)
     new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
     first = np.flatnonzero(new)
     count = np.add.reduceat(count, first) if len(first) else count
+    head = counts_of_counts(count).astype(">u8").tobytes()
     with tempfile.TemporaryDirectory() as folder:
-        trie = Trie(folder, context[first], successor[first], count, of_context[first])
-        out = []
-        for c, _, n, s, _ in asked:
-            mass, codes = trie.lookup(c, n, s)
-            out.append(np.array([trie.low, trie.high], np.float32).tobytes() + _squeeze(mass, codes))
+        trie = Trie(folder, context[first], successor[first], count)
+        out = [head + _squeeze(*trie.lookup(c, n, s)) for c, n, s, _ in asked]
         del trie
     return out
 
@@ -303,7 +313,7 @@ def score_texts(df: DataFrame, train_col: str, text_col: str = "text", buckets:
     """``df`` with n_tokens, n_known, train_tokens, base_score and score; the
     model learns from the rows whose ``train_col`` is true."""
     df = B.make_room(df, [f.name for f in OUTPUT], text_col, train_col)
-    buckets = buckets or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or B.bucket_count_of(df, text_col)
     packed = B.pack(df, keep=False)
     ranked = cut_lineage(B.answer(B.ask(packed, _ask_words(text_col, train_col, buckets)), _rank_words))
 
@@ -333,13 +343,15 @@ def score_texts(df: DataFrame, train_col: str, text_col: str = "text", buckets:
     def finish(docs: pa.Table, replies: dict[int, bytes]) -> pa.Table:
         t, v, g = dealt(docs, {b: p for b, p in replies.items() if b < buckets})
         unigram = (v.count + 1) / (total + distinct + 1)
-        mass, alpha = np.zeros(len(t.hashes)), np.zeros(len(g.counts))
+        given, count = np.zeros(len(t.hashes)), np.zeros(len(g.counts))
         for k, entries, pairs, _ in g.shards:
-            reply = replies[buckets + k]
-            raw = _expand(reply[8:])
+            raw = _expand(replies[buckets + k][32:])
             n = entries.stop - entries.start
-            np.add.at(mass, g.entry[entries], np.frombuffer(raw, np.uint16, n) / 65535)
-            alpha[pairs] = code_table(*np.frombuffer(reply, np.float32, 2))[np.frombuffer(raw, np.uint8, len(pairs), 2 * n)]
+            np.add.at(given, g.entry[entries], off @ np.frombuffer(raw, np.uint32, 3 * n).reshape(3, n))
+            count[pairs] = decode(np.frombuffer(raw, np.uint16, len(pairs), 12 * n))
+        of_context = np.maximum(v.count, 1)
+        mass = given / of_context
+        alpha = (count - np.where(count > 0, off[np.clip(count, 1, 3).astype(np.int64) - 1], 0.0)) / of_context[g.first]
         weight = np.where(v.count > 0, mass, 1.0)  # an unknown context says nothing
         p = weight[t.before] * unigram[t.of]
         p[g.valid] += alpha[g.pair_of]
@@ -355,7 +367,10 @@ def score_texts(df: DataFrame, train_col: str, text_col: str = "text", buckets:
             docs = docs.append_column(field.name, values)
         return docs
 
-    coded = B.answer(B.ask_again(packed, ranked, pairs_of), _search)
+    coded = cut_lineage(B.answer(B.ask_again(packed, ranked, pairs_of), _search))
+    four = [F.max(number(1 + 8 * k)).alias(f"n{k}") for k in range(4)]
+    seen = coded.groupBy("bucket").agg(*four).agg(*[F.sum(f"n{k}") for k in range(4)]).first()
+    off = discounts(np.array([x or 0 for x in seen], np.int64))
     both = ranked.unionByName(coded.withColumn("bucket", F.col("bucket") + buckets))
     return B.use(packed, both, finish, T.StructType(df.schema.fields + OUTPUT))
 

@@ -296,8 +296,7 @@ def candidates(df: DataFrame, text_col: str = "text", lang_col: str = "lang", le
     ``least`` times by word number, the numbered words (pair: language, tab,
     word) and all word occurrences of each language."""
     docs = df.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // (2 * block_bytes)))
+    buckets = B.bucket_count_of(docs, "text", block_bytes)
     asked = B.ask_rows(docs, _words_asked(buckets), block_bytes, _split_long)
     answers = cut_lineage(asked.groupBy("bucket").applyInArrow(_numbered(buckets, least), "block long, bucket int, payload binary"))
     blocks = B.pack(docs, block_bytes, keep=False, first=_split_long)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from riskspark.llm import fingerprints as P
@@ -22,6 +23,40 @@ def test_order_does_not_matter_and_updates_add_up():
     assert not P.fingerprint(None).any() and not P.fingerprint(" \n ").any()
 
 
+def plain(parts):
+    """The fingerprint in whole numbers of Python, lane by lane."""
+    top = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ x >> 31) * 0x7FB5D329728EA185 & top
+        x = (x ^ x >> 27) * 0x81DADEF4BC2DD44D & top
+        return x ^ x >> 33
+
+    wide, signs = [0] * 8, [0] * 128
+    for p in parts:
+        h = xxhash.xxh3_128_intdigest(p.encode())
+        for k in range(8):
+            wide[k] += mixed(h >> 64 ^ mixed((h & top) + (k + 1) * 0x9E3779B97F4A7C15 & top))
+        for k in range(128):
+            signs[k] += 1 if h >> (127 - k) & 1 else -1
+    return "".join(f"{x & top:016x}" for x in wide) + "".join(f"{x & 0xFFFFFFFF:08x}" for x in signs)
+
+
+def test_equals_a_plain_version():
+    for parts in ([], ["a"], ["b"] * 3, P.paragraphs(prose(4, 300)), ["é 漢字", "", "x" * 64]):
+        assert P.as_hex(P.vector_sum(parts)) == plain(parts)
+
+
+@pytest.mark.parametrize("n", [1 << 15, 1 << 16, 1 << 17])
+def test_many_copies_neither_vanish_nor_collide(n):
+    a, b, none = P.fingerprint("a\n" * n), P.fingerprint("b\n" * n), P.fingerprint("")
+    assert len({P.as_hex(x) for x in (a, b, none)}) == 3
+    assert P.likeness(a, b) < 0.6 and P.likeness(a, none) < 0.6 and P.likeness(a, a) == 1
+    assert (P.from_hex(P.as_hex(a)) == a).all()
+    assert (a - P.vector_sum(["a"] * n) == none).all()
+    assert P.likeness(a, P.fingerprint("a\n" * (n + 1))) < 1
+
+
 def test_likeness():
     a, b = P.paragraphs(prose(1, 2000)), P.paragraphs(prose(2, 2000))
     n = min(len(a), len(b))
