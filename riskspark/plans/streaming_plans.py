@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import woe as wo
-from ..sources.tables import EVENT_TRANSACTIONS_SQL, applications_from, table
+from ..sources.tables import applications_from, epoch_seconds, table
 from ..streaming import jobs as sj
 from . import credit_plans as cp
 from .audit_plans import SCORES_SQL
@@ -36,11 +36,18 @@ def _app_stream(spark, sf_dir):
 )
 def stream_score_audit(spark, sf_dir):
     """ST1: file stream of orders -> applications -> frozen scorecard ->
-    decision -> idempotent append to the decision log."""
+    decision -> idempotent append to the decision log.  Orders arrive in three
+    files; every third one is sent again in the next file."""
     m, base, pts, cut, _ = _frozen(spark, sf_dir)
     root = sj.run_dir(spark, "score-audit")
+    orders = table(spark, sf_dir, "orders")
+    file = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+    again = F.when(F.col("o_orderkey") % 3 == 0, F.array(file, (file + 1) % 3)).otherwise(F.array(file))
+    sent = orders.select("*", F.explode(F.array_sort(again)).alias("__file"))
+    sj.feed(sent, f"{root}/in", F.col("__file"), 3)
+    arriving = sj.file_stream(spark, f"{root}/in", "*.parquet").drop("__file")
     log = sj.stream_score_audit(
-        spark, _app_stream(spark, sf_dir), m, base, pts, cut, "id", "t", ["totalprice", "acctbal", "priority", "segment"],
+        spark, applications_from(arriving, table(spark, sf_dir, "customer")), m, base, pts, cut, "id", "t", ["totalprice", "acctbal", "priority", "segment"],
         f"{root}/log", f"{root}/chk",
     )
     return log.select("id", F.round("score", 6).alias("score"), "decision")
@@ -48,21 +55,34 @@ def stream_score_audit(spark, sf_dir):
 
 WINDOW = "1 day"
 DELAY = "1 hour"
+FILES = 4
+
+
+def _event_stream(spark, sf_dir, root):
+    """events in several files: by time, but each event up to half the delay too
+    early or too late, and then the row that closes the stream."""
+    ev = table(spark, sf_dir, "events")
+    t = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)
+    low, high = ev.agg(F.min(t), F.max(t)).first()
+    shifted = t + F.pmod(F.xxhash64("event_id"), F.lit(3600)) - F.lit(1800)
+    part = F.floor((shifted - F.lit(low)) / F.lit((high - low) / FILES + 1))
+    folder = f"{root}/in"
+    sj.feed(ev, folder, F.least(F.greatest(part, F.lit(0)), F.lit(FILES - 1)), FILES)
+    sj.close(spark, folder, "ts", DELAY, user_id=0)
+    return sj.file_stream(spark, folder, "*.parquet", max_files=ev.rdd.getNumPartitions())
 
 
 @register(
     "stream_velocity_tumbling",
     """WITH w AS (SELECT time_bucket(INTERVAL '1 day', ts) AS ws, user_id, count(value) AS n, sum(value) AS s FROM events GROUP BY ALL)
-       SELECT CAST(epoch(ws) AS BIGINT) AS window_start, user_id, CAST(n AS BIGINT) AS n_events, round(s, 6) AS amount_sum
-       FROM w WHERE ws + INTERVAL '1 day' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
+       SELECT CAST(epoch(ws) AS BIGINT) AS window_start, user_id, CAST(n AS BIGINT) AS n_events, round(s, 6) AS amount_sum FROM w""",
 )
 def stream_velocity_tumbling(spark, sf_dir):
-    """ST2: daily windows per user with a one-hour watermark; only windows
-    the watermark has closed are emitted (append mode)."""
+    """ST2: daily windows per user with a one-hour watermark, over events in
+    several files; the closing row brings out the last windows."""
     root = sj.run_dir(spark, "velocity")
-    ev = sj.file_stream(spark, sf_dir, "events.parquet")
     out = f"{root}/out"
-    sj.stream_velocity_tumbling(ev, "ts", "user_id", "value", WINDOW, DELAY, out, f"{root}/chk")
+    sj.stream_velocity_tumbling(_event_stream(spark, sf_dir, root), "ts", "user_id", "value", WINDOW, DELAY, out, f"{root}/chk")
     r = spark.read.parquet(out)
     return r.select(F.unix_timestamp("window_start").alias("window_start"), "user_id", "n_events", F.round("amount_sum", 6).alias("amount_sum"))
 
@@ -93,22 +113,17 @@ def stream_psi(spark, sf_dir):
     return runs.select("batch_id", "n_rows", F.round("psi", 9).alias("psi"), "verdict", "status")
 
 
-@register(
-    "stream_velocity_exact",
-    f"SELECT * FROM ({VELOCITY_SQL}) WHERE t <= (SELECT max(t) FROM ({EVENT_TRANSACTIONS_SQL})) - 3600",
-)
+@register("stream_velocity_exact", VELOCITY_SQL)
 def stream_velocity_exact(spark, sf_dir):
-    """ST2 (exact): the events file stream through a per-card stateful
-    processor; each row's 1h / 1d count and sum over (t - d, t].  Rows of the
-    last hour wait for the watermark and are not out yet."""
-    from ..sources.tables import epoch_seconds
-
+    """ST2 (exact): events in several files, in mixed order within the delay,
+    through a per-card stateful processor; each row's 1h / 1d count and sum over
+    (t - d, t], for all rows."""
     root = sj.run_dir(spark, "velocity-exact")
-    ev = sj.file_stream(spark, sf_dir, "events.parquet").select(
+    ev = _event_stream(spark, sf_dir, root).select(
         F.col("event_id").alias("id"), F.col("user_id").alias("card"), epoch_seconds("ts").alias("t"), F.col("value").alias("amount")
     )
     out = f"{root}/out"
-    sj.stream_velocity_exact(ev, "card", "t", "id", "amount", {"1h": 3600, "1d": 86400}, out, f"{root}/chk")
+    sj.stream_velocity_exact(ev, "card", "t", "id", "amount", {"1h": 3600, "1d": 86400}, out, f"{root}/chk", DELAY)
     r = spark.read.parquet(out)
     return r.select(
         "id", "card", "t", "card_txn_count_1h", F.round("card_amt_sum_1h", 6).alias("card_amt_sum_1h"),

@@ -4,14 +4,20 @@ All jobs read a file source (``readStream`` with a glob filter), run with
 ``trigger(availableNow=True)`` and checkpoint into the shared checkpoint
 folder, so a restarted job resumes where it stopped.  Sinks go through
 ``foreachBatch`` with idempotent appends keyed by the batch id.
+
+What the watermark holds back comes out when a later event arrives; ``close``
+writes one such event behind the last file of a folder that gets no more.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators import audit as au
 from ..operators import woe as wo
@@ -32,6 +38,23 @@ def file_stream(spark: SparkSession, folder: str, file_glob: str, max_files: int
     )
 
 
+def feed(df: DataFrame, folder: str, part: Column, parts: int) -> None:
+    """Appends the rows of ``part`` 0, 1, ... to a folder, one write after the
+    other, so that a file stream sees them in this order."""
+    for k in range(parts):
+        df.where(part == k).write.mode("append").parquet(folder)
+
+
+def close(spark: SparkSession, folder: str, time_col: str, delay: str, **values) -> None:
+    """Appends one row with NULL in all columns but the given ones and the time,
+    which lies ``delay`` and a day behind all others."""
+    there = spark.read.parquet(folder)
+    at = there.agg(F.max(F.col(time_col).cast("timestamp") + F.expr(f"INTERVAL {delay}") + F.expr("INTERVAL 1 DAY")).alias("at"))
+    value = {f.name: F.lit(values.get(f.name)).cast(f.dataType) for f in there.schema.fields}
+    value[time_col] = F.col("at").cast(there.schema[time_col].dataType)
+    at.where("at IS NOT NULL").select(*[value[c].alias(c) for c in there.columns]).write.mode("append").parquet(folder)
+
+
 def stream_score_audit(
     spark: SparkSession,
     requests: DataFrame,
@@ -44,10 +67,15 @@ def stream_score_audit(
     input_cols,
     log_path: str,
     checkpoint: str,
+    resent: str = "1 day",
 ):
     """ST1: score each micro-batch with the frozen scorecard, decide, and
-    append to the decision log (idempotent per batch id)."""
+    append to the decision log (idempotent per batch id).  A request id that
+    arrives again within ``resent`` of its first arrival, in the same or a later
+    batch, gets no second decision; the ids are kept for that long.  Arrival time
+    is the batch's, so no request is late."""
     approve, decline = cutoffs
+    requests = requests.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", resent).dropDuplicatesWithinWatermark([id_col]).drop("__arrived")
     # The model tables were written once: no refit and no mutable state per batch.
     scored = wo.score(requests, model, base_points, points, model.features())
     decided = scored.withColumn("decision", points_decision("score", approve, decline))
@@ -100,51 +128,88 @@ def stream_psi(
     return spark.read.schema("n_rows long, psi double, verdict string, status int, batch_id long").parquet(runs_path)
 
 
-def _velocity_state_fn(windows: dict, max_window: int):
-    """Per-card state: rows that wait for the watermark, and the emitted rows
-    of the last ``max_window`` seconds.  When the watermark has passed a row,
-    no earlier row can come any more, so it gets its count and sum over
-    (t - d, t] in (t, id) order.  State without waiting rows expires once its
-    last row is out of every window."""
-    import numpy as np
-    import pandas as pd
-
-    def rows(t, ids, amounts) -> pd.DataFrame:
-        return pd.DataFrame({"t": np.array(t, np.int64), "id": np.array(ids, np.int64), "amount": np.array(amounts, np.float64)})
-
-    def fn(key, pdfs, state):
-        old = state.get if state.exists else ([],) * 6
-        past, waiting = rows(*old[:3]), [rows(*old[3:])]
-        if not state.hasTimedOut:
-            waiting += [p[["t", "id", "amount"]] for p in pdfs]
-        waiting = pd.concat([w for w in waiting if len(w)] or [rows([], [], [])], ignore_index=True).sort_values(["t", "id"], kind="mergesort")
-        passed = state.getCurrentWatermarkMs() // 1000
-        final = waiting[waiting["t"] <= passed]
-        waiting = waiting[waiting["t"] > passed]
-        if len(final):
-            every = pd.concat([past, final], ignore_index=True) if len(past) else final.reset_index(drop=True)
-            t, amount = every["t"].to_numpy(np.int64), every["amount"].to_numpy(np.float64)
-            has = ~np.isnan(amount)
-            count = np.concatenate([[0], np.cumsum(has)])
-            total = np.concatenate([[0.0], np.cumsum(np.where(has, amount, 0.0))])
-            here = np.arange(len(past), len(every))
-            out = {"id": every["id"].to_numpy()[here], "card": key[0], "t": t[here]}
-            for label, d in windows.items():
-                start = np.searchsorted(t, t[here] - d, side="right")
-                n = count[here + 1] - count[start]
-                out[f"card_txn_count_{label}"] = n
-                out[f"card_amt_sum_{label}"] = np.where(n > 0, total[here + 1] - total[start], np.nan)
+def window_totals(t: np.ndarray, amount: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Count and sum of the non-missing amounts in (t - d, t] up to each row; rows
+    in order of time.  Time is cut into blocks of ``d``: a window is the running
+    sum in the row's block and what the block before holds after t - d, so sums
+    are put together by addition only."""
+    has = ~np.isnan(amount)
+    values = np.where(has, amount, 0.0)
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(t // d) != 0])) if len(t) else np.empty(0, np.int64)
+    ends = np.append(starts[1:], len(t))
+    upto, since = np.zeros(len(t)), np.zeros(len(t) + 1)
+    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+        upto[a:b] = np.cumsum(values[a:b])
+        since[a:b] = np.cumsum(values[a:b][::-1])[::-1]
+    first = np.repeat(starts, ends - starts)  # of the row's block
+    begin = np.searchsorted(t, t - d, side="right")
+    counted = np.concatenate([[0], np.cumsum(has)])
+    count = counted[1:] - counted[begin]
+    total = upto + np.where(begin < first, since[np.minimum(begin, len(t))], 0.0)
+    return count, np.where(count > 0, total, np.nan)
+
+
+class _Velocity(StatefulProcessor):
+    """Per card two lists: rows that wait for the watermark, which arriving rows
+    are appended to, and the rows of the last ``longest`` seconds that are out.  A
+    timer at the end of a row's minute fires once the watermark is there: no
+    earlier row can come any more, and all rows up to the watermark get their
+    counts and sums in (t, id) order.  A last timer clears a card whose rows have
+    left every window."""
+
+    ROW = "t long, id long, amount double"
+
+    def __init__(self, windows: dict[str, int]):
+        self.windows, self.longest = windows, max(windows.values())
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting, self.past = handle.getListState("waiting", self.ROW), handle.getListState("past", self.ROW)
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            pdf = pdf[pdf["id"].notna()]  # the closing row only moves the watermark
+            if len(pdf):
+                self.waiting.appendList([(int(t), int(i), float(a)) for t, i, a in zip(pdf["t"], pdf["id"], pdf["amount"], strict=True)])
+                for minute in sorted(set((pdf["t"] // 60).astype(int))):
+                    self.handle.registerTimer((minute + 1) * 60_000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() // 1000
+        waiting = sorted(self._rows(self.waiting))
+        final, waiting = [r for r in waiting if r[0] <= passed], [r for r in waiting if r[0] > passed]
+        past = self._rows(self.past)
+        if final:
+            every = past + final
+            t, ids, amount = (np.array(x, k) for x, k in zip(zip(*every, strict=True), (np.int64, np.int64, np.float64), strict=True))
+            here = slice(len(past), None)
+            out = {"id": ids[here], "card": key[0], "t": t[here]}
+            for label, d in self.windows.items():
+                count, total = window_totals(t, amount, d)
+                out[f"card_txn_count_{label}"], out[f"card_amt_sum_{label}"] = count[here], total[here]
             yield pd.DataFrame(out)
+            self._put(self.waiting, waiting)
             past = every
-        past = past[past["t"] > passed - max_window]
-        if not len(past) and not len(waiting):
-            state.remove()
-            return
-        state.update(tuple(frame[c].tolist() for frame in (past, waiting) for c in ("t", "id", "amount")))
-        due = int(waiting["t"].min()) if len(waiting) else int(past["t"].max()) + max_window
-        state.setTimeoutTimestamp(max(due * 1000 - 1, state.getCurrentWatermarkMs() + 1))
+        kept = [r for r in past if r[0] > passed - self.longest]
+        if len(kept) != len(past) or final:
+            self._put(self.past, kept)
+            if kept:
+                self.handle.registerTimer((kept[-1][0] + self.longest + 1) * 1000)
+
+    @staticmethod
+    def _rows(state) -> list[tuple]:
+        return [tuple(r) for r in state.get()] if state.exists() else []
 
-    return fn
+    @staticmethod
+    def _put(state, rows: list[tuple]) -> None:
+        if rows:
+            state.put(rows)
+        else:
+            state.clear()
+
+
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_velocity_exact(
@@ -152,15 +217,12 @@ def stream_velocity_exact(
 ) -> None:
     """ST2 (exact): per-row velocity of live traffic, equal to the batch
     operator whatever the arrival order within ``delay``.  A row is emitted when
-    the watermark (latest event time less ``delay``) has reached it; rows newer
-    than that wait for later events, and rows that come after the watermark has
-    passed them are dropped as late (counted in the query's progress).  NULL
-    cards have no history and are left out, as they have no features."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
+    the watermark (latest event time less ``delay``) has passed its minute; newer
+    rows wait for later events (``close`` brings out the last ones), and rows
+    that come after the watermark has passed them are dropped as late (counted in
+    the query's progress).  NULL cards have no history and are left out, as they
+    have no features.  State lies in RocksDB."""
     fields = ", ".join(f"card_txn_count_{lb} long, card_amt_sum_{lb} double" for lb in windows)
-    out_schema = f"id long, card long, t long, {fields}"
-    state_schema = ", ".join(f"{w}_{c} array<{k}>" for w in ("past", "waiting") for c, k in (("t", "long"), ("id", "long"), ("amount", "double")))
     src = events.select(
         F.col(id_col).alias("id"), F.col(card).alias("card"), F.col(t).alias("t"), F.col(amount).cast("double").alias("amount"), F.timestamp_seconds(F.col(t)).alias("__at")
     )
@@ -168,9 +230,18 @@ def stream_velocity_exact(
         src.where("card is not null")
         .withWatermark("__at", delay)
         .groupBy("card")
-        .applyInPandasWithState(_velocity_state_fn(dict(windows), max(windows.values())), out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+        .transformWithStateInPandas(_Velocity(dict(windows)), f"id long, card long, t long, {fields}", "append", "eventTime")
     )
-    q = res.writeStream.outputMode("append").format("parquet").option("path", out_table).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True
-    ).start()
-    q.awaitTermination()
+    conf, name = events.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name, None)
+    conf.set(name, _ROCKS)
+    try:
+        q = res.writeStream.outputMode("append").format("parquet").option("path", out_table).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True
+        ).start()
+        q.awaitTermination()
+    finally:
+        if before is None:
+            conf.unset(name)
+        else:
+            conf.set(name, before)

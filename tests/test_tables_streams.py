@@ -176,6 +176,57 @@ def test_streaming_exact_velocity_across_batches(spark, tmp_path, later_first):
     assert got == want
 
 
+def test_closing_row_brings_out_what_the_watermark_holds(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    folder, base = str(tmp_path / "in"), datetime(2024, 1, 1)
+    rows = [(i, base + timedelta(minutes=37 * i), i % 4, float(i % 5) if i % 6 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, value double")
+    sj.feed(df, folder, F.floor(F.col("event_id") / 70), 3)
+    sj.close(spark, folder, "ts", "1 hour", user_id=0)
+    tumbling, exact = str(tmp_path / "tumbling"), str(tmp_path / "exact")
+    stream = lambda: sj.file_stream(spark, folder, "*.parquet", max_files=2)
+    sj.stream_velocity_tumbling(stream(), "ts", "user_id", "value", "1 day", "1 hour", tumbling, str(tmp_path / "c1"))
+    assert spark.read.parquet(tumbling).agg(F.sum("n_events"), F.sum("amount_sum")).first() == df.agg(F.count("value"), F.sum("value")).first()
+    ev = stream().select(F.col("event_id").alias("id"), F.col("user_id").alias("card"), F.unix_timestamp("ts").alias("t"), F.col("value").alias("amount"))
+    sj.stream_velocity_exact(ev, "card", "t", "id", "amount", {"h": 7200}, exact, str(tmp_path / "c2"))
+    got = spark.read.parquet(exact)
+    assert sorted(r["id"] for r in got.collect()) == list(range(200))
+
+
+def test_window_totals_equal_plain_sums():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for d in (1, 7, 50):
+        t = np.sort(rng.integers(0, 200, 90))
+        amount = np.where(rng.random(90) < 0.2, np.nan, rng.integers(-9, 9, 90) * 1.0)
+        count, total = sj.window_totals(t, amount, d)
+        for i in range(90):
+            seen = [a for s, a in zip(t[: i + 1], amount[: i + 1]) if s > t[i] - d and not np.isnan(a)]
+            assert count[i] == len(seen) and (total[i] == sum(seen) if seen else np.isnan(total[i]))
+    count, total = sj.window_totals(np.array([0, 7200, 7300]), np.array([1e17, 1.5, 2.5]), 3600)
+    assert total.tolist() == [1e17, 1.5, 4.0]
+    assert sj.window_totals(np.array([0, 10, 20]), np.array([np.inf, 1.0, 2.0]), 15)[1].tolist() == [np.inf, np.inf, 3.0]
+
+
+def test_request_sent_again_in_a_later_file_is_decided_once(spark, tmp_path):
+    from riskspark.operators import woe as wo
+
+    train = spark.createDataFrame([(i, float(i % 10), int(i % 10 > 6 or i % 7 == 0)) for i in range(200)], "id long, x double, target int")
+    model = wo.fit_woe_bins(train, ["x"], [], "target")
+    coefs, intercept = wo.naive_bayes_scorecard(model, train)
+    base, points = wo.points_table(model, coefs, intercept)
+    folder = str(tmp_path / "in")
+    sent = spark.createDataFrame([(i, float(i % 10), 100 * i, f) for i in range(30) for f in ({0, 1, 2} if i % 5 == 0 else {i % 3})], "id long, x double, t long, file int")
+    twice = sent.unionByName(sent.where("id = 5 and file = 0"))  # and in the same file
+    sj.feed(twice, folder, F.col("file"), 3)
+    requests = sj.file_stream(spark, folder, "*.parquet", max_files=3)
+    log = sj.stream_score_audit(spark, requests, model, base, points, (600.0, 500.0), "id", "t", ["x"], str(tmp_path / "log"), str(tmp_path / "chk"))
+    assert sorted(r["id"] for r in log.collect()) == list(range(30))
+    assert log.select("batch_id").distinct().count() > 1
+
+
 def test_stream_psi_retry_replaces_its_batch(spark, tmp_path):
     from riskspark.operators.registry import PsiReference, monitor_status
 
