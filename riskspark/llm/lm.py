@@ -29,8 +29,8 @@ the end token; an unknown context falls back to the unigrams.
 
 Contexts are dealt to shards by hash.  A context with more than a quarter of a
 shard's share of all tokens is split into pieces by its successors; a block
-asks all pieces for their part of the mass.  There is a bucket of words and a shard for
-every two blocks, so memory per task does not follow the corpus.  Nothing passes
+asks all pieces for their part of the mass.  There are two buckets of words and two shards
+for every block, so memory per task does not follow the corpus.  Nothing passes
 through the driver but two numbers per bucket and four per shard.  Counts cover every training text, so what moves
 grows with the corpus.  Words are told apart by 64-bit hashes.
 
@@ -80,7 +80,15 @@ OUTPUT = [
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    """Arrays of whole numbers, byte planes apart: upper planes are mostly 0."""
+    planes = (np.ascontiguousarray(np.ascontiguousarray(a).reshape(-1, 1).view(np.uint8).T).tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _plane(raw: bytes, kind: type, n: int, at: int = 0) -> np.ndarray:
+    """``n`` numbers of an array that ``_squeeze`` put at byte ``at``."""
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel()
 
 
 def _expand(data: bytes) -> bytes:
@@ -132,7 +140,7 @@ def _rank_words(_: int, payloads: list[bytes]) -> list[bytes]:
     parts = []
     for p in payloads:
         h, at = B.unpack_sorted(p)
-        parts.append((h, np.frombuffer(_expand(p[at:]), np.uint32)))
+        parts.append((h, _plane(_expand(p[at:]), np.uint32, len(h))))
     words, of = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
     total = np.bincount(of, weights=np.concatenate([c for _, c in parts]), minlength=len(words)).astype(np.int64)
     rank = np.where(total > 0, np.cumsum(total > 0) - 1, _UNKNOWN).astype(np.uint32)
@@ -154,8 +162,8 @@ class _Vocabulary:
         for b in np.flatnonzero(np.diff(edges)).tolist():
             i, j = int(edges[b]), int(edges[b + 1])
             raw = _expand(replies[b][16:])
-            rank = np.frombuffer(raw, np.uint32, j - i)
-            self.count[i:j] = np.frombuffer(raw, np.uint64, j - i, 4 * (j - i))
+            rank = _plane(raw, np.uint32, j - i)
+            self.count[i:j] = _plane(raw, np.uint64, j - i, 4 * (j - i))
             self.id[i:j] = np.where(rank == _UNKNOWN, -1, rank.astype(np.int64) + offsets[b])
 
 
@@ -214,7 +222,7 @@ def _unpack_pairs(data: bytes):
     wide = np.zeros((m, 8), np.uint8)
     wide[:, :width] = np.frombuffer(data, np.uint8, m * width, at + 5).reshape(m, width)
     raw, k = _expand(data[at + 5 + m * width :]), len(context)
-    n, counts = np.frombuffer(raw, np.uint32, k), np.frombuffer(raw, np.uint32, m, 4 * k)
+    n, counts = _plane(raw, np.uint32, k), _plane(raw, np.uint32, m, 4 * k)
     return context.astype(np.int64), n.astype(np.int64), wide.view("<u8").ravel().astype(np.int64), counts.astype(np.int64)
 
 
@@ -313,7 +321,7 @@ def score_texts(df: DataFrame, train_col: str, text_col: str = "text", buckets:
     """``df`` with n_tokens, n_known, train_tokens, base_score and score; the
     model learns from the rows whose ``train_col`` is true."""
     df = B.make_room(df, [f.name for f in OUTPUT], text_col, train_col)
-    buckets = buckets or B.bucket_count_of(df, text_col)
+    buckets = buckets or 4 * B.bucket_count_of(df, text_col)
     packed = B.pack(df, keep=False)
     ranked = cut_lineage(B.answer(B.ask(packed, _ask_words(text_col, train_col, buckets)), _rank_words))
 
@@ -347,8 +355,8 @@ def score_texts(df: DataFrame, train_col: str, text_col: str = "text", buckets:
         for k, entries, pairs, _ in g.shards:
             raw = _expand(replies[buckets + k][32:])
             n = entries.stop - entries.start
-            np.add.at(given, g.entry[entries], off @ np.frombuffer(raw, np.uint32, 3 * n).reshape(3, n))
-            count[pairs] = decode(np.frombuffer(raw, np.uint16, len(pairs), 12 * n))
+            np.add.at(given, g.entry[entries], off @ _plane(raw, np.uint32, 3 * n).reshape(3, n))
+            count[pairs] = decode(_plane(raw, np.uint16, len(pairs), 12 * n))
         of_context = np.maximum(v.count, 1)
         mass = given / of_context
         alpha = (count - np.where(count > 0, off[np.clip(count, 1, 3).astype(np.int64) - 1], 0.0)) / of_context[g.first]
