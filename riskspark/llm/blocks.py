@@ -16,6 +16,7 @@ does not grow with the corpus.  Nothing passes through the driver.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 
 from riskspark.session import cut_lineage
 
+#: glibc keeps freed heap pages unless asked; other C libraries have no such call.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 #: Raw bytes of documents in a block; a longer document has a block of its own.
 BLOCK_BYTES = 8 << 20
 
@@ -43,9 +47,11 @@ def dump(batch: pa.RecordBatch) -> bytes:
 
 
 def tidy() -> None:
-    """Hands freed Arrow buffers back: idle Python workers stay alive, and
-    several of them share an executor's memory."""
+    """Hands freed memory back, Arrow's and the C library's: idle Python workers
+    stay alive, and several of them share an executor's memory."""
     pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def load(blob: bytes) -> pa.Table:
@@ -77,6 +83,7 @@ def _packer(most: int):
             # place and content: a block that is made again has its name only if it is the same
             name = xxhash.xxh64_intdigest(blob, seed=place << 20 | made) >> 1
             held, size, made = [], 0, made + 1
+            tidy()
             return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([blob], pa.binary())], ["block", "docs"])
 
         for batch in batches:
@@ -167,6 +174,7 @@ def answer_from(asked: DataFrame, known: DataFrame, reply_to: Callable[[pa.Table
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         replies = reply_to(right, left.column("payload").to_pylist())
+        tidy()
         return pa.table({"block": left.column("block"), "bucket": left.column("bucket"), "payload": pa.array(replies, pa.binary())})
 
     return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, _REPLIES)
@@ -178,6 +186,7 @@ def ask_again(blocks: DataFrame, replies: DataFrame, keys_of: Callable[[pa.Table
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         got = _by_bucket(left, right) | {-1: left.column("block")[0].as_py()}
+        tidy()
         return keys_of(load(left.column("docs")[0].as_buffer()), got)
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _ASKED)
@@ -193,8 +202,9 @@ def use(blocks: DataFrame, replies: DataFrame, finish: Callable[[pa.Table, dict[
     """``finish(documents, {bucket: reply})`` for each block with its replies."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        done = finish(load(left.column("docs")[0].as_buffer()), _by_bucket(left, right))
         tidy()
-        return finish(load(left.column("docs")[0].as_buffer()), _by_bucket(left, right))
+        return done
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
 

@@ -9,8 +9,9 @@ gram tables in Spark.  The model is kept in back-off form: (log p, log weight
 as a context) per gram, dealt into buckets by the gram's hash.
 
 Scoring is a sharded count join: each block of documents asks the buckets for
-its distinct grams and contexts of all orders, and gets the model's numbers for
-them; a gram the model does not have is backed off along its contexts.  A
+its distinct grams and contexts of all orders, but for those that a bitmap of
+fixed size shows not to be in the model, and gets the model's numbers for them; a
+gram the model does not have is backed off along its contexts.  A
 document's perplexity is exp(-mean log p) over its predicted characters.
 
 Words that come again and again cost a model of so few characters little, so
@@ -61,6 +62,10 @@ QUANTILE = 0.99
 TOLERANCE = 1.75
 #: Keys over which one language's rows are spread.
 SALTS = 64
+#: Leading bits of a key that the bitmap of the model's keys goes by (1 MB).
+CELL_BITS = 23
+#: Binary places of a number in a reply: half a step is 0.000002 of a natural logarithm.
+_FRACTION = 18
 _BEGIN, _END = "\x02", "\x03"
 
 SCORED = [T.StructField("n_predicted", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("perplexity", T.DoubleType()), T.StructField("repeated", T.DoubleType())]
@@ -171,11 +176,10 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     the others; log_bow is the weight of the lower order after the whole gram.
     The empty context is the gram ''; its log_p is the uniform floor.
 
-    All orders are handled at once: the grams of all orders are the distinct
-    suffixes of the highest-order grams, continuation counts and context totals
-    are one grouping each, and a gram's probability is put together from the
-    discounted shares of its suffixes and the masses of their contexts, which it
-    looks up in one join each."""
+    The grams of all orders are the distinct suffixes of the highest-order grams,
+    and continuation counts, context totals and discounted shares are one grouping
+    or join each for all orders; probabilities are then put together order by
+    order, each from its suffix's."""
     counts = cut_lineage(counts)  # read twice below; without this all training texts would be counted twice
     tails = F.transform(F.sequence(F.lit(1), F.lit(order - 1)), lambda k: F.expr("gram").substr(F.lit(order + 1) - k, k))
     lower = counts.select(F.explode(tails).alias("gram")).distinct()
@@ -190,22 +194,39 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     cut = F.element_at(F.element_at(table_, F.col("k")), F.least(F.col("n"), F.lit(3)).cast("int"))
     parts = level.select("gram", "n", "k", cut.alias("cut"), F.expr("substring(gram, 1, k - 1)").alias("context"))
     contexts = cut_lineage(parts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("cut")).select("context", "total", (F.col("cut") / F.col("total")).alias("mass")))
-    shares = parts.join(contexts, "context").select(F.col("gram").alias("tail"), ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"), "mass")
-    chain = level.select("gram", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("j")).withColumn("tail", F.expr("substring(gram, length(gram) - j + 1)"))
-    steps = chain.join(shares, "tail").groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("j", "share", "mass"))).alias("steps"))  # at most `order` per gram
-    floor = F.lit(1.0 / (symbols + 1))
-    p = steps.select("gram", F.aggregate("steps", floor, lambda acc, x: x["share"] + x["mass"] * acc).alias("p"))
-    p = p.unionByName(counts.sparkSession.range(1).select(F.lit("").alias("gram"), floor.alias("p")))
+    shares = cut_lineage(parts.join(contexts, "context").select("gram", "k", ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"), "mass"))
+    p = counts.sparkSession.range(1).select(F.lit("").alias("gram"), F.lit(1.0 / (symbols + 1)).alias("p"))
+    found = p
+    for k in range(1, order + 1):  # each order from the one below, which has every suffix
+        own = shares.filter(F.col("k") == k).withColumn("tail", F.expr("substring(gram, 2)"))
+        p = cut_lineage(own.join(p.withColumnsRenamed({"gram": "tail", "p": "lower"}), "tail").select("gram", (F.col("share") + F.col("mass") * F.col("lower")).alias("p")))
+        found = found.unionByName(p)
+    p = found
     bow = contexts.select(F.col("context").alias("gram"), F.log("mass").alias("log_bow"))
     return p.join(bow, "gram", "full_outer").select("gram", F.log("p").alias("log_p"), "log_bow")
 
 
 class Model:
-    """A trained model: rows (bucket, key, log_p, log_bow), the floor, and
-    whether contexts run across word ends."""
+    """A trained model: rows (bucket, key, log_p, log_bow), the floor, whether
+    contexts run across word ends, and a bitmap of ``2 ** CELL_BITS`` cells that
+    says which leading bits its keys have."""
 
-    def __init__(self, rows: DataFrame, buckets: int, floor: float, floor_bow: float, across: bool):
-        self.rows, self.buckets, self.floor, self.floor_bow, self.across = rows, buckets, floor, floor_bow, across
+    def __init__(self, rows: DataFrame, buckets: int, floor: float, floor_bow: float, across: bool, cells: bytes):
+        self.rows, self.buckets, self.floor, self.floor_bow, self.across, self.cells = rows, buckets, floor, floor_bow, across, cells
+
+
+def _cells(rows: DataFrame) -> bytes:
+    """The bitmap; the driver gets a number per cell in use, ``2 ** CELL_BITS`` at most."""
+    used = rows.select(F.shiftrightunsigned("key", 64 - CELL_BITS).cast("int").alias("cell")).distinct().toArrow().column("cell").to_numpy()
+    flags = np.zeros(1 << CELL_BITS, bool)
+    flags[used] = True
+    return np.packbits(flags).tobytes()
+
+
+def _maybe_known(keys: np.ndarray, cells: bytes) -> np.ndarray:
+    """The keys that the model may have; all it has are among them."""
+    cell = (keys >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    return keys[(np.frombuffer(cells, np.uint8)[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)]
 
 
 def train(df: DataFrame, text_col: str = "text", buckets: int | None = None, across: bool = False) -> Model:
@@ -229,7 +250,7 @@ def train(df: DataFrame, text_col: str = "text", buckets: int | None = None, acr
     grams = cut_lineage(kneser_ney(gram_counts(df, text_col, across)))
     empty = grams.filter("gram = ''").first()
     rows = cut_lineage(grams.filter("gram <> ''").mapInArrow(key, "bucket int, key long, log_p double, log_bow double"))
-    return Model(rows, buckets, empty["log_p"], empty["log_bow"] or 0.0, across)
+    return Model(rows, buckets, empty["log_p"], empty["log_bow"] or 0.0, across, _cells(rows))
 
 
 def _asked(found: _Spelled) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -244,45 +265,54 @@ def _spelled_parts(docs: pa.Table, text_col: str, across: bool) -> list[_Spelled
     return [_Spelled(part.column(text_col), across) for whole in docs.combine_chunks().to_batches() for part in B.cut(whole, PART_BYTES)]
 
 
-def _block_keys(parts: list[_Spelled]) -> np.ndarray:
-    """Distinct keys that a block asks for."""
-    return np.unique(np.concatenate([np.empty(0, np.uint64), *(k for p in parts for k, _ in _asked(p))]))
+def _block_keys(parts: list[_Spelled], cells: bytes) -> np.ndarray:
+    """Distinct keys that a block asks for: those the model may have."""
+    return _maybe_known(np.unique(np.concatenate([np.empty(0, np.uint64), *(k for p in parts for k, _ in _asked(p))])), cells)
 
 
 def _reply(model: pa.Table, payloads: list[bytes]) -> list[bytes]:
     """Per key log_p and log_bow, NaN where the model has none (``_values``)."""
     keys = model.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    values = np.stack([model.column(c).to_numpy(zero_copy_only=False).astype(np.float32)[order] for c in ("log_p", "log_bow")])
+    values = np.stack([model.column(c).to_numpy(zero_copy_only=False)[order] for c in ("log_p", "log_bow")])
     keys, out = keys[order], []
     for p in payloads:
         asked, _ = B.unpack_sorted(p)
-        got = np.full((2, len(asked)), np.nan, np.float32)
+        got = np.full((2, len(asked)), np.nan)
         if len(keys):
             at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
             hit = keys[at] == asked
             got[:, hit] = values[:, at[hit]]
         there = ~np.isnan(got)
-        # flags, then the values there are, byte by byte of all of them, which compresses better
-        raw = len(asked).to_bytes(4, "little") + np.packbits(there).tobytes() + got[there].view(np.uint8).reshape(-1, 4).T.tobytes()
+        # flags, then the values there are as 24-bit fixed point, byte by byte of all of them, which compresses better
+        fixed = np.rint(got[there] * -(1 << _FRACTION)).clip(0, (1 << 24) - 1).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+        raw = len(asked).to_bytes(4, "little") + np.packbits(there).tobytes() + fixed.T.tobytes()
         out.append(zstandard.compress(raw, 1))
     return out
 
 
 def _values(reply: bytes) -> np.ndarray:
-    """(keys, 2) float32 of a reply."""
+    """(keys, 2) numbers of a reply."""
     raw = zstandard.decompress(reply)
     n = int.from_bytes(raw[:4], "little")
-    out, end = np.full((2, n), np.nan, np.float32), 4 + (2 * n + 7) // 8
+    out, end = np.full((2, n), np.nan), 4 + (2 * n + 7) // 8
     there = np.unpackbits(np.frombuffer(raw, np.uint8, end - 4, 4), count=2 * n).astype(bool).reshape(2, n)
-    out[there] = np.ascontiguousarray(np.frombuffer(raw, np.uint8, -1, end).reshape(4, -1).T).view(np.float32).ravel()
+    wide = np.zeros((int(there.sum()), 4), np.uint8)
+    wide[:, :3] = np.frombuffer(raw, np.uint8, -1, end).reshape(3, -1).T
+    out[there] = wide.view("<u4").ravel() / -(1 << _FRACTION)
     return out.T
 
 
 def _backed_off(found: _Spelled, keys: np.ndarray, values: np.ndarray, floor: float, floor_bow: float) -> np.ndarray:
     """log p of each gram, along the back-off chain."""
     asked = _asked(found)
-    get = lambda a, column: values[np.searchsorted(keys, a[0]), column][a[1]]
+
+    def get(a: tuple[np.ndarray, np.ndarray], column: int) -> np.ndarray:
+        if not len(keys):
+            return np.full(len(a[1]), np.nan)
+        at = np.minimum(np.searchsorted(keys, a[0]), len(keys) - 1)
+        return np.where(keys[at] == a[0], values[at, column], np.nan)[a[1]]
+
     out = np.full(len(found.grams), floor + floor_bow)  # a character never seen in training
     for k in range(ORDER - 1, -1, -1):  # from the unigram up to the whole gram
         if k < ORDER - 1:
@@ -296,20 +326,20 @@ def _backed_off(found: _Spelled, keys: np.ndarray, values: np.ndarray, floor: fl
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` with n_predicted, log_prob, perplexity and repeated."""
     df = B.make_room(df, [f.name for f in SCORED], text_col)
-    buckets, floor, floor_bow, across = model.buckets, model.floor, model.floor_bow, model.across
+    buckets, floor, floor_bow, across, cells = model.buckets, model.floor, model.floor_bow, model.across, model.cells
     packed = B.pack(df, BLOCK_BYTES, keep=False)
 
     def keys_of(docs: pa.Table):
-        keys = _block_keys(_spelled_parts(docs, text_col, across))
+        keys = _block_keys(_spelled_parts(docs, text_col, across), cells)
         edges = B.bucket_edges(keys, buckets)
         return [(b, B.pack_sorted(keys[edges[b] : edges[b + 1]])) for b in np.flatnonzero(np.diff(edges)).tolist()]
 
     def finish(docs: pa.Table, replies: dict[int, bytes]) -> pa.Table:
         parts = _spelled_parts(docs, text_col, across)
-        keys = _block_keys(parts)
+        keys = _block_keys(parts, cells)
         edges = B.bucket_edges(keys, buckets)
         got = [_values(replies[b]) for b in np.flatnonzero(np.diff(edges)).tolist()]
-        values = np.concatenate([np.empty((0, 2), np.float32), *got]).astype(np.float64)
+        values = np.concatenate([np.empty((0, 2)), *got])
         n, log_prob, repeated = np.empty(0, np.int64), np.empty(0), np.empty(0)
         for found in parts:
             sums = found.total(_backed_off(found, keys, values, floor, floor_bow)) if len(found.grams) else np.zeros(found.texts)
