@@ -83,6 +83,7 @@ def make_classifier(kind: str, label: str = "label", seed: int = 42, **params):
         return C.GBTClassifier(
             featuresCol="features", labelCol=label, seed=seed, maxIter=params.get("maxIter", 20),
             maxDepth=params.get("maxDepth", 3), stepSize=params.get("stepSize", 0.1),
+            subsamplingRate=params.get("subsamplingRate", 1.0), minInstancesPerNode=params.get("minInstancesPerNode", 1),
         )
     raise ValueError(f"unknown classifier {kind!r}")
 
@@ -153,31 +154,3 @@ def fit_source(df: DataFrame, features: Sequence[str], label: str, kind: str = "
     medians = fit_medians(df, features)
     rows = fill_medians(df, medians).withColumn(label, F.col(label).cast("double"))
     return SourceBundle(tuple(features), medians, make_classifier(kind, label, **params).fit(assemble(rows, features)))
-
-
-def residual_boost(df: DataFrame, features: Sequence[str], label: str, margin: str, rounds: int = 10, step: float = 0.1, depth: int = 3) -> list:
-    """TL3: continue a model on new data with boosting rounds on the
-    residual y - sigmoid(margin) (MLlib's GBT cannot resume a fit).  Returns
-    the fitted trees; lineage is cut through the shared checkpoint folder
-    every few rounds."""
-    from pyspark.ml.regression import DecisionTreeRegressor
-
-    from ..session import cut_lineage
-
-    trees = []
-    cur = assemble(df, features).withColumn("__m", F.col(margin))
-    for r in range(rounds):
-        cur = cur.withColumn("__res", F.col(label).cast("double") - 1.0 / (1.0 + F.exp(-F.col("__m"))))
-        t = DecisionTreeRegressor(featuresCol="features", labelCol="__res", maxDepth=depth, seed=42).fit(cur)
-        trees.append(t)
-        cur = t.transform(cur).withColumn("__m", F.col("__m") + step * F.col("prediction")).drop("prediction")
-        if (r + 1) % 5 == 0:
-            cur = cut_lineage(cur)
-    return trees
-
-
-def apply_boost(df: DataFrame, features: Sequence[str], margin: str, trees: list, step: float = 0.1, out: str = "score") -> DataFrame:
-    cur = assemble(df, features).withColumn("__m", F.col(margin))
-    for t in trees:
-        cur = t.transform(cur).withColumn("__m", F.col("__m") + step * F.col("prediction")).drop("prediction")
-    return cur.withColumn(out, 1.0 / (1.0 + F.exp(-F.col("__m")))).drop("__m", "features")

@@ -11,10 +11,13 @@ from math import isfinite
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_order_key
+from ..operators import boosting as bo
 from ..operators import graph as gr
+from ..operators import labelling as lb
 from ..operators import learners as le
 from ..operators import metrics as mt
 from ..operators import registry as rg
+from ..operators import search as se
 from ..operators import split as sp
 from ..operators import uplift as up
 from ..operators import uplift_learners as ul
@@ -79,6 +82,8 @@ def _facts_sql(models, sides, n_features):
         FROM sides, (VALUES {names}) m(model) GROUP BY m.model"""
 
 
+FRAUD_ROWS_SQL = f"""SELECT rn > round_even(n * CAST(0.8 AS DOUBLE), 0) AS test, y, t, id FROM (
+    SELECT label AS y, t, id, row_number() OVER (ORDER BY t, id) AS rn, count(*) OVER () AS n FROM ({EVENT_TRANSACTIONS_SQL}))"""
 FRAUD_SIDES_SQL = f"""SELECT rn > round_even(n * CAST(0.8 AS DOUBLE), 0) AS test, y FROM (
     SELECT label AS y, row_number() OVER (ORDER BY t, id) AS rn, count(*) OVER () AS n FROM ({EVENT_TRANSACTIONS_SQL}))"""
 
@@ -113,28 +118,36 @@ def boosted_models(spark, sf_dir):
     return _union(out)
 
 
+SEARCH_SPACE = {"maxIter": (5, 8), "maxDepth": (2, 3, 4), "stepSize": (0.05, 0.1, 0.2), "subsamplingRate": (0.7, 1.0)}
+SEARCH_MAPS, SEARCH_FOLDS, SEARCH_SEED = 3, 3, 42
+
+
+def _drawn_sql(name, values):
+    at = f"CAST('0x' || substr(md5('{SEARCH_SEED}:' || CAST(j AS VARCHAR) || ':{name}'), 1, 8) AS BIGINT) % {len(values)} + 1"
+    return f"list_extract([{', '.join(f'CAST({v} AS DOUBLE)' for v in values)}], {at}) AS {name}"
+
+
 @register(
     "time_series_search",
-    f"""WITH tr AS (SELECT count(*) AS n FROM ({FRAUD_SIDES_SQL}) WHERE NOT test)
-        SELECT r.reg_param, CAST(3 AS BIGINT) AS n_folds, CAST(3 * (tr.n // 4) AS BIGINT) AS n_test, true AS auc_in_range
-        FROM tr, (VALUES (CAST(0.0 AS DOUBLE)), (CAST(0.01 AS DOUBLE)), (CAST(0.1 AS DOUBLE))) r(reg_param)""",
+    f"""WITH tr AS (SELECT y, rn, count(*) OVER () AS n, count(*) OVER () // {SEARCH_FOLDS + 1} AS m
+                    FROM (SELECT y, row_number() OVER (ORDER BY t, id) AS rn FROM ({FRAUD_ROWS_SQL}) WHERE NOT test)),
+        k AS (SELECT unnest(range(0, {SEARCH_FOLDS})) AS fold),
+        f AS (SELECT fold, max(m) AS n_test, count(*) FILTER (WHERE rn <= n - ({SEARCH_FOLDS} - fold) * m AND y = 1) AS ones,
+                     count(*) FILTER (WHERE rn <= n - ({SEARCH_FOLDS} - fold) * m AND y <> 1) AS others FROM tr, k GROUP BY fold),
+        j AS (SELECT unnest(range(0, {SEARCH_MAPS})) AS j)
+        SELECT CAST(j AS INTEGER) AS map_id, {", ".join(_drawn_sql(n, v) for n, v in SEARCH_SPACE.items())},
+               count(*) AS n_folds, CAST(sum(ones + others) AS BIGINT) AS n_train, CAST(sum(CASE WHEN ones < 2 THEN 0 ELSE greatest(0, others - ones) END) AS BIGINT) AS n_synthetic,
+               CAST(sum(n_test) AS BIGINT) AS n_test, true AS auc_in_range
+        FROM j, f GROUP BY j""",
 )
 def time_series_search(spark, sf_dir):
-    """ML7: expanding time folds (earlier rows train, later rows test) x a
-    parameter grid, scored by exact AUC; mean per parameter set."""
+    """ML7: sampled parameter maps of boosted trees x expanding time folds
+    (earlier rows train, later rows test), SMOTE inside each training fold, exact
+    AUC; the drawn parameters and the sizes of all sides per map."""
     tr, _ = _fraud_frames(spark, sf_dir)
-    folds = cut_lineage(sp.time_series_folds(tr, 3))
-    rows = []
-    for reg in (0.0, 0.01, 0.1):
-        for k in range(3):
-            f = folds.where(F.col("fold") == k)
-            _, pred = le.fit_and_score(f.where(F.col("role") == "train"), f.where(F.col("role") == "test"), FRAUD_FEATURES, "label",
-                                       "logistic", regParam=reg)
-            auc = mt.auc_roc(pred.select("id", F.col("label").alias("y"), "score"), validate=False)
-            size = pred.agg(F.count(F.lit(1)).alias("n"))
-            rows.append(auc.crossJoin(size).select(F.lit(reg).alias("reg_param"), F.lit(k).alias("fold"), "auc_roc", "n"))
-    return _union(rows).groupBy("reg_param").agg(
-        F.count(F.lit(1)).alias("n_folds"), F.sum("n").cast("long").alias("n_test"),
+    found = se.random_search(tr, FRAUD_FEATURES, SEARCH_SPACE, SEARCH_MAPS, "label", n_folds=SEARCH_FOLDS, seed=SEARCH_SEED)
+    return found.groupBy("map_id", *[F.col("params")[n].alias(n) for n in SEARCH_SPACE]).agg(
+        F.count(F.lit(1)).alias("n_folds"), *[F.sum(c).alias(c) for c in ("n_train", "n_synthetic", "n_test")],
         (F.min(F.coalesce(_within("auc_roc"), F.lit(True)).cast("int")) == 1).alias("auc_in_range"),
     )
 
@@ -313,6 +326,7 @@ BUDGETS = [200, 1000]
 TRANSFER_CUT = 883612800  # 1998-01-01: earlier applications are the source domain
 
 
+SOURCE_TREES, WARM_ROUNDS = 10, 5
 TRANSFER_STRATEGIES = [("zero_shot", 0), *((name, b) for b in BUDGETS for name in ("warm_start", "from_scratch"))]
 
 
@@ -322,40 +336,71 @@ TRANSFER_STRATEGIES = [("zero_shot", 0), *((name, b) for b in BUDGETS for name i
         t AS (SELECT count(*) AS n, sum(target) AS p FROM a WHERE t >= {TRANSFER_CUT} AND md5(CAST(id AS VARCHAR) || ':' || '5') >= 'c'),
         s AS (SELECT count(*) AS n FROM a WHERE t < {TRANSFER_CUT})
         SELECT CAST(v.budget AS BIGINT) AS budget, v.strategy, CAST(s.n AS BIGINT) AS n_source, CAST(t.n AS BIGINT) AS n_test, CAST(t.p AS BIGINT) AS positives,
-               true AS precision_in_range
+               CAST(CASE v.strategy WHEN 'warm_start' THEN {SOURCE_TREES + WARM_ROUNDS} ELSE {SOURCE_TREES} END AS BIGINT) AS n_trees, true AS precision_in_range
         FROM t, s, (VALUES {", ".join(f"({b}, '{name}')" for name, b in TRANSFER_STRATEGIES)}) v(budget, strategy)""",
 )
 def transfer_compare(spark, sf_dir):
-    """TL1-TL5: a source model (earlier applications) applied zero-shot to
-    a later target domain, warm-started with residual boosting rounds on a
-    labelled target budget (source imputer kept), and a from-scratch model
-    on the same budget; AUC-PR on the target test side per budget."""
+    """TL1-TL5: boosted trees of a source domain (earlier applications),
+    applied zero-shot to a later target domain, continued by further trees on a
+    labelled target budget (source imputer kept), and a from-scratch model on
+    the same budget; AUC-PR on the target test side per budget."""
     a = bind_applications(spark, sf_dir)
     src = a.where(F.col("t") < TRANSFER_CUT)
     tgt = a.where(F.col("t") >= TRANSFER_CUT).withColumn("__h", hash_order_key("id", 5))
     pool, test = tgt.where(F.col("__h") < "c").drop("__h"), tgt.where(F.col("__h") >= "c").drop("__h")
-    source = le.fit_source(src, TRANSFER_FEATURES, "target")
-    margin = source.margin
+    bundle = le.fit_source(src, TRANSFER_FEATURES, "target", "gbt", maxIter=SOURCE_TREES, maxDepth=3)
+    bundle.require(tgt)
+    source = bo.Ensemble.of_gbt(bundle.model, bundle.features, bundle.medians)
     n_source = src.count()
 
-    def ap(pred, name, budget):
+    def ap(pred, name, budget, trees):
         size = pred.agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("p"))
         found = mt.average_precision(pred.select("id", F.col("target").alias("y"), "score"), validate=False).crossJoin(size)
         return found.select(
             F.lit(budget).cast("long").alias("budget"), F.lit(name).alias("strategy"), F.lit(n_source).cast("long").alias("n_source"),
-            F.col("n").cast("long").alias("n_test"), F.col("p").cast("long").alias("positives"), _within("average_precision").alias("precision_in_range"),
+            F.col("n").cast("long").alias("n_test"), F.col("p").cast("long").alias("positives"), F.lit(trees).cast("long").alias("n_trees"),
+            _within("average_precision").alias("precision_in_range"),
         )
 
-    test_m = margin(test)
-    out = [ap(test_m.withColumn("score", 1.0 / (1.0 + F.exp(-F.col("__margin")))), "zero_shot", 0)]
+    out = [ap(source.score(test), "zero_shot", 0, source.trees)]
     for b in BUDGETS:
         lab = sp.stratified_budget(pool, "target", b, seed=7)
         pos = lab.agg(F.sum("target")).first()[0] or 0
         if pos < 2:
             continue
-        trees = le.residual_boost(margin(lab), TRANSFER_FEATURES, "target", "__margin", rounds=5)
-        warm = le.apply_boost(test_m, TRANSFER_FEATURES, "__margin", trees)
-        out.append(ap(warm, "warm_start", b))
-        _, scratch = le.fit_and_score(lab, test, TRANSFER_FEATURES, "target", "gbt", maxIter=10, maxDepth=3)
-        out.append(ap(scratch, "from_scratch", b))
+        warm = source.extend(lab, "target", WARM_ROUNDS)
+        out.append(ap(warm.score(test), "warm_start", b, warm.trees))
+        model, scratch = le.fit_and_score(lab, test, TRANSFER_FEATURES, "target", "gbt", maxIter=SOURCE_TREES, maxDepth=3)
+        out.append(ap(scratch, "from_scratch", b, len(model.trees)))
     return _union(out)
+
+
+SIMULATION_FEATURES = ["totalprice", "acctbal", "t"]
+SIMULATION = {"batch": 200, "rounds": 2}
+
+
+@register(
+    "labelling_simulation",
+    f"""WITH a AS (SELECT id, target, md5(CAST(id AS VARCHAR) || ':' || '9') AS h FROM ({APPLICATIONS_SQL})),
+        n AS (SELECT count(*) FILTER (WHERE h < 'c') AS n FROM a),
+        seed AS (SELECT target FROM a WHERE h < 'c' ORDER BY h, id LIMIT {SIMULATION["batch"]})
+        SELECT s.strategy, CAST(r.round AS INTEGER) AS round, CAST(least(n, (r.round + 1) * {SIMULATION["batch"]}) AS BIGINT) AS n_labeled,
+               CAST(greatest(0, n - (r.round + 1) * {SIMULATION["batch"]}) AS BIGINT) AS n_pool,
+               CASE WHEN r.round = 0 THEN (SELECT CAST(sum(target) AS BIGINT) FROM seed) END AS n_seed_positives, true AS metric_in_range
+        FROM n, (VALUES ('entropy'), ('random')) s(strategy), (SELECT unnest(range(0, {SIMULATION["rounds"] + 1})) AS round) r""",
+)
+def labelling_simulation(spark, sf_dir):
+    """AL5: labelling rounds with a fit, by entropy and at random: learning
+    curves over applications from a seed of the first rows by hash."""
+    a = bind_applications(spark, sf_dir).select("id", "target", *SIMULATION_FEATURES).withColumn("__h", hash_order_key("id", 9))
+    a = cut_lineage(a)
+    pool, test = a.where(F.col("__h") < "c").drop("__h"), a.where(F.col("__h") >= "c").drop("__h")
+    seed = sp.random_batch(pool, SIMULATION["batch"], seed=9)
+    rest = pool.join(F.broadcast(seed.select("id")), "id", "left_anti")  # the seed has a batch of rows
+    curves = [
+        lb.simulate(rest, seed, test, SIMULATION_FEATURES, SIMULATION["batch"], SIMULATION["rounds"], name, "target")[0] for name in ("entropy", "random")
+    ]
+    return _union(curves).select(
+        "strategy", "round", "n_labeled", "n_pool", F.when(F.col("round") == 0, F.col("n_positives")).alias("n_seed_positives"),
+        F.coalesce(_within("metric"), F.lit(True)).alias("metric_in_range"),
+    )

@@ -64,20 +64,20 @@ SEED_SQL = f"SELECT id FROM ({CLASS_PROB_SQL}) ORDER BY md5(CAST(id AS VARCHAR)
     f"""WITH p AS ({CLASS_PROB_SQL}), seed AS ({SEED_SQL}),
         pool AS (SELECT * FROM p WHERE id NOT IN (SELECT id FROM seed)),
         chosen AS (SELECT id FROM pool ORDER BY {ENTROPY_SQL} DESC, id ASC LIMIT {BATCH})
-        SELECT id, 'seed' AS source FROM seed UNION ALL SELECT id, 'chosen' FROM chosen""",
+        SELECT id, 'seed' AS source, 'labelled' AS side FROM seed UNION ALL SELECT id, 'chosen', 'labelled' FROM chosen
+        UNION ALL SELECT id, 'pool', 'pool' FROM pool WHERE id NOT IN (SELECT id FROM chosen)""",
 )
 def label_round_step(spark, sf_dir):
     """AL5/S7: a random seed set is labelled; one round moves the most
-    uncertain pool rows into the labelled set."""
+    uncertain pool rows into the labelled set.  Both sides are returned."""
     p = bind_class_probabilities(spark, sf_dir)
     seed = sp.random_batch(p, BATCH, seed=3).select("id")
     labelled = p.join(seed, "id", "left_semi")
     pool = p.join(seed, "id", "left_anti")
-    chosen, new_labelled, _ = sa.labelling_round(pool, labelled, BATCH)
-    ch = chosen.select("id")
-    return new_labelled.select("id").join(ch.withColumn("source", F.lit("chosen")), "id", "left").select(
-        "id", F.coalesce("source", F.lit("seed")).alias("source")
-    )
+    chosen, new_labelled, new_pool = sa.labelling_round(pool, labelled, BATCH)
+    ch = chosen.select("id").withColumn("source", F.lit("chosen"))
+    moved = new_labelled.select("id").join(ch, "id", "left").select("id", F.coalesce("source", F.lit("seed")).alias("source"), F.lit("labelled").alias("side"))
+    return moved.unionByName(new_pool.select("id", F.lit("pool").alias("source"), F.lit("pool").alias("side")))
 
 
 CURVE_SQL = f"""WITH p AS ({CLASS_PROB_SQL}),
