@@ -11,15 +11,21 @@ _POPCOUNT8 = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _SELECT8 = np.array([[([i for i in range(8) if b >> i & 1] + [8] * 8)[r] for r in range(8)] for b in range(256)], np.uint8)
 
 
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+
+
 def _select_in_words(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Place of the set bit with the given rank in each 64-bit word."""
-    octets = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_POPCOUNT8[octets], axis=1, dtype=np.int64)
-    byte = (upto <= rank[:, None]).sum(axis=1)
-    byte = np.minimum(byte, 7)
-    rows = np.arange(len(words))
-    before = np.where(byte > 0, upto[rows, np.maximum(byte - 1, 0)], 0)
-    return byte * 8 + _SELECT8[octets[rows, byte], np.minimum(rank - before, 7)]
+    """Place of the set bit with the given rank in each 64-bit word, by sums of
+    the bytes' set bits within the word."""
+    rank = rank.astype(np.uint64)
+    s = words - (words >> np.uint64(1) & np.uint64(0x5555555555555555))
+    s = (s & np.uint64(0x3333333333333333)) + (s >> np.uint64(2) & np.uint64(0x3333333333333333))
+    upto = (s + (s >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _ONES  # set bits up to and with each byte
+    passed = (rank * _ONES | _TOPS) - upto & _TOPS  # a top bit for each byte that ends before the wanted bit
+    shift = np.minimum((passed >> np.uint64(7)) * _ONES >> np.uint64(56), np.uint64(7)) * np.uint64(8)
+    before = (upto << np.uint64(8)) >> shift & np.uint64(0xFF)
+    own = words >> shift & np.uint64(0xFF)
+    return shift.astype(np.int64) + _SELECT8[own.astype(np.int64), np.minimum(rank - before, np.uint64(7)).astype(np.int64)]
 
 
 class EliasFano:
@@ -45,7 +51,8 @@ class EliasFano:
         flags[place] = True
         octets = np.packbits(flags, bitorder="little")
         per_word = _POPCOUNT8[octets].reshape(-1, 8).sum(axis=1, dtype=np.int64)
-        return cls(n, bits, np.concatenate([low, np.zeros(16, np.uint8)]), octets.view("<u8"), np.cumsum(per_word) - per_word)
+        low = np.concatenate([low, np.zeros(16 + -len(low) % 8, np.uint8)]).view("<u8")  # a word more than is read
+        return cls(n, bits, low, octets.view("<u8"), np.cumsum(per_word) - per_word)
 
     def save(self, folder: str, name: str) -> EliasFano:
         """Writes the parts to files and returns the sequence memory-mapped."""
@@ -53,15 +60,17 @@ class EliasFano:
         for part in ("low", "high", "ones"):
             path = os.path.join(folder, f"{name}.{part}.npy")
             np.save(path, getattr(self, part))
-            parts.append(np.load(path, mmap_mode="r"))
+            parts.append(np.asarray(np.load(path, mmap_mode="r")))
         return EliasFano(self.n, self.bits, *parts)
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(i), np.int64)
         at = i * self.bits
-        octets = np.ascontiguousarray(self.low[(at >> 3)[:, None] + np.arange(8)])
-        return ((octets.view("<u8").ravel() >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        # the upper part is moved in two steps, as a shift by 64 is none
+        both = self.low[word] >> shift | self.low[word + 1] << np.uint64(1) << (np.uint64(63) - shift)
+        return (both & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
     def _select1(self, i: np.ndarray) -> np.ndarray:
         word = np.searchsorted(self.ones, i, side="right") - 1

@@ -255,7 +255,10 @@ class Trie:
     ``context``, ``successor``, ``count``: distinct pairs in order, counts > 0."""
 
     def __init__(self, folder: str, context, successor, count):
-        own, starts = np.unique(context, return_index=True)
+        new = np.ones(len(context), bool)
+        new[1:] = context[1:] != context[:-1]
+        starts = np.flatnonzero(new)
+        own = context[starts]
         ends = np.append(starts[1:], len(context))
         last = np.cumsum(successor[ends - 1]) if len(own) else np.empty(0, np.int64)
         base = last - successor[ends - 1] if len(own) else last
@@ -300,7 +303,10 @@ def _search(_: int, payloads: list[bytes]) -> list[bytes]:
     successor, count = (np.concatenate([a[k] for a in asked]) for k in (2, 3))
     seen = count > 0
     context, successor, count = context[seen], successor[seen], count[seen]
-    order = np.lexsort((successor, context))
+    if max(context.max(initial=0), successor.max(initial=0)) < 1 << 31:
+        order = np.argsort(context << 32 | successor, kind="stable")  # every block's pairs ascend already
+    else:
+        order = np.lexsort((successor, context))
     context, successor, count = (x[order] for x in (context, successor, count))
     new = np.ones(len(context), bool)
     new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])

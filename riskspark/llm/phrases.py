@@ -143,6 +143,8 @@ def _numbered(buckets: int, least: int):
         often = often[pc.sort_indices(coded.dictionary.take(pa.array(often))).to_numpy()]
         numbers = np.zeros(len(total), np.int64)
         numbers[often] = np.arange(len(often)) * buckets + bucket + 1
+        if numbers.max() >= 1 << 32:
+            raise ValueError("more words than 32-bit numbers can tell apart")
         replies = np.split(numbers[codes], np.cumsum([a.num_rows for a in asked])[:-1])
         squeeze = zstandard.ZstdCompressor(level=1).compress
         vocabulary = pa.RecordBatch.from_arrays([pa.array(numbers[often]), coded.dictionary.take(pa.array(often)), pa.array(total[often])], ["id", "pair", "f"])
