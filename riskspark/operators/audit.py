@@ -37,12 +37,10 @@ def decision_rows(
     )
 
 
-def append_decisions(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
+def append_decisions(rows: DataFrame, path: str, batch_id: int) -> None:
     """Append to the log, one folder per batch.  A batch that is written
-    again replaces its own folder, so a retry adds nothing; rows without a batch
-    id are appended to batch -1."""
-    mode = "append" if batch_id is None else "overwrite"
-    rows.write.mode(mode).parquet(f"{path}/batch_id={-1 if batch_id is None else int(batch_id)}")
+    again replaces its own folder, so a retry adds nothing."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
 
 
 def recent_decisions(log: DataFrame, limit: int = 20, model_type: str | None = None) -> DataFrame:

@@ -55,22 +55,49 @@ def entity_nodes(edges: DataFrame) -> DataFrame:
     return edges.select("entity_type", "entity").distinct().withColumn("feature", F.lit(1.0))
 
 
-def khop_mean(nodes: DataFrame, edges: DataFrame, id_col: str, features: Sequence[str], hops: int = 1) -> DataFrame:
-    """GR4: per hop, entity value = mean of its transactions' features,
-    then each transaction sums over entity types the mean of its entities'
-    values.  Transactions without edges get 0.0."""
-    # both are read twice per hop: made once, not once per use
+#: An entity is a hub if it has more than this share of all edges; there are at
+#: most ``1 / HUB_SHARE`` of them, so their means may be broadcast.
+HUB_SHARE = 0.001
+
+
+def split_hubs(edges: DataFrame, share: float = HUB_SHARE) -> DataFrame:
+    """``edges`` with the flag ``hub``, written once."""
     edges = cut_lineage(edges)
+    least = share * edges.count()
+    hubs = edges.groupBy("entity_type", "entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least).select("entity_type", "entity", F.lit(True).alias("hub"))
+    flagged = edges.join(F.broadcast(hubs), ["entity_type", "entity"], "left")
+    return cut_lineage(flagged.withColumn("hub", F.coalesce("hub", F.lit(False))))
+
+
+def khop_features(nodes: DataFrame, edges: DataFrame, id_col: str, features: Sequence[str], hops: int = 1, share: float = HUB_SHARE) -> DataFrame:
+    """GR4: the node's id and, for each hop k, the columns ``nb{k}_{feature}``.
+    Per hop an entity's value is the mean of its transactions' features, and a
+    transaction sums over entity types the mean of its entities' values.
+    Transactions without edges get 0.0.
+
+    Entity means are partially aggregated.  On the way back an entity's edges
+    meet its mean by a join on the entity; edges of hubs take theirs from a
+    broadcast table of at most 1 / share rows instead, so an entity with a third
+    of all edges is never one task."""
+    keys = ["entity_type", "entity"]
+    edges = split_hubs(edges, share)
     cur = cut_lineage(nodes.select(F.col(id_col).alias("txn"), *features))
-    for _ in range(hops):
-        ent = edges.join(cur, "txn").groupBy("entity_type", "entity").agg(*[F.avg(f).alias(f) for f in features])
-        # Entity table size is data-dependent: AQE broadcasts it at runtime
-        # only when the materialised side is small; hub keys are split by
-        # AQE's skew-join handling otherwise.
-        per_type = edges.join(ent, ["entity_type", "entity"]).groupBy("txn", "entity_type").agg(*[F.avg(f).alias(f) for f in features])
+    out = cur.select("txn")
+    for k in range(1, hops + 1):
+        ent = cut_lineage(edges.join(cur, "txn").groupBy("hub", *keys).agg(*[F.avg(f).alias(f) for f in features]))
+        plain = edges.where("not hub").join(ent.where("not hub").drop("hub"), keys)
+        heavy = edges.where("hub").join(F.broadcast(ent.where("hub").drop("hub")), keys)
+        per_type = plain.unionByName(heavy).groupBy("txn", "entity_type").agg(*[F.avg(f).alias(f) for f in features])
         summed = per_type.groupBy("txn").agg(*[F.sum(f).alias(f) for f in features])
-        cur = cur.select("txn").join(summed, "txn", "left").fillna(0.0, list(features))
-    return cur.withColumnRenamed("txn", id_col)
+        cur = cut_lineage(cur.select("txn").join(summed, "txn", "left").fillna(0.0, list(features)))
+        out = out.join(cur.select("txn", *[F.col(f).alias(f"nb{k}_{f}") for f in features]), "txn")
+    return out.withColumnRenamed("txn", id_col)
+
+
+def khop_mean(nodes: DataFrame, edges: DataFrame, id_col: str, features: Sequence[str], hops: int = 1) -> DataFrame:
+    """GR4: the columns of the last hop, under the features' names."""
+    found = khop_features(nodes, edges, id_col, features, hops)
+    return found.select(id_col, *[F.col(f"nb{hops}_{f}").alias(f) for f in features])
 
 
 def shared_entity_reach(edges: DataFrame, id_col: str = "txn") -> DataFrame:

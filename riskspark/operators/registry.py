@@ -59,6 +59,18 @@ class PsiReference:
         bin_ = _bin_expr(self.edges).alias("bin")
         self.counts = keep(_long(expected, [value]).groupBy(bin_).agg(F.count(F.lit(1)).alias("n_expected")))
 
+    @classmethod
+    def known(cls, value: str, edges: dict[str, list[float]], counts: DataFrame) -> PsiReference:
+        """A reference that was fitted before and stored."""
+        made = cls.__new__(cls)
+        made.value, made.edges, made.counts = value, edges, counts
+        return made
+
+    @property
+    def usable(self) -> bool:
+        """There is more than one value to compare with."""
+        return self.counts.where(F.col("bin").startswith("bin_")).agg(F.sum("n_expected")).first()[0] is not None and bool(self.edges.get(self.value))
+
     def batches(self, actual: DataFrame, batch: str) -> DataFrame:
         """(batch, psi, verdict) in one job for all batches.  Each batch is
         smoothed over the bins seen in expected or in that batch."""
@@ -79,22 +91,29 @@ class PsiReference:
 RUN_SCHEMA = "n_rows long, psi double, verdict string, status int, run_id string"
 
 
-def monitor_run(reference: DataFrame, actual: DataFrame, value: str, runs_path: str, run_id: str, bins: int = 10, decimals: int | None = None) -> DataFrame:
-    """PS5: one monitoring run, written to its own folder of the runs table (a
-    repeated run replaces it); returns the table.  Status 0 or 1 by the verdict,
-    2 when there is nothing to compare: no actual rows, or a reference with
-    fewer than two values."""
+def monitor_run(
+    reference: DataFrame | PsiReference, actual: DataFrame, value: str, runs_path: str, run_id: str, bins: int = 10, decimals: int | None = None
+) -> DataFrame:
+    """PS5: one monitoring run against reference rows or a stored reference,
+    written to its own folder of the runs table (a repeated run replaces it);
+    returns the table.  Status 0 or 1 by the verdict, 2 when there is nothing to
+    compare: no actual rows, or a reference with fewer than two values."""
+    spark = actual.sparkSession
     n = actual.count()
-    values = reference.select(number(F.col(value).cast("double")).alias("v")).where("v is not null").distinct().limit(2).count()
-    if n and values == 2:
-        found = monitor_status(psi_by_batch(reference, actual.withColumn("__run", F.lit(run_id)), value, "__run", bins, decimals))
+    if isinstance(reference, PsiReference):
+        fitted = reference if reference.usable else None
+    else:
+        values = reference.select(number(F.col(value).cast("double")).alias("v")).where("v is not null").distinct().limit(2).count()
+        fitted = PsiReference(reference, value, bins, decimals) if n and values == 2 else None
+    if n and fitted is not None:
+        found = monitor_status(fitted.batches(actual.withColumn("__run", F.lit(run_id)), "__run"))
         row = found.select("psi", "verdict", F.col("status").cast("int").alias("status"))
     else:
-        row = reference.sparkSession.range(1).select(
+        row = spark.range(1).select(
             F.lit(None).cast("double").alias("psi"), F.lit("could_not_run").alias("verdict"), F.lit(STATUS_COULD_NOT_RUN).alias("status")
         )
     row.select(F.lit(n).cast("long").alias("n_rows"), "psi", "verdict", "status").write.mode("overwrite").parquet(f"{runs_path}/run_id={run_id}")
-    return reference.sparkSession.read.schema(RUN_SCHEMA).parquet(runs_path)
+    return spark.read.schema(RUN_SCHEMA).parquet(runs_path)
 
 
 VERSION_SCHEMA = "metrics map<string,double>, model_path string, name string, version string"
@@ -116,22 +135,49 @@ def promotions(spark, root: str) -> DataFrame:
     return _read(spark, f"{root}/promotions", PROMOTION_SCHEMA)
 
 
+def _claim(spark, path: str) -> None:
+    """Creates an empty file that no one else may have created: of two writers at
+    once one gets an error, and neither replaces what the other has written."""
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(file):
+        raise FileExistsError(f"another writer has taken {path}; try again")
+
+
 def register_version(spark, root: str, name: str, metrics: dict[str, float], model_path: str) -> str:
     """ML9: adds the next version of a model with its metrics and the place of
-    the fitted model, one folder per version; returns the version."""
+    the fitted model, one folder per version; returns the version.  A version
+    that another writer takes meanwhile is an error."""
     last = versions(spark, root).where(F.col("name") == name).agg(F.max(F.col("version").cast("long"))).first()[0] or 0
     row = spark.createDataFrame([({k: float(v) for k, v in metrics.items()}, model_path)], "metrics map<string,double>, model_path string")
-    row.write.mode("overwrite").parquet(f"{root}/versions/name={name}/version={last + 1}")
+    _claim(spark, f"{root}/claims/version-{name}-{last + 1}")
+    row.write.mode("error").parquet(f"{root}/versions/name={name}/version={last + 1}")
     return str(last + 1)
 
 
-def promote(spark, root: str, name: str, version: str, alias: str = "champion") -> None:
-    """ML10: appends a promotion event for a registered version."""
+def promote(spark, root: str, name: str, version: str, alias: str = "champion", at=None) -> None:
+    """ML10: appends a promotion event for a registered version, now or ``at``
+    the given time; an event that another writer takes meanwhile is an error."""
     if versions(spark, root).where((F.col("name") == name) & (F.col("version") == version)).isEmpty():
         raise ValueError(f"no version {version} of {name!r} to promote")
     event = promotions(spark, root).where((F.col("name") == name) & (F.col("alias") == alias)).count()
-    row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("promoted_at"))
-    row.write.mode("overwrite").parquet(f"{root}/promotions/name={name}/alias={alias}/event={event}")
+    row = spark.range(1).select(F.lit(version).alias("version"), (F.current_timestamp() if at is None else F.lit(at).cast("timestamp")).alias("promoted_at"))
+    _claim(spark, f"{root}/claims/promotion-{name}-{alias}-{event}")
+    row.write.mode("error").parquet(f"{root}/promotions/name={name}/alias={alias}/event={event}")
+
+
+def in_force(runs: DataFrame, promotions: DataFrame, name_col: str = "name", time_col: str = "start_time", alias: str = "champion") -> DataFrame:
+    """ML12: ``runs`` with the version of their model that ``alias`` pointed at
+    when they started: the latest promotion at or before that time (of several
+    at one time the last event); NULL before the first.  One pass over runs and
+    promotions in order of time, per model."""
+    events = promotions.where(F.col("alias") == alias).select(
+        F.col("name").alias("__name"), F.col("promoted_at").alias("__time"), F.lit(0).alias("__kind"), F.col("event").alias("__event"), F.col("version").alias("__version")
+    )
+    own = F.struct(*[F.col(f"`{c}`") for c in runs.columns])
+    rows = runs.select(F.col(name_col).alias("__name"), F.col(time_col).cast("timestamp").alias("__time"), F.lit(1).alias("__kind"), own.alias("__run"))
+    order = Window.partitionBy("__name").orderBy("__time", "__kind", "__event").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = events.unionByName(rows, allowMissingColumns=True).withColumn("__version", F.last("__version", ignorenulls=True).over(order))
+    return both.where(F.col("__kind") == 1).select("__run.*", F.col("__version").alias(alias))
 
 
 def psi_by_batch(expected: DataFrame, actual: DataFrame, value: str, batch: str, bins: int = 10, decimals: int | None = None) -> DataFrame:

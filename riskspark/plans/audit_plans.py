@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from ..operators import audit as au
 from ..operators import registry as rg
-from ..sources.tables import bind_scored_rows, table
+from ..operators import scorecard as sc
+from ..operators import woe as wo
+from ..session import cut_lineage
+from ..sources.tables import bind_applications, bind_scored_rows, table
 from ..streaming.jobs import run_dir
 from . import credit_plans as cp
 from .registry import register
@@ -188,58 +191,80 @@ def runs_comparison(spark, sf_dir):
                CASE WHEN psi >= 0.25 THEN 1 ELSE 0 END AS status FROM v""",
 )
 def psi_monitor(spark, sf_dir):
-    """PS5: a monitoring run: score the later applications with the frozen
-    scorecard, compare with the train scores, append the run, read it back."""
-    s = _scores(spark, sf_dir)
-    ref = s.where(F.col("t") < cp.CREDIT_TRAIN_T)
-    batch = s.where(F.col("t") >= cp.CREDIT_TRAIN_T)
-    runs = rg.monitor_run(ref, batch, "score", f"{run_dir(spark, 'monitor')}/runs", "monitor", decimals=cp.EDGE_DECIMALS)
+    """PS5: a monitoring run: the published scorecard is loaded, scores the
+    later applications and compares them with the score histogram that it was
+    published with; the run is appended and read back."""
+    root = run_dir(spark, "monitor")
+    everyone, train = cp._apps(spark, sf_dir)
+    sc.publish(spark, f"{root}/registry", "credit_scorecard", cp.fit_card(train), {})
+    _, card = sc.champion(spark, f"{root}/registry", "credit_scorecard")
+    batch = card.score(everyone.where(F.col("t") >= cp.CREDIT_TRAIN_T))
+    runs = rg.monitor_run(card.reference, batch, "score", f"{root}/runs", "monitor")
     return runs.select(F.col("n_rows").alias("n_monitoring"), F.round("psi", 9).alias("psi"), "verdict", "status")
 
 
-def _versions(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    y = o.groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).cast("long").alias("n_train_rows"))
-    first = y.agg(F.min("year").alias("y0"))
-    v = y.crossJoin(F.broadcast(first)).select(
-        F.lit("credit_scorecard").alias("name"),
-        (F.col("year") - F.col("y0") + 1).cast("string").alias("version"),
-        F.make_timestamp(F.col("year") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("registered_at"),
-        "n_train_rows",
-    )
-    return v
+#: Training cut-offs of the credit scorecard's versions, and the model beside it.
+CUTS = ["1997-01-01", "1999-01-01"]
+CARD, BLIND = "credit_scorecard", "priority_scorecard"
+
+
+def _published(spark, sf_dir):
+    """A registry with what the training jobs publish: a version of the credit
+    scorecard at each cut-off, fitted on the applications before it, and one
+    version of a scorecard of categories only at the last."""
+    root = run_dir(spark, "registry")
+    for cut in CUTS:
+        train = cut_lineage(bind_applications(spark, sf_dir, orders_before=cut))
+        found = train.agg(F.count("*").alias("n_train_rows"), F.avg("target").alias("label_rate")).first().asDict()
+        sc.publish(spark, root, CARD, cp.fit_card(train), found, at=cut)
+        if cut == CUTS[-1]:
+            m = wo.fit_woe_bins(train, [], cp.CATEGORICAL, "target")
+            coefs, intercept = wo.naive_bayes_scorecard(m, train)
+            sc.publish(spark, root, BLIND, cp.make_card(train, m, *wo.points_table(m, coefs, intercept)), found, at=cut)
+    return root
+
+
+_CUT_SQL = f"""cuts AS (SELECT * FROM (VALUES {", ".join(f"('{k + 1}', TIMESTAMP '{c}')" for k, c in enumerate(CUTS))}) c(version, since)),
+ver AS (SELECT version, since, count(*) AS n, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS rate FROM cuts, orders JOIN customer ON o_custkey = c_custkey
+        WHERE o_orderdate < since GROUP BY ALL)"""
 
 
 @register(
     "registry_versions",
-    """WITH y AS (SELECT year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY 1)
-       SELECT 'credit_scorecard' AS name, CAST(year - (SELECT min(year) FROM y) + 1 AS VARCHAR) AS version,
-              CAST(epoch(make_timestamp(year + 1, 1, 1, 0, 0, 0)) AS BIGINT) AS registered_at, CAST(n AS BIGINT) AS n_train_rows
-       FROM y""",
+    f"WITH {_CUT_SQL} SELECT '{CARD}' AS name, version, CAST(n AS BIGINT) AS n_train_rows, round(rate, 9) AS label_rate FROM ver",
 )
 def registry_versions(spark, sf_dir):
-    """ML9/ML11: one registered version per year of orders, highest first."""
-    v = rg.list_versions(_versions(spark, sf_dir), "credit_scorecard")
-    return v.select("name", "version", F.unix_timestamp("registered_at").alias("registered_at"), "n_train_rows")
+    """ML9/ML11: the published versions of the credit scorecard, highest first,
+    with the metrics they were registered with."""
+    v = rg.list_versions(rg.versions(spark, _published(spark, sf_dir)), CARD)
+    return v.select("name", "version", F.col("metrics")["n_train_rows"].cast("long").alias("n_train_rows"), F.round(F.col("metrics")["label_rate"], 9).alias("label_rate"))
 
 
 @register(
     "registry_champion",
-    """WITH y AS (SELECT year(o_orderdate) AS year FROM orders GROUP BY 1),
-       p AS (SELECT CAST(year - (SELECT min(year) FROM y) + 1 AS VARCHAR) AS version,
-                    make_timestamp(year + 2, 1, 1, 0, 0, 0) AS promoted_at FROM y),
-       ok AS (SELECT * FROM p WHERE promoted_at <= (SELECT max(o_orderdate) FROM orders))
-       SELECT 'credit_scorecard' AS name, 'champion' AS alias, max_by(version, promoted_at) AS version,
-              CAST(epoch(max(promoted_at)) AS BIGINT) AS promoted_at FROM ok""",
+    f"""WITH {_CUT_SQL} SELECT '{CARD}' AS name, 'champion' AS alias, max_by(version, since) AS version, CAST(epoch(max(since)) AS BIGINT) AS promoted_at FROM ver
+        UNION ALL SELECT '{BLIND}', 'champion', '1', CAST(epoch(TIMESTAMP '{CUTS[-1]}') AS BIGINT)""",
 )
 def registry_champion(spark, sf_dir):
-    """ML10: each version is promoted to champion after a year of
-    evaluation; the champion is the latest promotion up to the last order."""
-    v = _versions(spark, sf_dir)
-    last = table(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("__last"))
-    promos = v.select(
-        "name", F.lit("champion").alias("alias"), "version", F.col("registered_at") + F.expr("INTERVAL 1 YEAR")
-    ).toDF("name", "alias", "version", "promoted_at")
-    promos = promos.crossJoin(F.broadcast(last)).where(F.col("promoted_at") <= F.col("__last")).drop("__last")
-    c = rg.champion(promos, "credit_scorecard")
-    return c.select("name", "alias", "version", F.unix_timestamp("promoted_at").alias("promoted_at"))
+    """ML10: the champions of the two published models."""
+    p = cut_lineage(rg.promotions(spark, _published(spark, sf_dir)))
+    both = rg.champion(p, CARD).unionByName(rg.champion(p, BLIND))
+    return both.select("name", "alias", "version", F.unix_timestamp("promoted_at").alias("promoted_at"))
+
+
+@register(
+    "champion_comparison",
+    f"""WITH {_CUT_SQL},
+        runs AS (SELECT m.name, year(o_orderdate) AS year, count(*) AS n, make_timestamp(year(o_orderdate) + 1, 1, 1, 0, 0, 0) AS started
+                 FROM orders JOIN customer ON o_custkey = c_custkey, (VALUES ('{CARD}'), ('{BLIND}')) m(name) GROUP BY ALL),
+        ev AS (SELECT '{CARD}' AS name, version, since FROM ver UNION ALL SELECT '{BLIND}', '1', TIMESTAMP '{CUTS[-1]}')
+        SELECT r.name, r.year, CAST(r.n AS BIGINT) AS n_rows, (SELECT max_by(e.version, e.since) FROM ev e WHERE e.name = r.name AND e.since <= r.started) AS champion FROM runs r""",
+)
+def champion_comparison(spark, sf_dir):
+    """ML12: the yearly scoring runs of two served models, each with the version
+    that was champion when it started."""
+    p = rg.promotions(spark, _published(spark, sf_dir))
+    a = bind_applications(spark, sf_dir).select(F.year(F.timestamp_seconds("t")).alias("year"))
+    year = a.groupBy("year").agg(F.count("*").alias("n_rows"))
+    runs = year.select(F.explode(F.array(F.lit(CARD), F.lit(BLIND))).alias("name"), "year", "n_rows", F.make_timestamp(F.col("year") + 1, *[F.lit(x) for x in (1, 1, 0, 0, 0)]).alias("start_time"))
+    return rg.in_force(runs, p).select("name", F.col("year").cast("long").alias("year"), "n_rows", "champion")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as dr
 from ..operators import policy as po
+from ..operators import scorecard as sc
 from ..operators import woe as wo
+from ..operators.registry import PsiReference
 from ..sources.tables import APPLICATIONS_SQL, DRIFT_FEATURES, bind_applications, bind_drift_pair, table
 from .registry import register
 
@@ -275,6 +277,20 @@ def scorecard_score(spark, sf_dir):
     return s.select("id", F.round("score", 6).alias("score"))
 
 
+def fit_card(train):
+    """The naive-Bayes scorecard of a train side, with its cut-offs and the
+    histogram of its train scores."""
+    m = wo.fit_woe_bins(train, NUMERIC, CATEGORICAL, "target", edge_decimals=EDGE_DECIMALS)
+    coefs, intercept = wo.naive_bayes_scorecard(m, train)
+    return make_card(train, m, *wo.points_table(m, coefs, intercept))
+
+
+def make_card(train, m, base, pts):
+    scores = wo.score(train, m, base, pts, m.features()).select("score")
+    cut = _cutoffs(scores).first()
+    return sc.Scorecard(m, base, pts, cut["approve_cutoff"], cut["decline_cutoff"], PsiReference(scores, "score", decimals=EDGE_DECIMALS))
+
+
 CUTOFF_SQL = f"""WITH {SCORECARD_CTES}, {applied_labels_cte(NUMERIC, CATEGORICAL, src='tr')},
 sc AS (SELECT id, {SCORE_SQL_EXPR} AS score FROM alab)
 SELECT round(quantile_cont(score, 0.6), 6) AS approve_cutoff, round(quantile_cont(score, 0.2), 6) AS decline_cutoff FROM sc"""

@@ -107,6 +107,29 @@ def graph_khop_mean(spark, sf_dir):
     return gr.khop_mean(n, e, "id", NODE_FEATURES).select("id", r9("totalprice"), r9("acctbal"))
 
 
+def _hop_sql(k, source):
+    """CTEs of one more hop: ``h{k}`` from the rows (id, totalprice, acctbal) of ``source``."""
+    return f"""ent{k} AS (SELECT entity_type, entity, avg(n.totalprice) AS totalprice, avg(n.acctbal) AS acctbal
+                FROM edges JOIN {source} n ON edges.txn = n.id GROUP BY entity_type, entity),
+        pt{k} AS (SELECT txn, entity_type, avg(e.totalprice) AS totalprice, avg(e.acctbal) AS acctbal
+                FROM edges JOIN ent{k} e USING (entity_type, entity) GROUP BY txn, entity_type),
+        s{k} AS (SELECT txn, sum(totalprice) AS totalprice, sum(acctbal) AS acctbal FROM pt{k} GROUP BY txn),
+        h{k} AS (SELECT nodes.id, coalesce(s.totalprice, 0.0) AS totalprice, coalesce(s.acctbal, 0.0) AS acctbal FROM nodes LEFT JOIN s{k} s ON nodes.id = s.txn)"""
+
+
+@register(
+    "graph_two_hops",
+    f"""{NODES_SQL}, {_hop_sql(1, "nodes")}, {_hop_sql(2, "h1")}
+        SELECT h2.id, round(h1.totalprice, 6) AS nb1_totalprice, round(h1.acctbal, 6) AS nb1_acctbal,
+               round(h2.totalprice, 6) AS nb2_totalprice, round(h2.acctbal, 6) AS nb2_acctbal FROM h2 JOIN h1 USING (id)""",
+)
+def graph_two_hops(spark, sf_dir):
+    """GR4 over two hops: neighbours' means and the means of their neighbours."""
+    n, e = _nodes(spark, sf_dir)
+    found = gr.khop_features(n, e, "id", NODE_FEATURES, hops=2)
+    return found.select("id", *[F.round(f"nb{k}_{f}", 6).alias(f"nb{k}_{f}") for k in (1, 2) for f in NODE_FEATURES])
+
+
 @register(
     "graph_shared_entity",
     f"""{NODES_SQL},

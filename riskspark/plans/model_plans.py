@@ -17,6 +17,7 @@ from ..operators import labelling as lb
 from ..operators import learners as le
 from ..operators import metrics as mt
 from ..operators import registry as rg
+from ..operators import scorecard as sc
 from ..operators import search as se
 from ..operators import split as sp
 from ..operators import uplift as up
@@ -226,36 +227,44 @@ def scorecard_fit(spark, sf_dir):
 @register(
     "credit_job",
     f"""SELECT CAST(count(*) FILTER (WHERE NOT test) AS BIGINT) AS n_train, CAST(count(*) FILTER (WHERE test) AS BIGINT) AS n_test,
-               CAST(sum(y) FILTER (WHERE test) AS BIGINT) AS positives, true AS metrics_in_range, true AS cutoffs_in_order, true AS shares_in_range
+               CAST(sum(y) FILTER (WHERE test) AS BIGINT) AS positives, true AS metrics_in_range, true AS cutoffs_in_order, true AS shares_in_range,
+               'credit_scorecard' AS registered_name, '1' AS version, CAST(0 AS BIGINT) AS n_scored_otherwise
         FROM ({CREDIT_SIDES_SQL})""",
 )
 def credit_job(spark, sf_dir):
     """ML14: stratified split -> WoE fit on train -> logistic regression ->
     points scorecard -> cut-offs (60th/20th train percentile) -> test
-    metrics and decision mix."""
+    metrics and decision mix -> the card is saved, registered with its metrics
+    and promoted; the reloaded champion scores every test row alike."""
     tr, te = _credit_split(spark, sf_dir)
     m = wo.fit_woe_bins(tr, cp.NUMERIC, cp.CATEGORICAL, "target", edge_decimals=cp.EDGE_DECIMALS)
     woe_cols = [f + "_woe" for f in m.features()]
     coefs, intercept = le.fit_scorecard_lr(wo.transform_woe(tr, m), woe_cols, "target")
     fc = {f: coefs[f + "_woe"] for f in m.features()}
     base, pts = wo.points_table(m, fc, intercept)
-    train_scores = wo.score(tr, m, base, pts, m.features())
-    cut = cp._cutoffs(train_scores).first()
-    test = wo.score(wo.transform_woe(te, m), m, base, pts, m.features())
+    card = cp.make_card(tr, m, base, pts)
+    test = card.score(wo.transform_woe(te, m))
     margin = F.lit(intercept)
     for f in m.features():
         margin = margin + F.lit(fc[f]) * F.col(f + "_woe")
     test = test.withColumn("p", 1.0 / (1.0 + F.exp(-margin)))
-    rec = mt.metric_record(test.select("id", F.col("target").alias("y"), F.col("p").alias("score")))
+    rec = cut_lineage(mt.metric_record(test.select("id", F.col("target").alias("y"), F.col("p").alias("score"))))
+    root = run_dir(spark, "registry")
+    found = rec.select("auc_roc", "gini", "ks_statistic").first().asDict()
+    sc.publish(spark, root, "credit_scorecard", card, found)
+    version, again = sc.champion(spark, root, "credit_scorecard")
+    other = test.select("id", "score").join(again.score(te).select("id", F.col("score").alias("again")), "id", "full_outer")
+    other = other.agg(F.count_if(~F.col("score").eqNullSafe(F.col("again"))).alias("n_scored_otherwise"))
     mix = test.agg(
-        F.avg((F.col("score") >= cut["approve_cutoff"]).cast("double")).alias("approve_share"),
-        F.avg((F.col("score") < cut["decline_cutoff"]).cast("double")).alias("decline_share"),
+        F.avg((F.col("score") >= card.approve).cast("double")).alias("approve_share"),
+        F.avg((F.col("score") < card.decline).cast("double")).alias("decline_share"),
     )
     metrics = _within("auc_roc") & _within("gini", -1.0) & _within("ks_statistic")
-    return rec.crossJoin(mix).select(
+    return rec.crossJoin(mix).crossJoin(other).select(
         F.lit(tr.count()).cast("long").alias("n_train"), F.col("n").cast("long").alias("n_test"), F.col("positives").cast("long").alias("positives"),
-        metrics.alias("metrics_in_range"), F.lit(cut["decline_cutoff"] <= cut["approve_cutoff"]).alias("cutoffs_in_order"),
+        metrics.alias("metrics_in_range"), F.lit(card.decline <= card.approve).alias("cutoffs_in_order"),
         (_within("approve_share") & _within("decline_share") & (F.col("approve_share") + F.col("decline_share") <= 1.0)).alias("shares_in_range"),
+        F.lit("credit_scorecard").alias("registered_name"), F.lit(version).alias("version"), "n_scored_otherwise",
     )
 
 
@@ -263,16 +272,15 @@ GRAPH_SIDES_SQL = f"""SELECT o_orderdate >= TIMESTAMP '{gp.GRAPH_TRAIN_CUT}' AS
     FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
-@register("graph_classifier", _facts_sql(["graph_logistic"], GRAPH_SIDES_SQL, 2 * len(gp.NODE_FEATURES)))
+@register("graph_classifier", _facts_sql(["graph_logistic"], GRAPH_SIDES_SQL, 3 * len(gp.NODE_FEATURES)))
 def graph_classifier(spark, sf_dir):
-    """GR6: node features plus one-hop neighbour means, logistic regression
-    trained on the train mask only, evaluated on the test mask."""
+    """GR6: node features plus neighbour means of one and two hops, each with
+    weights of its own: logistic regression trained on the train mask only,
+    evaluated on the test mask."""
     nodes, edges = gp._nodes(spark, sf_dir)
-    hop = gr.khop_mean(nodes, edges, "id", gp.NODE_FEATURES).select(
-        "id", *[F.col(f).alias(f"nb_{f}") for f in gp.NODE_FEATURES]
-    )
+    hop = gr.khop_features(nodes, edges, "id", gp.NODE_FEATURES, hops=2)
     x = nodes.join(hop, "id")
-    feats = [*gp.NODE_FEATURES, *[f"nb_{f}" for f in gp.NODE_FEATURES]]
+    feats = [*gp.NODE_FEATURES, *[f"nb{k}_{f}" for k in (1, 2) for f in gp.NODE_FEATURES]]
     train = x.where(F.col("mask") == "train")
     _, pred = le.fit_and_score(train, x.where(F.col("mask") == "test"), feats, "label", "logistic")
     return _facts(pred, "graph_logistic", train.count(), len(feats))

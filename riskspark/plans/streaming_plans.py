@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import woe as wo
+from ..operators import scorecard as sc
 from ..sources.tables import applications_from, epoch_seconds, table
 from ..streaming import jobs as sj
 from . import credit_plans as cp
@@ -15,14 +15,10 @@ from .features_plans import VELOCITY_SQL
 from .registry import register
 
 
-def _frozen(spark, sf_dir):
-    """Batch-fitted scorecard, cut-offs and reference scores (frozen)."""
-    _, tr, m = cp._fit(spark, sf_dir)
-    coefs, intercept = wo.naive_bayes_scorecard(m, tr)
-    base, pts = wo.points_table(m, coefs, intercept)
-    train_scores = wo.score(tr, m, base, pts, m.features())
-    c = cp._cutoffs(train_scores).first()
-    return m, base, pts, (c["approve_cutoff"], c["decline_cutoff"]), train_scores
+def _frozen(spark, sf_dir, root):
+    """The scorecard that the batch job has published: loaded, not refitted."""
+    sc.publish(spark, root, "credit_scorecard", cp.fit_card(cp._apps(spark, sf_dir)[1]), {})
+    return sc.champion(spark, root, "credit_scorecard")[1]
 
 
 def _app_stream(spark, sf_dir):
@@ -38,8 +34,8 @@ def stream_score_audit(spark, sf_dir):
     """ST1: file stream of orders -> applications -> frozen scorecard ->
     decision -> idempotent append to the decision log.  Orders arrive in three
     files; every third one is sent again in the next file."""
-    m, base, pts, cut, _ = _frozen(spark, sf_dir)
     root = sj.run_dir(spark, "score-audit")
+    card = _frozen(spark, sf_dir, f"{root}/registry")
     orders = table(spark, sf_dir, "orders")
     file = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
     again = F.when(F.col("o_orderkey") % 3 == 0, F.array(file, (file + 1) % 3)).otherwise(F.array(file))
@@ -47,7 +43,7 @@ def stream_score_audit(spark, sf_dir):
     sj.feed(sent, f"{root}/in", F.col("__file"), 3)
     arriving = sj.file_stream(spark, f"{root}/in", "*.parquet").drop("__file")
     log = sj.stream_score_audit(
-        spark, applications_from(arriving, table(spark, sf_dir, "customer")), m, base, pts, cut, "id", "t", ["totalprice", "acctbal", "priority", "segment"],
+        spark, applications_from(arriving, table(spark, sf_dir, "customer")), card, "id", "t", ["totalprice", "acctbal", "priority", "segment"],
         f"{root}/log", f"{root}/chk",
     )
     return log.select("id", F.round("score", 6).alias("score"), "decision")
@@ -105,11 +101,10 @@ def stream_psi(spark, sf_dir):
     """ST3: every micro-batch of incoming applications is scored with the
     frozen scorecard and its PSI against the train scores is appended to
     the runs table."""
-    m, base, pts, _, train_scores = _frozen(spark, sf_dir)
     root = sj.run_dir(spark, "psi")
-    scored = wo.score(_app_stream(spark, sf_dir), m, base, pts, m.features()).select("score")
-    runs = sj.stream_psi(spark, scored, train_scores.select("score"), "score", f"{root}/runs", f"{root}/chk",
-                         decimals=cp.EDGE_DECIMALS)
+    card = _frozen(spark, sf_dir, f"{root}/registry")
+    scored = card.score(_app_stream(spark, sf_dir)).select("score")
+    runs = sj.stream_psi(spark, scored, card.reference, "score", f"{root}/runs", f"{root}/chk")
     return runs.select("batch_id", "n_rows", F.round("psi", 9).alias("psi"), "verdict", "status")
 
 

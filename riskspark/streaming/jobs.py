@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators import audit as au
-from ..operators import woe as wo
 from ..operators.registry import PsiReference, monitor_status
+from ..operators.scorecard import Scorecard
 from ..session import checkpoint_dir
-from ..functions.columns import points_decision
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -58,10 +57,7 @@ def close(spark: SparkSession, folder: str, time_col: str, delay: str, **values)
 def stream_score_audit(
     spark: SparkSession,
     requests: DataFrame,
-    model: wo.WoeModel,
-    base_points: float,
-    points: DataFrame,
-    cutoffs: tuple[float, float],
+    card: Scorecard,
     id_col: str,
     time_col: str,
     input_cols,
@@ -74,11 +70,9 @@ def stream_score_audit(
     arrives again within ``resent`` of its first arrival, in the same or a later
     batch, gets no second decision; the ids are kept for that long.  Arrival time
     is the batch's, so no request is late."""
-    approve, decline = cutoffs
     requests = requests.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", resent).dropDuplicatesWithinWatermark([id_col]).drop("__arrived")
-    # The model tables were written once: no refit and no mutable state per batch.
-    scored = wo.score(requests, model, base_points, points, model.features())
-    decided = scored.withColumn("decision", points_decision("score", approve, decline))
+    # The card's tables were written once: no refit and no mutable state per batch.
+    decided = card.decide(requests)
     rows = au.decision_rows(decided, "credit", "scorecard-frozen", id_col, F.col(time_col), "score", "decision", input_cols)
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
@@ -109,11 +103,11 @@ def stream_velocity_tumbling(
 
 
 def stream_psi(
-    spark: SparkSession, batches: DataFrame, reference: DataFrame, value: str, runs_path: str, checkpoint: str, decimals: int | None = None
+    spark: SparkSession, batches: DataFrame, reference: DataFrame | PsiReference, value: str, runs_path: str, checkpoint: str, decimals: int | None = None
 ):
     """ST3: PSI of every micro-batch against a reference fitted once, one
     folder of the runs table per batch, which a retry replaces."""
-    fitted = PsiReference(reference, value, decimals=decimals)
+    fitted = reference if isinstance(reference, PsiReference) else PsiReference(reference, value, decimals=decimals)
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():

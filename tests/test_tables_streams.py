@@ -210,19 +210,81 @@ def test_window_totals_equal_plain_sums():
     assert sj.window_totals(np.array([0, 10, 20]), np.array([np.inf, 1.0, 2.0]), 15)[1].tolist() == [np.inf, np.inf, 3.0]
 
 
+def _card(train, model):
+    from riskspark.operators import registry as rg
+    from riskspark.operators import scorecard as sc
+    from riskspark.operators import woe as wo
+
+    coefs, intercept = wo.naive_bayes_scorecard(model, train)
+    base, points = wo.points_table(model, coefs, intercept)
+    scores = wo.score(train, model, base, points, model.features()).select("score")
+    return sc.Scorecard(model, base, points, 520.0, 480.0, rg.PsiReference(scores, "score"))
+
+
+def test_published_scorecard_scores_decides_and_monitors_alike(spark, tmp_path):
+    from riskspark.operators import registry as rg
+    from riskspark.operators import scorecard as sc
+    from riskspark.operators import woe as wo
+
+    rows = [(i, float(i % 10) if i % 11 else None, "xyz"[i % 3], int(i % 10 > 6 or i % 7 == 0)) for i in range(300)]
+    train = spark.createDataFrame(rows, "id long, x double, c string, target int")
+    card = _card(train, wo.fit_woe_bins(train, ["x"], ["c"], "target", special_values={"x": [3.0]}))
+    root = str(tmp_path / "registry")
+    with pytest.raises(ValueError, match="promoted"):
+        sc.champion(spark, root, "card")
+    assert sc.publish(spark, root, "card", card, {"auc": 0.7}) == "1"
+    version, again = sc.champion(spark, root, "card")
+    new = spark.createDataFrame([(1, 3.0, "x"), (2, None, "unseen"), (3, 99.0, None), (4, -5.0, "z")], "id long, x double, c string")
+    key = lambda df: sorted((r["id"], r["score"], r["decision"]) for r in df.collect())
+    assert version == "1" and key(again.decide(new)) == key(card.decide(new))
+    assert (again.approve, again.decline, again.base_points) == (520.0, 480.0, card.base_points)
+    batch = card.score(train.where("id % 2 = 0"))
+    runs = [rg.monitor_run(c.reference, batch, "score", str(tmp_path / f"runs{k}"), "r").first() for k, c in enumerate((card, again))]
+    assert runs[0] == runs[1] and runs[0]["status"] in (0, 1)
+    empty = rg.monitor_run(again.reference, batch.limit(0), "score", str(tmp_path / "none"), "r").first()
+    assert (empty["n_rows"], empty["status"]) == (0, 2)
+    with pytest.raises(Exception, match="(?i)exist"):
+        sc.save(spark, card, rg.versions(spark, root).first()["model_path"])
+
+
+def test_two_writers_do_not_replace_each_other(spark, tmp_path, monkeypatch):
+    from riskspark.operators import registry as rg
+
+    root = str(tmp_path)
+    none = rg.versions(spark, root)
+    assert rg.register_version(spark, root, "m", {"a": 1.0}, "/x") == "1"
+    monkeypatch.setattr(rg, "versions", lambda *_: none)  # a writer that has looked before
+    with pytest.raises(FileExistsError):
+        rg.register_version(spark, root, "m", {"a": 2.0}, "/y")
+    monkeypatch.undo()
+    assert rg.versions(spark, root).first()["metrics"] == {"a": 1.0}
+
+
+def test_champion_in_force_is_the_latest_before_the_run(spark, tmp_path):
+    from riskspark.operators import registry as rg
+
+    root = str(tmp_path)
+    for name, ats in (("m", ["2020-01-01", "2021-01-01", "2021-01-01"]), ("n", ["2022-01-01"])):
+        for k, at in enumerate(ats):
+            rg.promote(spark, root, name, rg.register_version(spark, root, name, {}, "/x"), at=at)
+    rg.promote(spark, root, "m", "1", at="2023-01-01")  # back to the first
+    runs = spark.createDataFrame([(i, n, d) for n in "mno" for i, d in enumerate(["2019-06-01", "2020-01-01", "2021-06-01", "2024-01-01"])], "run int, name string, at string")
+    got = {(r["name"], r["run"]): r["champion"] for r in rg.in_force(runs, rg.promotions(spark, root), "name", "at").collect()}
+    assert got == {("m", 0): None, ("m", 1): "1", ("m", 2): "3", ("m", 3): "1", ("n", 0): None, ("n", 1): None, ("n", 2): None, ("n", 3): "1", **{("o", i): None for i in range(4)}}
+
+
 def test_request_sent_again_in_a_later_file_is_decided_once(spark, tmp_path):
     from riskspark.operators import woe as wo
 
     train = spark.createDataFrame([(i, float(i % 10), int(i % 10 > 6 or i % 7 == 0)) for i in range(200)], "id long, x double, target int")
     model = wo.fit_woe_bins(train, ["x"], [], "target")
-    coefs, intercept = wo.naive_bayes_scorecard(model, train)
-    base, points = wo.points_table(model, coefs, intercept)
+    card = _card(train, model)
     folder = str(tmp_path / "in")
     sent = spark.createDataFrame([(i, float(i % 10), 100 * i, f) for i in range(30) for f in ({0, 1, 2} if i % 5 == 0 else {i % 3})], "id long, x double, t long, file int")
     twice = sent.unionByName(sent.where("id = 5 and file = 0"))  # and in the same file
     sj.feed(twice, folder, F.col("file"), 3)
     requests = sj.file_stream(spark, folder, "*.parquet", max_files=3)
-    log = sj.stream_score_audit(spark, requests, model, base, points, (600.0, 500.0), "id", "t", ["x"], str(tmp_path / "log"), str(tmp_path / "chk"))
+    log = sj.stream_score_audit(spark, requests, card, "id", "t", ["x"], str(tmp_path / "log"), str(tmp_path / "chk"))
     assert sorted(r["id"] for r in log.collect()) == list(range(30))
     assert log.select("batch_id").distinct().count() > 1
 
