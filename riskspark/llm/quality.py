@@ -54,8 +54,8 @@ ORDER = 5
 TRAIN_DOCS = 20_000
 #: Raw bytes of a block, and of the part of it whose words are spelled out at
 #: once, which takes some twenty times as much memory.
-BLOCK_BYTES = 16 << 20
-PART_BYTES = 2 << 20
+BLOCK_BYTES = 12 << 20
+PART_BYTES = 1 << 20
 #: Words before a word among which it counts as repeated.
 NEAR = 4
 QUANTILE = 0.99
@@ -149,15 +149,22 @@ def gram_keys(codes: np.ndarray) -> np.ndarray:
     return key
 
 
+def _strings(codes: np.ndarray) -> pa.Array:
+    """Rows of code points as strings, without a Python object for each."""
+    body = np.ascontiguousarray(codes).tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    sizes = 1 + (codes >= 0x80).astype(np.int32) + (codes >= 0x800) + (codes >= 0x10000)
+    offsets = np.concatenate([[0], np.cumsum(sizes.sum(axis=1))]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(codes), pa.py_buffer(offsets), pa.py_buffer(body))
+
+
 def gram_counts(df: DataFrame, text_col: str = "text", across: bool = False) -> DataFrame:
     """(gram, n): counts of all highest-order grams, pre-summed per few megabytes of text."""
 
     def run(batches):
         for batch in (part for whole in batches for part in B.cut(whole, PART_BYTES)):
             found = _Spelled(batch.column(text_col), across)
-            text = np.ascontiguousarray(found.grams).tobytes().decode("utf-32-le", "surrogatepass")
-            grams = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
-            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(found.counts(), pa.int64())], ["gram", "n"])
+            yield pa.RecordBatch.from_arrays([_strings(found.grams), pa.array(found.counts(), pa.int64())], ["gram", "n"])
+            B.tidy()
 
     return df.select(text_col).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -246,6 +253,7 @@ def train(df: DataFrame, text_col: str = "text", buckets: int | None = None, acr
                 [pa.array(B.buckets_of(keys, buckets)), pa.array(keys.view(np.int64)), batch.column("log_p"), batch.column("log_bow")],
                 ["bucket", "key", "log_p", "log_bow"],
             )
+        B.tidy()
 
     grams = cut_lineage(kneser_ney(gram_counts(df, text_col, across)))
     empty = grams.filter("gram = ''").first()
