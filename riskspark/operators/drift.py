@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import number, psi_verdict
-from .quantiles import exact_quantiles
+from .quantiles import quantiles
 from .woe import MISSING_LABEL, quantile_edges
 
 # Fixed values (must equal the reference's): smoothing added to every bin
@@ -36,11 +36,12 @@ def _long(df: DataFrame, columns: Sequence[str], beside: Sequence[str] = ()) ->
     ).select(*beside, "kv.feature", number("kv.value").alias("value"))
 
 
-def psi_edges(expected: DataFrame, columns: Sequence[str], bins: int = DEFAULT_PSI_BINS, decimals: int | None = None) -> dict[str, list[float]]:
+def psi_edges(expected: DataFrame, columns: Sequence[str], bins: int = DEFAULT_PSI_BINS, decimals: int | None = None, sketch: int | None = None) -> dict[str, list[float]]:
     """Interior edges per feature from the expected side (one job; the
-    driver receives features x (bins + 1) numbers)."""
+    driver receives features x (bins + 1) numbers); ``sketch`` takes them from KLL
+    sketches of that size."""
     qs = [i / bins for i in range(bins + 1)]
-    rows = exact_quantiles(_long(expected, columns), "value", qs, groups=["feature"]).collect()
+    rows = quantiles(_long(expected, columns), "value", qs, ["feature"], sketch).collect()
     got: dict[str, list[float]] = {c: [] for c in columns}
     for r in rows:
         got[r["feature"]].append(r["quantile"])
@@ -66,13 +67,13 @@ def _bin_expr(edges: dict[str, list[float]]):
 
 
 def psi_by_feature_report(
-    expected: DataFrame, actual: DataFrame, columns: Sequence[str], bins: int = DEFAULT_PSI_BINS, decimals: int | None = None
+    expected: DataFrame, actual: DataFrame, columns: Sequence[str], bins: int = DEFAULT_PSI_BINS, decimals: int | None = None, sketch: int | None = None
 ) -> DataFrame:
     """PS1 for many features: (feature, bin, n_expected, n_actual,
     pct_expected, pct_actual, psi_contribution)."""
     if actual.isEmpty():
         raise ValueError("no actual rows to compare with the reference side")
-    edges = psi_edges(expected, columns, bins, decimals)
+    edges = psi_edges(expected, columns, bins, decimals, sketch)
     b = _bin_expr(edges)
     ce = _long(expected, columns).groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n_expected"))
     ca = _long(actual, columns).groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n_actual"))

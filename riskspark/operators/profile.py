@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import number
 from .features import hour_of_day, require_columns
-from .quantiles import exact_quantiles
+from .quantiles import quantiles
 
 SECONDS_PER_DAY = 86400
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -70,9 +70,9 @@ def unpivot_numeric(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
     ).select(*keep, "__kv.feature", "__kv.value")
 
 
-def describe_by_label(df: DataFrame, label: str = "label", columns: Sequence[str] | None = None, id_col: str | None = "id") -> DataFrame:
+def describe_by_label(df: DataFrame, label: str = "label", columns: Sequence[str] | None = None, id_col: str | None = "id", sketch: int | None = None) -> DataFrame:
     """A3: per (feature, label): count, mean, std (sample), min, 25/50/75 %
-    (exact, linear), max."""
+    (exact, linear; with ``sketch`` from KLL sketches of that size), max."""
     require_columns(df, [label])
     if columns is None:
         columns = numeric_columns(df, exclude=[label] + ([id_col] if id_col else []))
@@ -86,7 +86,7 @@ def describe_by_label(df: DataFrame, label: str = "label", columns: Sequence[str
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], groups=["feature", label])
+    qs = quantiles(long, "value", [0.25, 0.5, 0.75], ["feature", label], sketch)
     wide_q = qs.groupBy("feature", label).agg(
         *[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(n) for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]
     )

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import iv_strength, right_closed_bin
 from .features import require_columns
 from .modeltables import keep
-from .quantiles import exact_quantiles
+from .quantiles import quantiles
 
 # Fixed values (must equal the reference's): bin labels for missing and
 # never-seen categories, WoE smoothing count, default number of bins, and
@@ -90,10 +90,11 @@ def _labelled(df: DataFrame, numeric, categorical, edges, specials) -> DataFrame
 
 def fit_edges(
     train: DataFrame, numeric: Sequence[str], n_bins: int = DEFAULT_BINS, specials: Mapping[str, Sequence[float]] | None = None,
-    decimals: int | None = None,
+    decimals: int | None = None, sketch: int | None = None,
 ) -> dict[str, list[float]]:
     """Train quantile edges for all numeric features in one job; the
-    driver receives (features x (n_bins + 1)) numbers."""
+    driver receives (features x (n_bins + 1)) numbers.  ``sketch`` takes them
+    from KLL sketches of that size instead of exactly."""
     specials = dict(specials or {})
     if not numeric:
         return {}
@@ -106,7 +107,7 @@ def fit_edges(
         F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), value(f).alias("value")) for f in numeric])).alias("kv")
     ).select("kv.feature", "kv.value").where(~F.isnan("value"))
     qs = [i / n_bins for i in range(n_bins + 1)]
-    rows = exact_quantiles(long, "value", qs, groups=["feature"]).collect()
+    rows = quantiles(long, "value", qs, ["feature"], sketch).collect()
     got: dict[str, list[float]] = {f: [] for f in numeric}
     for r in rows:
         got[r["feature"]].append(r["quantile"])
@@ -141,6 +142,7 @@ def fit_woe_bins(
     n_bins: int = DEFAULT_BINS,
     special_values: Mapping[str, Sequence[float]] | None = None,
     edge_decimals: int | None = None,
+    sketch: int | None = None,
 ) -> WoeModel:
     """W3 + W4 for every feature; raises when a class is missing."""
     require_columns(train, [target, *numeric, *categorical], "train_df")
@@ -148,7 +150,7 @@ def fit_woe_bins(
     r = train.agg(F.count_if(F.col(target) == 1).alias("b"), F.count_if(F.col(target) == 0).alias("g")).first()
     if not r["b"] or not r["g"]:
         raise ValueError("weights of evidence compare target 1 with target 0; one of them has no rows")
-    edges = fit_edges(train, numeric, n_bins, specials, edge_decimals)
+    edges = fit_edges(train, numeric, n_bins, specials, edge_decimals, sketch)
     labelled = train.select(F.col(target), *_labelled(train, numeric, categorical, edges, specials))
     table = keep(woe_table(labelled, [*numeric, *categorical], target))
     return WoeModel(list(numeric), list(categorical), edges, specials, table, target)

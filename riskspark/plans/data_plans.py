@@ -9,6 +9,7 @@ from ..functions.columns import col_
 from ..operators import merge as mg
 from ..operators import profile as pr
 from ..sources import contracts as ct
+from ..sources import sinks
 from ..sources.tables import (
     APPLICATIONS_SQL,
     EVENT_TRANSACTIONS_SQL,
@@ -16,6 +17,7 @@ from ..sources.tables import (
     bind_event_transactions,
     table,
 )
+from ..streaming.jobs import run_dir
 from .registry import register
 
 
@@ -77,15 +79,26 @@ def _merged(spark, sf_dir):
     return mg.merge_left_flag(docs, labels, "doc_id", flag="has_label_match")
 
 
-@register(
-    "merge_left_flag",
-    """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic, l.doc_id IS NOT NULL AS has_label_match
-       FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
-)
+MERGED_SQL = """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic, l.doc_id IS NOT NULL AS has_label_match
+       FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+@register("merge_left_flag", MERGED_SQL)
 def merge_left_flag(spark, sf_dir):
     return _merged(spark, sf_dir)
 
 
+@register("merged_table_written", MERGED_SQL)
+def merged_table_written(spark, sf_dir):
+    """IO4, J2: both sides are loaded under their contract (columns there, key
+    unique), merged, written as a table partitioned by language, and read back."""
+    docs = ct.load_checked(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text", "lang"], ["doc_id"])
+    labels = ct.load_checked(spark, f"{sf_dir}/labels.parquet", ["doc_id", "quality"], ["doc_id"])
+    path = f"{run_dir(spark, 'merged')}/table"
+    sinks.write_table(mg.merge_left_flag(docs, labels, "doc_id", flag="has_label_match"), path, partition_by=["lang"])
+    return spark.read.parquet(path).select("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic", "has_label_match")
+
+
 @register(
     "merge_match_rate",
     """SELECT CAST(count(*) AS BIGINT) AS n_rows,
@@ -241,3 +254,11 @@ def eda_report_long(spark, sf_dir):
     tx = bind_event_transactions(spark, sf_dir).select("id", "t", "amount", "diversity", "label")
     r = pr.eda_report_long(tx, "label", "t", "id")
     return r.select("section", "key", "metric", F.round("value", 4).alias("value"))
+
+
+@register("report_written", EDA_SQL)
+def report_written(spark, sf_dir):
+    """IO6: the profiling report as JSON lines, read back."""
+    path = f"{run_dir(spark, 'report')}/eda"
+    sinks.write_report(eda_report_long(spark, sf_dir), path)
+    return spark.read.schema("section string, key string, metric string, value double").json(path)

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import round6, round9
 from ..operators import features as fe
+from ..sources import sinks
 from ..sources.tables import (
     EVENT_TRANSACTIONS_SQL,
     ORDER_TRANSACTIONS_SQL,
     bind_event_transactions,
     bind_order_transactions,
 )
+from ..streaming.jobs import run_dir
 from .registry import register
 
 # Fit side of the train-fitted encoders on `events`: rows before this instant.
@@ -237,6 +239,14 @@ FROM ({EVENT_TRANSACTIONS_SQL}) WHERE t <= 1705276800
 """
 
 
+@register("features_written", ENGINEERED_SQL)
+def features_written(spark, sf_dir):
+    """IO5: the feature table as it is written and read back."""
+    path = f"{run_dir(spark, 'features')}/table"
+    sinks.write_table(engineered_features(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 @register("leakage_guard", LEAK_SQL)
 def leakage_guard(spark, sf_dir):
     tx = bind_event_transactions(spark, sf_dir).select("id", "card", "t", "amount", "diversity")
