@@ -17,8 +17,9 @@ Words are lower-cased runs of letters, digits and non-ASCII characters.  A
 text is judged once, however many documents have it; items of equal words are
 one item, named by the smallest id.
 
-Defined cases: NULL and empty texts or items never match; repeated rows each
-get the verdict of their text; an empty table on either side gives an empty
+Defined cases: NULL and empty texts or items never match; a very long text is
+looked up alone, and memory follows its words however often they repeat; repeated
+rows each get the verdict of their text; an empty table on either side gives an empty
 result; columns other than ids and texts are not read.
 """
 
@@ -41,6 +42,8 @@ SEED = 5
 COVERAGE = 0.8
 #: Bits of the seed bitmap: 4 MB to broadcast, for any benchmark.
 BITMAP = 1 << 25
+#: Pairs of agreeing places in a text and an item that are held at once.
+MOST_PAIRS = 1 << 18
 #: Bytes of text worked on at once.
 BATCH_BYTES = 4 << 20
 
@@ -56,9 +59,44 @@ def seeds_of(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, h + np.uint64(length)
 
 
-def tiles(a: np.ndarray, b: np.ndarray, shortest: int) -> list[tuple[int, int, int]]:
+def _free_runs(x: np.ndarray, marked: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the runs of ``length`` words without a marked one."""
+    at, h = windows(x, np.array([0, len(x)]), length)
+    sums = np.concatenate([[0], np.cumsum(marked)])
+    free = sums[at + length] == sums[at]
+    return at[free], h[free]
+
+
+def _tiles_by_length(a: np.ndarray, b: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """The same tiles in memory that follows the words and not the pairs: the
+    length of the longest common free run is found by halving, as every shorter
+    length has one too; then the first place in b that has it, and its first in a."""
+    marked_a, marked_b, out, most = np.zeros(len(a), bool), np.zeros(len(b), bool), [], min(len(a), len(b))
+
+    def common(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        at_a, ha = _free_runs(a, marked_a, length)
+        at_b, hb = _free_runs(b, marked_b, length)
+        shared = np.isin(hb, ha)
+        return at_a, ha, at_b[shared], hb[shared]
+
+    while most >= k and len(common(k)[2]):
+        low, high = k, most
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if len(common(middle)[2]) else (low, middle - 1)
+        at_a, ha, at_b, hb = common(low)
+        y = int(at_b[0])
+        x = int(at_a[np.flatnonzero(ha == hb[0])[0]])
+        out.append((x, y, low))
+        marked_a[x : x + low], marked_b[y : y + low], most = True, True, low
+    return out
+
+
+def tiles(a: np.ndarray, b: np.ndarray, shortest: int, most_pairs: int = MOST_PAIRS) -> list[tuple[int, int, int]]:
     """Greedy string tiling of two word-hash sequences: (start in a, start in
-    b, length), longest first; ties go to the earliest place in b, then in a."""
+    b, length), longest first; ties go to the earliest place in b, then in a.
+    Where words repeat so much that more than ``most_pairs`` pairs of places agree,
+    the pairs are not made; the result is the same."""
     k = min(shortest, len(a), len(b))
     if not k:
         return []
@@ -68,6 +106,8 @@ def tiles(a: np.ndarray, b: np.ndarray, shortest: int) -> list[tuple[int, int, i
     order = np.argsort(ha, kind="stable")
     lo, hi = np.searchsorted(ha[order], hb, "left"), np.searchsorted(ha[order], hb, "right")
     n = hi - lo
+    if n.sum() > most_pairs:
+        return _tiles_by_length(a, b, k)
     j = np.repeat(at_b, n)
     i = at_a[order[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]]
     by_diagonal = np.lexsort((j, i - j))

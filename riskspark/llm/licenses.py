@@ -5,7 +5,8 @@ of all its words).  Templates are sorted into size classes whose bounds grow
 by a quarter.  For a class of up to S shingles the text is covered by windows
 that start every t = max(1, S // 4) shingles and are long enough that any run
 of S shingles lies inside one of them.  A window retrieves the templates that
-agree with it on all MinHash values of a band.
+agree with it on all MinHash values of a band, by a search in the band's sorted
+keys, so its cost hardly follows the number of templates.
 
 A run that holds at least ``CONTAINMENT`` of a template has a resemblance to
 its window of at least ``least_resemblance(S)`` (0.39 to 0.67), and each class
@@ -123,6 +124,21 @@ class _Class:
     bands: int
     members: list[_Template]
 
+    def file(self) -> None:
+        """Sorts the members' keys, band by band, for ``retrieve``."""
+        table = np.array([t.bands for t in self.members])
+        self.order = np.argsort(table, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(table, self.order, axis=0)
+
+    def retrieve(self, band: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(member, window) wherever a window's key is a member's."""
+        filed = self.sorted[:, band]
+        low, high = np.searchsorted(filed, keys, "left"), np.searchsorted(filed, keys, "right")
+        window = np.flatnonzero(high > low)
+        n = (high - low)[window]
+        place = np.repeat(low[window], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return self.order[place, band], np.repeat(window, n)
+
     @property
     def step(self) -> int:
         return max(1, self.most // 4)
@@ -190,6 +206,8 @@ class Scanner:
             keys = [_band_key(lows[b * ROWS : (b + 1) * ROWS])[0] for b in range(kind.bands)]
             kind.members.append(_Template(name, shingles, np.array(keys)))
         self.classes = [classes[k] for k in sorted(classes)]
+        for kind in self.classes:
+            kind.file()
 
     @staticmethod
     def _bound(n: int) -> int:
@@ -216,9 +234,8 @@ class Scanner:
                 values = [h * f for f in factors[band * ROWS : (band + 1) * ROWS]]
                 for p, hits in zip(places, found, strict=True):
                     if band < p.kind.bands:
-                        keys = _band_key([p.minima(v) for v in values])
-                        for m, t in enumerate(p.kind.members):
-                            hits.update((m, w) for w in np.flatnonzero(keys == t.bands[band]).tolist())
+                        member, window = p.kind.retrieve(band, _band_key([p.minima(v) for v in values]))
+                        hits.update(zip(member.tolist(), window.tolist(), strict=True))
             for p, hits in zip(places, found, strict=True):
                 self._verify(p, hits, h, at, doc, first, words.first, out)
         return out

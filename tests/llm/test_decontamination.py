@@ -89,3 +89,14 @@ def test_empty_sides(spark, empty, docs):
     assert D.leaks(df, none)[0].count() == 0 and D.leaks(empty, bench)[0].count() == 0
     assert D.without_leaks(df, none).count() == len(docs)
     assert D.leaks(df, bench.filter("item_id > 100 and item_id < 103"))[0].count() == 0
+
+
+def test_repeated_words_give_the_same_tiles_without_pairs():
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        a, b = (rng.integers(0, 3, rng.integers(1, 60)).astype(np.uint64) for _ in range(2))
+        assert D.tiles(a, b, 3, most_pairs=0) == D.tiles(a, b, 3, most_pairs=10**9)
+    same = np.full(400_000, 5, np.uint64)
+    assert D.tiles(same, same[:60], 5) == [(0, 0, 60)]
+    mixed = np.where(np.arange(400_000) % 50 == 49, 9, 5).astype(np.uint64)
+    assert D.tiles(mixed, same[:60], 5) == [(0, 0, 49), (50, 49, 11)]

@@ -1,5 +1,6 @@
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riskspark.llm import licenses
@@ -98,3 +99,12 @@ def test_awkward_rows_and_short_template(awkward, empty):
     assert licenses.scan_licenses(empty).count() == 0
     got = licenses.scan_licenses(awkward, templates={"short": "ONE!"}).collect()
     assert [r.doc_id for r in got] == [9]
+
+
+def test_many_templates_are_told_apart():
+    templates = {f"t{i}": prose(i, 30 + i % 50) for i in range(1500)}
+    scanner = licenses.Scanner(templates)
+    asked = [7, 700, 1499]
+    texts = pa.array([prose(10_000 + i, 60) + " " + templates[f"t{i}"] + " " + prose(20_000 + i, 60) for i in asked] + [prose(30_000, 200)])
+    found = [{m[0] for m in ms if m[1] == 1.0} for ms in scanner.scan(texts)]
+    assert found == [{f"t{i}"} for i in asked] + [set()]
