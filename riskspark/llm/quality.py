@@ -231,9 +231,9 @@ def _cells(rows: DataFrame) -> bytes:
 
 
 def _maybe_known(keys: np.ndarray, cells: bytes) -> np.ndarray:
-    """The keys that the model may have; all it has are among them."""
+    """Whether the model may have each key; all it has are among them."""
     cell = (keys >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-    return keys[(np.frombuffer(cells, np.uint8)[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)]
+    return (np.frombuffer(cells, np.uint8)[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
 
 
 def train(df: DataFrame, text_col: str = "text", buckets: int | None = None, across: bool = False) -> Model:
@@ -263,9 +263,21 @@ def train(df: DataFrame, text_col: str = "text", buckets: int | None = None, acr
 
 def _asked(found: _Spelled) -> list[tuple[np.ndarray, np.ndarray]]:
     """Of the grams of orders ORDER..1 and the contexts of orders ORDER-1..1:
-    distinct keys, and their index for each highest-order gram."""
-    g = found.grams
-    return [_distinct(gram_keys(g[:, k:])) for k in range(ORDER)] + [_distinct(gram_keys(g[:, k:-1])) for k in range(ORDER - 1)]
+    distinct keys, and their index for each highest-order gram.  Each order is
+    made of the distinct grams of the one above, which are fewer and fewer."""
+    rows, index = found.grams, np.arange(len(found.grams), dtype=np.int32)
+    grams, contexts = [], []
+    for _ in range(ORDER):
+        keys, of = _distinct(gram_keys(rows))
+        if rows.shape[1] > 1:
+            before, before_of = _distinct(gram_keys(rows[:, :-1]))
+            contexts.append((before, before_of[index]))
+        index = of[index]
+        grams.append((keys, index))
+        first = np.empty(len(keys), np.int64)
+        first[of[::-1]] = np.arange(len(of))[::-1]
+        rows = rows[first, 1:]
+    return grams + contexts
 
 
 def _spelled_parts(docs: pa.Table, text_col: str, across: bool) -> list[_Spelled]:
@@ -273,9 +285,27 @@ def _spelled_parts(docs: pa.Table, text_col: str, across: bool) -> list[_Spelled
     return [_Spelled(part.column(text_col), across) for whole in docs.combine_chunks().to_batches() for part in B.cut(whole, PART_BYTES)]
 
 
-def _block_keys(parts: list[_Spelled], cells: bytes) -> np.ndarray:
-    """Distinct keys that a block asks for: those the model may have."""
-    return _maybe_known(np.unique(np.concatenate([np.empty(0, np.uint64), *(k for p in parts for k, _ in _asked(p))])), cells)
+class _Asked:
+    """A block's distinct keys that the model may have, ascending (``keys``), and
+    for each part and each of its ``_asked`` lists the keys' places there, -1 for
+    what is not asked, with the lists' index for each gram."""
+
+    def __init__(self, parts: list[_Spelled], cells: bytes):
+        asked = [_asked(p) for p in parts]
+        flat = np.concatenate([np.empty(0, np.uint64), *(k for lists in asked for k, _ in lists)])
+        distinct, of = _distinct(flat)
+        order = np.argsort(distinct)
+        maybe = _maybe_known(distinct[order], cells)
+        self.keys = distinct[order[maybe]]
+        place = np.full(len(distinct), -1, np.int32)
+        place[order[maybe]] = np.arange(len(self.keys), dtype=np.int32)
+        self.lists, at = [], 0
+        for lists in asked:
+            own = []
+            for keys, index in lists:
+                own.append((place[of[at : at + len(keys)]], index))
+                at += len(keys)
+            self.lists.append(own)
 
 
 def _reply(model: pa.Table, payloads: list[bytes]) -> list[bytes]:
@@ -311,22 +341,19 @@ def _values(reply: bytes) -> np.ndarray:
     return out.T
 
 
-def _backed_off(found: _Spelled, keys: np.ndarray, values: np.ndarray, floor: float, floor_bow: float) -> np.ndarray:
-    """log p of each gram, along the back-off chain."""
-    asked = _asked(found)
+def _backed_off(found: _Spelled, lists: list[tuple[np.ndarray, np.ndarray]], values: np.ndarray, floor: float, floor_bow: float) -> np.ndarray:
+    """log p of each gram, along the back-off chain; the last row of ``values``
+    stands for keys that were not asked."""
 
     def get(a: tuple[np.ndarray, np.ndarray], column: int) -> np.ndarray:
-        if not len(keys):
-            return np.full(len(a[1]), np.nan)
-        at = np.minimum(np.searchsorted(keys, a[0]), len(keys) - 1)
-        return np.where(keys[at] == a[0], values[at, column], np.nan)[a[1]]
+        return values[a[0], column][a[1]]
 
     out = np.full(len(found.grams), floor + floor_bow)  # a character never seen in training
     for k in range(ORDER - 1, -1, -1):  # from the unigram up to the whole gram
         if k < ORDER - 1:
-            bow = get(asked[ORDER + k], 1)
+            bow = get(lists[ORDER + k], 1)
             out = out + np.where(np.isnan(bow), 0.0, bow)
-        own = get(asked[k], 0)
+        own = get(lists[k], 0)
         out = np.where(np.isnan(own), out, own)
     return out
 
@@ -338,19 +365,19 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     packed = B.pack(df, BLOCK_BYTES, keep=False)
 
     def keys_of(docs: pa.Table):
-        keys = _block_keys(_spelled_parts(docs, text_col, across), cells)
+        keys = _Asked(_spelled_parts(docs, text_col, across), cells).keys
         edges = B.bucket_edges(keys, buckets)
         return [(b, B.pack_sorted(keys[edges[b] : edges[b + 1]])) for b in np.flatnonzero(np.diff(edges)).tolist()]
 
     def finish(docs: pa.Table, replies: dict[int, bytes]) -> pa.Table:
         parts = _spelled_parts(docs, text_col, across)
-        keys = _block_keys(parts, cells)
-        edges = B.bucket_edges(keys, buckets)
+        asked = _Asked(parts, cells)
+        edges = B.bucket_edges(asked.keys, buckets)
         got = [_values(replies[b]) for b in np.flatnonzero(np.diff(edges)).tolist()]
-        values = np.concatenate([np.empty((0, 2)), *got])
+        values = np.concatenate([np.empty((0, 2)), *got, np.full((1, 2), np.nan)])
         n, log_prob, repeated = np.empty(0, np.int64), np.empty(0), np.empty(0)
-        for found in parts:
-            sums = found.total(_backed_off(found, keys, values, floor, floor_bow)) if len(found.grams) else np.zeros(found.texts)
+        for found, lists in zip(parts, asked.lists, strict=True):
+            sums = found.total(_backed_off(found, lists, values, floor, floor_bow)) if len(found.grams) else np.zeros(found.texts)
             n, log_prob, repeated = np.append(n, found.lengths()), np.append(log_prob, sums), np.append(repeated, found.repeated)
         perplexity = pa.array(np.exp(-log_prob / np.maximum(n, 1)), mask=n == 0)
         for field, made in zip(SCORED, (pa.array(n), pa.array(log_prob), perplexity, pa.array(repeated)), strict=True):
