@@ -116,7 +116,7 @@ class _Spelled:
         keys, self.gram_of = _distinct(key[place - ORDER + 1])
         first = np.empty(len(keys), np.int64)
         first[self.gram_of[::-1]] = place[::-1]
-        self.grams = seen[first - ORDER + 1]
+        self.grams = np.ascontiguousarray(seen[first - ORDER + 1])
 
     def counts(self) -> np.ndarray:
         """How often each gram stands in the texts."""
@@ -291,21 +291,26 @@ class _Asked:
     what is not asked, with the lists' index for each gram."""
 
     def __init__(self, parts: list[_Spelled], cells: bytes):
-        asked = [_asked(p) for p in parts]
-        flat = np.concatenate([np.empty(0, np.uint64), *(k for lists in asked for k, _ in lists)])
-        distinct, of = _distinct(flat)
+        flat, index = [np.empty(0, np.uint64)], []
+        for p in parts:
+            for keys, own in _asked(p):
+                flat.append(keys)
+                index.append(own)
+            p.grams = np.empty((len(p.grams), 0), np.uint32)  # only their number is needed from here on
+        sizes = [len(k) for k in flat[1:]]
+        distinct, of = _distinct(np.concatenate(flat))
+        del flat
         order = np.argsort(distinct)
         maybe = _maybe_known(distinct[order], cells)
         self.keys = distinct[order[maybe]]
         place = np.full(len(distinct), -1, np.int32)
         place[order[maybe]] = np.arange(len(self.keys), dtype=np.int32)
-        self.lists, at = [], 0
-        for lists in asked:
-            own = []
-            for keys, index in lists:
-                own.append((place[of[at : at + len(keys)]], index))
-                at += len(keys)
-            self.lists.append(own)
+        slots = [place[x] for x in np.split(of, np.cumsum(sizes)[:-1])] if sizes else []
+        lists = list(zip(slots, index, strict=True))
+        each = 2 * ORDER - 1
+        self.lists = [lists[at : at + each] for at in range(0, len(lists), each)]
+        del distinct, of, order, maybe, place
+        B.tidy()
 
 
 def _reply(model: pa.Table, payloads: list[bytes]) -> list[bytes]:
