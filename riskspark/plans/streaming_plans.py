@@ -41,7 +41,9 @@ def stream_score_audit(spark, sf_dir):
     again = F.when(F.col("o_orderkey") % 3 == 0, F.array(file, (file + 1) % 3)).otherwise(F.array(file))
     sent = orders.select("*", F.explode(F.array_sort(again)).alias("__file"))
     sj.feed(sent, f"{root}/in", F.col("__file"), 3)
-    arriving = sj.file_stream(spark, f"{root}/in", "*.parquet").drop("__file")
+    # A write makes as many files as the table has partitions.  They arrive together: batches of
+    # single files would send the customers to the driver for a broadcast once per file.
+    arriving = sj.file_stream(spark, f"{root}/in", "*.parquet", max_files=orders.rdd.getNumPartitions()).drop("__file")
     log = sj.stream_score_audit(
         spark, applications_from(arriving, table(spark, sf_dir, "customer")), card, "id", "t", ["totalprice", "acctbal", "priority", "segment"],
         f"{root}/log", f"{root}/chk",
