@@ -22,12 +22,15 @@ def right_closed_bin(x: Column | str, edges: Sequence[float]) -> Column:
     """Bin index for right-closed bins (-inf, e1], (e1, e2], ..., (ek, inf).
 
     Index = number of edges strictly below x.  ``Bucketizer`` is left-closed,
-    so it is not used.  Edges are literals; the expression is an array filter.
+    so it is not used.  Edges are literals: few are compared one by one, which
+    compiles; many are an array filter.  NULL is in bin 0.
     """
     if not edges:
         return F.lit(0)
-    arr = F.array(*[F.lit(float(e)) for e in edges])
     x = col_(x).cast("double")
+    if len(edges) <= 32:
+        return sum((F.when(F.lit(float(e)) < x, 1).otherwise(0) for e in edges[1:]), F.when(F.lit(float(edges[0])) < x, 1).otherwise(0))
+    arr = F.array(*[F.lit(float(e)) for e in edges])
     return F.size(F.filter(arr, lambda e: e < x))
 
 
