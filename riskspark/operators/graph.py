@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .learners import fit_standardizer, impute_median, standardize
+from .modeltables import keep
 
 
 def node_table(
@@ -60,13 +61,22 @@ def entity_nodes(edges: DataFrame) -> DataFrame:
 HUB_SHARE = 0.001
 
 
-def split_hubs(edges: DataFrame, share: float = HUB_SHARE) -> DataFrame:
-    """``edges`` with the flag ``hub``, written once."""
-    edges = cut_lineage(edges)
-    least = share * edges.count()
-    hubs = edges.groupBy("entity_type", "entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least).select("entity_type", "entity", F.lit(True).alias("hub"))
+def hub_entities(degrees: DataFrame, share: float = HUB_SHARE) -> DataFrame:
+    """(entity_type, entity, hub) of ``degrees`` (entity_type, entity, n): the hubs,
+    written once."""
+    total = degrees.agg(F.sum("n").alias("__total"))
+    hubs = degrees.crossJoin(F.broadcast(total)).where(F.col("n") > share * F.col("__total"))
+    return cut_lineage(hubs.select("entity_type", "entity", F.lit(True).alias("hub")))
+
+
+def split_hubs(edges: DataFrame, share: float = HUB_SHARE, hubs: DataFrame | None = None) -> DataFrame:
+    """``edges`` with the flag ``hub``, a lookup among at most ``1 / share`` hubs;
+    ``hubs`` spares counting the edges."""
+    if hubs is None:
+        edges = keep(edges)
+        hubs = hub_entities(edges.groupBy("entity_type", "entity").agg(F.count(F.lit(1)).alias("n")), share)
     flagged = edges.join(F.broadcast(hubs), ["entity_type", "entity"], "left")
-    return cut_lineage(flagged.withColumn("hub", F.coalesce("hub", F.lit(False))))
+    return flagged.withColumn("hub", F.coalesce("hub", F.lit(False)))
 
 
 def khop_features(nodes: DataFrame, edges: DataFrame, id_col: str, features: Sequence[str], hops: int = 1, share: float = HUB_SHARE) -> DataFrame:
@@ -80,16 +90,21 @@ def khop_features(nodes: DataFrame, edges: DataFrame, id_col: str, features: Seq
     broadcast table of at most 1 / share rows instead, so an entity with a third
     of all edges is never one task."""
     keys = ["entity_type", "entity"]
-    edges = split_hubs(edges, share)
-    cur = cut_lineage(nodes.select(F.col(id_col).alias("txn"), *features))
-    out = cur.select("txn")
+    # Edges are read three times a hop: as columns of a file, not as checkpointed rows.
+    edges = keep(edges)
+    cur = keep(nodes.select(F.col(id_col).alias("txn"), *features))
+    out, flagged = cur.select("txn"), None
     for k in range(1, hops + 1):
-        ent = cut_lineage(edges.join(cur, "txn").groupBy("hub", *keys).agg(*[F.avg(f).alias(f) for f in features]))
-        plain = edges.where("not hub").join(ent.where("not hub").drop("hub"), keys)
-        heavy = edges.where("hub").join(F.broadcast(ent.where("hub").drop("hub")), keys)
+        ent = keep(edges.join(cur, "txn").groupBy(*keys).agg(*[F.avg(f).alias(f) for f in features], F.count(F.lit(1)).alias("n")))
+        if flagged is None:  # the first hop has counted the edges of every entity
+            hubs = hub_entities(ent.select(*keys, "n"), share)
+            flagged = split_hubs(edges, share, hubs)
+        ent = ent.drop("n")
+        plain = flagged.where("not hub").drop("hub").join(ent, keys)
+        heavy = flagged.where("hub").drop("hub").join(F.broadcast(ent.join(F.broadcast(hubs), keys, "left_semi")), keys)
         per_type = plain.unionByName(heavy).groupBy("txn", "entity_type").agg(*[F.avg(f).alias(f) for f in features])
         summed = per_type.groupBy("txn").agg(*[F.sum(f).alias(f) for f in features])
-        cur = cut_lineage(cur.select("txn").join(summed, "txn", "left").fillna(0.0, list(features)))
+        cur = keep(cur.select("txn").join(summed, "txn", "left").fillna(0.0, list(features)))
         out = out.join(cur.select("txn", *[F.col(f).alias(f"nb{k}_{f}") for f in features]), "txn")
     return out.withColumnRenamed("txn", id_col)
 
