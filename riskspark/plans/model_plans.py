@@ -280,8 +280,9 @@ def graph_classifier(spark, sf_dir):
     weights of its own: logistic regression trained on the train mask only,
     evaluated on the test mask."""
     nodes, edges = gp._nodes(spark, sf_dir)
+    nodes = keep(nodes)
     hop = gr.khop_features(nodes, edges, "id", gp.NODE_FEATURES, hops=2)
-    x = nodes.join(hop, "id")
+    x = keep(nodes.join(hop, "id"))  # read by the medians, the fit, the scores and the count
     feats = [*gp.NODE_FEATURES, *[f"nb{k}_{f}" for k in (1, 2) for f in gp.NODE_FEATURES]]
     train = x.where(F.col("mask") == "train")
     _, pred = le.fit_and_score(train, x.where(F.col("mask") == "test"), feats, "label", "logistic")
