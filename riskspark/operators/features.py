@@ -116,7 +116,7 @@ def _bounded_velocity(narrow: DataFrame, card: str, t: str, id_col: str, windows
     dealt = deal(rows.withColumn("__a", F.col("__a").cast("double")).unionByName(asked), range_count(narrow, ranges), F.col("__c"), F.col("__t"), late, F.col("__i"))
     placed = dealt.repartition(range_count(narrow, ranges), "__rng", "__c")  # one exchange for all windows below
     n, a = F.col("__a").isNotNull().cast("long"), F.col("__a")
-    cols, answers = {}, []
+    cols = {}
     out = placed
     for k, (label, d) in enumerate(windows.items()):
         block = F.floor(F.col("__t") / F.lit(d)).cast("long")
@@ -135,15 +135,19 @@ def _bounded_velocity(narrow: DataFrame, card: str, t: str, id_col: str, windows
     def total(way: str, what: str, k: int) -> Column:
         return F.coalesce(F.col(f"__{way}{what}{k}"), F.lit(0)) + F.coalesce(F.col(f"__o{way}{what}{k}"), F.lit(0))
 
+    sums: list[Column] = []
     for k, label in enumerate(windows):
         cols[f"{card}_txn_count_{label}"], cols[f"{card}_amt_sum_{label}"] = ("n", k), ("s", k)
         mine = F.col("__q") == k
-        answers += [F.max(F.when(mine, total("s", what, k))).alias(f"__a{what}{k}") for what in "ns"]
+        sums += [F.when(mine, total("s", what, k)).when(~late, total("p", what, k)).alias(f"__x{what}{k}") for what in "ns"]
+    # Both sides of the join below come out of the same running sums: written once,
+    # a row with its own sums or with what it asked for.
+    out = keep(out.select("__c", "__t", "__i", "__q", "__home", *sums))
+    made = [f"__{{}}{what}{k}" for k in range(len(windows)) for what in "ns"]
     # an answer is one value per (card, second)
+    answers = [F.max(c.format("x")).alias(c.format("a")) for c in made]
     answered = out.where(late).groupBy(F.col("__c").alias("__ac"), "__home").agg(*answers).withColumnRenamed("__home", "__at")
-    own = out.where(~late).select(
-        "__c", "__t", "__i", *[total("p", what, k).alias(f"__x{what}{k}") for k in range(len(windows)) for what in "ns"]
-    )
+    own = out.where(~late).select("__c", "__t", "__i", *[c.format("x") for c in made])
     both = own.join(answered, (F.col("__c") == F.col("__ac")) & (F.col("__t") == F.col("__at")), "left")
 
     def window(what: str, k: int) -> Column:
@@ -168,17 +172,21 @@ def add_card_usage_features(
     diversity_col: str | None = "diversity",
     buckets: int | None = None,
     n_hint: int | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Prior count, running average of earlier amounts, ratio to it, and
     the number of distinct non-NULL ``diversity_col`` values seen before.
     ``n_hint`` (an upper bound of rows + markers) spares the row count that
-    sizes the buckets when the input is expensive to recompute."""
+    sizes the buckets when the input is expensive to recompute.  ``source`` has the
+    rows of ``df`` without what earlier steps added: keys and amounts are read from
+    there, so those steps run once only, for the join at the end."""
     require_columns(df, [card_col, time_col, amount_col, id_col])
+    source = df if source is None else source
     if n_hint is None:
-        require_rows(df)
+        require_rows(source)
     has_div = diversity_col is not None and diversity_col in df.columns
     keys = [card_col, time_col, id_col]
-    known = df.where(F.col(card_col).isNotNull())
+    known = source.where(F.col(card_col).isNotNull())
     a = number(amount_col).cast("double")
     stream = known.select(*keys, a.alias("__a"), F.lit(0).alias("__kind"))
     if has_div:
@@ -297,7 +305,7 @@ def engineer_features(
     require_rows(df)
     n = df.count()  # a plain scan; bounds the rows + markers of the next step
     out = add_velocity_features(df, card_col, time_col, amount_col, id_col, windows_seconds)
-    out = add_card_usage_features(out, card_col, time_col, amount_col, id_col, diversity_col, n_hint=2 * n)
+    out = add_card_usage_features(out, card_col, time_col, amount_col, id_col, diversity_col, n_hint=2 * n, source=df)
     # The feature steps keep every row, so the encoders are fitted on the
     # input itself: their fit jobs never re-run the windows above.
     out = add_hour_of_day_aggregates(out, time_col, amount_col, fit_df=df)
@@ -314,8 +322,8 @@ def leakage_guard(df: DataFrame, cutoff_t: int, build, time_col: str = "t") -> D
     full = build(df).where(F.col(time_col) <= cutoff_t)
     past = build(df.where(F.col(time_col) <= cutoff_t))
     cols = sorted(full.columns)
-    full, past = full.select(*cols), past.select(*cols)
-    diff = full.exceptAll(past).unionByName(past.exceptAll(full))
-    n = full.agg(F.count("*").alias("n_checked"))
-    m = diff.agg(F.count("*").alias("n_mismatch"))
-    return n.crossJoin(m)
+    # One grouping of both sides: a row that one side has more often than the
+    # other is a mismatch as many times as the counts differ (exceptAll both ways).
+    both = full.select(*cols, F.lit(1).alias("__full"), F.lit(0).alias("__past")).unionByName(past.select(*cols, F.lit(0).alias("__full"), F.lit(1).alias("__past")))
+    counts = both.groupBy(*cols).agg(F.sum("__full").alias("f"), F.sum("__past").alias("p"))
+    return counts.agg(F.coalesce(F.sum("f"), F.lit(0)).alias("n_checked"), F.coalesce(F.sum(F.abs(F.col("f") - F.col("p"))), F.lit(0)).alias("n_mismatch"))

@@ -253,7 +253,7 @@ def leakage_guard(spark, sf_dir):
 
     def build(d):
         out = fe.add_velocity_features(d)
-        out = fe.add_card_usage_features(out)
+        out = fe.add_card_usage_features(out, source=d)
         return rounded(out, out.columns)
 
     return fe.leakage_guard(tx, 1705276800, build)
