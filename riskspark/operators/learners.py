@@ -16,17 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import number
-from .profile import numeric_columns, unpivot_numeric
-from .quantiles import quantile_columns
+from .profile import numeric_columns
+from .quantiles import column_medians
 
 
 def fit_medians(fit_df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Train medians of all columns in one job (driver gets one number per
+    """Exact train medians of all columns (the driver gets a few numbers per
     column)."""
-    long = unpivot_numeric(fit_df, columns)
-    rows = quantile_columns(long, "value", [0.5], ["median"], groups=["feature"]).collect()
-    got = {r["feature"]: r["median"] for r in rows}
-    return {c: got.get(c) for c in columns}
+    return column_medians(fit_df, columns)
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None = None) -> DataFrame:
@@ -100,7 +97,8 @@ def fit_and_score(train: DataFrame, test: DataFrame, features: Sequence[str], la
 
     med = fit_medians(train, features)
     med_train, med_test = fill_medians(train, med), fill_medians(test, med)
-    fit_in = cut_lineage(assemble(med_train.withColumn(label, F.col(label).cast("double")), features))
+    # the fit reads the label and the vector, so no other column is written
+    fit_in = cut_lineage(assemble(med_train.withColumn(label, F.col(label).cast("double")), features).select(label, "features"))
     model = make_classifier(kind, label, **params).fit(fit_in)
     pred = cut_lineage(positive_probability(model.transform(assemble(med_test, features))).drop("features", "rawPrediction", "probability"))
     return model, pred

@@ -96,6 +96,45 @@ def quantile_columns(df: DataFrame, value: str, qs: Sequence[float], names: Sequ
     return long.agg(*aggs)
 
 
+#: Share of the values on either side of the median that is looked at in full, and
+#: the accuracy of the sketch that finds where they begin and end.
+_AROUND, _ACCURACY = 0.01, 1000
+
+
+def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """The exact median of every column, as ``exact_quantiles`` gives it, without
+    ordering all values: a sketch brackets it (its rank is off by a share of
+    1 / ``_ACCURACY`` at most), the values below the bracket are counted, and only
+    those inside go through the histogram and its running sum.  Columns without
+    values have None."""
+    values = {c: number(F.col(c).cast("double")) for c in columns}
+    near = df.agg(*[F.percentile_approx(v, [0.5 - _AROUND, 0.5 + _AROUND], _ACCURACY).alias(f"__{i}") for i, v in enumerate(values.values())]).first()
+    out: dict[str, float | None] = dict.fromkeys(columns)
+    asked = {i: (c, near[f"__{i}"]) for i, c in enumerate(columns) if near[f"__{i}"]}
+    if not asked:
+        return out
+    sides = [x for i, (c, (low, _)) in asked.items() for x in (F.count(values[c]).alias(f"__n{i}"), F.count_if(values[c] < F.lit(low)).alias(f"__b{i}"))]
+    sizes = df.agg(*sides).first()
+    inside = [F.struct(F.lit(i).alias("i"), F.when(values[c].between(F.lit(low), F.lit(high)), values[c]).alias("v")) for i, (c, (low, high)) in asked.items()]
+    hist = df.select(F.inline(F.array(*inside))).where("v IS NOT NULL").groupBy("i", "v").agg(F.count(F.lit(1)).alias("__c"))
+    cum = prefix_sum(hist, ["v"], {"__hi": F.col("__c")}, partition_by=["i"])
+    wanted = {i: ((sizes[f"__n{i}"] - 1) // 2, sizes[f"__n{i}"] // 2) for i in asked}  # 0-based; the same one if the number is odd
+    hit = F.lit(False)
+    for i, both in wanted.items():
+        for p in both:
+            at = F.lit(p - sizes[f"__b{i}"])
+            hit |= (F.col("i") == i) & (F.col("__hi") - F.col("__c") <= at) & (at < F.col("__hi"))
+    found = {i: [] for i in asked}
+    for r in cum.where(hit).select("i", "v").collect():  # two values for each column at most
+        found[r["i"]].append(r["v"])
+    for i, (c, _) in asked.items():
+        if not found[i]:
+            raise AssertionError(f"the median of {c!r} lies outside its bracket")
+        low, high = min(found[i]), max(found[i])
+        out[c] = low + (high - low) * (0.5 if wanted[i][0] != wanted[i][1] else 0.0)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # sketches: opt-in, with a bounded rank error
 # ---------------------------------------------------------------------------

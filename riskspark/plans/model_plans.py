@@ -47,9 +47,9 @@ def r4(c):
 def _fraud_frames(spark, sf_dir):
     tx = bind_event_transactions(spark, sf_dir).select("id", "card", "t", "amount", "diversity", "category", "label")
     f = sp.prepare_train_test_features(tx, test_size=0.2, category_cols=())
-    # One reliable checkpoint (shared folder) so each fit and metric pass
-    # reads the materialised features instead of recomputing the chain.
-    f = cut_lineage(f.select("id", "label", "t", "split", *FRAUD_FEATURES))
+    # Written once (shared folder) so each fit and metric pass reads the
+    # columns it needs of the features instead of recomputing the chain.
+    f = keep(f.select("id", "label", "t", "split", *FRAUD_FEATURES))
     return f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
 
 
