@@ -6,14 +6,17 @@ whether a lookup may be a broadcast join."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 from ..session import checkpoint_dir
 
 
-def keep(table: DataFrame) -> DataFrame:
+def keep(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by``: columns of few values; a reader of some of them reads no other rows."""
     spark = table.sparkSession
     path = f"{checkpoint_dir(spark)}/model-table-{uuid.uuid4().hex}"
-    table.write.parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    table.write.partitionBy(*by).parquet(path)
+    kept = spark.read.schema(table.schema).parquet(path)
+    return kept.select(*[f"`{c}`" for c in table.columns]) if by else kept

@@ -53,15 +53,23 @@ def deal(df: DataFrame, ranges: int, *keys: Column) -> DataFrame:
     return cut_lineage(df.repartitionByRange(ranges, *keys).withColumn("__rng", F.spark_partition_id()))
 
 
-def edge_offsets(dealt: DataFrame, segment: Column, sums: Mapping[str, Column], later: bool = False) -> DataFrame:
+def edge_offsets(dealt: DataFrame, segment: Column, sums: Mapping[str, Column], later: bool = False, fine: bool = False) -> DataFrame:
     """(__rng, __seg, name...): what the ``sums`` of a range's first and last
-    segment get from earlier (``later``: from later) ranges; 0 for nothing."""
-    totals = dealt.groupBy("__rng", segment.alias("__seg")).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()])
-    whole = F.struct("__seg", *sums)
-    first, last = F.min_by(whole, "__seg"), F.max_by(whole, "__seg")
-    one = F.min("__seg").eqNullSafe(F.max("__seg"))
-    ends = totals.groupBy("__rng").agg(F.when(one, F.array(first)).otherwise(F.array(first, last)).alias("__ends"))
-    ends = ends.select("__rng", F.explode("__ends").alias("__end")).select("__rng", "__end.*")
+    segment get from earlier (``later``: from later) ranges; 0 for nothing.
+    ``fine``: segments have few rows, so a range's first and last one are found
+    first and only these are added up, instead of all."""
+    added = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()]
+    first, last = F.min("__seg"), F.max("__seg")
+    if fine:
+        rows = dealt.withColumn("__seg", segment)
+        edges = rows.groupBy(F.col("__rng").alias("__r")).agg(first.alias("__first"), last.alias("__last"))  # a row for each range
+        at_edge = F.col("__seg").eqNullSafe(F.col("__first")) | F.col("__seg").eqNullSafe(F.col("__last"))
+        ends = rows.join(F.broadcast(edges), (F.col("__rng") == F.col("__r")) & at_edge).groupBy("__rng", "__seg").agg(*added)
+    else:
+        totals = dealt.groupBy("__rng", segment.alias("__seg")).agg(*added)
+        whole = F.struct("__seg", *sums)
+        ends = totals.groupBy("__rng").agg(F.when(first.eqNullSafe(last), F.array(F.min_by(whole, "__seg"))).otherwise(F.array(F.min_by(whole, "__seg"), F.max_by(whole, "__seg"))).alias("__ends"))
+        ends = ends.select("__rng", F.explode("__ends").alias("__end")).select("__rng", "__end.*")
     before = Window.partitionBy("__seg").orderBy(F.desc("__rng") if later else F.asc("__rng")).rowsBetween(Window.unboundedPreceding, -1)
     return ends.select("__rng", "__seg", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums])
 

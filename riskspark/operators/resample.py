@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import cut_lineage
+from .modeltables import keep
 from .ordering import global_rank
 
 DEFAULT_K = 5
@@ -54,6 +55,9 @@ _DRAWN = 4
 #: Points that ask one copy of a ring.
 _ASKERS = 4096
 
+#: Pairs looked at in one go.
+_PAIRS = 1 << 18
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
@@ -89,6 +93,19 @@ def _far_apart(vecs: np.ndarray, m: int) -> list[int]:
     return chosen
 
 
+def _may(to_x: np.ndarray, to_y: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) whose distances to every guide differ by r[i] at most; after the
+    first few guides only pairs still left are looked at."""
+    left = np.ones((len(to_x), len(to_y)), bool)
+    for g in range(min(4, to_x.shape[1])):
+        left &= np.abs(to_y[:, g] - to_x[:, g, None]) <= r[:, None]
+    i, j = np.nonzero(left)
+    for g in range(4, to_x.shape[1]):
+        stay = np.abs(to_y[j, g] - to_x[i, g]) <= r[i]
+        i, j = i[stay], j[stay]
+    return i, j
+
+
 class _Index:
     """Pivots, and of every ring its lowest and highest distance to its pivot."""
 
@@ -207,17 +224,24 @@ def _candidates(points: DataFrame, k: int, block_size: int) -> DataFrame:
         x, y, r = _matrix(left.column("vec")), _matrix(right.column("vec")), _widened(left.column("r").to_numpy())
         to_x, to_y = distances(x, guides), distances(y, guides)
         same = {v: i for i, v in enumerate(right.column("id").to_pylist())}
+        own = np.array([same.get(v, -1) for v in left.column("id").to_pylist()])
         who, what, how, done = [], [], [], 0
-        for i, own in enumerate(left.column("id").to_pylist()):
-            may = np.flatnonzero((np.abs(to_y - to_x[i]) <= r[i]).all(axis=1))
-            may = may[may != same.get(own, -1)]
-            done += len(may)
-            d = np.sqrt(((y[may] - x[i]) ** 2).sum(axis=1))
-            keep = np.flatnonzero(d <= r[i])
-            if len(keep) > k:  # equal distances at the end all stay: ids decide later
-                keep = keep[d[keep] <= np.partition(d[keep], k - 1)[k - 1]]
-            who.append(np.full(len(keep), i))
-            what.append(may[keep])
+        step = max(1, _PAIRS // len(y))
+        for at in range(0, len(x), step):
+            i, j = _may(to_x[at : at + step], to_y, r[at : at + step])
+            i += at
+            other = j != own[i]
+            i, j = i[other], j[other]
+            done += len(i)
+            d = np.concatenate([np.sqrt(((y[j[lo : lo + _PAIRS]] - x[i[lo : lo + _PAIRS]]) ** 2).sum(axis=1)) for lo in range(0, len(i), _PAIRS)] or [np.empty(0)])
+            near = np.flatnonzero(d <= r[i])
+            near = near[np.lexsort((d[near], i[near]))]
+            i, j, d = i[near], j[near], d[near]
+            begins = np.searchsorted(i, i)
+            last = np.minimum(begins + k, np.searchsorted(i, i, side="right")) - 1
+            keep = d <= d[last]  # equal distances at the end all stay: ids decide later
+            who.append(i[keep])
+            what.append(j[keep])
             how.append(d[keep])
         who, what = (pa.array(np.concatenate(z).astype(np.int64)) for z in (who, what))
         found = pa.Table.from_arrays([left.column("id").take(who), right.column("id").take(what), pa.array(np.concatenate(how)), pa.nulls(len(who), pa.int64())], schema=arrow)
@@ -250,23 +274,34 @@ def smote(
     """``n_new`` synthetic minority rows: (syn_id, base_id, neighbor_id,
     gap, vec).  Synthetic j interpolates base (j mod m) towards its nn-th
     neighbour, nn and gap from md5(j:seed)."""
-    spark = minority.sparkSession
-    m = minority.count()
+    v = F.col(vec).cast("array<double>")
+    size = minority.agg(F.count(F.lit(1)).alias("m"), F.min(F.size(v)).alias("low"), F.max(F.size(v)).alias("high")).first()
+    m = size["m"]
     if m < 2:
         raise ValueError("no neighbour to interpolate with: fewer than two minority rows")
     k_eff = min(k, m - 1)
     if knn is None:
         knn = exact_knn(minority, k_eff, id_col, vec)
-    base = global_rank(minority.select(F.col(id_col).alias("base_id"), F.col(vec).cast("array<double>").alias("bvec")), ["base_id"], "__r")
-    h = F.md5(F.concat(F.col("syn_id").cast("string"), F.lit(":"), F.lit(str(seed))))
-    syn = spark.range(n_new).select(F.col("id").alias("syn_id")).withColumn("__h", h)
-    syn = syn.withColumn("__r", F.pmod(F.col("syn_id"), F.lit(m)) + 1).withColumn("neighbor_rank", F.pmod(hash_int(F.col("__h"), 1), F.lit(k_eff)) + 1)
-    syn = syn.withColumn("gap", hash_int(F.col("__h"), 9) / F.lit(4294967296.0))
-    nb = knn.select(F.col(id_col).alias("base_id"), "neighbor_rank", "neighbor_id")
-    nv = minority.select(F.col(id_col).alias("neighbor_id"), F.col(vec).cast("array<double>").alias("nvec"))
-    out = syn.join(base, "__r").join(nb, ["base_id", "neighbor_rank"]).join(nv, "neighbor_id")
-    out = out.withColumn("vec", F.zip_with("bvec", "nvec", lambda a, b: a + F.col("gap") * (b - a)))
-    return out.select("syn_id", "base_id", "neighbor_id", "gap", "vec")
+    # Vectors are moved twice for each new row, to it from its neighbour and from its
+    # base; until then a new row is a few numbers, made where its base's neighbours are.
+    base = keep(global_rank(minority.select(F.col(id_col).alias("base_id"), v.alias("bvec")), ["base_id"], "__r"))
+    near = knn.groupBy(F.col(id_col).alias("__of")).agg(F.sort_array(F.collect_list(F.struct("neighbor_rank", "neighbor_id"))).alias("__near"))  # k of each
+    syn = base.select("base_id", "__r").join(near, F.col("base_id") == F.col("__of"))
+    own = F.when(F.col("__r") <= n_new, F.sequence(F.col("__r") - 1, F.lit(n_new - 1).cast("long"), F.lit(m).cast("long")))
+    syn = syn.select("base_id", "__r", "__near", F.explode(own).alias("syn_id"))
+    syn = syn.withColumn("__h", F.md5(F.concat(F.col("syn_id").cast("string"), F.lit(":"), F.lit(str(seed)))))
+    syn = syn.select(
+        "syn_id", "base_id", "__r", F.get("__near", F.pmod(hash_int(F.col("__h"), 1), F.lit(k_eff)).cast("int"))["neighbor_id"].alias("neighbor_id"),
+        (hash_int(F.col("__h"), 9) / F.lit(4294967296.0)).alias("gap"),
+    )
+    nv = minority.select(F.col(id_col).alias("neighbor_id"), v.alias("nvec"))
+    out = syn.join(nv, "neighbor_id").join(base.select("__r", "bvec"), "__r")
+    gap = F.col("gap")
+    if size["low"] == size["high"] and (size["high"] or 0) > 0:  # of one length: compiled
+        made = F.array(*[F.col("bvec")[i] + gap * (F.col("nvec")[i] - F.col("bvec")[i]) for i in range(size["high"])])
+    else:
+        made = F.zip_with("bvec", "nvec", lambda a, b: a + gap * (b - a))
+    return out.select("syn_id", "base_id", "neighbor_id", "gap", made.alias("vec"))
 
 
 def oversample_to_parity(df: DataFrame, label: str, minority_value, id_col: str = "id", vec: str = "vec", k: int = DEFAULT_K, seed: int = 42):
@@ -274,5 +309,6 @@ def oversample_to_parity(df: DataFrame, label: str, minority_value, id_col: str
     count.  Returns (synthetic rows, n_new)."""
     counts = df.agg(F.count_if(F.col(label) == minority_value).alias("m"), F.count_if(F.col(label) != minority_value).alias("M")).first()
     n_new = max(0, counts["M"] - counts["m"])
-    minority = df.where(F.col(label) == minority_value)
+    # read by each step of the search and by the interpolation
+    minority = keep(df.where(F.col(label) == minority_value))
     return smote(minority, n_new, k, id_col, vec, seed), n_new
